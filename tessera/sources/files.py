@@ -61,8 +61,9 @@ def read_json_quarantine(spark: SparkSession, paths: Sequence[str] | str, schema
           .option("columnNameOfCorruptRecord", "_corrupt_record").json(paths))
     df = df.drop(*[c for c in drop_cols if c in df.columns])
     good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record", F.col("_metadata.file_path")
-                                                                 .alias("filename"))
+    # the quarantine keeps the parsed columns too: Spark refuses plans that read only
+    # the corrupt-record column of a raw JSON scan
+    bad = df.filter(F.col("_corrupt_record").isNotNull()).withColumn("filename", F.col("_metadata.file_path"))
     return good, bad
 
 
