@@ -122,17 +122,19 @@ def spark_events(spark: SparkSession, listing: DataFrame, tracker: DataFrame, ba
     paths = [r["filename"] for r in todo.select("filename").collect()]  # file names only (metadata)
     if not paths:
         return spark.createDataFrame([], schema), spark.createDataFrame([], "_corrupt_record string, filename string")
-    good, quarantined = read_json_quarantine(spark, paths, schema, drop_cols=EVENT_LOG_DROP_COLS)
+    good, quarantined = read_json_quarantine(spark, paths, schema, drop_cols=EVENT_LOG_DROP_COLS,
+                                             keep_file_as="_src_file")
     d = good
     if "timestamp" in d.columns and "Timestamp" in d.columns:
         fix = F.when(F.col("Timestamp").isNull() & F.col("timestamp").isNotNull() & (
             F.col("Event") == "org.apache.spark.sql.streaming.StreamingQueryListener$QueryStartedEvent"),
             string_ts_to_epoch_ms(F.col("timestamp"))).otherwise(F.col("Timestamp"))
         d = d.withColumn("Timestamp", fix).drop("timestamp")
-    fname = F.col("_metadata.file_path")
+    fname = F.col("_src_file")
     seg = F.split(fname, "/")
     n = F.size(seg)
-    d = d.withColumns({"filename": fname, "SparkContextId": F.get(seg, n - 2), "clusterId": F.get(seg, n - 5)})
+    d = d.withColumns({"filename": fname, "SparkContextId": F.get(seg, n - 2),
+                       "clusterId": F.get(seg, n - 5)}).drop("_src_file")
     if "Stage ID" in d.columns and "stageId" in d.columns:
         spec = F.col("Event") == "org.apache.spark.scheduler.SparkListenerSpeculativeTaskSubmitted"
         d = d.withColumns({"Stage ID": F.when(spec, F.col("stageId")).otherwise(F.col("Stage ID")),

@@ -53,17 +53,20 @@ def with_source_file(df: DataFrame, out: str = "filename") -> DataFrame:
 
 
 def read_json_quarantine(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType,
-                         drop_cols: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+                         drop_cols: Sequence[str] = (), keep_file_as: str | None = None) -> tuple[DataFrame, DataFrame]:
     """S3: JSON with an explicit schema (no inference pass, wide columns never parsed);
     malformed lines split into a quarantine frame."""
     s = schema if "_corrupt_record" in schema.fieldNames() else schema.add("_corrupt_record", T.StringType())
     df = (spark.read.schema(s).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").json(paths))
-    df = df.drop(*[c for c in drop_cols if c in df.columns])
+    df = df.drop(*[c for c in drop_cols if c in df.columns]).withColumn("filename", F.col("_metadata.file_path"))
+    # parse once: the parsed rows are staged as Parquet in the shared checkpoint folder
+    # (survives executor loss) and both splits read the staged copy
+    from tessera.operators.tables import persist_and_reload
+    df = persist_and_reload(df)
     good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    # the quarantine keeps the parsed columns too: Spark refuses plans that read only
-    # the corrupt-record column of a raw JSON scan
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).withColumn("filename", F.col("_metadata.file_path"))
+    good = good.withColumnRenamed("filename", keep_file_as) if keep_file_as else good.drop("filename")
+    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("_corrupt_record", "filename")
     return good, bad
 
 
