@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import ntz_from_epoch_ms, runtime_struct, to_ts
 from tessera.operators.joins import join_with_lag
-from tessera.operators.schema import map_to_struct, promote_struct
+from tessera.operators.schema import map_to_struct, nested_col_exists, promote_struct
 from tessera.operators.windows import dedup_by_key, fill_forward, future_fill
 
 # Fixed values (reference semantics): state names of the cluster state machine.
@@ -192,9 +192,11 @@ def account_logins(audit: DataFrame) -> DataFrame:
             F.col("userAgent").alias("user_agent")]
     w = web.select(*cols, F.col("actionName").alias("login_type"), F.lit(None).cast(
         "struct<instance_id:string,container_id:string>").alias("ssh_login_details"))
+    def rp(name):
+        p = f"requestParams.{name}"
+        return F.col(p).cast("string") if nested_col_exists(audit.schema, p, True) else F.lit(None).cast("string")
     s = ssh.select(*cols, F.lit("ssh").alias("login_type"), F.struct(
-        F.col("requestParams.instance_id").cast("string").alias("instance_id"),
-        F.col("requestParams.container_id").cast("string").alias("container_id")).alias("ssh_login_details"))
+        rp("instance_id").alias("instance_id"), rp("container_id").alias("container_id")).alias("ssh_login_details"))
     return w.unionByName(s)
 
 
@@ -204,10 +206,13 @@ MOD_ACTIONS = ("add", "addPrincipalToGroup", "removePrincipalFromGroup", "setAdm
 def account_mods(audit: DataFrame) -> DataFrame:
     """V7: six account actions; a null ``user_id`` takes the first later non-null id of
     the same user name (W8, bounded to 1000 rows as in the reference)."""
+    def rp(name):
+        p = f"requestParams.{name}"
+        return F.col(p).cast("string") if nested_col_exists(audit.schema, p, True) else F.lit(None).cast("string")
     d = audit.filter((F.col("serviceName") == "accounts") & F.col("actionName").isin(*MOD_ACTIONS)).select(
         "organization_id", "date", "timestamp", "actionName", "requestId",
-        F.col("userIdentity.email").alias("modified_by"), F.col("requestParams.targetUserName").alias("user_name"),
-        F.col("requestParams.targetUserId").alias("user_id"))
+        F.col("userIdentity.email").alias("modified_by"), rp("targetUserName").alias("user_name"),
+        rp("targetUserId").alias("user_id"))
     filled = future_fill(d, ["user_id"], ["organization_id", "user_name"], ["timestamp", "requestId"],
                          max_rows=1000, out_suffix="__f")
     return filled.withColumn("user_id", F.coalesce("user_id", "user_id__f")).drop("user_id__f")
@@ -215,10 +220,13 @@ def account_mods(audit: DataFrame) -> DataFrame:
 
 def notebooks(audit: DataFrame) -> DataFrame:
     """Notebook actions; the name is the last path segment when missing."""
+    def rp(name):
+        p = f"requestParams.{name}"
+        return F.col(p).cast("string") if nested_col_exists(audit.schema, p, True) else F.lit(None).cast("string")
     d = audit.filter(F.col("serviceName") == "notebook").select(
         "organization_id", "date", "timestamp", "actionName", "requestId",
-        F.col("requestParams.notebookId").alias("notebook_id"), F.col("requestParams.path").alias("notebook_path"),
-        F.col("requestParams.notebookName").alias("notebook_name"), F.col("userIdentity.email").alias("user_email"))
+        rp("notebookId").alias("notebook_id"), rp("path").alias("notebook_path"),
+        rp("notebookName").alias("notebook_name"), F.col("userIdentity.email").alias("user_email"))
     last_seg = F.element_at(F.split("notebook_path", "/"), -1)
     return d.withColumn("notebook_name", F.coalesce("notebook_name", last_seg))
 
