@@ -118,3 +118,15 @@ def distinct_count(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
 def non_null_counts(df: DataFrame) -> DataFrame:
     """Non-null count per column in one pass."""
     return df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+
+
+def rebuild_and_compare(tables: dict[str, tuple[DataFrame, DataFrame, Sequence[str]]],
+                        tolerance_pct: float = 0.0, strict: bool = True) -> DataFrame:
+    """Q8: compare originals with tables rebuilt from a bronze snapshot (K13 + rebuild
+    by the caller): one Q5 verdict row per table, in one union plan."""
+    out = None
+    for name, (orig, rebuilt, keys) in tables.items():
+        s = compare_summary(compare_datasets(orig, rebuilt, keys), tolerance_pct, strict).withColumn(
+            "table", F.lit(name))
+        out = s if out is None else out.unionByName(s)
+    return out

@@ -225,3 +225,91 @@ def cluster_gold(spec: DataFrame) -> DataFrame:
     out = publish_table(spec, m)
     return out.withColumns({"timestamp": F.timestamp_millis("unixTimeMS"), "date": F.to_date(F.timestamp_millis(
         "unixTimeMS"))}) if "unixTimeMS" in out.columns else out
+
+
+# ------------------------------------------------------------------ G6 / X7 streaming-query facts
+
+STREAM_EVENT_PREFIX = "org.apache.spark.sql.streaming.StreamingQueryListener$Query"
+PROGRESS_SCHEMA = ("struct<id:string, runId:string, name:string, timestamp:string, batchId:long, "
+                   "numInputRows:long, inputRowsPerSecond:double, processedRowsPerSecond:double, "
+                   "durationMs:map<string,long>, eventTime:map<string,string>, stateOperators:string, "
+                   "sources:string, sink:string, observedMetrics:string>")
+VOLATILE = ("durationMs", "eventTime", "stateOperators", "sources", "sink", "observedMetrics")
+
+
+def spark_stream_gold(events: DataFrame, executions: DataFrame | None = None) -> DataFrame:
+    """Streaming-query listener events (Started / Progress; Terminated dropped)
+    -> one row per (stream, run, batch): newest row per key, stream name filled forward
+    per run, batch -1 for Started, volatile structs kept as JSON text (``[]`` state
+    operators -> null), and the SQL execution ids whose description names the stream
+    (``id = .. runId = .. batch = ..``) attached as a sorted list."""
+    from tessera.functions.columns import stream_details, string_ts_to_epoch_ms
+    from tessera.operators.windows import fill_forward
+    keys = ["organization_id", "clusterId", "SparkContextID"]
+    e = events.filter(F.col("Event").startswith(STREAM_EVENT_PREFIX) & ~F.col("Event").contains("Terminated"))
+    p = F.from_json(F.col("progress"), PROGRESS_SCHEMA)
+    seg = F.when(F.col("Event").contains("Started"), "Started").otherwise("Progressed")
+    e = e.select(*keys, seg.alias("stream_segment"), p.alias("p"), F.col("Timestamp").alias("event_ts"),
+                 *[F.col(c) for c in ("id", "runId", "name") if c in events.columns])
+    sid = F.coalesce(F.col("p.id"), F.col("id")) if "id" in e.columns else F.col("p.id")
+    rid = F.coalesce(F.col("p.runId"), F.col("runId")) if "runId" in e.columns else F.col("p.runId")
+    name = F.coalesce(F.col("p.name"), F.col("name")) if "name" in e.columns else F.col("p.name")
+    ts = F.coalesce(string_ts_to_epoch_ms(F.col("p.timestamp"), require_millis=False), F.col("event_ts"))
+    d = e.select(*keys, "stream_segment", sid.alias("stream_id"), rid.alias("stream_run_id"),
+                 F.when(F.col("stream_segment") == "Started", F.lit(-1).cast("long")).otherwise(F.col("p.batchId"))
+                 .alias("stream_batch_id"), name.alias("stream_name"), ts.alias("stream_timestamp"),
+                 F.col("p.numInputRows").alias("num_input_rows"),
+                 F.col("p.inputRowsPerSecond").alias("input_rows_per_second"),
+                 F.col("p.processedRowsPerSecond").alias("processed_rows_per_second"),
+                 *[(F.to_json(F.col(f"p.{v}")) if v in ("durationMs", "eventTime") else F.col(f"p.{v}")).alias(v)
+                   for v in VOLATILE])
+    d = d.withColumn("stateOperators", F.when(F.col("stateOperators") == "[]", F.lit(None)).otherwise(
+        F.col("stateOperators")))
+    k = keys + ["stream_id", "stream_run_id", "stream_batch_id"]
+    d = dedup_by_key(d, k, ["stream_timestamp"], descending=True)
+    d = fill_forward(d, ["stream_name"], keys + ["stream_id", "stream_run_id"], ["stream_timestamp", "stream_batch_id"])
+    if executions is not None:
+        ex = executions.select(*keys, "executionId", stream_details(F.split(F.col("description"), " ")).alias("s"))
+        ex = ex.select(*keys, "executionId", F.col("s.stream_id").alias("stream_id"),
+                       F.col("s.stream_run_id").alias("stream_run_id"),
+                       F.col("s.stream_batch_id").cast("long").alias("stream_batch_id")).filter(
+            F.col("stream_id").isNotNull())
+        ids = ex.groupBy(*k).agg(F.sort_array(F.collect_set("executionId")).alias("execution_ids"))
+        d = d.join(ids, k, "left")
+    return d
+
+
+# ------------------------------------------------------------------ G7 / G8 views
+
+# Consumer view column lists (subset of the published gold columns).
+VIEW_COLUMNS = {
+    "clusterstatefact": ("organization_id", "cluster_id", "cluster_name", "state", "state_start_date",
+                         "unixTimeMS_state_start", "unixTimeMS_state_end", "uptime_in_state_H", "sku", "dbu_rate",
+                         "total_dbus", "total_compute_cost", "total_DBU_cost", "total_cost"),
+    "jobruncostpotentialfact": ("organization_id", "run_id", "cluster_id", "cluster_type", "run_start", "run_end",
+                                "driver_compute_cost", "driver_dbu_cost", "worker_compute_cost", "worker_dbu_cost",
+                                "total_cost"),
+    "accountlogin": ("organization_id", "login_user", "login_type", "from_ip_address", "ssh_login_details",
+                     "user_agent", "timestamp"),
+}
+
+
+def publish_consumer_views(spark, tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """One view per gold table over its fixed column list (columns the table lacks
+    are skipped). The login view publishes both ``ssh_login_details`` and
+    ``from_ip_address`` (the reference's missing comma renamed one into the other)."""
+    from tessera.operators.tables import publish_view
+    made = []
+    for name, df in tables.items():
+        cols = [c for c in VIEW_COLUMNS.get(name, tuple(df.columns)) if c in df.columns]
+        publish_view(spark, f"{prefix}{name}", df, cols)
+        made.append(f"{prefix}{name}")
+    return made
+
+
+def pipeline_report(state: DataFrame) -> DataFrame:
+    """Readable run-state table, newest first."""
+    return state.select("module_id", "module_name", "run_id",
+                        F.timestamp_millis("from_ts").alias("from_time"), F.timestamp_millis("until_ts").alias("until_time"),
+                        "status", "written_rows", "recorded_at").orderBy(F.col("recorded_at").desc(),
+                                                                          F.col("module_id").asc())

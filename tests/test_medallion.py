@@ -103,3 +103,27 @@ def test_job_run_cost_split(spark, events, dims):
         (F.col("cluster_id") == "c1") & (F.col("unixTimeMS_state_start") == 120_000)).first()["total_cost"]
     ref = {r["run_id"]: r for r in job_run_cost_fact(fact, runs, UNTIL, overlap_mode="reference").collect()}
     assert set(ref) == {"r1", "r2"}
+
+
+def test_stream_gold(spark):
+    import json
+    prog = lambda b, ts: json.dumps({"id": "s1", "runId": "r1", "name": "q", "timestamp": ts, "batchId": b,
+                                     "numInputRows": 5, "stateOperators": [], "sources": [{"x": 1}]})
+    rows = [("o", "c", "ctx", "org.apache.spark.sql.streaming.StreamingQueryListener$QueryStartedEvent", None, 100,
+             "s1", "r1", "q"),
+            ("o", "c", "ctx", "org.apache.spark.sql.streaming.StreamingQueryListener$QueryProgressEvent",
+             prog(0, "2024-01-01T00:00:01.000Z"), 200, None, None, None),
+            ("o", "c", "ctx", "org.apache.spark.sql.streaming.StreamingQueryListener$QueryProgressEvent",
+             prog(0, "2024-01-01T00:00:02.000Z"), 300, None, None, None),
+            ("o", "c", "ctx", "org.apache.spark.sql.streaming.StreamingQueryListener$QueryTerminatedEvent", None, 400,
+             "s1", "r1", None)]
+    ev = spark.createDataFrame(rows, "organization_id string, clusterId string, SparkContextID string, Event string, "
+                                     "progress string, Timestamp long, id string, runId string, name string")
+    ex = spark.createDataFrame([("o", "c", "ctx", 9, "stream id = s1 runId = r1 batch = 0")],
+                               "organization_id string, clusterId string, SparkContextID string, executionId long, "
+                               "description string")
+    from tessera.plans.medallion.gold import spark_stream_gold
+    out = {r["stream_batch_id"]: r for r in spark_stream_gold(ev, ex).collect()}
+    assert set(out) == {-1, 0}
+    assert out[0]["stream_timestamp"] == 1704067202000 and out[0]["stateOperators"] is None
+    assert out[0]["execution_ids"] == [9] and out[-1]["stream_name"] == "q"
