@@ -188,7 +188,7 @@ def containment_join(runs: DataFrame, states: DataFrame, keys: Sequence[str],
 
 
 def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, start: str,
-                          end: str) -> DataFrame:
+                          end: str, bucket_width: float | None = None) -> DataFrame:
     """A6 (``exact`` mode) without forming pairs: for each run i of a group,
 
     * ``cum_runtime`` = sum over runs j of the group (i included) of
@@ -201,6 +201,8 @@ def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, star
     A sweep: +1/-1 boundary events ordered by time give running counts and sums, from
     which ``I(t) = sum_j |[s_j, e_j) ∩ (-inf, t)|`` is read at ``s_i`` and ``e_i``. Start
     and end must be integral (e.g. epoch ms). Cost is linear per group (one sort).
+    With ``bucket_width`` the running sums are split by time slice (per-slice range
+    frames plus the totals of all earlier slices), so a hot group spans many tasks.
     """
     g = list(group)
     base = df.select(*g, F.col(run_id).alias("__id"), F.col(start).cast("long").alias("__s"),
@@ -209,28 +211,46 @@ def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, star
         F.struct(F.col("__s").alias("t"), F.lit(0).alias("kind"), F.col("__s").alias("s"), F.col("__e").alias("e")),
         F.struct(F.col("__e").alias("t"), F.lit(1).alias("kind"), F.col("__s").alias("s"), F.col("__e").alias("e")),
     )).alias("x")).select(*g, "__id", "x.*")
-    w = Window.partitionBy(*g).orderBy("t")
-    lt = w.rangeBetween(Window.unboundedPreceding, -1)
-    le = w.rangeBetween(Window.unboundedPreceding, 0)
     is_s = (F.col("kind") == 0).cast("long")
     is_e = (F.col("kind") == 1).cast("long")
+    ev = ev.withColumns({"__cs": is_s, "__ss": is_s * F.col("t"), "__ce": is_e, "__se": is_e * F.col("t")})
+    part = g + (["__b"] if bucket_width is not None else [])
+    if bucket_width is not None:
+        ev = ev.withColumn("__b", F.floor(F.col("t") / F.lit(float(bucket_width))).cast("long"))
+    w = Window.partitionBy(*part).orderBy("t")
+    lt = w.rangeBetween(Window.unboundedPreceding, -1)
+    le = w.rangeBetween(Window.unboundedPreceding, 0)
+    sums = ["__cs", "__ss", "__ce", "__se"]
     ev = ev.select(
-        *g, "__id", "t", "kind", "s", "e",
-        F.coalesce(F.sum(is_s).over(lt), F.lit(0)).alias("cs_lt"),
-        F.coalesce(F.sum(is_s * F.col("t")).over(lt), F.lit(0)).alias("ss_lt"),
-        F.coalesce(F.sum(is_e).over(lt), F.lit(0)).alias("ce_lt"),
-        F.coalesce(F.sum(is_e * F.col("t")).over(lt), F.lit(0)).alias("se_lt"),
-        F.coalesce(F.sum(is_e).over(le), F.lit(0)).alias("ce_le"),
-        F.coalesce(F.sum(is_s * (F.col("s") == F.col("e")).cast("long")).over(w.rangeBetween(0, 0)),
-                   F.lit(0)).alias("zero_at"),
-    )
-    integral = F.col("t") * F.col("cs_lt") - F.col("ss_lt") - F.col("t") * F.col("ce_lt") + F.col("se_lt")
+        *part, "__id", "t", "kind", "s", "e",
+        *[F.coalesce(F.sum(c).over(lt), F.lit(0)).alias(f"{c}_lt") for c in sums],
+        F.coalesce(F.sum("__ce").over(le), F.lit(0)).alias("__ce_le"),
+        F.coalesce(F.sum((F.col("kind") == 0).cast("long") * (F.col("s") == F.col("e")).cast("long"))
+                   .over(w.rangeBetween(0, 0)), F.lit(0)).alias("zero_at"))
+    if bucket_width is not None:
+        tot = (base.select(*g, F.explode(F.array(
+            F.struct(F.col("__s").alias("t"), F.lit(1).alias("cs"), F.col("__s").alias("ss"), F.lit(0).alias("ce"),
+                     F.lit(0).cast("long").alias("se")),
+            F.struct(F.col("__e").alias("t"), F.lit(0).alias("cs"), F.lit(0).cast("long").alias("ss"),
+                     F.lit(1).alias("ce"), F.col("__e").alias("se")))).alias("x"))
+            .select(*g, F.floor(F.col("x.t") / F.lit(float(bucket_width))).cast("long").alias("__b"), "x.*")
+            .groupBy(*g, "__b").agg(*[F.sum(c).cast("long").alias(f"__tot_{c}") for c in ("cs", "ss", "ce", "se")]))
+        wb = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        tot = tot.select(*g, "__b", *[F.coalesce(F.sum(f"__tot_{c}").over(wb), F.lit(0)).alias(f"__off_{c}")
+                                      for c in ("cs", "ss", "ce", "se")])
+        ev = ev.join(tot, g + ["__b"], "left")
+        ev = ev.withColumns({
+            "__cs_lt": F.col("__cs_lt") + F.col("__off_cs"), "__ss_lt": F.col("__ss_lt") + F.col("__off_ss"),
+            "__ce_lt": F.col("__ce_lt") + F.col("__off_ce"), "__se_lt": F.col("__se_lt") + F.col("__off_se"),
+            "__ce_le": F.col("__ce_le") + F.col("__off_ce")})
+    integral = (F.col("t") * F.col("__cs_lt") - F.col("__ss_lt") - F.col("t") * F.col("__ce_lt")
+                + F.col("__se_lt"))
     ev = ev.withColumn("I", integral)
     per = ev.groupBy(*g, "__id").agg(
         F.max(F.when(F.col("kind") == 0, F.col("I"))).alias("I_s"),
         F.max(F.when(F.col("kind") == 1, F.col("I"))).alias("I_e"),
-        F.max(F.when(F.col("kind") == 0, F.col("ce_le"))).alias("B"),
-        F.max(F.when(F.col("kind") == 1, F.col("cs_lt"))).alias("A"),
+        F.max(F.when(F.col("kind") == 0, F.col("__ce_le"))).alias("B"),
+        F.max(F.when(F.col("kind") == 1, F.col("__cs_lt"))).alias("A"),
         F.max(F.when(F.col("kind") == 0, F.col("zero_at"))).alias("Z"),
         F.first("s").alias("__s"), F.first("e").alias("__e"))
     return per.select(

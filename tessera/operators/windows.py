@@ -236,17 +236,18 @@ def cumulative_batches(df: DataFrame, size_col: str, batch_size: int, keys: Sequ
 
 def reset_sessions(df: DataFrame, keys: Sequence[str], order: Sequence[str], reset_flag: Column,
                    duration: Column, out_session: str = "session_id",
-                   out_uptime: str = "uptime_since_reset") -> DataFrame:
+                   out_uptime: str = "uptime_since_reset", bucket: Column | None = None) -> DataFrame:
     """W11 (session numbering): ``session = running sum(reset_flag)``; the cumulative
     uptime is 0 on each reset row and otherwise the running sum of the session's
-    durations up to and including the current row."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    durations up to and including the current row.
+
+    With ``bucket`` both running sums use the exact two-stage plan, so neither a hot
+    key nor one very long session is ever a single window partition."""
     d = df.withColumn("__reset", reset_flag.cast("long")).withColumn("__dur", duration)
-    d = d.withColumn(out_session, F.sum("__reset").over(w.rowsBetween(UNB_PREC, 0)))
-    ws = Window.partitionBy(*keys, out_session).orderBy(*order)
-    d = d.withColumn(out_uptime, F.when(F.col("__reset") == 1, F.lit(0.0)).otherwise(
-        F.coalesce(F.sum("__dur").over(ws.rowsBetween(UNB_PREC, 0)), F.lit(0))))
-    return d.drop("__reset", "__dur")
+    d = running_sum(d, "__reset", keys, order, out=out_session, bucket=bucket)
+    d = running_sum(d, "__dur", list(keys) + [out_session], order, out="__up", bucket=bucket)
+    d = d.withColumn(out_uptime, F.when(F.col("__reset") == 1, F.lit(0)).otherwise(F.coalesce("__up", F.lit(0))))
+    return d.drop("__reset", "__dur", "__up")
 
 
 def state_end_from_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: str,

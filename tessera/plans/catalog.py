@@ -70,8 +70,9 @@ FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts > v.ts
 
 @query("q01_asof_lookup", _Q01_SQL)
 def q01(spark, d):
+    # weekly time slices: a user with a third of all events is still split over tasks
     p, v = _asof_sides(spark, d)
-    return p.lookup_when(v)
+    return p.lookup_when(v, slice_size=7 * DAY_S)
 
 
 @query("q02_runtime_struct", """
@@ -356,7 +357,8 @@ def _overlap_runs(spark, d):
 @query("q14_overlap_share", _OVL_SQL)
 def q14(spark, d):
     r = _overlap_runs(spark, d)
-    ex = J.overlap_runtime_exact(r, ["o_custkey", "yr"], "o_orderkey", "s", "e").select(
+    ex = J.overlap_runtime_exact(r, ["o_custkey", "yr"], "o_orderkey", "s", "e",
+                                 bucket_width=30 * DAY_S * 1000.0).select(
         "o_orderkey", F.col("cum_runtime").alias("cum_runtime_exact"),
         F.col("overlapping_runs").alias("overlapping_runs_exact"))
     rf = J.overlap_runtime_reference(r, ["o_custkey", "yr"], "o_orderkey", "s", "e", "state_start", "state_end",
@@ -418,7 +420,7 @@ FROM p
 def q16(spark, d):
     s = _state_frame(spark, d).withColumn("dur_us", F.timestamp_diff("MICROSECOND", F.col("ts"), F.col("state_end")))
     r = W.reset_sessions(s, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", F.col("dur_us"),
-                         out_uptime="__up_us")
+                         out_uptime="__up_us", bucket=_events_day_bucket())
     return r.select("event_id", "user_id", "ts", F.col("session_id").cast("long").alias("session_id"),
                     (F.col("dur_us") / F.lit(1_000_000.0)).alias("uptime_in_state_s"),
                     (F.col("__up_us") / F.lit(1_000_000.0)).alias("uptime_since_reset_s"))

@@ -167,7 +167,7 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
                          for c in COST_COLS})
     agg = [F.greatest(F.round(F.sum(c), 6), F.lit(0)).alias(c) for c in COST_COLS]
     out = rs.groupBy(ORG, "run_id", CLUSTER, "cluster_type", "run_start", "run_end").agg(
-        *agg, F.round(F.sum("worker_potential_core_H" if False else F.col("worker_potential_core_H")
+        *agg, F.round(F.sum(F.col("worker_potential_core_H")
                             * F.col("state_utilization_percent") * F.col("run_state_utilization")), 6)
         .alias("worker_potential_core_H"),
         F.count(F.lit(1)).alias("cluster_states"),

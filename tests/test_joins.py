@@ -103,6 +103,9 @@ def test_overlap_exact_matches_brute_force(spark):
     got = {r["id"]: (r["cum_runtime"], r["overlapping_runs"])
            for r in J.overlap_runtime_exact(df, ["g"], "id", "s", "e").collect()}
     assert got == _brute_overlap(runs)
+    sliced = {r["id"]: (r["cum_runtime"], r["overlapping_runs"])
+              for r in J.overlap_runtime_exact(df, ["g"], "id", "s", "e", bucket_width=37).collect()}
+    assert sliced == got
 
 
 def test_overlap_reference_bucketed_equals_plain(spark):
