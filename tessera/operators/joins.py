@@ -128,13 +128,15 @@ def same_or_previous_day_join(left: DataFrame, right: DataFrame, keys: Sequence[
 def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str,
                   active_from: str, active_until: str, open_until: Column | None = None,
                   how: str = "left", normalize_keys: bool = True, bucket: str = "month",
-                  broadcast_max_rows: int | None = 1_000_000) -> DataFrame:
+                  broadcast_max_rows: int | None = None) -> DataFrame:
     """Point-in-range join: keys equal (after ``trim(lower())`` when asked) and
     ``active_from <= ts <= coalesce(active_until, open_until)``.
 
-    The dimension is broadcast when its measured row count is within
-    ``broadcast_max_rows``; otherwise it is exploded over ``bucket`` slices of its
-    validity range and equi-joined on ``(keys, bucket)`` so hot keys spread out.
+    Default plan: the dimension is exploded over ``bucket`` slices of its validity range
+    and equi-joined on ``(keys, bucket)``, so a hot key (a segment with a third of the
+    facts) is spread over many tasks; AQE turns the join into a broadcast at runtime
+    when the measured dimension stage is small. ``broadcast_max_rows`` forces an
+    explicit broadcast behind a counted bound instead.
     """
     dkeys = [f"__k{i}" for i in range(len(keys))]
     norm = (lambda c: F.trim(F.lower(F.col(c)))) if normalize_keys else (lambda c: F.col(c))

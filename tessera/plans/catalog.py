@@ -195,8 +195,7 @@ def q07(spark, d):
         F.when(F.col("yr") == F.col("__last"), F.lit(None).cast("date"))
          .otherwise(F.make_date("yr", F.lit(12), F.lit(31))).alias("active_until"), "rate")
     out = J.interval_join(oc.drop("yr", "c_acctbal"), dim, ["c_mktsegment"], "o_date", "active_from",
-                          "active_until", open_until=F.lit("2002-01-01").cast("date"), how="left",
-                          broadcast_max_rows=100_000)
+                          "active_until", open_until=F.lit("2002-01-01").cast("date"), how="left")
     return out.select("o_orderkey", "c_mktsegment", "o_date", "active_from", "active_until", "rate")
 
 
