@@ -135,7 +135,9 @@ def carry(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequen
     w = Window.partitionBy(*keys, b).orderBy(*order)
     fn = _last_within if fwd else _first_within
     d = d.withColumns({f"{c}__in": fn(F.col(c), w, include_current) for c in cols})
-    # one row per (keys, bucket): its last (first) non-null value of each column
+    # one row per (keys, bucket): its last (first) non-null value of each column. This
+    # reads the input again (column-pruned) but combines map-side, so only about one
+    # row per (key, slice) and task is shuffled - cheaper than a second full shuffle.
     pick = F.max if fwd else F.min
     summ = d.groupBy(*keys, b).agg(*[
         pick(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("v"))))
@@ -147,11 +149,25 @@ def carry(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequen
     else:
         summ = summ.select(*keys, b, *[F.first(F.col(f"{c}__b"), True).over(wb.rowsBetween(1, UNB_FOLL))
                                       .alias(f"{c}__x") for c in cols])
-    d = d.join(summ, on=keys + [b], how="left")
+    d = _join_back(d, summ, keys + [b])
     d = d.withColumns({f"{c}{suffix}": F.coalesce(F.col(f"{c}__in"), F.col(f"{c}__x")) for c in cols})
     return d.drop(b, *[f"{c}__in" for c in cols], *[f"{c}__x" for c in cols])
 
 
+def _join_back(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of the per-slice summary back onto the rows with null-safe key
+    equality: rows with a null key keep their own group, exactly as a window
+    partition would. The summary has one row per (key, slice), so AQE broadcasts it
+    when it is small and shuffles it (not the rows again) otherwise."""
+    ren = {k: f"{k}__s" for k in keys}
+    sm = summary.withColumnsRenamed(ren)
+    cond = None
+    for k in keys:
+        c = rows[k].eqNullSafe(sm[ren[k]])
+        cond = c if cond is None else cond & c
+    return rows.join(sm, cond, "left").drop(*ren.values())
+
+
 def fill_forward(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
                  lookups: dict[str, Sequence[str]] | None = None, own_priority: bool = True,
                  bucket: Column | None = None, max_rows: int | None = None) -> DataFrame:
@@ -222,7 +238,7 @@ def running_sum(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[
     tot = d.groupBy(*keys, b).agg(F.sum(F.col(value)).alias("__tot"))
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     tot = tot.select(*keys, b, F.sum("__tot").over(wb.rowsBetween(UNB_PREC, -1)).alias("__off"))
-    d = d.join(tot, on=keys + [b], how="left")
+    d = _join_back(d, tot, keys + [b])
     return d.withColumn(out, F.col("__in") + F.coalesce(F.col("__off"), F.lit(0))).drop(b, "__in", "__off")
 
 
