@@ -286,13 +286,20 @@ def overlap_runtime_reference(df: DataFrame, group: Sequence[str], run_id: str,
 
         def _slices(a, b):
             return F.explode(F.sequence(F.floor(F.col(a) / wdt).cast("long"), F.floor(F.col(b) / wdt).cast("long")))
-        o = o.withColumn("__tb", _slices(f"o_{run_start}", f"o_{run_end}"))
-        lk = lk.withColumn("__tb", _slices(f"l_{run_start}", f"l_{run_end}"))
-        # each overlapping pair meets in every shared slice; keep it once, in the slice
-        # where the later of the two starts falls
-        j = o.join(lk, on=g + ["__tb"], how="inner").filter(
-            F.col("__tb") == F.floor(F.greatest(F.col(f"o_{run_start}"), F.col(f"l_{run_start}")) / wdt)
-            .cast("long")).drop("__tb")
+
+        def _slice(a):
+            return F.floor(F.col(a) / wdt).cast("long")
+        # every matching pair overlaps in time and meets in the slice of the later start:
+        # lookups that start first are exploded over their slices and met by the observer
+        # at its start slice; lookups that start later are met at their own start slice by
+        # the exploded observer. Each pair is formed once and only one side is exploded.
+        j1 = (o.withColumn("__tb", _slice(f"o_{run_start}"))
+              .join(lk.withColumn("__tb", _slices(f"l_{run_start}", f"l_{run_end}")), on=g + ["__tb"])
+              .filter(F.col(f"l_{run_start}") <= F.col(f"o_{run_start}")))
+        j2 = (o.withColumn("__tb", _slices(f"o_{run_start}", f"o_{run_end}"))
+              .join(lk.withColumn("__tb", _slice(f"l_{run_start}")), on=g + ["__tb"])
+              .filter(F.col(f"l_{run_start}") > F.col(f"o_{run_start}")))
+        j = j1.unionByName(j2).drop("__tb")
     else:
         j = o.join(lk, on=g, how="inner")
     os_, oe, ls, le = (F.col(f"o_{run_start}"), F.col(f"o_{run_end}"), F.col(f"l_{run_start}"), F.col(f"l_{run_end}"))
