@@ -82,7 +82,9 @@ class TimeSeries:
 
         ``slice_size`` (J3): split each series into time slices for skewed keys. The
         result is identical: each slice's last value is carried into later slices.
-        Slicing needs unbounded look-back and look-ahead 0 or unbounded.
+        Slicing needs unbounded look-back and a look-ahead of 0, 1 or unbounded (one row
+        ahead is ``lead`` inside the slice and, for a slice's last row, the first row
+        of the next non-empty slice).
         """
         if list(self.keys) != list(right.keys):
             raise ValueError("both sides need the same series keys")
@@ -116,13 +118,15 @@ class TimeSeries:
         order = [ts, "__side"] + [f"__tb{i}" for i in range(len(tb))]
 
         if slice_size is not None:
-            if lookback_rows is not None or lookahead_rows not in (0, None):
-                raise ValueError("time slicing needs unbounded look-back and look-ahead 0 or None")
+            if lookback_rows is not None or lookahead_rows not in (0, 1, None):
+                raise ValueError("time slicing needs unbounded look-back and look-ahead 0, 1 or None")
             bucket = TimeSeries(u.select(ts, *keys), ts, keys).slice_bucket(slice_size)
             u = u.withColumn("__b", bucket)
             filled = carry(u, rcols, keys, order, "forward", True, F.col("__b"), suffix="__lb")
             if lookahead_rows is None:
                 filled = carry(filled, rcols, keys, order, "backward", True, F.col("__b"), suffix="__la")
+            elif lookahead_rows == 1:
+                filled = _next_row_sliced(filled, rcols, keys, order, "__b")
             filled = filled.drop("__b")
         else:
             w = Window.partitionBy(*keys).orderBy(*order)
@@ -158,5 +162,24 @@ class TimeSeries:
                                 slice_size, keep_right_rows)
 
 
+def _next_row_sliced(d: DataFrame, cols: list[str], keys: list[str], order: list[str], b: str) -> DataFrame:
+    """``first(c, ignorenulls) over rows [current, 1 following]`` computed per slice:
+    ``lead`` inside the slice; the last row of a slice takes the first row of the next
+    non-empty slice of the same key (from a one-row-per-slice summary)."""
+    from tessera.operators.windows import _join_back
+    w = Window.partitionBy(*keys, b).orderBy(*order)
+    d = d.withColumn("__has_next", F.lead(F.lit(1), 1).over(w).isNotNull())
+    d = d.withColumns({f"{c}__lead": F.lead(F.col(c), 1).over(w) for c in cols})
+    first = d.groupBy(*keys, b).agg(F.min(F.struct(*[F.col(o) for o in order],
+                                                   *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])).alias("__f"))
+    wb = Window.partitionBy(*keys).orderBy(b)
+    nxt = first.select(*keys, b, *[F.lead(F.col("__f").getField(f"v{i}"), 1).over(wb).alias(f"{c}__nextslice")
+                                   for i, c in enumerate(cols)])
+    d = _join_back(d, nxt, keys + [b])
+    d = d.withColumns({f"{c}__la": F.coalesce(F.col(c), F.when(F.col("__has_next"), F.col(f"{c}__lead"))
+                                              .otherwise(F.col(f"{c}__nextslice"))) for c in cols})
+    return d.drop("__has_next", *[f"{c}__lead" for c in cols], *[f"{c}__nextslice" for c in cols])
+
+
 def to_timeseries(df: DataFrame, ts: str, *keys: str) -> TimeSeries:
     return TimeSeries(df, ts, tuple(keys))

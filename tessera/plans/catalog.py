@@ -120,7 +120,7 @@ FROM f WHERE side = 0
 """)
 def q03(spark, d):
     p, v = _asof_sides(spark, d)
-    return p.lookup_when(v, lookahead_rows=1)
+    return p.lookup_when(v, lookahead_rows=1, slice_size=DAY_S)
 
 
 @query("q04_asof_sliced", _Q01_SQL)

@@ -52,9 +52,10 @@ def cluster_state_fact(state_detail: DataFrame, cluster_spec: DataFrame, cluster
     snap = TimeSeries(snap, "timestamp", (ORG, "sku")).lookup_when(dbu_ts)
     st = state_detail.withColumn("timestamp", F.col("unixTimeMS_state_start"))
     pot = (TimeSeries(st, "timestamp", (ORG, CLUSTER))
-           .lookup_when(TimeSeries(spec, "timestamp", (ORG, CLUSTER)), lookahead_rows=1))
+           .lookup_when(TimeSeries(spec, "timestamp", (ORG, CLUSTER)), lookahead_rows=1, slice_size=slice_ms))
     pot = (TimeSeries(pot, "timestamp", (ORG, CLUSTER))
-           .lookup_when(TimeSeries(snap, "timestamp", (ORG, CLUSTER)), lookahead_rows=1)).drop("timestamp")
+           .lookup_when(TimeSeries(snap, "timestamp", (ORG, CLUSTER)), lookahead_rows=1,
+                        slice_size=slice_ms)).drop("timestamp")
 
     def node_dim(role: str, key: str) -> DataFrame:
         return instance_details.select(
@@ -105,7 +106,7 @@ COST_COLS = ("driver_compute_cost", "driver_dbu_cost", "worker_compute_cost", "w
 
 
 def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, overlap_mode: str = "exact",
-                      month_bucket_ms: int = 30 * 86_400_000) -> DataFrame:
+                      month_bucket_ms: int = 30 * 86_400_000, slice_ms: float | None = None) -> DataFrame:
     """What each job run cost, with runs sharing an interactive cluster splitting
     each state's cost.
 
@@ -127,7 +128,8 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
     st_cols = [c for c in st.columns if c not in (ORG, CLUSTER)]
     # initial
     init = TimeSeries(r.withColumn("ts", F.col("run_start")), "ts", (ORG, CLUSTER)).lookup_when(
-        TimeSeries(st.withColumn("ts", F.col("state_start")), "ts", (ORG, CLUSTER)), lookahead_rows=1).drop("ts")
+        TimeSeries(st.withColumn("ts", F.col("state_start")), "ts", (ORG, CLUSTER)), lookahead_rows=1,
+        slice_size=slice_ms).drop("ts")
     init = init.filter(F.col("state_start").isNotNull())
     full = F.col("state").isin("CREATING", "STARTING") | (F.col("cluster_type") == "new")
     init = init.withColumn("time_in_state_ms", F.when(full, F.col("state_end") - F.col("state_start")).otherwise(
@@ -153,7 +155,8 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
     inter = rs.filter(F.col("cluster_type") == "existing")
     grp = [ORG, CLUSTER, "state_start", "state_end"]
     if overlap_mode == "exact":
-        ov = overlap_runtime_exact(inter, grp, "run_id", "run_state_start", "run_state_end")
+        ov = overlap_runtime_exact(inter, grp, "run_id", "run_state_start", "run_state_end",
+                                   bucket_width=slice_ms)
     else:
         ov = overlap_runtime_reference(inter, grp, "run_id", "run_state_start", "run_state_end", "state_start",
                                        "state_end", bucket=float(month_bucket_ms))

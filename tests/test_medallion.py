@@ -127,3 +127,19 @@ def test_stream_gold(spark):
     assert set(out) == {-1, 0}
     assert out[0]["stream_timestamp"] == 1704067202000 and out[0]["stateOperators"] is None
     assert out[0]["execution_ids"] == [9] and out[-1]["stream_name"] == "q"
+
+
+def test_cost_facts_sliced_equal_unsliced(spark, events, dims):
+    spec, snap, inst, dbu = dims
+    sd = cluster_state_detail(events, UNTIL)
+    a = cluster_state_fact(sd, spec, snap, inst, dbu, UNTIL)
+    b = cluster_state_fact(sd, spec, snap, inst, dbu, UNTIL, slice_ms=50_000)
+    cols = ["cluster_id", "unixTimeMS_state_start", "total_cost", "sku", "dbu_rate"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+    runs = spark.createDataFrame([("o1", "r1", "c1", "existing", 30_000, 200_000),
+                                  ("o1", "r2", "c1", "existing", 100_000, 150_000)],
+                                 "organization_id string, run_id string, cluster_id string, cluster_type string, "
+                                 "run_start_ms long, run_end_ms long")
+    x = job_run_cost_fact(a, runs, UNTIL).select("run_id", "total_cost", "cluster_states").collect()
+    y = job_run_cost_fact(a, runs, UNTIL, slice_ms=40_000).select("run_id", "total_cost", "cluster_states").collect()
+    assert sorted(map(tuple, x)) == sorted(map(tuple, y))

@@ -57,3 +57,17 @@ def test_sliced_on_events_matches_unsliced(spark):
     v = TimeSeries(ev.filter("event_type = 'view'").select("user_id", "ts", F.col("value").alias("vv")),
                    "ts", ("user_id",))
     assert rows(p.lookup_when(v)) == rows(p.lookup_when(v, slice_size=3600))
+
+
+def test_sliced_lookahead_one_equals_unsliced(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    p = TimeSeries(ev.filter("event_type = 'purchase'").select("user_id", "ts", "event_id"), "ts", ("user_id",))
+    v = TimeSeries(ev.filter("event_type = 'view'").select("user_id", "ts", F.col("value").alias("vv")),
+                   "ts", ("user_id",))
+    a = rows(p.lookup_when(v, lookahead_rows=1))
+    for sl in (600, 3600, 86400):
+        assert rows(p.lookup_when(v, lookahead_rows=1, slice_size=sl)) == a
+    left = spark.createDataFrame([(1, 1), (5, 1)], "t int, k int")
+    right = spark.createDataFrame([(3, 1, "a"), (7, 1, "b")], "t int, k int, v string")
+    out = TimeSeries(left, "t", ("k",)).lookup_when(TimeSeries(right, "t", ("k",)), lookahead_rows=1, slice_size=2)
+    assert rows(out, "t", "v") == [(1, "a"), (5, "a")]
