@@ -848,3 +848,21 @@ def q40(spark, d):
     p = table(spark, d, "part").select("p_partkey", F.col("p_retailprice").alias("retail"),
                                        (F.col("p_retailprice") * 0.9).alias("discounted"))
     return p.unpivot(["p_partkey"], ["retail", "discounted"], "sku", "price")
+
+
+# ------------------------------------------------------------------ q41-q42 (W7, W2 with ties)
+
+@query("q41_duplicate_rows", """
+SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS dup_count FROM lineitem)
+WHERE dup_count > 1
+""")
+def q41(spark, d):
+    return W.duplicate_rows(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("q42_latest_with_ties", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS rk FROM orders) WHERE rk = 1
+""")
+def q42(spark, d):
+    return W.latest_by_key(table(spark, d, "orders"), ["o_custkey"], ["o_orderdate"], keep_ties=True)
