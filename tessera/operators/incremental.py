@@ -124,3 +124,56 @@ def run_status(frm: int, until: int, source_empty: bool, failed: bool = False) -
     if source_empty:
         return "EMPTY: no new data"
     return "SUCCESS"
+
+
+def read_state(spark, state_path: str) -> DataFrame:
+    from tessera.operators.tables import table_exists
+    if table_exists(spark, state_path):
+        return spark.read.parquet(state_path)
+    return spark.createDataFrame([], STATE_SCHEMA)
+
+
+def run_module(spark, spec: ModuleSpec, state_path: str, source, target, snap_ms: int, primordial_ms: int,
+               run_id: str) -> str:
+    """Run one module for its window and record one state row.
+
+    ``source(from_ms, until_ms) -> DataFrame`` builds the lazy input; ``target`` is a
+    ``TableSpec`` (append or merge). Equal times -> EMPTY without progress; empty source
+    -> EMPTY with progress; an error -> FAILED and the rows this run appended are rolled
+    back; else SUCCESS. Re-running a finished window writes nothing (idempotent)."""
+    import datetime as _d
+
+    from tessera.operators.tables import rollback_run, table_exists, write_append, write_upsert, write_overwrite
+    state = read_state(spark, state_path)
+    frm, until = compute_window(state, spec, snap_ms, primordial_ms)
+    rows = 0
+    try:
+        if frm == until:
+            status = run_status(frm, until, True)
+        else:
+            df = source(frm, until)
+            if df.isEmpty():
+                status = run_status(frm, until, True)
+            else:
+                df = df.withColumn("run_id", F.lit(run_id))
+                if target.mode == "merge":
+                    write_upsert(df, target)
+                else:
+                    write_append(df, target)
+                rows = spark.read.parquet(target.path).filter(F.col("run_id") == run_id).count()
+                status = run_status(frm, until, False)
+    except Exception as e:  # noqa: BLE001 - recorded in the state table, then re-raised
+        status = f"FAILED: {type(e).__name__}"
+        if target.mode != "merge" and table_exists(spark, target.path):
+            kept = rollback_run(spark.read.parquet(target.path), run_id)
+            write_overwrite(kept, target)
+        _append_state(spark, state_path, spec, run_id, frm, frm, status, 0, _d)
+        raise
+    progress = until if not status.startswith("EMPTY: window") else frm
+    _append_state(spark, state_path, spec, run_id, frm, progress, status, rows, _d)
+    return status
+
+
+def _append_state(spark, path, spec, run_id, frm, until, status, rows, _d):
+    row = [(spec.module_id, spec.name, run_id, int(frm), int(until), status, int(rows), _d.datetime.now())]
+    spark.createDataFrame(row, STATE_SCHEMA).write.mode("append").parquet(path)

@@ -18,13 +18,24 @@ BASE_CONF = {
 }
 
 
+def _default_driver_memory() -> str:
+    """About 60% of physical memory, capped at 16 GB (local mode: the driver is the
+    only JVM)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gb = max(1, min(16, int(total * 0.6 / 2**30)))
+    return f"{gb}g"
+
+
 def local_session(app: str = "tessera", cores: str = "*", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", "16g")
+    conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", _default_driver_memory())
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
