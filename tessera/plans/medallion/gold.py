@@ -216,18 +216,10 @@ def publish_table(df: DataFrame, mapping: dict[str, Column | str]) -> DataFrame:
     return publish(df, mapping)
 
 
-# Published cluster columns (output name -> silver column).
-CLUSTER_GOLD = {"organization_id": "organization_id", "cluster_id": "cluster_id", "action": "actionName",
-                "unixTimeMS": "timestamp", "cluster_name": "cluster_name", "driver_node_type": "driver_node_type_id",
-                "node_type": "node_type_id", "num_workers": "num_workers", "cluster_type": "cluster_type",
-                "spark_version": "spark_version", "runtime_engine": "runtime_engine"}
-
-
 def cluster_gold(spec: DataFrame) -> DataFrame:
-    m = {k: v for k, v in CLUSTER_GOLD.items() if v in spec.columns}
-    out = publish_table(spec, m)
-    return out.withColumns({"timestamp": F.timestamp_millis("unixTimeMS"), "date": F.to_date(F.timestamp_millis(
-        "unixTimeMS"))}) if "unixTimeMS" in out.columns else out
+    """G1 for clusters (see ``published.publish_gold`` for every gold table)."""
+    from tessera.plans.medallion.published import publish_gold
+    return publish_gold(spec, "cluster")
 
 
 # ------------------------------------------------------------------ G6 / X7 streaming-query facts

@@ -91,3 +91,17 @@ def test_pools_and_audit_facts(audit, spark):
     mods = account_mods(audit).orderBy("timestamp").collect()
     assert [m["user_id"] for m in mods] == ["99", "99"]
     assert notebooks(audit).first()["notebook_name"] == "nb"
+
+
+def test_publish_gold_tables(audit, spark):
+    from tessera.plans.medallion.published import GOLD_TABLES, publish_gold
+    snap = spark.createDataFrame([], "organization_id string, cluster_id string, cluster_name string, "
+                                     "driver_node_type_id string, node_type_id string, spark_version string, "
+                                     "Pipeline_SnapTS long")
+    g = publish_gold(cluster_spec(audit, snap), "cluster")
+    assert g.columns == [o for o, _ in GOLD_TABLES["cluster"]]
+    r = g.orderBy("unixTimeMS").first()
+    assert r["action"] == "create" and r["date"] is not None and r["created_by"] == "creator@x"
+    jr = publish_gold(job_runs(audit), "jobrun")
+    assert set(r["run_id"] for r in jr.collect()) == {55, 56}
+    assert publish_gold(notebooks(audit), "notebook").first()["notebook_name"] == "nb"
