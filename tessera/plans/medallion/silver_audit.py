@@ -250,3 +250,91 @@ def job_runs(audit: DataFrame) -> DataFrame:
         "TaskExecutionRunTime": runtime_struct(F.col("startTime"), end, ntz=True),
         "terminalState": F.when(F.col("cancellationTime").isNotNull(), F.lit("Cancelled"))
         .otherwise(F.col("jobTerminalState"))})
+
+
+# ------------------------------------------------------------------ V12 enrichment (as-of meta, N2)
+
+# Minimal shapes of a task and a job cluster used to pick run details.
+TASK_SCHEMA = ("array<struct<task_key:string, job_cluster_key:string, existing_cluster_id:string, "
+               "max_retries:long, min_retry_interval_millis:long, retry_on_timeout:boolean, "
+               "notebook_task:struct<notebook_path:string>, spark_python_task:struct<python_file:string>, "
+               "python_wheel_task:struct<package_name:string, entry_point:string>, "
+               "spark_jar_task:struct<main_class_name:string>, sql_task:struct<warehouse_id:string>, "
+               "pipeline_task:struct<pipeline_id:string>>>")
+JOB_CLUSTER_SCHEMA = ("array<struct<job_cluster_key:string, new_cluster:struct<spark_version:string, "
+                      "node_type_id:string, driver_node_type_id:string, num_workers:long>>>")
+TASK_KINDS = ("notebook_task", "spark_python_task", "python_wheel_task", "spark_jar_task", "sql_task",
+              "pipeline_task")
+
+
+def _as_array(df: DataFrame, col: str, schema: str) -> Column:
+    dt = df.schema[col].dataType
+    return F.from_json(F.col(col), schema) if isinstance(dt, T.StringType) else F.col(col)
+
+
+def job_runs_with_meta(runs: DataFrame, cluster_spec: DataFrame | None = None,
+                       clusters_snapshot: DataFrame | None = None, job_status: DataFrame | None = None,
+                       jobs_snapshot: DataFrame | None = None) -> DataFrame:
+    """V12 enrichment: cluster name as-of the run (cluster spec first, the snapshot fills
+    what it left null), then job name / tasks / job clusters as-of the run (job status
+    first, then the jobs snapshot); the run name stands in for a missing job name."""
+    d = runs.withColumn("timestamp", F.col("submissionTime"))
+    if cluster_spec is not None:
+        cs = cluster_spec.select(ORG, "cluster_id", "timestamp", "cluster_name")
+        d = TimeSeries(d, "timestamp", (ORG, "cluster_id")).lookup_when(TimeSeries(cs, "timestamp", (ORG, "cluster_id")))
+    if clusters_snapshot is not None:
+        sn = clusters_snapshot.select(ORG, "cluster_id", _snap_ms(clusters_snapshot).alias("timestamp"),
+                                      "cluster_name")
+        d = TimeSeries(d, "timestamp", (ORG, "cluster_id")).lookup_when(TimeSeries(sn, "timestamp", (ORG, "cluster_id")))
+    meta = ["job_name", "tasks", "job_clusters"]
+    if job_status is not None:
+        js = job_status.select(ORG, "job_id", "timestamp", *[F.col(c).cast("string").alias(c) for c in meta
+                                                              if c in job_status.columns])
+        d = TimeSeries(d, "timestamp", (ORG, "job_id")).lookup_when(TimeSeries(js, "timestamp", (ORG, "job_id")))
+    if jobs_snapshot is not None:
+        sn = jobs_snapshot.select(ORG, F.col("job_id").cast("long").alias("job_id"),
+                                  _snap_ms(jobs_snapshot).alias("timestamp"),
+                                  F.col("settings.name").alias("job_name"),
+                                  F.to_json("settings.tasks").alias("tasks"),
+                                  F.to_json("settings.job_clusters").alias("job_clusters"))
+        d = TimeSeries(d, "timestamp", (ORG, "job_id")).lookup_when(TimeSeries(sn, "timestamp", (ORG, "job_id")))
+    if "job_name" in d.columns:
+        d = d.withColumn("job_name", F.coalesce("job_name", "run_name"))
+    return d.drop("timestamp")
+
+
+def job_runs_with_task_detail(df: DataFrame) -> DataFrame:
+    """The run's own task (matched on ``task_key``; a single-task job takes its only
+    task) and that task's job cluster, picked with ``filter`` on the arrays: no explode,
+    no join back, no shuffle. SQL-warehouse tasks report the warehouse as the cluster."""
+    if "tasks" not in df.columns:
+        return df
+    tasks = _as_array(df, "tasks", TASK_SCHEMA)
+    d = df.withColumn("__tasks", tasks)
+    if "task_key" not in d.columns:
+        d = d.withColumn("task_key", F.lit(None).cast("string"))
+    d = d.withColumn("task_key", F.when(F.col("task_key").isNull() & (F.size("__tasks") == 1),
+                                        F.col("__tasks")[0]["task_key"]).otherwise(F.col("task_key")))
+    d = d.withColumn("__task", F.get(F.filter("__tasks", lambda t: t["task_key"] == F.col("task_key")), 0))
+    kinds = [k for k in TASK_KINDS]
+    d = d.withColumns({
+        "job_cluster_key": F.col("__task.job_cluster_key"),
+        "max_retries": F.col("__task.max_retries"),
+        "retry_on_timeout": F.col("__task.retry_on_timeout"),
+        "task_detail": F.struct(*[F.col(f"__task.{k}").alias(k) for k in kinds]),
+    })
+    if "job_clusters" in df.columns:
+        jcs = _as_array(df, "job_clusters", JOB_CLUSTER_SCHEMA)
+        d = d.withColumn("job_cluster", F.get(F.filter(jcs, lambda c: c["job_cluster_key"] == F.col("job_cluster_key")),
+                                              0)["new_cluster"])
+    wh = F.col("task_detail.sql_task.warehouse_id")
+    if "cluster_name" not in d.columns:
+        d = d.withColumn("cluster_name", F.lit(None).cast("string"))
+    d = d.withColumns({
+        "cluster_name": F.coalesce("cluster_name", "job_cluster_key", "task_key"),
+        "cluster_id": F.when(wh.isNotNull(), wh).otherwise(F.col("cluster_id")),
+        "clusterType": F.when(wh.isNotNull(), F.lit("sqlWarehouse")).otherwise(
+            F.col("clusterType") if "clusterType" in d.columns else F.lit(None).cast("string")),
+        "run_name": F.coalesce("run_name", "task_key"),
+    })
+    return d.drop("__tasks", "__task", "tasks", *(["job_clusters"] if "job_clusters" in df.columns else []))

@@ -105,3 +105,27 @@ def test_publish_gold_tables(audit, spark):
     jr = publish_gold(job_runs(audit), "jobrun")
     assert set(r["run_id"] for r in jr.collect()) == {55, 56}
     assert publish_gold(notebooks(audit), "notebook").first()["notebook_name"] == "nb"
+
+
+def test_job_run_meta_and_task_detail(audit, spark):
+    from tessera.plans.medallion.silver_audit import job_runs_with_meta, job_runs_with_task_detail
+    runs = job_runs(audit)
+    tasks = json.dumps([{"task_key": "only", "job_cluster_key": "jc", "notebook_task": {"notebook_path": "/n"}}])
+    clusters = json.dumps([{"job_cluster_key": "jc", "new_cluster": {"node_type_id": "m5"}}])
+    status = spark.createDataFrame([("o1", 7, 50, "job seven", tasks, clusters)],
+                                   "organization_id string, job_id long, timestamp long, job_name string, "
+                                   "tasks string, job_clusters string")
+    spec = spark.createDataFrame([("o1", "c1", 10, "cname")],
+                                 "organization_id string, cluster_id string, timestamp long, cluster_name string")
+    enriched = job_runs_with_meta(runs, cluster_spec=spec, job_status=status)
+    out = {r["run_id"]: r for r in job_runs_with_task_detail(enriched).collect()}
+    r55 = out[55]
+    assert r55["job_name"] == "job seven" and r55["cluster_name"] == "cname"
+    assert r55["task_key"] == "only" and r55["task_detail"]["notebook_task"]["notebook_path"] == "/n"
+    assert r55["job_cluster"]["node_type_id"] == "m5"
+    wh = spark.createDataFrame([(1, "c", None, json.dumps([{"task_key": "q", "sql_task": {"warehouse_id": "w1"}}]),
+                                 None, None)],
+                               "run_id long, cluster_id string, task_key string, tasks string, cluster_name string, "
+                               "run_name string")
+    w = job_runs_with_task_detail(wh).first()
+    assert w["cluster_id"] == "w1" and w["clusterType"] == "sqlWarehouse" and w["run_name"] == "q"
