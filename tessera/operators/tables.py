@@ -61,6 +61,49 @@ def read_table(spark: SparkSession, spec: TableSpec, tenant: str | None = None,
     return df
 
 
+def read_incremental(spark: SparkSession, spec: TableSpec, from_time, until_time, lag_days: int = 0,
+                     tenant: str | None = None) -> DataFrame:
+    """Current state filtered to ``[from - lag, until)`` on every incremental column
+    (typed filters, I1), partition columns included so folders are pruned."""
+    from tessera.operators.incremental import incremental_filters
+    df = read_table(spark, spec, tenant)
+    if not df.columns:
+        return df
+    filters = incremental_filters(df.schema, list(spec.incremental_cols), from_time, until_time, lag_days,
+                                  partition_cols=list(spec.partition_by))
+    for f in filters:
+        df = df.filter(f)
+    return df
+
+
+WRITE_LOG_SCHEMA = "run_id string, table string, operation string, rows long, written_at timestamp"
+
+
+def log_write(spark: SparkSession, log_path: str, run_id: str, table: str, operation: str, rows: int) -> None:
+    """S14 producer: one row per write in an append-only Parquet log (our table history)."""
+    import datetime as _d
+    spark.createDataFrame([(run_id, table, operation, int(rows), _d.datetime.now())], WRITE_LOG_SCHEMA) \
+        .write.mode("append").parquet(log_path)
+
+
+def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
+    """K9: register a folder as a named table in the session catalog (partition folders
+    are recovered into the catalog when the table is partitioned)."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
+    if spark.catalog.getTable(name) is not None and spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(
+            "col_name = '# Partition Information'").count() > 0:
+        spark.catalog.recoverPartitions(name)
+
+
+def write_errors(df: DataFrame, spec: TableSpec, from_col: str = "from_epoch", until_col: str = "until_epoch") -> None:
+    """Failed fetches as a second append sink, epochs also as timestamps."""
+    d = df
+    for c in (from_col, until_col):
+        if c in d.columns:
+            d = d.withColumn(c.replace("epoch", "ts"), F.timestamp_millis(F.col(c)))
+    write_append(d, spec)
+
+
 # ------------------------------------------------------------------ K4, K5, K7 layout
 
 def stamp(df: DataFrame, run_id: str, snap_ts: Column | None = None, workspace: str | None = None) -> DataFrame:

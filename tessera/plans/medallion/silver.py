@@ -23,6 +23,53 @@ RESET_AFTER_STATES = ("TERMINATING", "RESTARTING", "EDITED")
 
 CLUSTER_KEYS = ("organization_id", "cluster_id")
 
+# Fixed values (reference): Spark job properties promoted to typed fields
+# (scrubbed property key -> published field name), in the reference's order.
+POWER_PROPERTIES = (
+    ("sparkappname", "AppName"), ("sparkdatabricksapiurl", "WorkspaceURL"), ("sparkjobGroupid", "JobGroupID"),
+    ("sparkdatabrickscloudProvider", "CloudProvider"), ("principalIdpObjectId", "principalIdpObjectId"),
+)
+CLUSTER_DETAIL_PROPERTIES = (
+    ("sparkdatabricksclusterSource", "ClusterSource"),
+    ("sparkdatabricksclusterUsageTagsautoTerminationMinutes", "AutoTerminationMinutes"),
+    ("sparkdatabricksclusterUsageTagsclusterAllTags", "ClusterTags"),
+    ("sparkdatabricksclusterUsageTagsclusterAvailability", "ClusterAvailability"),
+    ("sparkdatabricksclusterUsageTagsclusterId", "ClusterID"),
+    ("sparkdatabricksclusterUsageTagsclusterInstancePoolId", "InstancePoolID"),
+    ("sparkdatabricksclusterUsageTagsclusterMaxWorkers", "MaxWorkers"),
+    ("sparkdatabricksclusterUsageTagsclusterMinWorkers", "MinWorkers"),
+    ("sparkdatabricksclusterUsageTagsclusterName", "Name"),
+    ("sparkdatabricksclusterUsageTagsclusterOwnerUserId", "OwnerUserID"),
+    ("sparkdatabricksclusterUsageTagsclusterScalingType", "ScalingType"),
+    ("sparkdatabricksclusterUsageTagsclusterSpotBidPricePercent", "SpotBidPricePercent"),
+    ("sparkdatabricksclusterUsageTagsclusterTargetWorkers", "TargetWorkers"),
+    ("sparkdatabricksclusterUsageTagsclusterWorkers", "ActualWorkers"),
+    ("sparkdatabricksclusterUsageTagscontainerZoneId", "ZoneID"),
+    ("sparkdatabricksclusterUsageTagsdataPlaneRegion", "Region"),
+    ("sparkdatabricksclusterUsageTagsdriverNodeType", "DriverNodeType"),
+    ("sparkdatabricksworkerNodeTypeId", "WorkerNodeType"),
+    ("sparkdatabricksclusterUsageTagssparkVersion", "SparkVersion"),
+)
+POWER_PROPERTIES_TAIL = (
+    ("sparkdatabricksnotebookid", "NotebookID"), ("sparkdatabricksnotebookpath", "NotebookPath"),
+    ("sparkdatabrickssparkContextId", "SparkContextID"), ("sparkdriverhost", "DriverHostIP"),
+    ("sparkdrivermaxResultSize", "DriverMaxResults"), ("sparkexecutorid", "ExecutorID"),
+    ("sparkexecutormemory", "ExecutorMemory"), ("sparksqlexecutionid", "ExecutionID"),
+    ("sparksqlexecutionparent", "ExecutionParent"), ("sparkdatabricksisolationID", "SparkDBIsolationID"),
+    ("sparkhadoopfsazureaccountoauth2clientid", "AzureOAuth2ClientID"), ("sparkrddscope", "RDDScope"),
+    ("sparkdatabricksreplId", "SparkDBREPLID"), ("sparkdatabricksjobid", "SparkDBJobID"),
+    ("sparkdatabricksjobrunId", "SparkDBRunID"), ("sparkdatabricksjobtype", "sparkDBJobType"),
+    ("sparksqlshufflepartitions", "ShufflePartitions"), ("user", "UserEmail"), ("userID", "UserID"),
+)
+
+
+def power_properties(props: Column) -> Column:
+    """The property map promoted to a typed struct (missing keys -> null)."""
+    get = lambda k: F.try_element_at(props, F.lit(k))
+    return F.struct(*[get(k).alias(a) for k, a in POWER_PROPERTIES],
+                    F.struct(*[get(k).alias(a) for k, a in CLUSTER_DETAIL_PROPERTIES]).alias("ClusterDetails"),
+                    *[get(k).alias(a) for k, a in POWER_PROPERTIES_TAIL])
+
 
 # ------------------------------------------------------------------ V10 cluster state detail
 
@@ -129,11 +176,13 @@ def spark_executors(lagged: DataFrame, new: DataFrame, from_ms: int) -> DataFram
                           "addedTimestamp", "removedTimestamp", from_ms, lag_days=30)
 
 
-def spark_jobs(lagged: DataFrame, new: DataFrame, from_ms: int, property_keys: Sequence[str] = ()) -> DataFrame:
-    """V3: job start LEFT JOIN job end; properties map promoted to a typed struct."""
+def spark_jobs(lagged: DataFrame, new: DataFrame, from_ms: int, property_keys: Sequence[str] | None = None) -> DataFrame:
+    """V3: job start LEFT JOIN job end; properties map promoted to a typed struct (P19,
+    the fixed key list by default)."""
     start = {"StageIDs": F.col("StageIDs"), "SubmissionTime": F.col("SubmissionTime")}
-    if property_keys:
-        start["PowerProperties"] = map_to_struct(F.col("Properties"), property_keys)
+    if "Properties" in lagged.columns:
+        start["PowerProperties"] = (map_to_struct(F.col("Properties"), property_keys) if property_keys
+                                    else power_properties(F.col("Properties")))
     return pair_start_end(lagged, new, "SparkListenerJobStart", "SparkListenerJobEnd", ["JobID"], start,
                           {"JobResult": F.col("JobResult"), "CompletionTime": F.col("CompletionTime")},
                           "SubmissionTime", "CompletionTime", from_ms)

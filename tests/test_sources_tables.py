@@ -93,3 +93,22 @@ def test_aggregations(spark):
                                   "cluster string, StageID int, ms long")
     u = spark_util_by_run(jobs, tasks, ["run_id"], "stages", ["cluster"], "ms").first()
     assert u["spark_task_runtime_H"] == 2.0
+
+
+def test_incremental_read_log_register_errors(spark, tmp_path):
+    spec = K.TableSpec("ev", str(tmp_path / "ev"), keys=("k",), incremental_cols=("ms", "d"), partition_by=("d",),
+                       tenant_col=None)
+    df = spark.createDataFrame([(1, 1000, dt.date(1970, 1, 1)), (2, 90_000_000, dt.date(1970, 1, 2)),
+                                (3, 200_000_000, dt.date(1970, 1, 3))], "k int, ms long, d date")
+    K.write_append(df, spec)
+    out = K.read_incremental(spark, spec, 86_400_000, 172_800_000)
+    assert rows(out, "k") == [(2,)]
+    K.log_write(spark, str(tmp_path / "log"), "r1", "ev", "append", 3)
+    K.log_write(spark, str(tmp_path / "log"), "r2", "ev", "merge", 1)
+    assert K.latest_write(spark.read.parquet(str(tmp_path / "log"))).first()["run_id"] == "r2"
+    K.register_table(spark, "ev_registered", spec.path)
+    assert spark.table("ev_registered").count() == 3
+    errs = K.TableSpec("errs", str(tmp_path / "errs"), tenant_col=None)
+    K.write_errors(spark.createDataFrame([("c1", 0, 1000, "timeout")], "cluster_id string, from_epoch long, "
+                                         "until_epoch long, msg string"), errs)
+    assert "from_ts" in spark.read.parquet(errs.path).columns
