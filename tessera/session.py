@@ -36,6 +36,8 @@ def local_session(app: str = "tessera", cores: str = "*", shuffle_partitions: in
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("TESSERA_DRIVER_MEMORY", _default_driver_memory())
+    # local sessions keep catalog tables out of the working directory
+    conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="tessera-wh-")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
