@@ -60,13 +60,22 @@ def _bucket_range(start: Column, end: Column, dtype: T.DataType, bucket: str) ->
 
 
 def join_with_lag(left: DataFrame, right: DataFrame, keys: Sequence[str], lag_date_col: str,
-                  lagging_side: str = "left", lag_days: int = 1, how: str = "inner") -> DataFrame:
+                  lagging_side: str = "left", lag_days: int = 1, how: str = "inner",
+                  skew_safe: bool = False) -> DataFrame:
     """Keys equal AND ``lagging.date >= date_sub(other.date, lag_days)`` (one-sided).
 
     ``left``/``inner``: the right side's keys and date are dropped; ``right``: the left
     side's keys and date are dropped (left columns first). Spark plans the equi keys as
     a sort-merge / hash join and keeps the date bound as a residual filter.
+
+    ``skew_safe`` (outer joins): AQE can split a hot key only on the preserved side of an
+    outer join. Planned instead as the inner join (both sides splittable) UNION the
+    preserved rows without a partner. Those are found from one row per key of the
+    other side - its min or max date, a map-side combined aggregate - because "some
+    partner satisfies the date bound" only depends on that extreme.
     """
+    if skew_safe and how in ("left", "right"):
+        return _lag_join_skew_safe(left, right, keys, lag_date_col, lagging_side, lag_days, how)
     if lagging_side not in ("left", "right"):
         raise ValueError("lagging_side must be 'left' or 'right'")
     if how not in ("left", "inner", "right"):
@@ -98,6 +107,46 @@ def join_with_lag(left: DataFrame, right: DataFrame, keys: Sequence[str], lag_da
     return out.select(*[c for c in out.columns if not c.endswith(sfx)])
 
 
+def _lag_join_skew_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], d: str, lagging_side: str,
+                        lag_days: int, how: str) -> DataFrame:
+    inner = join_with_lag(left, right, keys, d, lagging_side, lag_days, "inner")
+    if how == "left":
+        kept, other = left, right
+        kept_is_lagging = lagging_side == "left"
+        other_cols = [c for c in right.columns if c not in list(keys) + [d]]
+    else:
+        kept, other = right, left
+        kept_is_lagging = lagging_side == "right"
+        other_cols = [c for c in left.columns if c not in list(keys) + [d]]
+    # kept lagging: kept.d >= other.d - lag  <=>  min(other.d) <= kept.d + lag
+    # other lagging: other.d >= kept.d - lag <=>  max(other.d) >= kept.d - lag
+    ext = (F.min if kept_is_lagging else F.max)(F.col(d)).alias("__ext")
+    agg = other.groupBy(*keys).agg(ext)
+    ok = (F.col("__ext") <= F.date_add(F.col(d), lag_days)) if kept_is_lagging else (
+        F.col("__ext") >= F.date_sub(F.col(d), lag_days))
+    lonely = kept.join(agg, on=list(keys), how="left").filter(F.col("__ext").isNull() | ~ok).drop("__ext")
+    pad = lonely.withColumns({c: F.lit(None).cast(other.schema[c].dataType) for c in other_cols})
+    if how == "left":
+        return inner.unionByName(pad.select(*inner.columns))
+    rin = _right_inner(left, right, keys, d, lagging_side, lag_days)
+    return rin.unionByName(pad.select(*rin.columns))
+
+
+def _right_inner(left, right, keys, d, lagging_side, lag_days):
+    """The inner join with the column layout of a right lag join (left's remaining
+    columns first, then every right column)."""
+    sfx = "__lagjoin"
+    jcols = list(keys) + [d]
+    l = left.withColumnsRenamed({c: c + sfx for c in jcols})
+    cond = None
+    for k in keys:
+        c = F.col(k + sfx) == F.col(k)
+        cond = c if cond is None else cond & c
+    mine, oth = (F.col(d + sfx), F.col(d)) if lagging_side == "left" else (F.col(d), F.col(d + sfx))
+    out = l.join(right, cond & (mine >= F.date_sub(oth, lag_days)), "inner")
+    return out.select(*[c for c in out.columns if not c.endswith(sfx)])
+
+
 def prev_day_condition(a_date: Column, b_date: Column) -> Column:
     """J5 as a condition: ``a.d == b.d OR a.d == b.d - 1``."""
     return (a_date == b_date) | (a_date == F.date_sub(b_date, 1))

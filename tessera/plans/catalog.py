@@ -144,7 +144,10 @@ def q05(spark, d):
     l = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("orderkey"),
                                            F.col("l_shipdate").cast("date").alias("event_date"),
                                            "l_linenumber", "l_quantity", "l_shipdate")
-    return J.join_with_lag(o, l, ["orderkey"], "event_date", lagging_side="left", lag_days=30, how="left")
+    # skew-safe outer form: inner join (AQE splits hot keys on both sides) + orders with
+    # no partner found from one row per key of lineitem
+    return J.join_with_lag(o, l, ["orderkey"], "event_date", lagging_side="left", lag_days=30, how="left",
+                           skew_safe=True)
 
 
 @query("q06_prev_day_join", """

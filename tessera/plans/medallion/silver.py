@@ -162,7 +162,8 @@ def pair_start_end(frame_lagged: DataFrame, frame_new: DataFrame, start_event: s
     e = frame_new.filter(F.col("Event") == end_event).select(
         *base, F.col("fileCreateDate"), *[c.alias(n) for n, c in end_cols.items()])
     e = dedup_by_key(e, base, [end_ts], descending=True)
-    j = join_with_lag(s, e, base, "fileCreateDate", lagging_side="left", lag_days=lag_days, how="left")
+    j = join_with_lag(s, e, base, "fileCreateDate", lagging_side="left", lag_days=lag_days, how="left",
+                      skew_safe=True)
     j = j.filter(F.coalesce(F.col(end_ts), F.col(start_ts), F.lit(0)) >= from_ms)
     return j.withColumn("runtime", runtime_struct(F.col(start_ts), F.col(end_ts), ntz=True)).withColumn(
         "startTimestamp", F.col("runtime.startEpochMS"))

@@ -15,6 +15,11 @@ def spark():
     s.stop()
 
 
+def _key(t):
+    return tuple((x is None, str(type(x)), x if x is not None else 0) for x in t)
+
+
 def rows(df, *cols):
+    """Collected rows as sorted tuples (None sorts last, mixed types allowed)."""
     d = df.select(*cols) if cols else df
-    return sorted(tuple(r) for r in d.collect())
+    return sorted((tuple(r) for r in d.collect()), key=_key)

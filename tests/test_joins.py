@@ -143,3 +143,17 @@ def test_previous_day_expand_join(spark):
                               "u int, rd date")
     out = J.same_or_previous_day_join(l, r, ["u"], "d", "rd", how="inner")
     assert sorted(x[0] for x in out.select("rd").collect()) == [dt.date(2020, 1, 1), dt.date(2020, 1, 2)]
+
+
+@pytest.mark.parametrize("how", ["left", "right"])
+@pytest.mark.parametrize("lagging", ["left", "right"])
+def test_lag_join_skew_safe_equals_plain(spark, how, lagging):
+    rnd = random.Random(11)
+    l = spark.createDataFrame([(rnd.randint(0, 5), dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 90)), i)
+                               for i in range(120)], "k int, d date, lv int")
+    r = spark.createDataFrame([(rnd.randint(0, 7), dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 90)), i)
+                               for i in range(150)], "k int, d date, rv int")
+    a = J.join_with_lag(l, r, ["k"], "d", lagging_side=lagging, lag_days=10, how=how)
+    b = J.join_with_lag(l, r, ["k"], "d", lagging_side=lagging, lag_days=10, how=how, skew_safe=True)
+    assert a.columns == b.columns
+    assert rows(a) == rows(b)
