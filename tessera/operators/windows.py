@@ -94,8 +94,12 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str | Sequence[str],
     if not keep_ties:
         return dedup_by_key(df, keys, order, descending=True)
     mx = df.groupBy(*keys).agg(F.max(F.struct(*order)).alias("__m")).select(
-        *keys, *[F.col(f"__m.{c}").alias(c) for c in order])
-    return df.join(mx, on=list(keys) + order, how="left_semi")
+        *[F.col(k).alias(f"{k}__m") for k in keys], *[F.col(f"__m.{c}").alias(f"{c}__m") for c in order])
+    cond = None
+    for c in list(keys) + order:  # null-safe: a null time ties with null, as rank() does
+        e = df[c].eqNullSafe(mx[f"{c}__m"])
+        cond = e if cond is None else cond & e
+    return df.join(mx, cond, how="left_semi")
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
