@@ -309,8 +309,39 @@ def share_of_partition(df: DataFrame, value: str, keys: Sequence[str], out: str
               .withColumn(out, F.try_divide(F.col(value), F.col("__tot"))).drop("__tot"))
 
 
+def shift_one(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
+              direction: str = "previous", bucket: Column | None = None, suffix: str = "__shift") -> DataFrame:
+    """``lag(c, 1)`` (``previous``) or ``lead(c, 1)`` (``next``) within ``keys``.
+
+    With ``bucket`` the shift runs per ``(key, slice)``; a slice's first (last) row takes
+    the last (first) row of the previous (next) non-empty slice from a one-row-per-slice
+    summary, so the result equals the plain window and no key is one task."""
+    keys, order, cols = list(keys), list(order), list(cols)
+    prev = direction == "previous"
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        fn = F.lag if prev else F.lead
+        return df.withColumns({f"{c}{suffix}": fn(F.col(c), 1).over(w) for c in cols})
+    b = "__bucket"
+    d = df.withColumn(b, bucket)
+    w = Window.partitionBy(*keys, b).orderBy(*order)
+    fn = F.lag if prev else F.lead
+    d = d.withColumn("__edge", fn(F.lit(1), 1).over(w).isNull())
+    d = d.withColumns({f"{c}__in": fn(F.col(c), 1).over(w) for c in cols})
+    pack = F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    summ = d.groupBy(*keys, b).agg((F.max(pack) if prev else F.min(pack)).alias("__p"))
+    wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
+    sfn = F.lag if prev else F.lead
+    summ = summ.select(*keys, b, *[sfn(F.col("__p").getField(f"v{i}"), 1).over(wb).alias(f"{c}__x")
+                                   for i, c in enumerate(cols)])
+    d = _join_back(d, summ, keys + [b])
+    d = d.withColumns({f"{c}{suffix}": F.when(F.col("__edge"), F.col(f"{c}__x")).otherwise(F.col(f"{c}__in"))
+                       for c in cols})
+    return d.drop(b, "__edge", *[f"{c}__in" for c in cols], *[f"{c}__x" for c in cols])
+
+
 def row_delta(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str],
-              out: str | None = None) -> DataFrame:
-    """``x - lag(x)`` within the series."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(out or f"{value}_delta", F.col(value) - F.lag(F.col(value), 1).over(w))
+              out: str | None = None, bucket: Column | None = None) -> DataFrame:
+    """``x - lag(x)`` within the series (slice-split with ``bucket``)."""
+    d = shift_one(df, [value], keys, order, "previous", bucket, suffix="__prev")
+    return d.withColumn(out or f"{value}_delta", F.col(value) - F.col(f"{value}__prev")).drop(f"{value}__prev")

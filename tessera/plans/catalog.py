@@ -869,3 +869,33 @@ FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) A
 """)
 def q42(spark, d):
     return W.latest_by_key(table(spark, d, "orders"), ["o_custkey"], ["o_orderdate"], keep_ties=True)
+
+
+# ------------------------------------------------------------------ q43-q44
+
+@query("q43_roll_metrics", """
+SELECT l.l_orderkey, any_value(o.o_custkey) AS o_custkey, round(avg(l.l_discount), 6) AS l_discount,
+       max(l.l_quantity) AS l_quantity_max, greatest(round(sum(l.l_extendedprice), 6), 0) AS l_extendedprice,
+       count(*) AS state_rows
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+GROUP BY l.l_orderkey
+""")
+def q43(spark, d):
+    from tessera.operators.aggregations import roll_metrics_to_run
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_discount", "l_quantity", "l_extendedprice")
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    j = li.join(o, "l_orderkey").withColumn("l_quantity_max", F.col("l_quantity"))
+    return roll_metrics_to_run(j, ["l_orderkey"], firsts=["o_custkey"], avgs=["l_discount"], maxs=["l_quantity_max"],
+                               sums=["l_extendedprice"], precision=6)
+
+
+@query("q44_row_delta", """
+SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice,
+       o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+         AS o_totalprice_delta
+FROM orders
+""")
+def q44(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return W.row_delta(o, "o_totalprice", ["o_custkey"], ["o_orderdate", "o_orderkey"],
+                       bucket=F.year("o_orderdate").cast("long"))

@@ -92,3 +92,11 @@ def test_state_end_and_delta(spark):
     assert ends == [dt.datetime(2020, 1, 1, 23, 59, 59, 999000), dt.datetime(2020, 2, 1)]
     dd = W.row_delta(spark.createDataFrame([(1, 1, 5), (1, 2, 8)], "k int, t int, x int"), "x", ["k"], ["t"])
     assert sorted(r["x_delta"] or 0 for r in dd.collect()) == [0, 3]
+
+
+def test_shift_one_bucketed_equals_plain(spark):
+    df = _series(spark, n=300, keys=4, seed=5)
+    for direction in ("previous", "next"):
+        a = W.shift_one(df, ["v", "t"], ["k"], ["t", "id"], direction)
+        b = W.shift_one(df, ["v", "t"], ["k"], ["t", "id"], direction, bucket=F.floor(F.col("t") / 41))
+        assert rows(a, "id", "v__shift", "t__shift") == rows(b, "id", "v__shift", "t__shift")
