@@ -163,22 +163,12 @@ class TimeSeries:
 
 
 def _next_row_sliced(d: DataFrame, cols: list[str], keys: list[str], order: list[str], b: str) -> DataFrame:
-    """``first(c, ignorenulls) over rows [current, 1 following]`` computed per slice:
-    ``lead`` inside the slice; the last row of a slice takes the first row of the next
-    non-empty slice of the same key (from a one-row-per-slice summary)."""
-    from tessera.operators.windows import _join_back
-    w = Window.partitionBy(*keys, b).orderBy(*order)
-    d = d.withColumn("__has_next", F.lead(F.lit(1), 1).over(w).isNotNull())
-    d = d.withColumns({f"{c}__lead": F.lead(F.col(c), 1).over(w) for c in cols})
-    first = d.groupBy(*keys, b).agg(F.min(F.struct(*[F.col(o) for o in order],
-                                                   *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])).alias("__f"))
-    wb = Window.partitionBy(*keys).orderBy(b)
-    nxt = first.select(*keys, b, *[F.lead(F.col("__f").getField(f"v{i}"), 1).over(wb).alias(f"{c}__nextslice")
-                                   for i, c in enumerate(cols)])
-    d = _join_back(d, nxt, keys + [b])
-    d = d.withColumns({f"{c}__la": F.coalesce(F.col(c), F.when(F.col("__has_next"), F.col(f"{c}__lead"))
-                                              .otherwise(F.col(f"{c}__nextslice"))) for c in cols})
-    return d.drop("__has_next", *[f"{c}__lead" for c in cols], *[f"{c}__nextslice" for c in cols])
+    """``first(c, ignorenulls) over rows [current, 1 following]`` = ``coalesce(c, lead(c))``
+    with the slice-split ``lead`` of ``shift_one``."""
+    from tessera.operators.windows import shift_one
+    d = shift_one(d, cols, keys, order, "next", F.col(b), suffix="__nx")
+    d = d.withColumns({f"{c}__la": F.coalesce(F.col(c), F.col(f"{c}__nx")) for c in cols})
+    return d.drop(*[f"{c}__nx" for c in cols])
 
 
 def to_timeseries(df: DataFrame, ts: str, *keys: str) -> TimeSeries:
