@@ -172,6 +172,44 @@ def _join_back(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> Data
     return rows.join(sm, cond, "left").drop(*ren.values())
 
 
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None = None,
+                out: str = "__rn") -> DataFrame:
+    """1-based row number within ``keys`` by a total ``order``; with ``bucket`` it is the
+    exact two-stage running count (per-slice counts plus all earlier slices)."""
+    if bucket is None:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+    return running_sum(df.withColumn("__one", F.lit(1).cast("long")), "__one", keys, order, out=out,
+                       bucket=bucket).drop("__one")
+
+
+def carry_within_rows(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
+                      max_rows: int, direction: str = "forward", include_current: bool = True,
+                      bucket: Column | None = None, suffix: str = "__carry") -> DataFrame:
+    """Last (first) non-null value among the ``max_rows`` rows before (after) the row -
+    ``rowsBetween(-n, 0 | -1)`` / ``rowsBetween(0 | 1, n)``.
+
+    With ``bucket``: every row gets its exact row number (two-stage count); the pair
+    (row number, value) of non-null rows is carried with the slice-split ``carry`` and
+    kept only when it lies within ``max_rows`` rows. Equal to the bounded window."""
+    keys, order, cols = list(keys), list(order), list(cols)
+    fwd = direction == "forward"
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        if fwd:
+            fr = w.rowsBetween(-max_rows, 0 if include_current else -1)
+            return df.withColumns({f"{c}{suffix}": F.last(F.col(c), True).over(fr) for c in cols})
+        fr = w.rowsBetween(0 if include_current else 1, max_rows)
+        return df.withColumns({f"{c}{suffix}": F.first(F.col(c), True).over(fr) for c in cols})
+    d = row_numbers(df, keys, order, bucket, out="__rn")
+    d = d.withColumns({f"{c}__pair": F.when(F.col(c).isNotNull(), F.struct(F.col("__rn").alias("rn"),
+                                                                             F.col(c).alias("v"))) for c in cols})
+    d = carry(d, [f"{c}__pair" for c in cols], keys, order, direction, include_current, bucket, suffix="__cp")
+    dist = (lambda p: F.col("__rn") - p.getField("rn")) if fwd else (lambda p: p.getField("rn") - F.col("__rn"))
+    d = d.withColumns({f"{c}{suffix}": F.when(dist(F.col(f"{c}__pair__cp")) <= max_rows,
+                                              F.col(f"{c}__pair__cp").getField("v")) for c in cols})
+    return d.drop("__rn", *[f"{c}__pair" for c in cols], *[f"{c}__pair__cp" for c in cols])
+
+
 def fill_forward(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
                  lookups: dict[str, Sequence[str]] | None = None, own_priority: bool = True,
                  bucket: Column | None = None, max_rows: int | None = None) -> DataFrame:
@@ -181,8 +219,7 @@ def fill_forward(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order:
     lookups = lookups or {}
     srcs = sorted({s for c in cols for s in ([c] if own_priority else []) + list(lookups.get(c, []))})
     if max_rows is not None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-max_rows, 0)
-        d = df.withColumns({f"{s}__carry": F.last(F.col(s), True).over(w) for s in srcs})
+        d = carry_within_rows(df, srcs, keys, order, max_rows, "forward", True, bucket)
     else:
         d = carry(df, srcs, keys, order, "forward", True, bucket)
     out = {}
@@ -197,8 +234,9 @@ def future_fill(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order:
                 out_suffix: str = "") -> DataFrame:
     """First non-null value at or after the row (optionally bounded to ``max_rows``)."""
     if max_rows is not None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(0, max_rows)
-        return df.withColumns({f"{c}{out_suffix}": F.first(F.col(c), True).over(w) for c in cols})
+        d = carry_within_rows(df, cols, keys, order, max_rows, "backward", True, bucket)
+        return d.withColumns({f"{c}{out_suffix}": F.col(f"{c}__carry") for c in cols}).drop(
+            *[f"{c}__carry" for c in cols if f"{c}{out_suffix}" != f"{c}__carry"])
     d = carry(df, cols, keys, order, "backward", True, bucket)
     return d.withColumns({f"{c}{out_suffix}": F.col(f"{c}__carry") for c in cols}).drop(
         *[f"{c}__carry" for c in cols])

@@ -50,12 +50,15 @@ def cluster_state_fact(state_detail: DataFrame, cluster_spec: DataFrame, cluster
         F.coalesce("terminated_time", "start_time").alias("timestamp"), "driver_node_type_id", "node_type_id",
         "spark_version", F.lit(None).cast("string").alias("cluster_type"), "runtime_engine").withColumn("sku", sku)
     snap = TimeSeries(snap, "timestamp", (ORG, "sku")).lookup_when(dbu_ts)
+    from tessera.session import cut_lineage
+    # sliced steps read their input twice; checkpoint between chained steps (sliced mode)
+    cut = cut_lineage if slice_ms else (lambda x: x)
     st = state_detail.withColumn("timestamp", F.col("unixTimeMS_state_start"))
-    pot = (TimeSeries(st, "timestamp", (ORG, CLUSTER))
-           .lookup_when(TimeSeries(spec, "timestamp", (ORG, CLUSTER)), lookahead_rows=1, slice_size=slice_ms))
-    pot = (TimeSeries(pot, "timestamp", (ORG, CLUSTER))
-           .lookup_when(TimeSeries(snap, "timestamp", (ORG, CLUSTER)), lookahead_rows=1,
-                        slice_size=slice_ms)).drop("timestamp")
+    pot = cut(TimeSeries(st, "timestamp", (ORG, CLUSTER))
+              .lookup_when(TimeSeries(spec, "timestamp", (ORG, CLUSTER)), lookahead_rows=1, slice_size=slice_ms))
+    pot = cut(TimeSeries(pot, "timestamp", (ORG, CLUSTER))
+              .lookup_when(TimeSeries(snap, "timestamp", (ORG, CLUSTER)), lookahead_rows=1,
+                           slice_size=slice_ms)).drop("timestamp")
 
     def node_dim(role: str, key: str) -> DataFrame:
         return instance_details.select(
@@ -70,7 +73,8 @@ def cluster_state_fact(state_detail: DataFrame, cluster_spec: DataFrame, cluster
                         "unixTimeMS_state_start", "__from", "__until", bucket=str(30 * 86_400_000))
     pot = pot.drop("__from", "__until")
     bucket = F.floor(F.col("unixTimeMS_state_start") / F.lit(slice_ms)).cast("long") if slice_ms else None
-    pot = fill_meta(pot, list(META_TO_FILL), [ORG, CLUSTER], ["state_start_date", "unixTimeMS_state_start"], bucket)
+    pot = cut(fill_meta(pot, list(META_TO_FILL), [ORG, CLUSTER], ["state_start_date", "unixTimeMS_state_start"],
+                        bucket))
 
     db = F.col("databricks_billable")
     worker_core_s = F.when(db, F.col("workerSpecs.vCPUs") * F.col("current_num_workers") * F.col("uptime_in_state_S")
@@ -152,6 +156,9 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
     rs = init.select(*cols).unionByName(term.select(*cols)).unionByName(mid.select(*cols))
     rs = rs.withColumns({"run_state_start": F.greatest("run_start", "state_start"),
                          "run_state_end": F.least("run_end", "state_end")})
+    if slice_ms:  # the run-state rows feed the overlap sweep and the cost split
+        from tessera.session import cut_lineage
+        rs = cut_lineage(rs)
     inter = rs.filter(F.col("cluster_type") == "existing")
     grp = [ORG, CLUSTER, "state_start", "state_end"]
     if overlap_mode == "exact":

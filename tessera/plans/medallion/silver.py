@@ -73,7 +73,7 @@ def power_properties(props: Column) -> Column:
 
 # ------------------------------------------------------------------ V10 cluster state detail
 
-def cluster_state_detail(events: DataFrame, until_ms: int) -> DataFrame:
+def cluster_state_detail(events: DataFrame, until_ms: int, slice_ms: float | None = None) -> DataFrame:
     """Cluster events -> one row per state with running flag, worker counts,
     state start/end (next start - 1 ms; open end = ``until_ms``), uptimes, reset
     sessions, billing flags and the dates the state touches.
@@ -81,40 +81,53 @@ def cluster_state_detail(events: DataFrame, until_ms: int) -> DataFrame:
     W10 state machine: on/off switch (TERMINATING off, CREATING/STARTING on); an
     *invalid chain* (the next switch equals the switch before it, e.g. RUNNING ->
     STARTING without TERMINATING) gets one imputed TERMINATING row 1 ms after the row.
-    Windows are per cluster; the bounded look-arounds (1000 rows) follow the reference.
+    The look-arounds are bounded to 1000 rows as in the reference.
+
+    Every window step is a library operator (carry, bounded carry, one-row shift,
+    running sum), so ``slice_ms`` splits a cluster's events into time slices and a
+    very busy cluster is never one task; the result equals the unsliced plan.
     """
+    from tessera.operators.windows import carry, carry_within_rows, running_sum, shift_one
+    from tessera.session import cut_lineage
     k = list(CLUSTER_KEYS)
+    bucket = (lambda: F.floor(F.col("timestamp") / F.lit(float(slice_ms))).cast("long")) if slice_ms else (
+        lambda: None)
+    # each slice-split step reads its input twice (rows + per-slice summary); chained
+    # steps would double the plan each time, so sliced mode checkpoints between steps
+    cut = cut_lineage if slice_ms else (lambda x: x)
     d = promote_struct(events, "details").withColumnRenamed("type", "state")
-    w = Window.partitionBy(*k).orderBy("timestamp")
+    o1 = ["timestamp", "state"]
     d = d.withColumn("running_switch", F.when(F.col("state") == "TERMINATING", F.lit(False))
                      .when(F.col("state").isin("CREATING", "STARTING"), F.lit(True)))
-    d = d.withColumn("previous_switch", F.when(
-        F.col("running_switch").isNotNull(),
-        F.last("running_switch", True).over(w.rowsBetween(Window.unboundedPreceding, -1))))
-    nxt_sw = F.lead("running_switch", 1).over(w)
-    invalid = nxt_sw.isNotNull() & (nxt_sw == F.lead("previous_switch", 1).over(w))
+    d = cut(carry(d, ["running_switch"], k, o1, "forward", include_current=False, bucket=bucket(), suffix="__before"))
+    d = d.withColumn("previous_switch", F.when(F.col("running_switch").isNotNull(), F.col("running_switch__before"))
+                     ).drop("running_switch__before")
+    d = cut(shift_one(d, ["running_switch", "previous_switch"], k, o1, "next", bucket(), suffix="__next"))
+    invalid = F.col("running_switch__next").isNotNull() & (F.col("running_switch__next") == F.col("previous_switch__next"))
     d = d.withColumn("__copies", F.when(invalid, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
-    d = d.select("*", F.explode("__copies").alias("imputed")).drop("__copies")
+    d = d.select("*", F.explode("__copies").alias("imputed")).drop("__copies", "running_switch__next",
+                                                                   "previous_switch__next")
     d = d.withColumns({"state": F.when(F.col("imputed"), F.lit("TERMINATING")).otherwise(F.col("state")),
                        "timestamp": F.when(F.col("imputed"), F.col("timestamp") + 1).otherwise(F.col("timestamp")),
                        "running_switch": F.when(F.col("imputed"), F.lit(None).cast("boolean"))
                        .otherwise(F.col("running_switch"))})
-    w = Window.partitionBy(*k).orderBy("timestamp", "imputed")
-    back, ahead = w.rowsBetween(-1000, -1), w.rowsBetween(1, 1000)
-    run = F.coalesce(F.when(F.col("imputed"), F.lit(False)), F.col("running_switch"),
-                     F.last("running_switch", True).over(back), ~F.first("running_switch", True).over(ahead))
-    d = d.withColumn("is_running", run)
-    d = d.withColumn("is_running", F.when(F.col("is_running").isNull() & F.col("state").isin(*RUNNING_STATES),
-                                          F.lit(True)).otherwise(F.col("is_running")))
-    d = d.withColumn("is_running", F.coalesce(
-        F.when(F.col("is_running").isNull(), F.last("is_running", True).over(back)).otherwise(F.col("is_running")),
-        F.when(F.col("is_running").isNull(), ~F.first("is_running", True).over(ahead)).otherwise(F.col("is_running")),
-        F.lit(False)))
-    size = F.coalesce(F.col("current_num_workers"), F.col("cluster_size.num_workers"),
-                      F.col("cluster_size.autoscale.min_workers"))
+    o2 = ["timestamp", "imputed", "state"]
+    d = cut(carry_within_rows(d, ["running_switch"], k, o2, 1000, "forward", False, bucket(), suffix="__back"))
+    d = cut(carry_within_rows(d, ["running_switch"], k, o2, 1000, "backward", False, bucket(), suffix="__ahead"))
+    run = F.coalesce(F.when(F.col("imputed"), F.lit(False)), F.col("running_switch"), F.col("running_switch__back"),
+                     ~F.col("running_switch__ahead"))
+    d = d.withColumn("is_running", F.when(run.isNull() & F.col("state").isin(*RUNNING_STATES), F.lit(True))
+                     .otherwise(run))
+    d = cut(carry_within_rows(d, ["is_running"], k, o2, 1000, "forward", False, bucket(), suffix="__back"))
+    d = cut(carry_within_rows(d, ["is_running"], k, o2, 1000, "backward", False, bucket(), suffix="__ahead"))
+    d = d.withColumn("is_running", F.coalesce(F.col("is_running"), F.col("is_running__back"),
+                                              ~F.col("is_running__ahead"), F.lit(False)))
+    d = d.withColumn("__size", F.coalesce(F.col("current_num_workers"), F.col("cluster_size.num_workers"),
+                                          F.col("cluster_size.autoscale.min_workers")))
+    d = cut(carry_within_rows(d, ["__size"], k, o2, 1000, "forward", False, bucket(), suffix="__back"))
     d = d.withColumn("current_num_workers", F.coalesce(
         F.when(~F.col("is_running"), F.lit(None).cast("long")).otherwise(
-            F.coalesce(size, F.last(size, True).over(back))), F.lit(0).cast("long")))
+            F.coalesce(F.col("__size"), F.col("__size__back"))), F.lit(0).cast("long")))
     d = d.withColumn("target_num_workers", F.coalesce(
         F.when(~F.col("is_running"), F.lit(None).cast("long"))
          .when(F.col("state") == "CREATING", F.coalesce(F.col("cluster_size.num_workers"),
@@ -122,28 +135,32 @@ def cluster_state_detail(events: DataFrame, until_ms: int) -> DataFrame:
          .otherwise(F.coalesce(F.col("target_num_workers"), F.col("current_num_workers"))), F.lit(0).cast("long")))
     d = d.select(*k, "is_running", "imputed", "timestamp", "state", "current_num_workers", "target_num_workers")
     # Resets, state ends, uptimes
-    prev_state = F.lag("state", 1).over(w)
-    d = d.withColumn("counter_reset", F.when(prev_state.isin(*RESET_AFTER_STATES) | ~F.col("is_running"), 1)
+    d = cut(shift_one(d, ["state", "timestamp"], k, o2, "previous", bucket(), suffix="__prev"))
+    d = cut(shift_one(d, ["timestamp"], k, o2, "next", bucket(), suffix="__next"))
+    d = d.withColumn("counter_reset", F.when(F.col("state__prev").isin(*RESET_AFTER_STATES) | ~F.col("is_running"), 1)
                      .otherwise(0))
-    d = d.withColumn("reset_partition", F.sum("counter_reset").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("unixTimeMS_state_start", F.col("timestamp"))
-    d = d.withColumn("unixTimeMS_state_end", F.coalesce(F.lead("timestamp", 1).over(w) - 1, F.lit(until_ms)))
+    d = cut(running_sum(d, "counter_reset", k, o2, out="reset_partition", bucket=bucket()))
+    d = d.withColumns({
+        "unixTimeMS_state_start": F.col("timestamp"),
+        "unixTimeMS_state_end": F.coalesce(F.col("timestamp__next") - 1, F.lit(until_ms)),
+    }).drop("state__prev", "timestamp__prev", "timestamp__next")
     d = d.withColumns({
         "timestamp_state_start": to_ts("unixTimeMS_state_start", ntz=True),
         "timestamp_state_end": to_ts("unixTimeMS_state_end", ntz=True),
         "uptime_in_state_S": (F.col("unixTimeMS_state_end") - F.col("unixTimeMS_state_start")) / 1000,
+        "__uptime_ms": F.col("unixTimeMS_state_end") - F.col("unixTimeMS_state_start"),
     })
-    wu = Window.partitionBy(*k, "reset_partition").orderBy("unixTimeMS_state_start", "imputed")
+    d = cut(running_sum(d, "__uptime_ms", k + ["reset_partition"], o2, out="__since_ms", bucket=bucket()))
     d = d.withColumns({
         "state_start_date": F.to_date("timestamp_state_start"),
-        "uptime_since_restart_S": F.coalesce(F.when(F.col("counter_reset") == 1, F.lit(0.0)).otherwise(
-            F.sum("uptime_in_state_S").over(wu.rowsBetween(Window.unboundedPreceding, 0))), F.lit(0.0)),
+        "uptime_since_restart_S": F.when(F.col("counter_reset") == 1, F.lit(0.0)).otherwise(
+            F.coalesce(F.col("__since_ms"), F.lit(0)) / 1000),
         "cloud_billable": F.col("is_running"),
         "databricks_billable": F.col("is_running") & ~F.col("state").isin(*NON_BILLABLE_STATES),
         "uptime_in_state_H": F.col("uptime_in_state_S") / 3600,
         "state_dates": F.sequence(F.to_date("timestamp_state_start"), F.to_date("timestamp_state_end")),
     })
-    return d.withColumn("days_in_state", F.size("state_dates")).drop("imputed")
+    return d.withColumn("days_in_state", F.size("state_dates")).drop("imputed", "__uptime_ms", "__since_ms")
 
 
 # ------------------------------------------------------------------ V1-V5 Spark event start/end pairs

@@ -143,3 +143,11 @@ def test_cost_facts_sliced_equal_unsliced(spark, events, dims):
     x = job_run_cost_fact(a, runs, UNTIL).select("run_id", "total_cost", "cluster_states").collect()
     y = job_run_cost_fact(a, runs, UNTIL, slice_ms=40_000).select("run_id", "total_cost", "cluster_states").collect()
     assert sorted(map(tuple, x)) == sorted(map(tuple, y))
+
+
+def test_state_detail_sliced_equals_unsliced(events):
+    a = cluster_state_detail(events, UNTIL)
+    b = cluster_state_detail(events, UNTIL, slice_ms=700)
+    cols = ["cluster_id", "timestamp", "state", "is_running", "current_num_workers", "target_num_workers",
+            "counter_reset", "reset_partition", "unixTimeMS_state_end", "uptime_since_restart_S", "days_in_state"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))

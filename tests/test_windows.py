@@ -100,3 +100,16 @@ def test_shift_one_bucketed_equals_plain(spark):
         a = W.shift_one(df, ["v", "t"], ["k"], ["t", "id"], direction)
         b = W.shift_one(df, ["v", "t"], ["k"], ["t", "id"], direction, bucket=F.floor(F.col("t") / 41))
         assert rows(a, "id", "v__shift", "t__shift") == rows(b, "id", "v__shift", "t__shift")
+
+
+def test_bounded_carry_bucketed_equals_window(spark):
+    df = _series(spark, n=400, keys=3, seed=9)
+    for direction in ("forward", "backward"):
+        for inc in (True, False):
+            for n in (1, 3, 10):
+                a = W.carry_within_rows(df, ["v"], ["k"], ["t", "id"], n, direction, inc)
+                b = W.carry_within_rows(df, ["v"], ["k"], ["t", "id"], n, direction, inc,
+                                        bucket=F.floor(F.col("t") / 53))
+                assert rows(a, "id", "v__carry") == rows(b, "id", "v__carry"), (direction, inc, n)
+    rn = W.row_numbers(df, ["k"], ["t", "id"], bucket=F.floor(F.col("t") / 53))
+    assert rows(rn, "id", "__rn") == rows(W.row_numbers(df, ["k"], ["t", "id"]), "id", "__rn")
