@@ -242,12 +242,43 @@ def future_fill(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order:
         *[f"{c}__carry" for c in cols])
 
 
+def carry_both(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
+               bucket: Column | None = None) -> DataFrame:
+    """``carry`` forward (``<c>__prev``) and backward (``<c>__next``), both including the
+    current row, in ONE pass: one window node, one per-slice summary holding both the
+    last and the first non-null, one join back."""
+    keys, order, cols = list(keys), list(order), list(cols)
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
+        return df.withColumns({**{f"{c}__prev": _last_within(F.col(c), w, True) for c in cols},
+                               **{f"{c}__next": _first_within(F.col(c), w, True) for c in cols}})
+    b = "__bucket"
+    d = df.withColumn(b, bucket)
+    w = Window.partitionBy(*keys, b).orderBy(*order)
+    d = d.withColumns({**{f"{c}__pin": _last_within(F.col(c), w, True) for c in cols},
+                       **{f"{c}__nin": _first_within(F.col(c), w, True) for c in cols}})
+    packed = {c: F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("v")))
+              for c in cols}
+    summ = d.groupBy(*keys, b).agg(*[F.max(packed[c]).getField("v").alias(f"{c}__last") for c in cols],
+                                   *[F.min(packed[c]).getField("v").alias(f"{c}__first") for c in cols])
+    wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
+    summ = summ.select(*keys, b,
+                       *[F.last(F.col(f"{c}__last"), True).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__px")
+                         for c in cols],
+                       *[F.first(F.col(f"{c}__first"), True).over(wb.rowsBetween(1, UNB_FOLL)).alias(f"{c}__nx")
+                         for c in cols])
+    d = _join_back(d, summ, keys + [b])
+    d = d.withColumns({**{f"{c}__prev": F.coalesce(F.col(f"{c}__pin"), F.col(f"{c}__px")) for c in cols},
+                       **{f"{c}__next": F.coalesce(F.col(f"{c}__nin"), F.col(f"{c}__nx")) for c in cols}})
+    return d.drop(b, *[f"{c}__{x}" for c in cols for x in ("pin", "nin", "px", "nx")])
+
+
 def fill_meta(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
               bucket: Column | None = None) -> DataFrame:
     """W4 (bidirectional fill): own value -> last non-null before -> first non-null after.
-    Deterministic: the reference's random noise pass is replaced by ``bucket`` (exact)."""
-    d = carry(df, cols, keys, order, "forward", True, bucket, suffix="__prev")
-    d = carry(d, cols, keys, order, "backward", True, bucket, suffix="__next")
+    Deterministic: the reference's random noise pass is replaced by ``bucket`` (exact).
+    Both directions come from one pass (``carry_both``)."""
+    d = carry_both(df, cols, keys, order, bucket)
     d = d.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}__prev"), F.col(f"{c}__next")) for c in cols})
     return d.drop(*[f"{c}__prev" for c in cols], *[f"{c}__next" for c in cols])
 

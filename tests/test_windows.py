@@ -113,3 +113,13 @@ def test_bounded_carry_bucketed_equals_window(spark):
                 assert rows(a, "id", "v__carry") == rows(b, "id", "v__carry"), (direction, inc, n)
     rn = W.row_numbers(df, ["k"], ["t", "id"], bucket=F.floor(F.col("t") / 53))
     assert rows(rn, "id", "__rn") == rows(W.row_numbers(df, ["k"], ["t", "id"]), "id", "__rn")
+
+
+def test_carry_both_equals_two_carries(spark):
+    df = _series(spark, n=300, keys=3, seed=21)
+    for bucket in (None, F.floor(F.col("t") / 29)):
+        both = W.carry_both(df, ["v"], ["k"], ["t", "id"], bucket)
+        f = W.carry(df, ["v"], ["k"], ["t", "id"], "forward", True, None)
+        b = W.carry(df, ["v"], ["k"], ["t", "id"], "backward", True, None)
+        assert rows(both, "id", "v__prev") == rows(f, "id", "v__carry")
+        assert rows(both, "id", "v__next") == rows(b, "id", "v__carry")
