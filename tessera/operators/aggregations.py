@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import runtime_struct  # noqa: F401  (re-export for pipelines)
 
 
 def summarize_children(df: DataFrame, parent_keys: Sequence[str], order: str,

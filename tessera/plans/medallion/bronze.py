@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.columns import string_ts_to_epoch_ms
 from tessera.operators.schema import (SanitizeException, SanitizeRule, SchemaScrubber, cull_nested,
-                                      nested_col_exists, promote_struct, rebuild_struct, resolve_case_conflicts,
+                                      nested_col_exists, rebuild_struct, resolve_case_conflicts,
                                       scrub_schema, struct_col_to_map, struct_to_map)
 from tessera.operators.tables import new_files
 from tessera.sources.files import read_json_quarantine

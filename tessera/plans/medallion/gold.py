@@ -7,8 +7,6 @@ overlap operator; nothing here forms all pairs of a cluster's runs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

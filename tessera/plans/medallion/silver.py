@@ -7,13 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import ntz_from_epoch_ms, runtime_struct, to_ts
+from tessera.functions.columns import runtime_struct, to_ts
 from tessera.operators.joins import join_with_lag
 from tessera.operators.schema import map_to_struct, nested_col_exists, promote_struct
-from tessera.operators.windows import dedup_by_key, fill_forward, future_fill
+from tessera.operators.windows import dedup_by_key, future_fill
 
 # Fixed values (reference semantics): state names of the cluster state machine.
 RUNNING_STATES = ("STARTING", "INIT_SCRIPTS_STARTED", "RUNNING", "CREATING", "RESIZING", "UPSIZE_COMPLETED",
