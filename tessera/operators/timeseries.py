@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import epoch_us
-from tessera.operators.windows import carry
 
 _TIME_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.TimestampType,
                T.TimestampNTZType, T.DateType)
@@ -72,7 +71,8 @@ class TimeSeries:
     def lookup_when(self, right: "TimeSeries", left_prefix: str = "", right_prefix: str = "",
                     lookback_rows: int | None = None, lookahead_rows: int = 0,
                     slice_size: float | None = None, keep_right_rows: bool = False,
-                    right_tiebreak: Sequence[str] | None = None) -> DataFrame:
+                    right_tiebreak: Sequence[str] | None = None,
+                    left_tiebreak: Sequence[str] | None = None) -> DataFrame:
         """As-of lookup: every left row gets, for each right observation column, that
         column's own last non-null value at a strictly earlier position of the union
         (left rows sort before right rows at an equal time, so an exact-time right row is
@@ -82,9 +82,9 @@ class TimeSeries:
 
         ``slice_size`` (J3): split each series into time slices for skewed keys. The
         result is identical: each slice's last value is carried into later slices.
-        Slicing needs unbounded look-back and a look-ahead of 0, 1 or unbounded (one row
-        ahead is ``lead`` inside the slice and, for a slice's last row, the first row
-        of the next non-empty slice).
+        Slicing takes a look-back of 0 or unbounded and a look-ahead of 0, 1 or unbounded,
+        all computed in one slice pass (``lookaround``: one row ahead is ``lead`` inside
+        the slice and, for a slice's last row, the first row of the next non-empty slice).
         """
         if list(self.keys) != list(right.keys):
             raise ValueError("both sides need the same series keys")
@@ -109,25 +109,39 @@ class TimeSeries:
             c for c in rcols if isinstance(r.schema[c].dataType, (T.NumericType, T.StringType,
                                                                   T.TimestampType, T.TimestampNTZType,
                                                                   T.DateType, T.BooleanType))]
+        scalar = (T.NumericType, T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType, T.BooleanType)
+        ltb = list(left_tiebreak) if left_tiebreak is not None else [
+            c for c in lobs if isinstance(l.schema[c].dataType, scalar)]
         l2 = l.withColumn("__side", F.lit(0))
         r2 = r.withColumn("__side", F.lit(1))
+        # total order inside the union: time, side (left first), then each side's own
+        # columns, so ties (and the row a look-ahead sees) never depend on the shuffle
+        for i, c in enumerate(ltb):
+            l2 = l2.withColumn(f"__ltb{i}", F.col(c))
+            r2 = r2.withColumn(f"__ltb{i}", F.lit(None).cast(l.schema[c].dataType))
         for i, c in enumerate(tb):
             l2 = l2.withColumn(f"__tb{i}", F.lit(None).cast(r.schema[c].dataType))
             r2 = r2.withColumn(f"__tb{i}", F.col(c))
         u = l2.unionByName(r2, allowMissingColumns=True)
-        order = [ts, "__side"] + [f"__tb{i}" for i in range(len(tb))]
+        order = [ts, "__side"] + [f"__ltb{i}" for i in range(len(ltb))] + [f"__tb{i}" for i in range(len(tb))]
 
         if slice_size is not None:
-            if lookback_rows is not None or lookahead_rows not in (0, 1, None):
-                raise ValueError("time slicing needs unbounded look-back and look-ahead 0, 1 or None")
+            if lookback_rows not in (None, 0) or lookahead_rows not in (0, 1, None):
+                raise ValueError("time slicing needs look-back 0 or None and look-ahead 0, 1 or None")
+            from tessera.operators.windows import lookaround
             bucket = TimeSeries(u.select(ts, *keys), ts, keys).slice_bucket(slice_size)
-            u = u.withColumn("__b", bucket)
-            filled = carry(u, rcols, keys, order, "forward", True, F.col("__b"), suffix="__lb")
+            filled = lookaround(u, keys, order, bucket,
+                                last_nonnull=rcols if lookback_rows is None else (),
+                                first_nonnull=rcols if lookahead_rows is None else (),
+                                next_row=rcols if lookahead_rows == 1 else ())
+            filled = filled.withColumns({f"{c}__lb": (F.col(f"{c}__lnn") if lookback_rows is None else F.col(c))
+                                         for c in rcols})
             if lookahead_rows is None:
-                filled = carry(filled, rcols, keys, order, "backward", True, F.col("__b"), suffix="__la")
+                filled = filled.withColumns({f"{c}__la": F.col(f"{c}__fnn") for c in rcols})
             elif lookahead_rows == 1:
-                filled = _next_row_sliced(filled, rcols, keys, order, "__b")
-            filled = filled.drop("__b")
+                filled = filled.withColumns({f"{c}__la": F.coalesce(F.col(c), F.col(f"{c}__nx")) for c in rcols})
+            filled = filled.drop(*[f"{c}__{x}" for c in rcols for x in ("lnn", "fnn", "nx")
+                                   if f"{c}__{x}" in filled.columns])
         else:
             w = Window.partitionBy(*keys).orderBy(*order)
             lb = w.rowsBetween(Window.unboundedPreceding if lookback_rows is None else -lookback_rows, 0)
@@ -147,7 +161,8 @@ class TimeSeries:
             filled = filled.filter(F.col("__side") == 0)
         for c in both:
             filled = filled.withColumn(c, F.coalesce(F.col(c), F.col(ren[c])))
-        drop = ["__side"] + [f"__tb{i}" for i in range(len(tb))] + list(ren.values()) + \
+        drop = ["__side"] + [f"__tb{i}" for i in range(len(tb))] + [f"__ltb{i}" for i in range(len(ltb))] + \
+            list(ren.values()) + \
             [x for x in filled.columns if x.endswith("__lb") or x.endswith("__la")]
         filled = filled.drop(*drop)
         front = [ts] + keys + lobs
@@ -162,14 +177,5 @@ class TimeSeries:
                                 slice_size, keep_right_rows)
 
 
-def _next_row_sliced(d: DataFrame, cols: list[str], keys: list[str], order: list[str], b: str) -> DataFrame:
-    """``first(c, ignorenulls) over rows [current, 1 following]`` = ``coalesce(c, lead(c))``
-    with the slice-split ``lead`` of ``shift_one``."""
-    from tessera.operators.windows import shift_one
-    d = shift_one(d, cols, keys, order, "next", F.col(b), suffix="__nx")
-    d = d.withColumns({f"{c}__la": F.coalesce(F.col(c), F.col(f"{c}__nx")) for c in cols})
-    return d.drop(*[f"{c}__nx" for c in cols])
-
-
 def to_timeseries(df: DataFrame, ts: str, *keys: str) -> TimeSeries:
     return TimeSeries(df, ts, tuple(keys))

@@ -899,3 +899,99 @@ def q44(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     return W.row_delta(o, "o_totalprice", ["o_custkey"], ["o_orderdate", "o_orderkey"],
                        bucket=F.year("o_orderdate").cast("long"))
+
+
+# ------------------------------------------------------------------ q45 job-run cost fact
+
+_G4_UNTIL_MS = 1009843200000  # 2002-01-01, the "pipeline until time" of this query
+
+_Q45_SQL = f"""
+WITH ls AS (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1),
+st0 AS (SELECT o_custkey AS cluster_id, epoch_ms(o_orderdate) + o_orderkey AS state_start,
+               o_totalprice / 1000.0 AS cost FROM orders),
+st AS (SELECT cluster_id, state_start,
+              coalesce(lead(state_start) OVER (PARTITION BY cluster_id ORDER BY state_start) - 1,
+                       {_G4_UNTIL_MS}) AS state_end, cost FROM st0),
+st2 AS (SELECT *, (state_end - state_start) / 3600000.0 AS uptime_h FROM st),
+runs AS (SELECT o.o_orderkey AS run_id, o.o_custkey AS cluster_id,
+                epoch_ms(o.o_orderdate) + o.o_orderkey + 3600000 AS run_start,
+                greatest(epoch_ms(o.o_orderdate) + o.o_orderkey + 3600000,
+                         epoch_ms(ls.last_ship) + o.o_orderkey) AS run_end
+         FROM orders o JOIN ls ON o.o_orderkey = ls.l_orderkey),
+u1 AS (SELECT cluster_id, run_start AS ts, 0 AS side, run_id, CAST(NULL AS BIGINT) AS s_start FROM runs
+       UNION ALL SELECT cluster_id, state_start, 1, NULL, state_start FROM st2),
+i1 AS (SELECT *, coalesce(
+          last_value(s_start IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY ts, side, run_id, s_start
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+          first_value(s_start IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY ts, side, run_id, s_start
+                                                 ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING)) AS pick FROM u1),
+init AS (SELECT r.run_id, r.cluster_id, r.run_start, r.run_end, s.state_start, s.state_end, s.cost, s.uptime_h,
+                least(s.state_end, r.run_end) - r.run_start AS tis
+         FROM i1 JOIN runs r ON i1.run_id = r.run_id
+         JOIN st2 s ON s.cluster_id = i1.cluster_id AND s.state_start = i1.pick WHERE i1.side = 0),
+u2 AS (SELECT cluster_id, run_end AS ts, 0 AS side, run_id, CAST(NULL AS BIGINT) AS s_start FROM runs
+       UNION ALL SELECT cluster_id, state_end, 1, NULL, state_start FROM st2),
+t1 AS (SELECT *, first_value(s_start IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY ts, side, run_id, s_start
+                                                        ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS pick FROM u2),
+term AS (SELECT r.run_id, r.cluster_id, r.run_start, r.run_end, s.state_start, s.state_end, s.cost, s.uptime_h,
+                r.run_end - s.state_start AS tis
+         FROM t1 JOIN runs r ON t1.run_id = r.run_id
+         JOIN st2 s ON s.cluster_id = t1.cluster_id AND s.state_start = t1.pick
+         WHERE t1.side = 0 AND s.state_end >= r.run_end
+           AND NOT EXISTS (SELECT 1 FROM init i WHERE i.run_id = r.run_id AND i.state_start = s.state_start)),
+mid AS (SELECT r.run_id, r.cluster_id, r.run_start, r.run_end, s.state_start, s.state_end, s.cost, s.uptime_h,
+               s.state_end - s.state_start AS tis
+        FROM runs r JOIN st2 s ON r.cluster_id = s.cluster_id AND s.state_start > r.run_start AND s.state_end < r.run_end
+        WHERE NOT EXISTS (SELECT 1 FROM init i WHERE i.run_id = r.run_id AND i.state_start = s.state_start)
+          AND NOT EXISTS (SELECT 1 FROM term t WHERE t.run_id = r.run_id AND t.state_start = s.state_start)),
+rs AS (SELECT *, greatest(run_start, state_start) AS rss, least(run_end, state_end) AS rse
+       FROM (SELECT * FROM init UNION ALL SELECT * FROM term UNION ALL SELECT * FROM mid)),
+ov AS (SELECT a.run_id, a.cluster_id, a.state_start, a.state_end,
+              sum(greatest(0, least(a.rse, b.rse) - greatest(a.rss, b.rss))) AS cum,
+              count(*) FILTER (WHERE b.run_id <> a.run_id AND b.rss < a.rse AND b.rse > a.rss) AS n_ov
+       FROM rs a JOIN rs b ON a.cluster_id = b.cluster_id AND a.state_start = b.state_start
+                          AND a.state_end = b.state_end
+       GROUP BY a.run_id, a.cluster_id, a.state_start, a.state_end),
+f AS (SELECT rs.*, ov.n_ov,
+             CASE WHEN rs.uptime_h = 0 THEN NULL ELSE (rs.tis / 1000 / 3600) / rs.uptime_h END AS util,
+             coalesce(CASE WHEN ov.cum IS NULL OR ov.cum = 0 THEN 1.0
+                           ELSE least(CAST(rs.tis AS DOUBLE) / CAST(ov.cum AS DOUBLE), 1.0) END, 1.0) AS share
+      FROM rs LEFT JOIN ov ON rs.run_id = ov.run_id AND rs.cluster_id = ov.cluster_id
+                          AND rs.state_start = ov.state_start AND rs.state_end = ov.state_end)
+SELECT run_id, cluster_id, run_start, run_end,
+       greatest(round(sum(cost * util * share), 6), 0) AS driver_compute_cost,
+       greatest(round(sum(cost * util * share), 6), 0) AS total_cost,
+       count(*) AS cluster_states, max(coalesce(n_ov, 0)) AS max_overlapping_runs
+FROM f GROUP BY run_id, cluster_id, run_start, run_end
+"""
+
+
+@query("q45_job_run_cost_fact", _Q45_SQL)
+def q45(spark, d):
+    """G4 on the test tables: customers are clusters, consecutive orders are cluster
+    states (cost from the order total), each order's span up to its last shipment is a
+    run on its customer's cluster; overlapping runs share a state's cost."""
+    from tessera.plans.medallion.gold import job_run_cost_fact
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    start = epoch_ms("o_orderdate") + F.col("o_orderkey")
+    st = o.select(F.lit("o").alias("organization_id"), F.col("o_custkey").alias("cluster_id"),
+                  start.alias("unixTimeMS_state_start"), (F.col("o_totalprice") / 1000.0).alias("cost"))
+    st = W.shift_one(st, ["unixTimeMS_state_start"], ["organization_id", "cluster_id"], ["unixTimeMS_state_start"],
+                     "next", bucket=F.floor(F.col("unixTimeMS_state_start") / F.lit(365 * DAY_S * 1000.0)).cast("long"),
+                     suffix="__next")
+    end = F.coalesce(F.col("unixTimeMS_state_start__next") - 1, F.lit(_G4_UNTIL_MS))
+    fact = st.select("organization_id", "cluster_id", "unixTimeMS_state_start", end.alias("unixTimeMS_state_end"),
+                     F.lit("RUNNING").alias("state"),
+                     ((end - F.col("unixTimeMS_state_start")) / 3600000.0).alias("uptime_in_state_H"),
+                     F.lit(0.0).alias("worker_potential_core_H"), F.col("cost").alias("driver_compute_cost"),
+                     F.lit(0.0).alias("driver_dbu_cost"), F.lit(0.0).alias("worker_compute_cost"),
+                     F.lit(0.0).alias("worker_dbu_cost"))
+    last = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
+    rstart = epoch_ms("o_orderdate") + F.col("o_orderkey") + 3600000
+    runs = o.join(last, o.o_orderkey == last.l_orderkey).select(
+        F.lit("o").alias("organization_id"), F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("cluster_id"),
+        F.lit("existing").alias("cluster_type"), rstart.alias("run_start_ms"),
+        F.greatest(rstart, epoch_ms("last_ship") + F.col("o_orderkey")).alias("run_end_ms"))
+    out = job_run_cost_fact(fact, runs, _G4_UNTIL_MS, overlap_mode="exact", slice_ms=365 * DAY_S * 1000.0)
+    return out.select("run_id", "cluster_id", "run_start", "run_end", "driver_compute_cost", "total_cost",
+                      "cluster_states", "max_overlapping_runs")

@@ -108,7 +108,8 @@ COST_COLS = ("driver_compute_cost", "driver_dbu_cost", "worker_compute_cost", "w
 
 
 def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, overlap_mode: str = "exact",
-                      month_bucket_ms: int = 30 * 86_400_000, slice_ms: float | None = None) -> DataFrame:
+                      month_bucket_ms: int = 30 * 86_400_000, slice_ms: float | None = None,
+                      materialize: bool = True) -> DataFrame:
     """What each job run cost, with runs sharing an interactive cluster splitting
     each state's cost.
 
@@ -120,13 +121,20 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
     join) minus both. Share: ``state_utilization = time_in_state_H / uptime_H``;
     interactive ``run_share = min(time_in_state / cumulative overlap, 1)`` (overlap
     exact by sweep, or the reference's three-branch formula). Costs x both, rolled up
-    per run (6 dp, floored at 0)."""
+    per run (6 dp, floored at 0).
+
+    ``materialize``: the states and runs each feed three branches and the run-state
+    rows two more, so each is written once to the shared checkpoint folder (reliable
+    ``checkpoint``) instead of being recomputed per branch."""
+    from tessera.session import cut_lineage
+    cut = cut_lineage if (materialize or slice_ms) else (lambda x: x)
     st = state_fact.filter(F.col("unixTimeMS_state_end").isNotNull()).select(
         ORG, CLUSTER, F.col("unixTimeMS_state_start").alias("state_start"),
         F.col("unixTimeMS_state_end").alias("state_end"), "state", "uptime_in_state_H",
         "worker_potential_core_H", *COST_COLS)
     r = runs.select(ORG, "run_id", CLUSTER, "cluster_type", F.col("run_start_ms").alias("run_start"),
                     F.coalesce("run_end_ms", F.lit(until_ms)).alias("run_end"))
+    st, r = cut(st), cut(r)
     st_cols = [c for c in st.columns if c not in (ORG, CLUSTER)]
     # initial
     init = TimeSeries(r.withColumn("ts", F.col("run_start")), "ts", (ORG, CLUSTER)).lookup_when(
@@ -139,7 +147,7 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
     # terminal
     term = TimeSeries(r.withColumn("ts", F.col("run_end")), "ts", (ORG, CLUSTER)).lookup_when(
         TimeSeries(st.withColumn("ts", F.col("state_end")), "ts", (ORG, CLUSTER)), lookback_rows=0,
-        lookahead_rows=1).drop("ts")
+        lookahead_rows=1, slice_size=slice_ms).drop("ts")
     term = term.filter(F.col("state_end") >= F.col("run_end"))
     term = term.join(init.select("run_id", "state_start"), ["run_id", "state_start"], "left_anti")
     term = term.withColumn("time_in_state_ms", F.col("run_end") - F.col("state_start")).withColumn(
@@ -154,9 +162,7 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
     rs = init.select(*cols).unionByName(term.select(*cols)).unionByName(mid.select(*cols))
     rs = rs.withColumns({"run_state_start": F.greatest("run_start", "state_start"),
                          "run_state_end": F.least("run_end", "state_end")})
-    if slice_ms:  # the run-state rows feed the overlap sweep and the cost split
-        from tessera.session import cut_lineage
-        rs = cut_lineage(rs)
+    rs = cut(rs)  # the run-state rows feed the overlap sweep and the cost split
     inter = rs.filter(F.col("cluster_type") == "existing")
     grp = [ORG, CLUSTER, "state_start", "state_end"]
     if overlap_mode == "exact":

@@ -71,3 +71,14 @@ def test_sliced_lookahead_one_equals_unsliced(spark):
     right = spark.createDataFrame([(3, 1, "a"), (7, 1, "b")], "t int, k int, v string")
     out = TimeSeries(left, "t", ("k",)).lookup_when(TimeSeries(right, "t", ("k",)), lookahead_rows=1, slice_size=2)
     assert rows(out, "t", "v") == [(1, "a"), (5, "a")]
+
+
+def test_sliced_lookback_zero_and_unbounded_ahead(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    p = TimeSeries(ev.filter("event_type = 'purchase'").select("user_id", "ts", "event_id"), "ts", ("user_id",))
+    v = TimeSeries(ev.filter("event_type = 'view'").select("user_id", "ts", F.col("value").alias("vv")),
+                   "ts", ("user_id",))
+    for lb, la in ((0, 1), (None, None), (0, None), (None, 0)):
+        a = rows(p.lookup_when(v, lookback_rows=lb, lookahead_rows=la))
+        b = rows(p.lookup_when(v, lookback_rows=lb, lookahead_rows=la, slice_size=7200))
+        assert a == b, (lb, la)
