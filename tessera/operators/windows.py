@@ -273,24 +273,38 @@ def carry_both(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: S
     return d.drop(b, *[f"{c}__{x}" for c in cols for x in ("pin", "nin", "px", "nx")])
 
 
-def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None = None,
                last_nonnull: Sequence[str] = (), first_nonnull: Sequence[str] = (),
-               next_row: Sequence[str] = (), prev_row: Sequence[str] = ()) -> DataFrame:
-    """Several slice-split look-arounds in ONE pass over ``(keys, slice)``:
+               next_row: Sequence[str] = (), prev_row: Sequence[str] = (),
+               last_nonnull_before: Sequence[str] = (), first_nonnull_after: Sequence[str] = ()) -> DataFrame:
+    """Several look-arounds in ONE pass over ``keys`` (``bucket`` = time/id slices):
 
-    * ``<c>__lnn``: last non-null at/before the row (forward carry);
-    * ``<c>__fnn``: first non-null at/after the row (backward carry);
+    * ``<c>__lnn`` / ``<c>__lnb``: last non-null at/before the row, strictly before it;
+    * ``<c>__fnn`` / ``<c>__fna``: first non-null at/after the row, strictly after it;
     * ``<c>__nx``: the next row's value (``lead``); ``<c>__pv``: the previous row's (``lag``).
 
-    One window node, one per-slice summary (last/first non-null, first/last row), one
-    small window over the slice table and one join back - equal to the plain windows."""
+    With a bucket: one window node per ``(key, slice)``, one per-slice summary (last/first
+    non-null, first/last row), one small window over the slice table, one join back -
+    equal to the plain windows. Without: plain windows over the key."""
     keys, order = list(keys), list(order)
+    if bucket is None:
+        w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(*order)
+        cols = {}
+        cols.update({f"{c}__lnn": _last_within(F.col(c), w, True) for c in last_nonnull})
+        cols.update({f"{c}__lnb": _last_within(F.col(c), w, False) for c in last_nonnull_before})
+        cols.update({f"{c}__fnn": _first_within(F.col(c), w, True) for c in first_nonnull})
+        cols.update({f"{c}__fna": _first_within(F.col(c), w, False) for c in first_nonnull_after})
+        cols.update({f"{c}__nx": F.lead(F.col(c), 1).over(w) for c in next_row})
+        cols.update({f"{c}__pv": F.lag(F.col(c), 1).over(w) for c in prev_row})
+        return df.withColumns(cols)
     b = "__bucket"
     d = df.withColumn(b, bucket)
     w = Window.partitionBy(*keys, b).orderBy(*order)
+    fwd = [(c, "lnn", True) for c in last_nonnull] + [(c, "lnb", False) for c in last_nonnull_before]
+    bwd = [(c, "fnn", True) for c in first_nonnull] + [(c, "fna", False) for c in first_nonnull_after]
     cols = {}
-    cols.update({f"{c}__lnn_in": _last_within(F.col(c), w, True) for c in last_nonnull})
-    cols.update({f"{c}__fnn_in": _first_within(F.col(c), w, True) for c in first_nonnull})
+    cols.update({f"{c}__{t}_in": _last_within(F.col(c), w, inc) for c, t, inc in fwd})
+    cols.update({f"{c}__{t}_in": _first_within(F.col(c), w, inc) for c, t, inc in bwd})
     cols.update({f"{c}__nx_in": F.lead(F.col(c), 1).over(w) for c in next_row})
     cols.update({f"{c}__pv_in": F.lag(F.col(c), 1).over(w) for c in prev_row})
     if next_row:
@@ -299,11 +313,12 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
         cols["__is_first"] = F.lag(F.lit(1), 1).over(w).isNull()
     d = d.withColumns(cols)
     ordc = [F.col(o) for o in order]
-    aggs = []
-    aggs += [F.max(F.when(F.col(c).isNotNull(), F.struct(*ordc, F.col(c).alias("v")))).getField("v")
-             .alias(f"{c}__lnn_s") for c in last_nonnull]
-    aggs += [F.min(F.when(F.col(c).isNotNull(), F.struct(*ordc, F.col(c).alias("v")))).getField("v")
-             .alias(f"{c}__fnn_s") for c in first_nonnull]
+    fcols = sorted({c for c, _, _ in fwd})
+    bcols = sorted({c for c, _, _ in bwd})
+    aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(*ordc, F.col(c).alias("v")))).getField("v").alias(f"{c}__ls")
+            for c in fcols]
+    aggs += [F.min(F.when(F.col(c).isNotNull(), F.struct(*ordc, F.col(c).alias("v")))).getField("v").alias(f"{c}__fs")
+             for c in bcols]
     if next_row:
         aggs.append(F.min(F.struct(*ordc, *[F.col(c).alias(f"v{i}") for i, c in enumerate(next_row)])).alias("__frow"))
     if prev_row:
@@ -311,27 +326,35 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     summ = d.groupBy(*keys, b).agg(*aggs)
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     sel = [*keys, b]
-    sel += [F.last(F.col(f"{c}__lnn_s"), True).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__lnn_x")
-            for c in last_nonnull]
-    sel += [F.first(F.col(f"{c}__fnn_s"), True).over(wb.rowsBetween(1, UNB_FOLL)).alias(f"{c}__fnn_x")
-            for c in first_nonnull]
+    sel += [F.last(F.col(f"{c}__ls"), True).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__lx") for c in fcols]
+    sel += [F.first(F.col(f"{c}__fs"), True).over(wb.rowsBetween(1, UNB_FOLL)).alias(f"{c}__fx") for c in bcols]
     sel += [F.lead(F.col("__frow").getField(f"v{i}"), 1).over(wb).alias(f"{c}__nx_x") for i, c in enumerate(next_row)]
     sel += [F.lag(F.col("__lrow").getField(f"v{i}"), 1).over(wb).alias(f"{c}__pv_x") for i, c in enumerate(prev_row)]
     d = _join_back(d, summ.select(*sel), keys + [b])
     out = {}
-    out.update({f"{c}__lnn": F.coalesce(F.col(f"{c}__lnn_in"), F.col(f"{c}__lnn_x")) for c in last_nonnull})
-    out.update({f"{c}__fnn": F.coalesce(F.col(f"{c}__fnn_in"), F.col(f"{c}__fnn_x")) for c in first_nonnull})
+    out.update({f"{c}__{t}": F.coalesce(F.col(f"{c}__{t}_in"), F.col(f"{c}__lx")) for c, t, _ in fwd})
+    out.update({f"{c}__{t}": F.coalesce(F.col(f"{c}__{t}_in"), F.col(f"{c}__fx")) for c, t, _ in bwd})
     out.update({f"{c}__nx": F.when(F.col("__is_last"), F.col(f"{c}__nx_x")).otherwise(F.col(f"{c}__nx_in"))
                 for c in next_row})
     out.update({f"{c}__pv": F.when(F.col("__is_first"), F.col(f"{c}__pv_x")).otherwise(F.col(f"{c}__pv_in"))
                 for c in prev_row})
     d = d.withColumns(out)
-    tmp = [b, "__is_last", "__is_first"] + [f"{c}__{x}" for c in last_nonnull for x in ("lnn_in", "lnn_x")] + \
-        [f"{c}__{x}" for c in first_nonnull for x in ("fnn_in", "fnn_x")] + \
+    tmp = [b, "__is_last", "__is_first"] + [f"{c}__{t}_in" for c, t, _ in fwd + bwd] + \
+        [f"{c}__lx" for c in fcols] + [f"{c}__fx" for c in bcols] + \
         [f"{c}__{x}" for c in next_row for x in ("nx_in", "nx_x")] + [f"{c}__{x}" for c in prev_row for x in ("pv_in", "pv_x")]
     return d.drop(*[t for t in tmp if t in d.columns])
 
 
+def within_rows(rn: str, pair: Column, max_rows: int, forward: bool) -> Column:
+    """Value of a carried (row number, value) pair when it lies within ``max_rows`` rows."""
+    dist = (F.col(rn) - pair.getField("rn")) if forward else (pair.getField("rn") - F.col(rn))
+    return F.when(dist <= max_rows, pair.getField("v"))
+
+
+def as_pair(rn: str, c: str) -> Column:
+    return F.when(F.col(c).isNotNull(), F.struct(F.col(rn).alias("rn"), F.col(c).alias("v")))
+
+
 def fill_meta(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
               bucket: Column | None = None) -> DataFrame:
     """W4 (bidirectional fill): own value -> last non-null before -> first non-null after.

@@ -995,3 +995,95 @@ def q45(spark, d):
     out = job_run_cost_fact(fact, runs, _G4_UNTIL_MS, overlap_mode="exact", slice_ms=365 * DAY_S * 1000.0)
     return out.select("run_id", "cluster_id", "run_start", "run_end", "driver_compute_cost", "total_cost",
                       "cluster_states", "max_overlapping_runs")
+
+
+# ------------------------------------------------------------------ q46 cluster state machine (V10: W10 + W11)
+
+_V10_UNTIL_MS = 1706745600000  # 2024-02-01
+
+_Q46_SQL = f"""
+WITH e AS (
+  SELECT user_id AS cluster_id, epoch_us(ts) // 1000 AS timestamp,
+         CASE event_type WHEN 'signup' THEN 'CREATING' WHEN 'purchase' THEN 'STARTING'
+              WHEN 'error' THEN 'TERMINATING' WHEN 'view' THEN 'RUNNING' ELSE 'RESIZING' END AS state,
+         CASE WHEN event_type IN ('signup', 'purchase') THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END
+           AS size_workers,
+         CASE WHEN event_type = 'view' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS cur,
+         CASE WHEN event_type = 'click' THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS tgt
+  FROM events),
+s1 AS (SELECT *, CASE WHEN state = 'TERMINATING' THEN false WHEN state IN ('CREATING', 'STARTING') THEN true END AS sw
+       FROM e),
+s2 AS (SELECT *, CASE WHEN sw IS NOT NULL THEN last_value(sw IGNORE NULLS) OVER (
+         PARTITION BY cluster_id ORDER BY timestamp, state ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS prev_sw
+       FROM s1),
+s3 AS (SELECT *, lead(sw) OVER w AS nsw, lead(prev_sw) OVER w AS nprev
+       FROM s2 WINDOW w AS (PARTITION BY cluster_id ORDER BY timestamp, state)),
+x AS (SELECT cluster_id, timestamp, state, sw, size_workers, cur, tgt, false AS imputed FROM s3
+      UNION ALL
+      SELECT cluster_id, timestamp + 1, 'TERMINATING', NULL, size_workers, cur, tgt, true FROM s3
+      WHERE nsw IS NOT NULL AND nsw = nprev),
+r1 AS (SELECT *, coalesce(CASE WHEN imputed THEN false END, sw,
+         last_value(sw IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
+                                           ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING),
+         NOT first_value(sw IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
+                                                ROWS BETWEEN 1 FOLLOWING AND 1000 FOLLOWING)) AS run0 FROM x),
+r2 AS (SELECT *, CASE WHEN run0 IS NULL AND state IN ('STARTING', 'INIT_SCRIPTS_STARTED', 'RUNNING', 'CREATING',
+                                                      'RESIZING', 'UPSIZE_COMPLETED', 'DRIVER_HEALTHY')
+                      THEN true ELSE run0 END AS run1 FROM r1),
+r3 AS (SELECT *, coalesce(run1,
+         last_value(run1 IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
+                                             ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING),
+         NOT first_value(run1 IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
+                                                  ROWS BETWEEN 1 FOLLOWING AND 1000 FOLLOWING), false) AS is_running
+       FROM r2),
+w1 AS (SELECT *, coalesce(cur, size_workers) AS size FROM r3),
+w2 AS (SELECT *, last_value(size IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
+                                                     ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING) AS size_back FROM w1),
+w3 AS (SELECT *, CASE WHEN NOT is_running THEN 0 ELSE coalesce(size, size_back, 0) END AS current_num_workers FROM w2),
+w4 AS (SELECT *, CASE WHEN NOT is_running THEN 0 WHEN state = 'CREATING' THEN coalesce(size_workers, 0)
+                      ELSE coalesce(tgt, current_num_workers, 0) END AS target_num_workers FROM w3),
+z1 AS (SELECT *, lag(state) OVER w AS prev_state, lead(timestamp) OVER w AS next_ts
+       FROM w4 WINDOW w AS (PARTITION BY cluster_id ORDER BY timestamp, imputed, state)),
+z2 AS (SELECT *, CASE WHEN prev_state IN ('TERMINATING', 'RESTARTING', 'EDITED') OR NOT is_running THEN 1 ELSE 0 END
+                   AS counter_reset,
+              coalesce(next_ts - 1, {_V10_UNTIL_MS}) AS state_end FROM z1),
+z3 AS (SELECT *, CAST(sum(counter_reset) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+                   AS reset_partition FROM z2),
+z4 AS (SELECT *, state_end - timestamp AS up_ms,
+              sum(state_end - timestamp) OVER (PARTITION BY cluster_id, reset_partition
+                                               ORDER BY timestamp, imputed, state
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS since_ms FROM z3)
+SELECT cluster_id, timestamp, state, is_running, current_num_workers, target_num_workers, counter_reset,
+       reset_partition, state_end AS unixTimeMS_state_end, up_ms / 1000 AS uptime_in_state_S,
+       CASE WHEN counter_reset = 1 THEN 0.0 ELSE CAST(coalesce(since_ms, 0) AS BIGINT) / 1000 END AS uptime_since_restart_S,
+       is_running AS cloud_billable,
+       is_running AND state NOT IN ('STARTING', 'TERMINATING', 'CREATING', 'RESTARTING') AS databricks_billable,
+       CAST(abs(date_diff('day', CAST(make_timestamp(CAST(floor(timestamp / 1000) AS BIGINT) * 1000000) AS DATE),
+                          CAST(make_timestamp(CAST(floor(state_end / 1000) AS BIGINT) * 1000000) AS DATE))) + 1
+            AS INTEGER) AS days_in_state
+FROM z4
+"""
+
+
+@query("q46_cluster_state_machine", _Q46_SQL)
+def q46(spark, d):
+    """V10 on the test tables: each user is a cluster and its events are cluster events
+    (signup = CREATING, purchase = STARTING, error = TERMINATING, view = RUNNING,
+    click = RESIZING; worker counts from ``props.k``)."""
+    from tessera.plans.medallion.silver import cluster_state_detail
+    ev = table(spark, d, "events")
+    k = F.get_json_object("props", "$.k").cast("long")
+    et = F.col("event_type")
+    state = (F.when(et == "signup", "CREATING").when(et == "purchase", "STARTING").when(et == "error", "TERMINATING")
+             .when(et == "view", "RUNNING").otherwise("RESIZING"))
+    details = F.struct(
+        F.struct(F.lit(None).cast("struct<max_workers:bigint,min_workers:bigint>").alias("autoscale"),
+                 F.when(et.isin("signup", "purchase"), k).alias("num_workers")).alias("cluster_size"),
+        F.when(et == "view", k).alias("current_num_workers"), F.when(et == "click", k).alias("target_num_workers"))
+    events = ev.select(F.lit("o").alias("organization_id"), F.col("user_id").alias("cluster_id"),
+                       epoch_ms("ts").alias("timestamp"), state.alias("type"), details.alias("details"))
+    out = cluster_state_detail(events, _V10_UNTIL_MS, slice_ms=7 * DAY_S * 1000.0)
+    return out.select("cluster_id", "timestamp", "state", "is_running", "current_num_workers", "target_num_workers",
+                      "counter_reset", "reset_partition", "unixTimeMS_state_end", "uptime_in_state_S",
+                      "uptime_since_restart_S", "cloud_billable", "databricks_billable", "days_in_state")

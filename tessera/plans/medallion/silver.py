@@ -83,74 +83,73 @@ def cluster_state_detail(events: DataFrame, until_ms: int, slice_ms: float | Non
     STARTING without TERMINATING) gets one imputed TERMINATING row 1 ms after the row.
     The look-arounds are bounded to 1000 rows as in the reference.
 
-    Every window step is a library operator (carry, bounded carry, one-row shift,
-    running sum), so ``slice_ms`` splits a cluster's events into time slices and a
-    very busy cluster is never one task; the result equals the unsliced plan.
+    Plan: one look-around pass before the imputation and five after it (row numbers;
+    switch/size/state/timestamp look-arounds; running-flag look-arounds; two running
+    sums). Bounded frames are carried (row number, value) pairs checked for distance.
+    ``slice_ms`` splits every pass by time slice, so a very busy cluster is never one
+    task; between sliced passes the lineage is checkpointed. Sliced equals unsliced.
     """
-    from tessera.operators.windows import carry, carry_within_rows, running_sum, shift_one
+    from tessera.operators.windows import as_pair, lookaround, row_numbers, running_sum, within_rows
     from tessera.session import cut_lineage
     k = list(CLUSTER_KEYS)
     bucket = (lambda: F.floor(F.col("timestamp") / F.lit(float(slice_ms))).cast("long")) if slice_ms else (
         lambda: None)
-    # each slice-split step reads its input twice (rows + per-slice summary); chained
-    # steps would double the plan each time, so sliced mode checkpoints between steps
     cut = cut_lineage if slice_ms else (lambda x: x)
     d = promote_struct(events, "details").withColumnRenamed("type", "state")
-    o1 = ["timestamp", "state"]
     d = d.withColumn("running_switch", F.when(F.col("state") == "TERMINATING", F.lit(False))
                      .when(F.col("state").isin("CREATING", "STARTING"), F.lit(True)))
-    d = cut(carry(d, ["running_switch"], k, o1, "forward", include_current=False, bucket=bucket(), suffix="__before"))
-    d = d.withColumn("previous_switch", F.when(F.col("running_switch").isNotNull(), F.col("running_switch__before"))
-                     ).drop("running_switch__before")
-    d = cut(shift_one(d, ["running_switch", "previous_switch"], k, o1, "next", bucket(), suffix="__next"))
-    invalid = F.col("running_switch__next").isNotNull() & (F.col("running_switch__next") == F.col("previous_switch__next"))
+    # the next row's "previous switch" is the last switch up to and including this row
+    d = cut(lookaround(d, k, ["timestamp", "state"], bucket(), last_nonnull=["running_switch"],
+                       next_row=["running_switch"]))
+    invalid = (F.col("running_switch__nx").isNotNull()
+               & (F.col("running_switch__nx") == F.col("running_switch__lnn")))
     d = d.withColumn("__copies", F.when(invalid, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
-    d = d.select("*", F.explode("__copies").alias("imputed")).drop("__copies", "running_switch__next",
-                                                                   "previous_switch__next")
+    d = d.select("*", F.explode("__copies").alias("imputed")).drop("__copies", "running_switch__nx",
+                                                                   "running_switch__lnn")
     d = d.withColumns({"state": F.when(F.col("imputed"), F.lit("TERMINATING")).otherwise(F.col("state")),
                        "timestamp": F.when(F.col("imputed"), F.col("timestamp") + 1).otherwise(F.col("timestamp")),
                        "running_switch": F.when(F.col("imputed"), F.lit(None).cast("boolean"))
-                       .otherwise(F.col("running_switch"))})
+                       .otherwise(F.col("running_switch")),
+                       "__size": F.coalesce(F.col("current_num_workers"), F.col("cluster_size.num_workers"),
+                                            F.col("cluster_size.autoscale.min_workers"))})
     o2 = ["timestamp", "imputed", "state"]
-    d = cut(carry_within_rows(d, ["running_switch"], k, o2, 1000, "forward", False, bucket(), suffix="__back"))
-    d = cut(carry_within_rows(d, ["running_switch"], k, o2, 1000, "backward", False, bucket(), suffix="__ahead"))
-    run = F.coalesce(F.when(F.col("imputed"), F.lit(False)), F.col("running_switch"), F.col("running_switch__back"),
-                     ~F.col("running_switch__ahead"))
-    d = d.withColumn("is_running", F.when(run.isNull() & F.col("state").isin(*RUNNING_STATES), F.lit(True))
-                     .otherwise(run))
-    d = cut(carry_within_rows(d, ["is_running"], k, o2, 1000, "forward", False, bucket(), suffix="__back"))
-    d = cut(carry_within_rows(d, ["is_running"], k, o2, 1000, "backward", False, bucket(), suffix="__ahead"))
-    d = d.withColumn("is_running", F.coalesce(F.col("is_running"), F.col("is_running__back"),
-                                              ~F.col("is_running__ahead"), F.lit(False)))
-    d = d.withColumn("__size", F.coalesce(F.col("current_num_workers"), F.col("cluster_size.num_workers"),
-                                          F.col("cluster_size.autoscale.min_workers")))
-    d = cut(carry_within_rows(d, ["__size"], k, o2, 1000, "forward", False, bucket(), suffix="__back"))
+    d = cut(row_numbers(d, k, o2, bucket(), out="__rn"))
+    d = d.withColumns({"__psw": as_pair("__rn", "running_switch"), "__psz": as_pair("__rn", "__size")})
+    d = cut(lookaround(d, k, o2, bucket(), last_nonnull_before=["__psw", "__psz"], first_nonnull_after=["__psw"],
+                       prev_row=["state"], next_row=["timestamp"]))
+    run = F.coalesce(F.when(F.col("imputed"), F.lit(False)), F.col("running_switch"),
+                     within_rows("__rn", F.col("__psw__lnb"), 1000, True),
+                     ~within_rows("__rn", F.col("__psw__fna"), 1000, False))
+    d = d.withColumn("__run1", F.when(run.isNull() & F.col("state").isin(*RUNNING_STATES), F.lit(True)).otherwise(run))
+    d = d.withColumn("__prun", as_pair("__rn", "__run1"))
+    d = cut(lookaround(d, k, o2, bucket(), last_nonnull_before=["__prun"], first_nonnull_after=["__prun"]))
+    d = d.withColumn("is_running", F.coalesce(F.col("__run1"), within_rows("__rn", F.col("__prun__lnb"), 1000, True),
+                                              ~within_rows("__rn", F.col("__prun__fna"), 1000, False), F.lit(False)))
+    size_back = within_rows("__rn", F.col("__psz__lnb"), 1000, True)
     d = d.withColumn("current_num_workers", F.coalesce(
-        F.when(~F.col("is_running"), F.lit(None).cast("long")).otherwise(
-            F.coalesce(F.col("__size"), F.col("__size__back"))), F.lit(0).cast("long")))
+        F.when(~F.col("is_running"), F.lit(None).cast("long")).otherwise(F.coalesce(F.col("__size"), size_back)),
+        F.lit(0).cast("long")))
     d = d.withColumn("target_num_workers", F.coalesce(
         F.when(~F.col("is_running"), F.lit(None).cast("long"))
          .when(F.col("state") == "CREATING", F.coalesce(F.col("cluster_size.num_workers"),
                                                         F.col("cluster_size.autoscale.min_workers")))
          .otherwise(F.coalesce(F.col("target_num_workers"), F.col("current_num_workers"))), F.lit(0).cast("long")))
-    d = d.select(*k, "is_running", "imputed", "timestamp", "state", "current_num_workers", "target_num_workers")
     # Resets, state ends, uptimes
-    d = cut(shift_one(d, ["state", "timestamp"], k, o2, "previous", bucket(), suffix="__prev"))
-    d = cut(shift_one(d, ["timestamp"], k, o2, "next", bucket(), suffix="__next"))
-    d = d.withColumn("counter_reset", F.when(F.col("state__prev").isin(*RESET_AFTER_STATES) | ~F.col("is_running"), 1)
-                     .otherwise(0))
-    d = cut(running_sum(d, "counter_reset", k, o2, out="reset_partition", bucket=bucket()))
     d = d.withColumns({
+        "counter_reset": F.when(F.col("state__pv").isin(*RESET_AFTER_STATES) | ~F.col("is_running"), 1).otherwise(0),
         "unixTimeMS_state_start": F.col("timestamp"),
-        "unixTimeMS_state_end": F.coalesce(F.col("timestamp__next") - 1, F.lit(until_ms)),
-    }).drop("state__prev", "timestamp__prev", "timestamp__next")
+        "unixTimeMS_state_end": F.coalesce(F.col("timestamp__nx") - 1, F.lit(until_ms)),
+    })
+    d = d.select(*k, "is_running", "imputed", "timestamp", "state", "current_num_workers", "target_num_workers",
+                 "counter_reset", "unixTimeMS_state_start", "unixTimeMS_state_end")
+    d = cut(running_sum(d, "counter_reset", k, o2, out="reset_partition", bucket=bucket()))
+    d = d.withColumn("__uptime_ms", F.col("unixTimeMS_state_end") - F.col("unixTimeMS_state_start"))
+    d = running_sum(d, "__uptime_ms", k + ["reset_partition"], o2, out="__since_ms", bucket=bucket())
     d = d.withColumns({
         "timestamp_state_start": to_ts("unixTimeMS_state_start", ntz=True),
         "timestamp_state_end": to_ts("unixTimeMS_state_end", ntz=True),
         "uptime_in_state_S": (F.col("unixTimeMS_state_end") - F.col("unixTimeMS_state_start")) / 1000,
-        "__uptime_ms": F.col("unixTimeMS_state_end") - F.col("unixTimeMS_state_start"),
     })
-    d = cut(running_sum(d, "__uptime_ms", k + ["reset_partition"], o2, out="__since_ms", bucket=bucket()))
     d = d.withColumns({
         "state_start_date": F.to_date("timestamp_state_start"),
         "uptime_since_restart_S": F.when(F.col("counter_reset") == 1, F.lit(0.0)).otherwise(
