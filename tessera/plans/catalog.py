@@ -992,7 +992,8 @@ def q45(spark, d):
         F.lit("o").alias("organization_id"), F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("cluster_id"),
         F.lit("existing").alias("cluster_type"), rstart.alias("run_start_ms"),
         F.greatest(rstart, epoch_ms("last_ship") + F.col("o_orderkey")).alias("run_end_ms"))
-    out = job_run_cost_fact(fact, runs, _G4_UNTIL_MS, overlap_mode="exact", slice_ms=365 * DAY_S * 1000.0)
+    out = job_run_cost_fact(fact, runs, _G4_UNTIL_MS, overlap_mode="exact", slice_ms=365 * DAY_S * 1000.0,
+                            month_bucket_ms=365 * DAY_S * 1000)
     return out.select("run_id", "cluster_id", "run_start", "run_end", "driver_compute_cost", "total_cost",
                       "cluster_states", "max_overlapping_runs")
 
