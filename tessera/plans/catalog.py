@@ -1073,6 +1073,13 @@ def q46(spark, d):
     (signup = CREATING, purchase = STARTING, error = TERMINATING, view = RUNNING,
     click = RESIZING; worker counts from ``props.k``)."""
     from tessera.plans.medallion.silver import cluster_state_detail
+    out = cluster_state_detail(_events_as_cluster_events(spark, d), _V10_UNTIL_MS, slice_ms=7 * DAY_S * 1000.0)
+    return out.select("cluster_id", "timestamp", "state", "is_running", "current_num_workers", "target_num_workers",
+                      "counter_reset", "reset_partition", "unixTimeMS_state_end", "uptime_in_state_S",
+                      "uptime_since_restart_S", "cloud_billable", "databricks_billable", "days_in_state")
+
+
+def _events_as_cluster_events(spark, d):
     ev = table(spark, d, "events")
     k = F.get_json_object("props", "$.k").cast("long")
     et = F.col("event_type")
@@ -1082,9 +1089,129 @@ def q46(spark, d):
         F.struct(F.lit(None).cast("struct<max_workers:bigint,min_workers:bigint>").alias("autoscale"),
                  F.when(et.isin("signup", "purchase"), k).alias("num_workers")).alias("cluster_size"),
         F.when(et == "view", k).alias("current_num_workers"), F.when(et == "click", k).alias("target_num_workers"))
-    events = ev.select(F.lit("o").alias("organization_id"), F.col("user_id").alias("cluster_id"),
-                       epoch_ms("ts").alias("timestamp"), state.alias("type"), details.alias("details"))
-    out = cluster_state_detail(events, _V10_UNTIL_MS, slice_ms=7 * DAY_S * 1000.0)
-    return out.select("cluster_id", "timestamp", "state", "is_running", "current_num_workers", "target_num_workers",
-                      "counter_reset", "reset_partition", "unixTimeMS_state_end", "uptime_in_state_S",
-                      "uptime_since_restart_S", "cloud_billable", "databricks_billable", "days_in_state")
+    return ev.select(F.lit("o").alias("organization_id"), F.col("user_id").alias("cluster_id"),
+                     epoch_ms("ts").alias("timestamp"), state.alias("type"), details.alias("details"))
+
+
+# ------------------------------------------------------------------ q47 cluster state cost fact
+
+# The node price list used by q47 (a small dimension, like the reference's
+# instance-details CSV): node type, vCPUs, usage units per hour, compute price per hour.
+_Q47_NODES = (("small", 4, 1.0, 0.2), ("medium", 8, 2.0, 0.4), ("large", 16, 4.0, 0.8))
+
+_V10_CTES = _Q46_SQL[:_Q46_SQL.index("\nSELECT cluster_id, timestamp, state, is_running,")]
+
+_Q47_SQL = _V10_CTES + f""",
+sd AS (SELECT cluster_id, timestamp AS s_start, state, is_running, current_num_workers, target_num_workers,
+              state_end AS s_end, up_ms / 1000 AS up_s, (up_ms / 1000) / 3600 AS up_h, is_running AS cloud_billable,
+              is_running AND state NOT IN ('STARTING', 'TERMINATING', 'CREATING', 'RESTARTING') AS db_billable,
+              CAST(make_timestamp(CAST(floor(timestamp / 1000) AS BIGINT) * 1000000) AS DATE) AS start_date
+       FROM z4),
+spec AS (SELECT user_id AS cluster_id, epoch_us(ts) // 1000 AS timestamp,
+                CASE WHEN value > 50 THEN 'job-' || user_id || '-run-' || event_id ELSE 'user-' || user_id END
+                  AS cluster_name,
+                CASE WHEN value < 20 THEN 'small' WHEN value < 100 THEN 'medium' ELSE 'large' END AS node,
+                CASE WHEN value > 200 THEN 'apache_spark_3.5' ELSE '13.3.x-scala2.12' END AS spark_version,
+                CASE WHEN value > 150 THEN 'PHOTON' ELSE 'STANDARD' END AS runtime_engine
+         FROM events WHERE event_type = 'purchase'),
+spec2 AS (SELECT *, CASE WHEN cluster_name LIKE 'job-%-run-%' AND spark_version LIKE 'apache_spark_%' THEN 'jobsLight'
+                         WHEN cluster_name LIKE 'job-%-run-%' THEN 'automated' ELSE 'interactive' END AS sku
+          FROM spec),
+spec3 AS (SELECT *, CASE sku WHEN 'interactive' THEN 0.55 WHEN 'automated' THEN 0.15 WHEN 'sqlCompute' THEN 0.22
+                             WHEN 'jobsLight' THEN 0.10 END AS dbu_rate FROM spec2),
+u AS (SELECT cluster_id, s_start AS ts, 0 AS side, s_start AS key_start, CAST(NULL AS VARCHAR) AS c_name,
+             CAST(NULL AS VARCHAR) AS c_node, CAST(NULL AS VARCHAR) AS c_ver, CAST(NULL AS VARCHAR) AS c_eng,
+             CAST(NULL AS VARCHAR) AS c_sku, CAST(NULL AS DOUBLE) AS c_rate FROM sd
+      UNION ALL
+      SELECT cluster_id, timestamp, 1, NULL, cluster_name, node, spark_version, runtime_engine, sku, dbu_rate FROM spec3),
+la AS (SELECT cluster_id, key_start, side,
+         coalesce(last_value(c_name IGNORE NULLS) OVER wb, first_value(c_name IGNORE NULLS) OVER wa) AS cluster_name,
+         coalesce(last_value(c_node IGNORE NULLS) OVER wb, first_value(c_node IGNORE NULLS) OVER wa) AS node,
+         coalesce(last_value(c_ver IGNORE NULLS) OVER wb, first_value(c_ver IGNORE NULLS) OVER wa) AS spark_version,
+         coalesce(last_value(c_eng IGNORE NULLS) OVER wb, first_value(c_eng IGNORE NULLS) OVER wa) AS runtime_engine,
+         coalesce(last_value(c_sku IGNORE NULLS) OVER wb, first_value(c_sku IGNORE NULLS) OVER wa) AS sku,
+         coalesce(last_value(c_rate IGNORE NULLS) OVER wb, first_value(c_rate IGNORE NULLS) OVER wa) AS dbu_rate
+       FROM u
+       WINDOW wb AS (PARTITION BY cluster_id ORDER BY ts, side ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+              wa AS (PARTITION BY cluster_id ORDER BY ts, side ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING)),
+nodes AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {v}, {h}, {p})" for n, v, h, p in _Q47_NODES)})
+          AS t(api_name, vcpus, hourly_dbus, price)),
+pot AS (SELECT sd.*, la.cluster_name, la.node, la.spark_version, la.runtime_engine, la.sku, la.dbu_rate,
+               dn.vcpus AS d_vcpus, dn.hourly_dbus AS d_dbus, dn.price AS d_price,
+               wn.vcpus AS w_vcpus, wn.hourly_dbus AS w_dbus, wn.price AS w_price,
+               dn.api_name AS d_key, wn.api_name AS w_key
+        FROM sd JOIN la ON la.side = 0 AND la.cluster_id = sd.cluster_id AND la.key_start = sd.s_start
+        LEFT JOIN nodes dn ON lower(trim(dn.api_name)) = lower(trim(la.node))
+        LEFT JOIN nodes wn ON lower(trim(wn.api_name)) = lower(trim(la.node))),
+wf AS (SELECT *, ROW_NUMBER() OVER () AS _rid FROM pot),
+fm AS (SELECT *,
+         coalesce(sku, last_value(sku IGNORE NULLS) OVER fb, first_value(sku IGNORE NULLS) OVER fa) AS f_sku,
+         coalesce(dbu_rate, last_value(dbu_rate IGNORE NULLS) OVER fb, first_value(dbu_rate IGNORE NULLS) OVER fa) AS f_rate,
+         coalesce(node, last_value(node IGNORE NULLS) OVER fb, first_value(node IGNORE NULLS) OVER fa) AS f_node,
+         CASE WHEN d_key IS NOT NULL THEN d_vcpus ELSE coalesce(last_value(CASE WHEN d_key IS NOT NULL THEN d_vcpus END IGNORE NULLS) OVER fb, first_value(CASE WHEN d_key IS NOT NULL THEN d_vcpus END IGNORE NULLS) OVER fa) END AS fd_vcpus,
+         CASE WHEN d_key IS NOT NULL THEN d_dbus ELSE coalesce(last_value(CASE WHEN d_key IS NOT NULL THEN d_dbus END IGNORE NULLS) OVER fb, first_value(CASE WHEN d_key IS NOT NULL THEN d_dbus END IGNORE NULLS) OVER fa) END AS fd_dbus,
+         CASE WHEN d_key IS NOT NULL THEN d_price ELSE coalesce(last_value(CASE WHEN d_key IS NOT NULL THEN d_price END IGNORE NULLS) OVER fb, first_value(CASE WHEN d_key IS NOT NULL THEN d_price END IGNORE NULLS) OVER fa) END AS fd_price,
+         CASE WHEN w_key IS NOT NULL THEN w_vcpus ELSE coalesce(last_value(CASE WHEN w_key IS NOT NULL THEN w_vcpus END IGNORE NULLS) OVER fb, first_value(CASE WHEN w_key IS NOT NULL THEN w_vcpus END IGNORE NULLS) OVER fa) END AS fw_vcpus,
+         CASE WHEN w_key IS NOT NULL THEN w_dbus ELSE coalesce(last_value(CASE WHEN w_key IS NOT NULL THEN w_dbus END IGNORE NULLS) OVER fb, first_value(CASE WHEN w_key IS NOT NULL THEN w_dbus END IGNORE NULLS) OVER fa) END AS fw_dbus,
+         CASE WHEN w_key IS NOT NULL THEN w_price ELSE coalesce(last_value(CASE WHEN w_key IS NOT NULL THEN w_price END IGNORE NULLS) OVER fb, first_value(CASE WHEN w_key IS NOT NULL THEN w_price END IGNORE NULLS) OVER fa) END AS fw_price
+       FROM wf
+       WINDOW fb AS (PARTITION BY cluster_id ORDER BY start_date, s_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+              fa AS (PARTITION BY cluster_id ORDER BY start_date, s_start ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+m AS (SELECT *,
+        CASE WHEN db_billable THEN fd_dbus * up_h ELSE 0 END AS driver_dbus,
+        CASE WHEN db_billable THEN fw_dbus * current_num_workers * up_h ELSE 0 END AS worker_dbus,
+        coalesce(CASE WHEN cloud_billable THEN fd_price * up_h * 1 * 1 ELSE 0 END, 0) AS driver_compute_cost,
+        coalesce(CASE WHEN cloud_billable THEN fw_price * up_h * target_num_workers * 1 ELSE 0 END, 0)
+          AS worker_compute_cost,
+        coalesce(CASE WHEN db_billable AND upper(runtime_engine) = 'PHOTON' AND upper(f_sku) <> 'SQLCOMPUTE'
+                      THEN fd_dbus * up_h * 1 * f_rate * 1 * 2
+                      WHEN db_billable THEN fd_dbus * up_h * 1 * f_rate * 1 ELSE 0 END, 0) AS driver_dbu_cost,
+        coalesce(CASE WHEN db_billable AND upper(runtime_engine) = 'PHOTON' AND upper(f_sku) <> 'SQLCOMPUTE'
+                      THEN fw_dbus * up_h * current_num_workers * f_rate * 1 * 2
+                      WHEN db_billable THEN fw_dbus * up_h * current_num_workers * f_rate * 1 ELSE 0 END, 0)
+          AS worker_dbu_cost
+      FROM fm)
+SELECT cluster_id, s_start AS unixTimeMS_state_start, state, f_sku AS sku, f_rate AS dbu_rate, f_node AS node_type_id,
+       driver_dbus + worker_dbus AS total_dbus, driver_compute_cost, worker_compute_cost, driver_dbu_cost,
+       worker_dbu_cost, driver_compute_cost + driver_dbu_cost + worker_compute_cost + worker_dbu_cost AS total_cost
+FROM m
+"""
+
+
+@query("q47_cluster_state_fact", _Q47_SQL)
+def q47(spark, d):
+    """G3 on the test tables: the q46 states, cluster specs from purchase events (node
+    type, automation, runtime and engine derived from the event value), priced with a
+    node price list and the four SKU contract prices."""
+    import datetime as _dt
+
+    from tessera.plans.medallion.gold import cluster_state_fact
+    from tessera.plans.medallion.silver import cluster_state_detail
+    from tessera.sources.files import sku_price_dimension
+    sl = 7 * DAY_S * 1000.0
+    states = cluster_state_detail(_events_as_cluster_events(spark, d), _V10_UNTIL_MS, slice_ms=sl)
+    ev = table(spark, d, "events").filter(F.col("event_type") == "purchase")
+    v = F.col("value")
+    spec = ev.select(
+        F.lit("o").alias("organization_id"), F.col("user_id").alias("cluster_id"),
+        F.when(v > 50, F.concat(F.lit("job-"), F.col("user_id").cast("string"), F.lit("-run-"),
+                                F.col("event_id").cast("string")))
+         .otherwise(F.concat(F.lit("user-"), F.col("user_id").cast("string"))).alias("cluster_name"),
+        F.lit(None).cast("string").alias("custom_tags"), epoch_ms("ts").alias("timestamp"),
+        F.when(v < 20, "small").when(v < 100, "medium").otherwise("large").alias("driver_node_type_id"),
+        F.when(v < 20, "small").when(v < 100, "medium").otherwise("large").alias("node_type_id"),
+        F.when(v > 200, "apache_spark_3.5").otherwise("13.3.x-scala2.12").alias("spark_version"),
+        F.lit("Standard").alias("cluster_type"),
+        F.when(v > 150, "PHOTON").otherwise("STANDARD").alias("runtime_engine"))
+    snap = spark.createDataFrame([], "organization_id string, cluster_id bigint, cluster_name string, "
+                                     "custom_tags map<string,string>, start_time bigint, terminated_time bigint, "
+                                     "driver_node_type_id string, node_type_id string, spark_version string, "
+                                     "runtime_engine string")
+    inst = spark.createDataFrame([("o", n, c, h, p, _dt.date(2020, 1, 1), None) for n, c, h, p in _Q47_NODES],
+                                 "organization_id string, API_Name string, vCPUs int, Hourly_DBUs double, "
+                                 "Compute_Contract_Price double, activeFrom date, activeUntil date")
+    dbu = sku_price_dimension(spark, "o", "2020-01-01")
+    fact = cluster_state_fact(states, spec, snap, inst, dbu, _V10_UNTIL_MS, slice_ms=sl)
+    return fact.select("cluster_id", "unixTimeMS_state_start", "state", "sku", "dbu_rate", "node_type_id",
+                       "total_dbus", "driver_compute_cost", "worker_compute_cost", "driver_dbu_cost",
+                       "worker_dbu_cost", "total_cost")
