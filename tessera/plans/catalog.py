@@ -1203,15 +1203,11 @@ def q47(spark, d):
         F.when(v > 200, "apache_spark_3.5").otherwise("13.3.x-scala2.12").alias("spark_version"),
         F.lit("Standard").alias("cluster_type"),
         F.when(v > 150, "PHOTON").otherwise("STANDARD").alias("runtime_engine"))
-    snap = spark.createDataFrame([], "organization_id string, cluster_id bigint, cluster_name string, "
-                                     "custom_tags map<string,string>, start_time bigint, terminated_time bigint, "
-                                     "driver_node_type_id string, node_type_id string, spark_version string, "
-                                     "runtime_engine string")
     inst = spark.createDataFrame([("o", n, c, h, p, _dt.date(2020, 1, 1), None) for n, c, h, p in _Q47_NODES],
                                  "organization_id string, API_Name string, vCPUs int, Hourly_DBUs double, "
                                  "Compute_Contract_Price double, activeFrom date, activeUntil date")
     dbu = sku_price_dimension(spark, "o", "2020-01-01")
-    fact = cluster_state_fact(states, spec, snap, inst, dbu, _V10_UNTIL_MS, slice_ms=sl)
+    fact = cluster_state_fact(states, spec, None, inst, dbu, _V10_UNTIL_MS, slice_ms=sl)
     return fact.select("cluster_id", "unixTimeMS_state_start", "state", "sku", "dbu_rate", "node_type_id",
                        "total_dbus", "driver_compute_cost", "worker_compute_cost", "driver_dbu_cost",
                        "worker_dbu_cost", "total_cost")

@@ -27,14 +27,15 @@ def _epoch_ms_of_date(c: Column) -> Column:
     return (F.unix_date(c).cast("long") * 86_400_000)
 
 
-def cluster_state_fact(state_detail: DataFrame, cluster_spec: DataFrame, cluster_snapshot: DataFrame,
+def cluster_state_fact(state_detail: DataFrame, cluster_spec: DataFrame, cluster_snapshot: DataFrame | None,
                        instance_details: DataFrame, dbu_costs: DataFrame, snap_ms: int,
                        slice_ms: float | None = None) -> DataFrame:
     """What each cluster state cost.
 
     states -(as-of, look-ahead 1)-> spec, then -> snapshot (snapshot fills what the spec
-    left null); driver and worker node prices by interval join on node type (broadcast
-    behind a measured size: price lists are small); nine attributes filled both ways
+    left null; ``None`` = no snapshot source, that lookup is skipped); driver and
+    worker node prices by interval join on node type (bucketed, AQE broadcasts the small
+    price list at runtime); nine attributes filled both ways
     per cluster (W4); then DBU/compute costs (F6, F7) and totals. DBU cost uses the
     current worker count, compute cost the target count."""
     dbu_ts = TimeSeries(dbu_costs.select(ORG, "sku", _epoch_ms_of_date(F.col("activeFrom")).alias("timestamp"),
@@ -43,20 +44,23 @@ def cluster_state_fact(state_detail: DataFrame, cluster_spec: DataFrame, cluster
     spec = cluster_spec.select(ORG, CLUSTER, "cluster_name", "custom_tags", "timestamp", "driver_node_type_id",
                                "node_type_id", "spark_version", "cluster_type", "runtime_engine").withColumn("sku", sku)
     spec = TimeSeries(spec, "timestamp", (ORG, "sku")).lookup_when(dbu_ts)
-    snap = cluster_snapshot.select(
-        ORG, CLUSTER, "cluster_name", F.to_json("custom_tags").alias("custom_tags"),
-        F.coalesce("terminated_time", "start_time").alias("timestamp"), "driver_node_type_id", "node_type_id",
-        "spark_version", F.lit(None).cast("string").alias("cluster_type"), "runtime_engine").withColumn("sku", sku)
-    snap = TimeSeries(snap, "timestamp", (ORG, "sku")).lookup_when(dbu_ts)
+    snap = None
+    if cluster_snapshot is not None:
+        snap = cluster_snapshot.select(
+            ORG, CLUSTER, "cluster_name", F.to_json("custom_tags").alias("custom_tags"),
+            F.coalesce("terminated_time", "start_time").alias("timestamp"), "driver_node_type_id", "node_type_id",
+            "spark_version", F.lit(None).cast("string").alias("cluster_type"), "runtime_engine").withColumn("sku", sku)
+        snap = TimeSeries(snap, "timestamp", (ORG, "sku")).lookup_when(dbu_ts)
     from tessera.session import cut_lineage
     # sliced steps read their input twice; checkpoint between chained steps (sliced mode)
     cut = cut_lineage if slice_ms else (lambda x: x)
     st = state_detail.withColumn("timestamp", F.col("unixTimeMS_state_start"))
     pot = cut(TimeSeries(st, "timestamp", (ORG, CLUSTER))
               .lookup_when(TimeSeries(spec, "timestamp", (ORG, CLUSTER)), lookahead_rows=1, slice_size=slice_ms))
-    pot = cut(TimeSeries(pot, "timestamp", (ORG, CLUSTER))
-              .lookup_when(TimeSeries(snap, "timestamp", (ORG, CLUSTER)), lookahead_rows=1,
-                           slice_size=slice_ms)).drop("timestamp")
+    if snap is not None:
+        pot = cut(TimeSeries(pot, "timestamp", (ORG, CLUSTER))
+                  .lookup_when(TimeSeries(snap, "timestamp", (ORG, CLUSTER)), lookahead_rows=1, slice_size=slice_ms))
+    pot = pot.drop("timestamp")
 
     def node_dim(role: str, key: str) -> DataFrame:
         return instance_details.select(
