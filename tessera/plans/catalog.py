@@ -1059,7 +1059,7 @@ SELECT cluster_id, timestamp, state, is_running, current_num_workers, target_num
        reset_partition, state_end AS unixTimeMS_state_end, up_ms / 1000 AS uptime_in_state_S,
        CASE WHEN counter_reset = 1 THEN 0.0 ELSE CAST(coalesce(since_ms, 0) AS BIGINT) / 1000 END AS uptime_since_restart_S,
        is_running AS cloud_billable,
-       is_running AND state NOT IN ('STARTING', 'TERMINATING', 'CREATING', 'RESTARTING') AS databricks_billable,
+       is_running AND state NOT IN ('STARTING', 'TERMINATING', 'CREATING', 'RESTARTING') AS platform_billable,
        CAST(abs(date_diff('day', CAST(make_timestamp(CAST(floor(timestamp / 1000) AS BIGINT) * 1000000) AS DATE),
                           CAST(make_timestamp(CAST(floor(state_end / 1000) AS BIGINT) * 1000000) AS DATE))) + 1
             AS INTEGER) AS days_in_state
@@ -1076,7 +1076,7 @@ def q46(spark, d):
     out = cluster_state_detail(_events_as_cluster_events(spark, d), _V10_UNTIL_MS, slice_ms=7 * DAY_S * 1000.0)
     return out.select("cluster_id", "timestamp", "state", "is_running", "current_num_workers", "target_num_workers",
                       "counter_reset", "reset_partition", "unixTimeMS_state_end", "uptime_in_state_S",
-                      "uptime_since_restart_S", "cloud_billable", "databricks_billable", "days_in_state")
+                      "uptime_since_restart_S", "cloud_billable", "platform_billable", "days_in_state")
 
 
 def _events_as_cluster_events(spark, d):

@@ -78,7 +78,7 @@ def cluster_state_fact(state_detail: DataFrame, cluster_spec: DataFrame, cluster
     pot = cut(fill_meta(pot, list(META_TO_FILL), [ORG, CLUSTER], ["state_start_date", "unixTimeMS_state_start"],
                         bucket))
 
-    db = F.col("databricks_billable")
+    db = F.col("platform_billable")
     worker_core_s = F.when(db, F.col("workerSpecs.vCPUs") * F.col("current_num_workers") * F.col("uptime_in_state_S")
                            ).otherwise(F.lit(0))
     driver_dbus = F.when(db, F.col("driverSpecs.Hourly_DBUs") * F.col("uptime_in_state_H")).otherwise(F.lit(0))
@@ -98,7 +98,7 @@ def cluster_state_fact(state_detail: DataFrame, cluster_spec: DataFrame, cluster
         ORG, CLUSTER, "cluster_name", "custom_tags", "state_start_date", "unixTimeMS_state_start",
         "unixTimeMS_state_end", "timestamp_state_start", "timestamp_state_end", "state", "driver_node_type_id",
         "node_type_id", "current_num_workers", "target_num_workers", "uptime_since_restart_S", "uptime_in_state_S",
-        "uptime_in_state_H", "cloud_billable", "databricks_billable", is_automated(F.col("cluster_name"))
+        "uptime_in_state_H", "cloud_billable", "platform_billable", is_automated(F.col("cluster_name"))
         .alias("isAutomated"), "sku", "runtime_engine", "dbu_rate", "state_dates", "days_in_state",
         (worker_core_s / 3600).alias("worker_potential_core_H"), driver_dbus.alias("driver_dbus"),
         worker_dbus.alias("worker_dbus"), (driver_dbus + worker_dbus).alias("total_dbus"), core_h.alias("core_hours"),

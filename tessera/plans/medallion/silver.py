@@ -23,52 +23,28 @@ RESET_AFTER_STATES = ("TERMINATING", "RESTARTING", "EDITED")
 
 CLUSTER_KEYS = ("organization_id", "cluster_id")
 
-# Fixed values (reference): Spark job properties promoted to typed fields
-# (scrubbed property key -> published field name), in the reference's order.
+# Generic Spark job properties promoted to typed fields
+# (scrubbed property key -> published field name). Platform-specific keys (cluster
+# tags, notebook ids, ...) are supplied by the caller through ``extra``.
 POWER_PROPERTIES = (
-    ("sparkappname", "AppName"), ("sparkdatabricksapiurl", "WorkspaceURL"), ("sparkjobGroupid", "JobGroupID"),
-    ("sparkdatabrickscloudProvider", "CloudProvider"), ("principalIdpObjectId", "principalIdpObjectId"),
-)
-CLUSTER_DETAIL_PROPERTIES = (
-    ("sparkdatabricksclusterSource", "ClusterSource"),
-    ("sparkdatabricksclusterUsageTagsautoTerminationMinutes", "AutoTerminationMinutes"),
-    ("sparkdatabricksclusterUsageTagsclusterAllTags", "ClusterTags"),
-    ("sparkdatabricksclusterUsageTagsclusterAvailability", "ClusterAvailability"),
-    ("sparkdatabricksclusterUsageTagsclusterId", "ClusterID"),
-    ("sparkdatabricksclusterUsageTagsclusterInstancePoolId", "InstancePoolID"),
-    ("sparkdatabricksclusterUsageTagsclusterMaxWorkers", "MaxWorkers"),
-    ("sparkdatabricksclusterUsageTagsclusterMinWorkers", "MinWorkers"),
-    ("sparkdatabricksclusterUsageTagsclusterName", "Name"),
-    ("sparkdatabricksclusterUsageTagsclusterOwnerUserId", "OwnerUserID"),
-    ("sparkdatabricksclusterUsageTagsclusterScalingType", "ScalingType"),
-    ("sparkdatabricksclusterUsageTagsclusterSpotBidPricePercent", "SpotBidPricePercent"),
-    ("sparkdatabricksclusterUsageTagsclusterTargetWorkers", "TargetWorkers"),
-    ("sparkdatabricksclusterUsageTagsclusterWorkers", "ActualWorkers"),
-    ("sparkdatabricksclusterUsageTagscontainerZoneId", "ZoneID"),
-    ("sparkdatabricksclusterUsageTagsdataPlaneRegion", "Region"),
-    ("sparkdatabricksclusterUsageTagsdriverNodeType", "DriverNodeType"),
-    ("sparkdatabricksworkerNodeTypeId", "WorkerNodeType"),
-    ("sparkdatabricksclusterUsageTagssparkVersion", "SparkVersion"),
-)
-POWER_PROPERTIES_TAIL = (
-    ("sparkdatabricksnotebookid", "NotebookID"), ("sparkdatabricksnotebookpath", "NotebookPath"),
-    ("sparkdatabrickssparkContextId", "SparkContextID"), ("sparkdriverhost", "DriverHostIP"),
+    ("sparkappname", "AppName"), ("sparkjobGroupid", "JobGroupID"), ("sparkdriverhost", "DriverHostIP"),
     ("sparkdrivermaxResultSize", "DriverMaxResults"), ("sparkexecutorid", "ExecutorID"),
     ("sparkexecutormemory", "ExecutorMemory"), ("sparksqlexecutionid", "ExecutionID"),
-    ("sparksqlexecutionparent", "ExecutionParent"), ("sparkdatabricksisolationID", "SparkDBIsolationID"),
-    ("sparkhadoopfsazureaccountoauth2clientid", "AzureOAuth2ClientID"), ("sparkrddscope", "RDDScope"),
-    ("sparkdatabricksreplId", "SparkDBREPLID"), ("sparkdatabricksjobid", "SparkDBJobID"),
-    ("sparkdatabricksjobrunId", "SparkDBRunID"), ("sparkdatabricksjobtype", "sparkDBJobType"),
+    ("sparksqlexecutionparent", "ExecutionParent"), ("sparkrddscope", "RDDScope"),
     ("sparksqlshufflepartitions", "ShufflePartitions"), ("user", "UserEmail"), ("userID", "UserID"),
 )
 
 
-def power_properties(props: Column) -> Column:
-    """The property map promoted to a typed struct (missing keys -> null)."""
+def power_properties(props: Column, extra: Sequence[tuple[str, str]] = (),
+                     cluster_details: Sequence[tuple[str, str]] = ()) -> Column:
+    """The property map promoted to a typed struct (missing keys -> null): the
+    generic Spark keys, the caller's ``extra`` keys, and an optional nested
+    ``ClusterDetails`` struct of platform keys."""
     get = lambda k: F.try_element_at(props, F.lit(k))
-    return F.struct(*[get(k).alias(a) for k, a in POWER_PROPERTIES],
-                    F.struct(*[get(k).alias(a) for k, a in CLUSTER_DETAIL_PROPERTIES]).alias("ClusterDetails"),
-                    *[get(k).alias(a) for k, a in POWER_PROPERTIES_TAIL])
+    fields = [get(k).alias(a) for k, a in list(POWER_PROPERTIES) + list(extra)]
+    if cluster_details:
+        fields.append(F.struct(*[get(k).alias(a) for k, a in cluster_details]).alias("ClusterDetails"))
+    return F.struct(*fields)
 
 
 # ------------------------------------------------------------------ V10 cluster state detail
@@ -155,7 +131,7 @@ def cluster_state_detail(events: DataFrame, until_ms: int, slice_ms: float | Non
         "uptime_since_restart_S": F.when(F.col("counter_reset") == 1, F.lit(0.0)).otherwise(
             F.coalesce(F.col("__since_ms"), F.lit(0)) / 1000),
         "cloud_billable": F.col("is_running"),
-        "databricks_billable": F.col("is_running") & ~F.col("state").isin(*NON_BILLABLE_STATES),
+        "platform_billable": F.col("is_running") & ~F.col("state").isin(*NON_BILLABLE_STATES),
         "uptime_in_state_H": F.col("uptime_in_state_S") / 3600,
         "state_dates": F.sequence(F.to_date("timestamp_state_start"), F.to_date("timestamp_state_end")),
     })

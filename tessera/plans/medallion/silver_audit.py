@@ -87,9 +87,9 @@ def _conf_json(c: Column, key: str) -> Column:
 
 
 def cluster_type(spark_conf_json: Column, custom_tags_json: Column) -> Column:
-    """Single Node / Serverless / SQL Analytics / Standard (dots in keys -> underscores
-    before the JSON path)."""
-    profile = _conf_json(spark_conf_json, "spark_databricks_cluster_profile")
+    """Single Node / Serverless / SQL Analytics / Standard. The profile is the value of
+    the conf key ending in ``cluster.profile`` (whatever the platform prefix)."""
+    profile = F.regexp_extract(spark_conf_json, '"[^"]*cluster[._]profile"\\s*:\\s*"([^"]*)"', 1)
     return (F.when(profile == "singleNode", "Single Node").when(profile == "serverless", "Serverless")
             .when(F.get_json_object(custom_tags_json, "$.SqlEndpointId").isNotNull(), "SQL Analytics")
             .otherwise("Standard"))

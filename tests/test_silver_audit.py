@@ -26,7 +26,7 @@ def _row(svc, act, ts, rid, rp=None, result=None, email="a@x", status=200):
 def audit(spark):
     rows = [
         _row("clusters", "create", 100, "r1", {"cluster_name": "c-one", "node_type_id": "m5", "spark_version":
-             "13.3.x_photon_scala2.12", "spark_conf": json.dumps({"spark.databricks.cluster.profile": "singleNode"})},
+             "13.3.x_photon_scala2.12", "spark_conf": json.dumps({"spark.platform.cluster.profile": "singleNode"})},
              result=json.dumps({"cluster_id": "c1"}), email="creator@x"),
         _row("clusters", "edit", 200, "r2", {"cluster_id": "c1", "cluster_name": "c-one", "node_type_id": "m6",
                                              "driver_node_type_id": "d6"}, email="editor@x"),
