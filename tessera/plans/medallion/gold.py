@@ -43,14 +43,15 @@ def cluster_state_fact(state_detail: DataFrame, cluster_spec: DataFrame, cluster
     sku = derive_sku(is_automated(F.col("cluster_name")), F.col("spark_version"), F.col("cluster_type"))
     spec = cluster_spec.select(ORG, CLUSTER, "cluster_name", "custom_tags", "timestamp", "driver_node_type_id",
                                "node_type_id", "spark_version", "cluster_type", "runtime_engine").withColumn("sku", sku)
-    spec = TimeSeries(spec, "timestamp", (ORG, "sku")).lookup_when(dbu_ts)
+    # few SKUs: the (org, sku) series are hot keys, so the rate lookup is sliced too
+    spec = TimeSeries(spec, "timestamp", (ORG, "sku")).lookup_when(dbu_ts, slice_size=slice_ms)
     snap = None
     if cluster_snapshot is not None:
         snap = cluster_snapshot.select(
             ORG, CLUSTER, "cluster_name", F.to_json("custom_tags").alias("custom_tags"),
             F.coalesce("terminated_time", "start_time").alias("timestamp"), "driver_node_type_id", "node_type_id",
             "spark_version", F.lit(None).cast("string").alias("cluster_type"), "runtime_engine").withColumn("sku", sku)
-        snap = TimeSeries(snap, "timestamp", (ORG, "sku")).lookup_when(dbu_ts)
+        snap = TimeSeries(snap, "timestamp", (ORG, "sku")).lookup_when(dbu_ts, slice_size=slice_ms)
     from tessera.session import cut_lineage
     # sliced steps read their input twice; checkpoint between chained steps (sliced mode)
     cut = cut_lineage if slice_ms else (lambda x: x)
