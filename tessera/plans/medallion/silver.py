@@ -245,7 +245,7 @@ def account_logins(audit: DataFrame) -> DataFrame:
 MOD_ACTIONS = ("add", "addPrincipalToGroup", "removePrincipalFromGroup", "setAdmin", "updateUser", "delete")
 
 
-def account_mods(audit: DataFrame) -> DataFrame:
+def account_mods(audit: DataFrame, slice_ms: float | None = None) -> DataFrame:
     """V7: six account actions; a null ``user_id`` takes the first later non-null id of
     the same user name (W8, bounded to 1000 rows as in the reference)."""
     def rp(name):
@@ -255,8 +255,9 @@ def account_mods(audit: DataFrame) -> DataFrame:
         "organization_id", "date", "timestamp", "actionName", "requestId",
         F.col("userIdentity.email").alias("modified_by"), rp("targetUserName").alias("user_name"),
         rp("targetUserId").alias("user_id"))
+    bucket = F.floor(F.col("timestamp") / F.lit(float(slice_ms))).cast("long") if slice_ms else None
     filled = future_fill(d, ["user_id"], ["organization_id", "user_name"], ["timestamp", "requestId"],
-                         max_rows=1000, out_suffix="__f")
+                         max_rows=1000, out_suffix="__f", bucket=bucket)
     return filled.withColumn("user_id", F.coalesce("user_id", "user_id__f")).drop("user_id__f")
 
 

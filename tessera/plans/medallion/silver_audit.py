@@ -30,6 +30,11 @@ def _ok() -> Column:
     return F.coalesce(F.col("response.statusCode"), F.lit(200)) == 200
 
 
+def _slices(slice_ms: float | None, col: str = "timestamp") -> Column | None:
+    """Time-slice bucket for the skew-safe operator forms (None = plain windows)."""
+    return F.floor(F.col(col) / F.lit(float(slice_ms))).cast("long") if slice_ms else None
+
+
 def _snap_ms(df: DataFrame, col: str = "Pipeline_SnapTS") -> Column:
     dt = df.schema[col].dataType
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
@@ -44,7 +49,7 @@ POOL_ATTRS = ("node_type_id", "idle_instance_autotermination_minutes", "min_idle
 
 
 def pools_spec(audit: DataFrame, pools_snapshot: DataFrame, first_run: bool = False,
-               from_ms: int | None = None) -> DataFrame:
+               from_ms: int | None = None, slice_ms: float | None = None) -> DataFrame:
     """V8: pool create/edit/delete events; pool id from the create response; one row per
     (pool, action, timestamp) (every event kept - the reference's window kept only the
     first per pool); snapshot looked up as-of with unlimited look-ahead; eight
@@ -61,15 +66,17 @@ def pools_spec(audit: DataFrame, pools_snapshot: DataFrame, first_run: bool = Fa
                                  *[F.col(c).cast("string").alias(f"snap_{c}") for c in POOL_ATTRS
                                    if c in pools_snapshot.columns])
     d = TimeSeries(base, "timestamp", (ORG, "instance_pool_id")).lookup_when(
-        TimeSeries(snap, "timestamp", (ORG, "instance_pool_id")), lookahead_rows=None)
+        TimeSeries(snap, "timestamp", (ORG, "instance_pool_id")), lookahead_rows=None, slice_size=slice_ms)
     lookups = {c: [f"snap_{c}"] for c in POOL_ATTRS if f"snap_{c}" in d.columns}
-    d = fill_forward(d, list(POOL_ATTRS), [ORG, "instance_pool_id"], ["timestamp", "requestId"], lookups=lookups)
+    d = fill_forward(d, list(POOL_ATTRS), [ORG, "instance_pool_id"], ["timestamp", "requestId"], lookups=lookups,
+                     bucket=_slices(slice_ms))
     d = d.withColumns({
         "create_details": F.when((F.col("actionName") == "create") & F.col("__ok"),
                                  F.struct(F.col("user_email").alias("created_by"), F.col("timestamp").alias("created_at"))),
         "delete_details": F.when((F.col("actionName") == "delete") & F.col("__ok"),
                                  F.struct(F.col("user_email").alias("deleted_by"), F.col("timestamp").alias("deleted_at")))})
-    d = fill_forward(d, ["create_details"], [ORG, "instance_pool_id"], ["timestamp", "requestId"])
+    d = fill_forward(d, ["create_details"], [ORG, "instance_pool_id"], ["timestamp", "requestId"],
+                     bucket=_slices(slice_ms))
     d = d.drop("__ok", *[c for c in d.columns if c.startswith("snap_")])
     if first_run and from_ms is not None:
         snap_rows = pools_snapshot.select(ORG, "instance_pool_id", _snap_ms(pools_snapshot).alias("__snap"),
@@ -100,7 +107,7 @@ def runtime_engine(own: Column, spark_version: Column) -> Column:
 
 
 def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFrame | None = None,
-                 first_run: bool = False, from_ms: int | None = None) -> DataFrame:
+                 first_run: bool = False, from_ms: int | None = None, slice_ms: float | None = None) -> DataFrame:
     """V9: cluster create/edit events (+ first-run snapshot imputation) with id/name
     repaired from nearby rows (W8, 1000 rows), pool node types looked up as-of, driver
     type by priority (driver pool -> worker pool -> own -> last known -> worker type),
@@ -121,10 +128,10 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
                     _rp(a, "runtime_engine").alias("runtime_engine"),
                     F.col("userIdentity.email").alias("user_email"), _ok().alias("__ok"))
     base = future_fill(base, ["cluster_id"], [ORG, "cluster_name"], ["timestamp", "requestId"], max_rows=1000,
-                       out_suffix="__f").withColumn("cluster_id", F.coalesce("cluster_id", "cluster_id__f")).drop(
+                       out_suffix="__f", bucket=_slices(slice_ms)).withColumn("cluster_id", F.coalesce("cluster_id", "cluster_id__f")).drop(
         "cluster_id__f")
     base = future_fill(base, ["cluster_name"], [ORG, "cluster_id"], ["timestamp", "requestId"], max_rows=1000,
-                       out_suffix="__f").withColumn("cluster_name", F.coalesce("cluster_name", "cluster_name__f")).drop(
+                       out_suffix="__f", bucket=_slices(slice_ms)).withColumn("cluster_name", F.coalesce("cluster_name", "cluster_name__f")).drop(
         "cluster_name__f")
     creators = dedup_by_key(base.filter((F.col("actionName") == "create") & F.col("__ok")).select(
         ORG, "cluster_id", "timestamp", F.col("user_email").alias("createdBy")), [ORG, "cluster_id"], ["timestamp"]
@@ -138,20 +145,21 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
     if pools is not None:
         pl = pools.select(ORG, "instance_pool_id", "timestamp", F.col("node_type_id").alias("pool_node_type"))
         d = TimeSeries(d, "timestamp", (ORG, "instance_pool_id")).lookup_when(
-            TimeSeries(pl, "timestamp", (ORG, "instance_pool_id")), lookahead_rows=None)
+            TimeSeries(pl, "timestamp", (ORG, "instance_pool_id")), lookahead_rows=None, slice_size=slice_ms)
         dp = pl.withColumnsRenamed({"instance_pool_id": "driver_instance_pool_id", "pool_node_type": "driver_pool_node_type"})
         d = TimeSeries(d, "timestamp", (ORG, "driver_instance_pool_id")).lookup_when(
-            TimeSeries(dp, "timestamp", (ORG, "driver_instance_pool_id")), lookahead_rows=None)
+            TimeSeries(dp, "timestamp", (ORG, "driver_instance_pool_id")), lookahead_rows=None, slice_size=slice_ms)
     else:
         d = d.withColumns({"pool_node_type": F.lit(None).cast("string"),
                            "driver_pool_node_type": F.lit(None).cast("string")})
     d = d.withColumn("node_type_id", F.coalesce("pool_node_type", "node_type_id"))
     d = d.withColumn("__own_driver", F.col("driver_node_type_id"))
-    d = fill_forward(d, ["__own_driver"], [ORG, "cluster_id"], ["timestamp"])
+    d = fill_forward(d, ["__own_driver"], [ORG, "cluster_id"], ["timestamp", "actionName"], bucket=_slices(slice_ms))
     d = d.withColumn("driver_node_type_id", F.coalesce("driver_pool_node_type", "pool_node_type", "driver_node_type_id",
                                                        "__own_driver", "node_type_id")).drop("__own_driver")
     d = d.withColumn("__editor", F.when(F.col("actionName") == "edit", F.col("user_email")))
-    d = fill_forward(d, ["__editor"], [ORG, "cluster_id"], ["timestamp"]).withColumnRenamed("__editor", "lastEditedBy")
+    d = fill_forward(d, ["__editor"], [ORG, "cluster_id"], ["timestamp", "actionName"],
+                     bucket=_slices(slice_ms)).withColumnRenamed("__editor", "lastEditedBy")
     d = d.join(creators, [ORG, "cluster_id"], "left")
     return d.select(
         ORG, "cluster_id", "actionName", "timestamp", "date", "cluster_name", "driver_node_type_id", "node_type_id",
@@ -170,7 +178,7 @@ JOB_SETTINGS = ("name", "timeout_seconds", "max_concurrent_runs", "existing_clus
                 "job_clusters", "email_notifications", "tags", "format")
 
 
-def job_status(audit: DataFrame, jobs_snapshot: DataFrame | None = None) -> DataFrame:
+def job_status(audit: DataFrame, jobs_snapshot: DataFrame | None = None, slice_ms: float | None = None) -> DataFrame:
     """Job create/update/reset/delete/ACL events -> config history per job. Job id:
     create -> response, changeJobAcl -> resourceId, else job_id. The newest snapshot is
     looked up as-of (ms, unlimited look-ahead). Each setting: on ``update`` naming it
@@ -194,12 +202,12 @@ def job_status(audit: DataFrame, jobs_snapshot: DataFrame | None = None) -> Data
                                     _snap_ms(jobs_snapshot).alias("timestamp"),
                                     F.to_json("settings").alias("snap_settings"))
         base = TimeSeries(base, "timestamp", (ORG, "job_id")).lookup_when(
-            TimeSeries(snap, "timestamp", (ORG, "job_id")), lookahead_rows=None)
+            TimeSeries(snap, "timestamp", (ORG, "job_id")), lookahead_rows=None, slice_size=slice_ms)
     else:
         base = base.withColumn("snap_settings", F.lit(None).cast("string"))
     w_keys, order = [ORG, "job_id"], ["timestamp", "requestId"]
     filled = fill_forward(base.withColumns({f"__ff_{s}": F.col(s) for s in JOB_SETTINGS}),
-                          [f"__ff_{s}" for s in JOB_SETTINGS], w_keys, order)
+                          [f"__ff_{s}" for s in JOB_SETTINGS], w_keys, order, bucket=_slices(slice_ms))
     upd = F.col("actionName") == "update"
     out = filled.withColumns({s: fill_unless_removed(
         F.col(s), F.col("fields_to_remove"), s,

@@ -129,3 +129,18 @@ def test_job_run_meta_and_task_detail(audit, spark):
                                "run_name string")
     w = job_runs_with_task_detail(wh).first()
     assert w["cluster_id"] == "w1" and w["clusterType"] == "sqlWarehouse" and w["run_name"] == "q"
+
+
+def test_audit_builders_sliced_equal_plain(audit, spark):
+    snap = spark.createDataFrame([], "organization_id string, cluster_id string, cluster_name string, "
+                                     "driver_node_type_id string, node_type_id string, spark_version string, "
+                                     "Pipeline_SnapTS long")
+    cols = ["cluster_id", "actionName", "timestamp", "driver_node_type_id", "createdBy", "lastEditedBy"]
+    a = sorted(map(tuple, cluster_spec(audit, snap).select(cols).collect()))
+    b = sorted(map(tuple, cluster_spec(audit, snap, slice_ms=60).select(cols).collect()))
+    assert a == b
+    jc = ["job_id", "timestamp", "job_name", "timeout_seconds"]
+    assert sorted(map(tuple, job_status(audit).select(jc).collect())) == \
+        sorted(map(tuple, job_status(audit, slice_ms=60).select(jc).collect()))
+    mods = sorted(map(tuple, account_mods(audit).select("timestamp", "user_id").collect()))
+    assert mods == sorted(map(tuple, account_mods(audit, slice_ms=5).select("timestamp", "user_id").collect()))
