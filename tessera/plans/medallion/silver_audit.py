@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.columns import epoch_ms, runtime_struct
+from tessera.functions.columns import epoch_ms, is_automated, runtime_struct
 from tessera.operators.incremental import impute_first_run
 from tessera.operators.schema import nested_col_exists
 from tessera.operators.timeseries import TimeSeries
@@ -93,6 +93,16 @@ def _conf_json(c: Column, key: str) -> Column:
     return F.get_json_object(F.regexp_replace(c, "\\.", "_"), f"$.{key}")
 
 
+# Further cluster-spec fields published as they are (output, request field).
+CLUSTER_EXTRA_FIELDS = (
+    ("autoTermination_minutes", "autotermination_minutes"), ("enable_elastic_disk", "enable_elastic_disk"),
+    ("cluster_log_conf", "cluster_log_conf"), ("init_scripts", "init_scripts"), ("aws_attributes", "aws_attributes"),
+    ("azure_attributes", "azure_attributes"), ("spark_env_vars", "spark_env_vars"),
+    ("acl_path_prefix", "acl_path_prefix"), ("idempotency_token", "idempotency_token"),
+    ("cluster_source", "cluster_source"),
+)
+
+
 def cluster_type(spark_conf_json: Column, custom_tags_json: Column) -> Column:
     """Single Node / Serverless / SQL Analytics / Standard. The profile is the value of
     the conf key ending in ``cluster.profile`` (whatever the platform prefix)."""
@@ -126,6 +136,7 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
                     _rp(a, "single_user_name").alias("single_user_name"),
                     _rp(a, "data_security_mode").alias("data_security_mode"),
                     _rp(a, "runtime_engine").alias("runtime_engine"),
+                    *[_rp(a, src).alias(out) for out, src in CLUSTER_EXTRA_FIELDS],
                     F.col("userIdentity.email").alias("user_email"), _ok().alias("__ok"))
     base = future_fill(base, ["cluster_id"], [ORG, "cluster_name"], ["timestamp", "requestId"], max_rows=1000,
                        out_suffix="__f", bucket=_slices(slice_ms)).withColumn("cluster_id", F.coalesce("cluster_id", "cluster_id__f")).drop(
@@ -136,6 +147,10 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
     creators = dedup_by_key(base.filter((F.col("actionName") == "create") & F.col("__ok")).select(
         ORG, "cluster_id", "timestamp", F.col("user_email").alias("createdBy")), [ORG, "cluster_id"], ["timestamp"]
     ).drop("timestamp")
+    # one deleter per cluster (first successful delete): a repeated delete never multiplies rows
+    deleters = dedup_by_key(base.filter(F.col("actionName").isin("delete", "permanentDelete") & F.col("__ok")).select(
+        ORG, "cluster_id", "timestamp", F.col("user_email").alias("deleted_by")), [ORG, "cluster_id"], ["timestamp"]
+    ).drop("timestamp")
     d = base.filter(F.col("actionName").isin("create", "edit") & F.col("cluster_id").isNotNull())
     d = dedup_by_key(d, [ORG, "cluster_id", "actionName", "timestamp"], ["requestId"])
     if first_run and from_ms is not None:
@@ -160,22 +175,28 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
     d = d.withColumn("__editor", F.when(F.col("actionName") == "edit", F.col("user_email")))
     d = fill_forward(d, ["__editor"], [ORG, "cluster_id"], ["timestamp", "actionName"],
                      bucket=_slices(slice_ms)).withColumnRenamed("__editor", "lastEditedBy")
-    d = d.join(creators, [ORG, "cluster_id"], "left")
+    d = d.join(creators, [ORG, "cluster_id"], "left").join(deleters, [ORG, "cluster_id"], "left")
     return d.select(
         ORG, "cluster_id", "actionName", "timestamp", "date", "cluster_name", "driver_node_type_id", "node_type_id",
         "num_workers", "autoscale", "spark_version", "spark_conf", "custom_tags", "instance_pool_id",
         "driver_instance_pool_id", cluster_type(F.col("spark_conf"), F.col("custom_tags")).alias("cluster_type"),
         F.struct(F.col("single_user_name").alias("user_name"), F.col("data_security_mode").alias("mode"))
         .alias("security_profile"), "createdBy", "lastEditedBy",
-        runtime_engine(F.col("runtime_engine"), F.coalesce(F.col("spark_version"), F.lit(""))).alias("runtime_engine"))
+        runtime_engine(F.col("runtime_engine"), F.coalesce(F.col("spark_version"), F.lit(""))).alias("runtime_engine"),
+        *[out for out, _ in CLUSTER_EXTRA_FIELDS], "deleted_by",
+        is_automated(F.col("cluster_name")).alias("is_automated"))
 
 
 # ------------------------------------------------------------------ V11 job status
 
 JOB_ACTIONS = ("create", "delete", "reset", "update", "resetJobAcl", "changeJobAcl")
-# Settings filled per job from new_settings / the snapshot.
-JOB_SETTINGS = ("name", "timeout_seconds", "max_concurrent_runs", "existing_cluster_id", "schedule", "tasks",
-                "job_clusters", "email_notifications", "tags", "format")
+# Settings filled per job from new_settings / the snapshot, and the
+# types the numeric / boolean ones are published with.
+JOB_SETTINGS = ("name", "tags", "format", "schedule", "email_notifications", "existing_cluster_id", "job_clusters",
+                "new_cluster", "tasks", "libraries", "git_source", "max_concurrent_runs", "max_retries",
+                "timeout_seconds", "retry_on_timeout", "min_retry_interval_millis")
+JOB_SETTING_TYPES = {"max_concurrent_runs": "long", "max_retries": "long", "timeout_seconds": "long",
+                     "retry_on_timeout": "boolean", "min_retry_interval_millis": "long"}
 
 
 def job_status(audit: DataFrame, jobs_snapshot: DataFrame | None = None, slice_ms: float | None = None) -> DataFrame:
@@ -212,6 +233,7 @@ def job_status(audit: DataFrame, jobs_snapshot: DataFrame | None = None, slice_m
     out = filled.withColumns({s: fill_unless_removed(
         F.col(s), F.col("fields_to_remove"), s,
         F.coalesce(F.col(f"__ff_{s}"), F.get_json_object("snap_settings", f"$.{s}")), upd) for s in JOB_SETTINGS})
+    out = out.withColumns({c: F.col(c).try_cast(t) for c, t in JOB_SETTING_TYPES.items()})
     return out.drop(*[f"__ff_{s}" for s in JOB_SETTINGS], *[f"req_{s}" for s in JOB_SETTINGS], "snap_settings",
                     "name_param").withColumnRenamed("name", "job_name")
 

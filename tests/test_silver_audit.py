@@ -32,6 +32,8 @@ def audit(spark):
                                              "driver_node_type_id": "d6"}, email="editor@x"),
         _row("clusters", "edit", 300, "r3", {"cluster_name": "c-one", "node_type_id": "m7"}, email="editor2@x"),
         _row("clusters", "changeClusterAcl", 310, "r4", {"cluster_id": "c1"}),
+        _row("clusters", "delete", 320, "r6", {"cluster_id": "c1"}, email="deleter@x"),
+        _row("clusters", "delete", 330, "r7", {"cluster_id": "c1"}, email="deleter2@x"),
         _row("clusters", "edit", 350, "r5", {"cluster_id": "c1", "cluster_name": "c-one"}, email="editor3@x"),
         _row("jobs", "create", 100, "j1", {"name": "job one", "new_settings": None},
              result=json.dumps({"job_id": 7})),
@@ -63,6 +65,7 @@ def test_cluster_spec(audit, spark):
     assert out[1]["driver_node_type_id"] == "d6" and out[2]["driver_node_type_id"] == "d6"  # last known
     assert out[0]["driver_node_type_id"] == "m5"  # falls back to the worker type
     assert out[2]["createdBy"] == "creator@x" and out[2]["lastEditedBy"] == "editor2@x"
+    assert all(r["deleted_by"] == "deleter@x" for r in out) and out[0]["is_automated"] is False
 
 
 def test_job_status(audit):
@@ -70,7 +73,7 @@ def test_job_status(audit):
     assert [r["job_id"] for r in out] == [7, 7]
     assert out[0]["job_name"] == "job one"
     assert out[1]["job_name"] is None  # removed by fields_to_remove on update
-    assert out[1]["timeout_seconds"] == "60"
+    assert out[1]["timeout_seconds"] == 60
 
 
 def test_job_runs(audit):
