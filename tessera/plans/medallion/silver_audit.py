@@ -158,15 +158,20 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
                                         "spark_version", _snap_ms(clusters_snapshot).alias("__snap"))
         d = impute_first_run(d, snap, [ORG, "cluster_id"], ["__snap"], F.lit(from_ms), "timestamp").drop("__snap")
     if pools is not None:
-        pl = pools.select(ORG, "instance_pool_id", "timestamp", F.col("node_type_id").alias("pool_node_type"))
+        pname = F.col("instance_pool_name") if "instance_pool_name" in pools.columns else F.lit(None).cast("string")
+        pl = pools.select(ORG, "instance_pool_id", "timestamp", F.col("node_type_id").alias("pool_node_type"),
+                          pname.alias("instance_pool_name"))
         d = TimeSeries(d, "timestamp", (ORG, "instance_pool_id")).lookup_when(
             TimeSeries(pl, "timestamp", (ORG, "instance_pool_id")), lookahead_rows=None, slice_size=slice_ms)
-        dp = pl.withColumnsRenamed({"instance_pool_id": "driver_instance_pool_id", "pool_node_type": "driver_pool_node_type"})
+        dp = pl.withColumnsRenamed({"instance_pool_id": "driver_instance_pool_id", "pool_node_type": "driver_pool_node_type",
+                                    "instance_pool_name": "driver_instance_pool_name"})
         d = TimeSeries(d, "timestamp", (ORG, "driver_instance_pool_id")).lookup_when(
             TimeSeries(dp, "timestamp", (ORG, "driver_instance_pool_id")), lookahead_rows=None, slice_size=slice_ms)
     else:
         d = d.withColumns({"pool_node_type": F.lit(None).cast("string"),
-                           "driver_pool_node_type": F.lit(None).cast("string")})
+                           "driver_pool_node_type": F.lit(None).cast("string"),
+                           "instance_pool_name": F.lit(None).cast("string"),
+                           "driver_instance_pool_name": F.lit(None).cast("string")})
     d = d.withColumn("node_type_id", F.coalesce("pool_node_type", "node_type_id"))
     d = d.withColumn("__own_driver", F.col("driver_node_type_id"))
     d = fill_forward(d, ["__own_driver"], [ORG, "cluster_id"], ["timestamp", "actionName"], bucket=_slices(slice_ms))
@@ -179,7 +184,7 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
     return d.select(
         ORG, "cluster_id", "actionName", "timestamp", "date", "cluster_name", "driver_node_type_id", "node_type_id",
         "num_workers", "autoscale", "spark_version", "spark_conf", "custom_tags", "instance_pool_id",
-        "driver_instance_pool_id", cluster_type(F.col("spark_conf"), F.col("custom_tags")).alias("cluster_type"),
+        "driver_instance_pool_id", "instance_pool_name", "driver_instance_pool_name", cluster_type(F.col("spark_conf"), F.col("custom_tags")).alias("cluster_type"),
         F.struct(F.col("single_user_name").alias("user_name"), F.col("data_security_mode").alias("mode"))
         .alias("security_profile"), "createdBy", "lastEditedBy",
         runtime_engine(F.col("runtime_engine"), F.coalesce(F.col("spark_version"), F.lit(""))).alias("runtime_engine"),
@@ -195,6 +200,10 @@ JOB_ACTIONS = ("create", "delete", "reset", "update", "resetJobAcl", "changeJobA
 JOB_SETTINGS = ("name", "tags", "format", "schedule", "email_notifications", "existing_cluster_id", "job_clusters",
                 "new_cluster", "tasks", "libraries", "git_source", "max_concurrent_runs", "max_retries",
                 "timeout_seconds", "retry_on_timeout", "min_retry_interval_millis")
+# Single-task job definitions kept together as task_detail_legacy
+# (python_wheel_task included - the reference drops it by mistake).
+JOB_LEGACY_TASKS = ("notebook_task", "spark_python_task", "python_wheel_task", "spark_jar_task", "spark_submit_task",
+                    "shell_command_task", "pipeline_task")
 JOB_SETTING_TYPES = {"max_concurrent_runs": "long", "max_retries": "long", "timeout_seconds": "long",
                      "retry_on_timeout": "boolean", "min_retry_interval_millis": "long"}
 
@@ -212,10 +221,10 @@ def job_status(audit: DataFrame, jobs_snapshot: DataFrame | None = None, slice_m
     base = a.select(ORG, "timestamp", "date", "actionName", "requestId", F.col("response.statusCode").alias("status_code"),
                     job_id.alias("job_id"), _rp(a, "name").alias("name_param"), _rp(a, "new_settings").alias("new_settings"),
                     _rp(a, "fields_to_remove").alias("fields_to_remove"), F.col("userIdentity.email").alias("user_email"),
-                    *[_rp(a, s).alias(f"req_{s}") for s in JOB_SETTINGS])
+                    *[_rp(a, s).alias(f"req_{s}") for s in JOB_SETTINGS + JOB_LEGACY_TASKS])
     base = base.filter(F.col("job_id").isNotNull())
     base = dedup_by_key(base, [ORG, "timestamp", "actionName", "requestId", "status_code"], ["job_id"])
-    for s in JOB_SETTINGS:
+    for s in JOB_SETTINGS + JOB_LEGACY_TASKS:
         base = base.withColumn(s, F.coalesce(F.get_json_object("new_settings", f"$.{s}"), F.col(f"req_{s}")))
     base = base.withColumn("name", F.coalesce(F.when(F.col("actionName") == "create", F.col("name_param")), F.col("name")))
     if jobs_snapshot is not None:
@@ -227,14 +236,17 @@ def job_status(audit: DataFrame, jobs_snapshot: DataFrame | None = None, slice_m
     else:
         base = base.withColumn("snap_settings", F.lit(None).cast("string"))
     w_keys, order = [ORG, "job_id"], ["timestamp", "requestId"]
-    filled = fill_forward(base.withColumns({f"__ff_{s}": F.col(s) for s in JOB_SETTINGS}),
-                          [f"__ff_{s}" for s in JOB_SETTINGS], w_keys, order, bucket=_slices(slice_ms))
+    every = JOB_SETTINGS + JOB_LEGACY_TASKS
+    filled = fill_forward(base.withColumns({f"__ff_{s}": F.col(s) for s in every}),
+                          [f"__ff_{s}" for s in every], w_keys, order, bucket=_slices(slice_ms))
     upd = F.col("actionName") == "update"
     out = filled.withColumns({s: fill_unless_removed(
         F.col(s), F.col("fields_to_remove"), s,
-        F.coalesce(F.col(f"__ff_{s}"), F.get_json_object("snap_settings", f"$.{s}")), upd) for s in JOB_SETTINGS})
+        F.coalesce(F.col(f"__ff_{s}"), F.get_json_object("snap_settings", f"$.{s}")), upd) for s in every})
+    out = out.withColumn("task_detail_legacy", F.struct(*[F.col(t) for t in JOB_LEGACY_TASKS])).drop(
+        *JOB_LEGACY_TASKS)
     out = out.withColumns({c: F.col(c).try_cast(t) for c, t in JOB_SETTING_TYPES.items()})
-    return out.drop(*[f"__ff_{s}" for s in JOB_SETTINGS], *[f"req_{s}" for s in JOB_SETTINGS], "snap_settings",
+    return out.drop(*[f"__ff_{s}" for s in every], *[f"req_{s}" for s in every], "snap_settings",
                     "name_param").withColumnRenamed("name", "job_name")
 
 
@@ -254,11 +266,14 @@ def job_runs(audit: DataFrame) -> DataFrame:
         d = d.filter(F.col("run_id").isNotNull())
         return dedup_by_key(d, [ORG, "run_id"], [order, "requestId"]).drop("requestId")
 
+    manual = F.when(act == "runNow", F.struct(*[_rp(a, p).alias(p) for p in (
+        "notebook_params", "jar_params", "python_params", "spark_submit_params", "python_named_params")]))
     sub = extract(act.isin("runNow", "submitRun", "runTriggered"),
                   F.coalesce(_result("run_id", "long"), _rp(a, "runId", "long"), _rp(a, "run_id", "long")),
                   {"job_id": F.coalesce(_rp(a, "job_id", "long"), _rp(a, "jobId", "long")),
                    "run_name": _rp(a, "run_name"), "submission_action": act,
-                   "trigger_type": _rp(a, "jobTriggerType"), "submitted_by": F.col("userIdentity.email")}
+                   "trigger_type": _rp(a, "jobTriggerType"), "submitted_by": F.col("userIdentity.email"),
+                   "manual_override_params": manual}
                   ).withColumnRenamed("timestamp", "submissionTime")
     start = extract(act == "runStart", _rp(a, "runId", "long"),
                     {"cluster_id": _rp(a, "clusterId"), "task_key": _rp(a, "taskKey")}).withColumnRenamed(
@@ -268,8 +283,21 @@ def job_runs(audit: DataFrame) -> DataFrame:
                    ).withColumnRenamed("timestamp", "completionTime")
     cancel = extract(act == "cancel", _rp(a, "run_id", "long"), {"cancelled_by": F.col("userIdentity.email")}
                      ).withColumnRenamed("timestamp", "cancellationTime")
-    repair = extract(act == "repairRun", _rp(a, "run_id", "long"),
-                     {"repair_id": _result("repair_id", "long")}).withColumnRenamed("timestamp", "repairTime")
+    # every repair of a run, first event per repair id, as one sorted list per run (a run
+    # is repaired a handful of times, so the list is bounded by the run's own repairs)
+    rep = a.filter(act == "repairRun").select(
+        ORG, _rp(a, "run_id", "long").alias("run_id"), _result("repair_id", "long").alias("repair_id"),
+        F.col("timestamp"), F.col("requestId"),
+        F.struct(F.col("timestamp").alias("repair_timestamp"), _rp(a, "rerun_tasks").alias("rerun_tasks"),
+                 _rp(a, "latest_repair_id").alias("latest_repair_id"),
+                 F.struct(*[_rp(a, p).alias(p) for p in ("jar_params", "python_params", "spark_submit_params",
+                                                         "notebook_params")]).alias("repair_params"),
+                 F.col("userIdentity.email").alias("repairedBy"), F.col("requestId").alias("repairRequestId"))
+        .alias("detail")).filter(F.col("run_id").isNotNull())
+    rep = dedup_by_key(rep, [ORG, "run_id", "repair_id"], ["timestamp", "requestId"])
+    repair = rep.groupBy(ORG, "run_id").agg(F.max("repair_id").alias("repair_id"),
+                                            F.max("timestamp").alias("repairTime"),
+                                            F.sort_array(F.collect_list("detail")).alias("repair_details"))
     m = (sub.join(start, [ORG, "run_id"], "left").join(done, [ORG, "run_id"], "left")
             .join(cancel, [ORG, "run_id"], "left").join(repair, [ORG, "run_id"], "left"))
     end = F.array_max(F.array("completionTime", "cancellationTime"))

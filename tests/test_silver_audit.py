@@ -147,3 +147,16 @@ def test_audit_builders_sliced_equal_plain(audit, spark):
         sorted(map(tuple, job_status(audit, slice_ms=60).select(jc).collect()))
     mods = sorted(map(tuple, account_mods(audit).select("timestamp", "user_id").collect()))
     assert mods == sorted(map(tuple, account_mods(audit, slice_ms=5).select("timestamp", "user_id").collect()))
+
+
+def test_job_status_legacy_and_repairs(spark):
+    rows = [_row("jobs", "create", 100, "a", {"name": "x", "new_settings": json.dumps(
+                {"notebook_task": {"notebook_path": "/nb"}})}, result=json.dumps({"job_id": 3})),
+            _row("jobs", "runNow", 200, "b", {"job_id": "3"}, result=json.dumps({"run_id": 9})),
+            _row("jobs", "repairRun", 300, "c", {"run_id": "9"}, result=json.dumps({"repair_id": 1})),
+            _row("jobs", "repairRun", 400, "d", {"run_id": "9"}, result=json.dumps({"repair_id": 2}))]
+    audit = spark.createDataFrame(rows, SCHEMA)
+    js = job_status(audit).first()
+    assert json.loads(js["task_detail_legacy"]["notebook_task"])["notebook_path"] == "/nb"
+    jr = job_runs(audit).first()
+    assert jr["repair_id"] == 2 and len(jr["repair_details"]) == 2
