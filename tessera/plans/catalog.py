@@ -318,7 +318,7 @@ def q13(spark, d):
 
 _OVL_SQL = f"""
 WITH {_RUNS_SQL},
-r AS (SELECT o_custkey, year(o_orderdate) AS yr, o_orderkey,
+r AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS yr, o_orderkey,
              epoch_ms(make_timestamp(year(o_orderdate), 1, 1, 0, 0, 0)) AS state_start,
              epoch_ms(make_timestamp(year(o_orderdate) + 1, 1, 1, 0, 0, 0)) - 1 AS state_end,
              epoch_ms(run_start) AS s,
@@ -463,7 +463,7 @@ def q18(spark, d):
 
 _Q19_SQL = f"""
 WITH {_RUNS_SQL},
-r AS (SELECT o.o_orderkey, o.o_custkey, year(o.o_orderdate) AS yr, o.o_totalprice,
+r AS (SELECT o.o_orderkey, o.o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS yr, o.o_totalprice,
              date_diff('day', CAST(runs.run_start AS DATE), CAST(runs.run_end AS DATE)) + 1 AS run_days
       FROM orders o JOIN runs ON o.o_orderkey = runs.o_orderkey),
 t AS (SELECT o_custkey, yr, round(sum(o_totalprice), 2) AS state_cost, sum(run_days) AS total_days
