@@ -51,3 +51,22 @@ def test_stream_dedup_equals_batch(spark, tmp_path):
     land_stream(d, out, ck, "dedup")
     assert spark.read.parquet(out).count() == ev.count()
     assert exactly_once(ev.union(ev), ["event_id"]).count() == ev.count()
+
+
+def test_close_late_stream_join(spark, tmp_path):
+    import datetime as dt
+    from tessera.streaming.land import close_late
+    s_dir, e_dir = tmp_path / "starts", tmp_path / "ends"
+    starts = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 0, 0)), (2, dt.datetime(2024, 1, 1, 1, 0))],
+                                   "k int, start_ts timestamp_ntz")
+    ends = spark.createDataFrame([(1, dt.datetime(2024, 1, 2, 0, 0)), (2, dt.datetime(2024, 3, 1, 0, 0))],
+                                 "k int, end_ts timestamp_ntz")
+    starts.write.parquet(str(s_dir))
+    ends.write.parquet(str(e_dir))
+    ss = read_stream(spark, "parquet", str(s_dir), schema=starts.schema)
+    es = read_stream(spark, "parquet", str(e_dir), schema=ends.schema)
+    joined = close_late(ss, es, ["k"], "start_ts", "end_ts", max_lag="30 days").select("s.k", "e.end_ts")
+    out, ck = str(tmp_path / "o"), str(tmp_path / "c")
+    land_stream(joined, out, ck, "close_late")
+    got = {r["k"]: r["end_ts"] for r in spark.read.parquet(out).collect() if r["end_ts"] is not None}
+    assert 1 in got and 2 not in got  # key 2 ended after the 30-day bound
