@@ -177,3 +177,36 @@ def run_module(spark, spec: ModuleSpec, state_path: str, source, target, snap_ms
 def _append_state(spark, path, spec, run_id, frm, until, status, rows, _d):
     row = [(spec.module_id, spec.name, run_id, int(frm), int(until), status, int(rows), _d.datetime.now())]
     spark.createDataFrame(row, STATE_SCHEMA).write.mode("append").parquet(path)
+
+
+def rollback_module_state(state: DataFrame, module_id: int, rollback_ms: int) -> tuple[DataFrame, int | None]:
+    """K11 (state part): the runs of ``module_id`` whose window ends at or after the
+    rollback time get their status prefixed ``ROLLED BACK: ``; returns the new state and
+    the ``from`` time of the first such run (rows at or after it must leave the module's
+    targets - ``tables.rollback_to_time``). ``None`` when nothing is rolled back. Reads one
+    aggregate row (metadata)."""
+    hit = (F.col("module_id") == module_id) & (F.col("until_ts") >= rollback_ms)
+    first = state.filter(hit).agg(F.min("from_ts").alias("f")).first()["f"]
+    new_state = state.withColumn("status", F.when(hit & ~F.col("status").startswith("ROLLED BACK"),
+                                                  F.concat(F.lit("ROLLED BACK: "), F.col("status")))
+                                 .otherwise(F.col("status")))
+    return new_state, first
+
+
+def rollback_module(spark, state_path: str, module_id: int, rollback_ms: int, targets: Sequence,
+                    dry_run: bool = True) -> dict:
+    """Roll a module back to a time: state rows marked, target rows whose
+    incremental columns reach the first rolled-back window removed (partition-wise
+    rewrite). ``dry_run`` only reports what would change."""
+    from tessera.operators.tables import read_table, rollback_to_time, write_overwrite
+    state = read_state(spark, state_path)
+    new_state, cut_ms = rollback_module_state(state, module_id, rollback_ms)
+    report = {"module_id": module_id, "from_ms": cut_ms, "targets": [t.name for t in targets]}
+    if dry_run or cut_ms is None:
+        return report
+    for t in targets:
+        kept = rollback_to_time(read_table(spark, t), list(t.incremental_cols), cut_ms)
+        write_overwrite(kept, t)
+    from tessera.operators.tables import persist_and_reload
+    persist_and_reload(new_state).write.mode("overwrite").parquet(state_path)
+    return report

@@ -51,3 +51,39 @@ def test_late_end_event_closes_open_row(spark, tmp_path):
     write_upsert(build(lagged_all, run2), target)
     rows = read_table(spark, target).collect()
     assert len(rows) == 1 and rows[0]["removedTimestamp"] == 9000  # closed by the late end event
+
+
+def test_rollback_module_and_small_helpers(spark, tmp_path):
+    from tessera.functions.columns import date_spine, days_between_inclusive
+    from tessera.operators.incremental import impute_first_run, rollback_module
+    from tessera.operators.quality import rebuild_and_compare, schema_report
+    st = str(tmp_path / "state")
+    spark.createDataFrame([(1, "m", "r1", 0, 100, "SUCCESS", 1, dt.datetime(2020, 1, 1)),
+                           (1, "m", "r2", 100, 200, "SUCCESS", 1, dt.datetime(2020, 1, 2))],
+                          "module_id int, module_name string, run_id string, from_ts long, until_ts long, "
+                          "status string, written_rows long, recorded_at timestamp").write.parquet(st)
+    target = TableSpec("t", str(tmp_path / "t"), keys=("k",), incremental_cols=("ms",), tenant_col=None)
+    spark.createDataFrame([(1, 50), (2, 150)], "k int, ms long").write.parquet(target.path)
+    rep = rollback_module(spark, st, 1, 150, [target], dry_run=True)
+    assert rep["from_ms"] == 100 and read_table(spark, target).count() == 2
+    rollback_module(spark, st, 1, 150, [target], dry_run=False)
+    assert [r["k"] for r in read_table(spark, target).collect()] == [1]
+    assert read_state(spark, st).filter(F.col("status").startswith("ROLLED BACK")).count() == 1
+    d = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 4))], "a date, b date")
+    assert d.select(F.size(date_spine("a", "b"))).first()[0] == 3
+    ts = spark.createDataFrame([(dt.datetime(2024, 1, 1, 23), dt.datetime(2024, 1, 3, 1))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    assert ts.select(days_between_inclusive("a", "b")).first()[0] == 3
+    log = spark.createDataFrame([("o", "c1", 10, "create")], "organization_id string, k string, timestamp long, "
+                                                             "actionName string")
+    snap = spark.createDataFrame([("o", "c1", 5), ("o", "c2", 7), ("o", "c2", 9)],
+                                 "organization_id string, k string, snap long")
+    out = impute_first_run(log, snap, ["organization_id", "k"], ["snap"], F.lit(1), "timestamp")
+    imputed = out.filter(F.col("actionName") == "snapImpute").collect()
+    assert len(imputed) == 1 and imputed[0]["k"] == "c2" and imputed[0]["snap"] == 9
+    sr = {r["check"]: r["passed"] for r in schema_report(log, ["k", "nope"], ["a"], ["a"]).collect()}
+    assert sr == {"required:k": True, "required:nope": False, "partition_columns": True}
+    a = spark.createDataFrame([(1,), (2,)], "k int")
+    v = {r["table"]: r["status"] for r in rebuild_and_compare({"same": (a, a, ["k"]), "diff": (a, a.limit(1), ["k"])})
+         .collect()}
+    assert v == {"same": "PASS", "diff": "FAIL"}
