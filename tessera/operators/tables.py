@@ -42,11 +42,15 @@ class TableSpec:
 
 # ------------------------------------------------------------------ reads
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hp)
+def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """True when ``path`` holds a readable table (public reader API: a missing or empty
+    folder raises an ``AnalysisException``)."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.format(fmt).load(path).schema  # noqa: B018 - resolves the file listing
+        return True
+    except AnalysisException:
+        return False
 
 
 def read_table(spark: SparkSession, spec: TableSpec, tenant: str | None = None,
