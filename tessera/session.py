@@ -73,3 +73,26 @@ def cut_lineage(df):
     Survives executor loss (never ``localCheckpoint``)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 2**20) -> dict[str, str]:
+    """Settings for a large run, sized from the input volume (a starting point for the
+    cluster's own configuration; nothing here is applied automatically).
+
+    * initial shuffle partitions ~ input / target size (AQE coalesces them down to the
+      advisory size at runtime, so over-provisioning is cheap), never below 2x cores;
+    * scan splits of the same target size;
+    * AQE skew-join on, with a skewed partition being 5x the median and > 2x the target.
+    """
+    parts = max(2 * cores, min(200_000, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 2**20),
+    }
