@@ -25,6 +25,13 @@ from tessera.operators.tables import new_files, upsert_frame
 from tessera.operators.timeseries import TimeSeries
 from tessera.session import cut_lineage
 
+def _sround(expr: str, places: int) -> str:
+    """DuckDB SQL for Spark's ``round`` on a double: HALF_UP on the value's shortest
+    decimal text (DuckDB's own ``round`` works on the binary value, so exact ties such
+    as ``...2812375`` would round the other way)."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {places}) AS DOUBLE)"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -450,10 +457,10 @@ def q17(spark, d):
 
 # ------------------------------------------------------------------ q18-q19 costs (A1, G4 core)
 
-@query("q18_cost_summary", """
+@query("q18_cost_summary", f"""
 SELECT l_returnflag, l_linestatus,
-       greatest(round(sum(l_extendedprice * (1 - l_discount)), 2), 0) AS l_extendedprice,
-       greatest(round(sum(l_quantity * (1 - l_discount)), 2), 0) AS l_quantity
+       greatest({_sround("sum(l_extendedprice * (1 - l_discount))", 2)}, 0) AS l_extendedprice,
+       greatest({_sround("sum(l_quantity * (1 - l_discount))", 2)}, 0) AS l_quantity
 FROM lineitem GROUP BY l_returnflag, l_linestatus
 """)
 def q18(spark, d):
@@ -466,11 +473,11 @@ WITH {_RUNS_SQL},
 r AS (SELECT o.o_orderkey, o.o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS yr, o.o_totalprice,
              date_diff('day', CAST(runs.run_start AS DATE), CAST(runs.run_end AS DATE)) + 1 AS run_days
       FROM orders o JOIN runs ON o.o_orderkey = runs.o_orderkey),
-t AS (SELECT o_custkey, yr, round(sum(o_totalprice), 2) AS state_cost, sum(run_days) AS total_days
+t AS (SELECT o_custkey, yr, {_sround("sum(o_totalprice)", 2)} AS state_cost, sum(run_days) AS total_days
       FROM r GROUP BY 1, 2)
 SELECT r.o_orderkey, r.o_custkey, r.yr, r.run_days, t.state_cost,
        CAST(r.run_days AS DOUBLE) / t.total_days AS run_share,
-       round(t.state_cost * CAST(r.run_days AS DOUBLE) / t.total_days, 6) AS cost_share
+       {_sround("t.state_cost * CAST(r.run_days AS DOUBLE) / t.total_days", 6)} AS cost_share
 FROM r JOIN t ON r.o_custkey = t.o_custkey AND r.yr = t.yr
 """
 
@@ -873,9 +880,9 @@ def q42(spark, d):
 
 # ------------------------------------------------------------------ q43-q44
 
-@query("q43_roll_metrics", """
-SELECT l.l_orderkey, any_value(o.o_custkey) AS o_custkey, round(avg(l.l_discount), 6) AS l_discount,
-       max(l.l_quantity) AS l_quantity_max, greatest(round(sum(l.l_extendedprice), 6), 0) AS l_extendedprice,
+@query("q43_roll_metrics", f"""
+SELECT l.l_orderkey, any_value(o.o_custkey) AS o_custkey, {_sround("avg(l.l_discount)", 6)} AS l_discount,
+       max(l.l_quantity) AS l_quantity_max, greatest({_sround("sum(l.l_extendedprice)", 6)}, 0) AS l_extendedprice,
        count(*) AS state_rows
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 GROUP BY l.l_orderkey
@@ -959,8 +966,8 @@ f AS (SELECT rs.*, ov.n_ov,
       FROM rs LEFT JOIN ov ON rs.run_id = ov.run_id AND rs.cluster_id = ov.cluster_id
                           AND rs.state_start = ov.state_start AND rs.state_end = ov.state_end)
 SELECT run_id, cluster_id, run_start, run_end,
-       greatest(round(sum(cost * util * share), 6), 0) AS driver_compute_cost,
-       greatest(round(sum(cost * util * share), 6), 0) AS total_cost,
+       greatest({_sround("sum(cost * util * share)", 6)}, 0) AS driver_compute_cost,
+       greatest({_sround("sum(cost * util * share)", 6)}, 0) AS total_cost,
        count(*) AS cluster_states, max(coalesce(n_ov, 0)) AS max_overlapping_runs
 FROM f GROUP BY run_id, cluster_id, run_start, run_end
 """
