@@ -87,3 +87,17 @@ def test_rollback_module_and_small_helpers(spark, tmp_path):
     v = {r["table"]: r["status"] for r in rebuild_and_compare({"same": (a, a, ["k"]), "diff": (a, a.limit(1), ["k"])})
          .collect()}
     assert v == {"same": "PASS", "diff": "FAIL"}
+
+
+def test_module_failure_is_recorded(spark, tmp_path):
+    import pytest
+    target = TableSpec("bad", str(tmp_path / "bad"), keys=("k",), mode="append", tenant_col=None)
+    state = str(tmp_path / "state")
+    spec = ModuleSpec(7, "bad")
+
+    def source(a, b):
+        return spark.range(5).select(F.col("id").alias("k"), F.raise_error(F.lit("boom")).alias("x"))
+    with pytest.raises(Exception):
+        run_module(spark, spec, state, source, target, 10**6, 0, "r1")
+    st = read_state(spark, state).collect()
+    assert len(st) == 1 and st[0]["status"].startswith("FAILED") and st[0]["until_ts"] == st[0]["from_ts"]
