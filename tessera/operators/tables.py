@@ -198,6 +198,23 @@ def write_upsert(df: DataFrame, spec: TableSpec) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
 
 
+def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], schema_evolution: bool = True,
+                     order: Sequence[str] = ()) -> None:
+    """K3 on a catalog table that supports row-level MERGE (a V2 table format): the
+    source is de-duplicated by key (K5), matched rows are updated, the rest inserted.
+    Parquet folders use ``write_upsert`` instead."""
+    src = dedup_by_key(source, keys, order).alias("s")
+    target = table.split(".")[-1]  # the target is referenced by its table name
+    cond = None
+    for k in keys:
+        c = F.col(f"{target}.{k}") == F.col(f"s.{k}")
+        cond = c if cond is None else cond & c
+    w = src.mergeInto(f"{table}", cond)
+    if schema_evolution:
+        w = w.withSchemaEvolution()
+    w.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def rollback_run(df: DataFrame, run_id: str, run_col: str = "run_id") -> DataFrame:
     """The table without the rows of a failed run (caller rewrites touched parts)."""
     return df.filter(F.col(run_col).isNull() | (F.col(run_col) != run_id))
