@@ -133,3 +133,14 @@ def test_lookaround_all_kinds_sliced_equals_plain(spark):
     b = W.lookaround(df, ["k"], ["t", "id"], F.floor(F.col("t") / 37), **kw)
     cols = ["id", "v__lnn", "v__fnn", "v__lnb", "v__fna", "v__nx", "t__nx", "v__pv", "t__pv"]
     assert rows(a, *cols) == rows(b, *cols)
+
+
+def test_lookaround_global_series_and_null_keys(spark):
+    df = _series(spark, n=200, keys=2, seed=41)
+    df = df.withColumn("k", F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.col("k")))  # some null keys
+    kw = dict(last_nonnull=["v"], first_nonnull_after=["v"], next_row=["t"], prev_row=["v"])
+    for keys in ([], ["k"]):
+        a = W.lookaround(df, keys, ["t", "id"], None, **kw)
+        b = W.lookaround(df, keys, ["t", "id"], F.floor(F.col("t") / 61), **kw)
+        cols = ["id", "v__lnn", "v__fna", "t__nx", "v__pv"]
+        assert rows(a, *cols) == rows(b, *cols), keys
