@@ -48,3 +48,57 @@ def test_overlap_sweep_matches_brute_force(spark, rs, width):
         n = sum(1 for g2, j, s2, e2 in data if g2 == g and j != i and s2 < e and e2 > s)
         want[i] = (tot, n)
     assert got == want
+
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tessera.operators.joins import containment_join, interval_join
+from tessera.operators.windows import dedup_by_key
+
+dedup_rows = st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 2)),
+                      min_size=1, max_size=25)
+
+
+@SETTINGS
+@given(data=dedup_rows, desc=st.booleans())
+def test_dedup_matches_row_number(spark, data, desc):
+    df = spark.createDataFrame(data, "k int, o int, v int")
+    got = sorted(map(tuple, dedup_by_key(df, ["k"], ["o"], descending=desc).collect()),
+                 key=lambda r: tuple((x is None, x) for x in r))
+    oc = [F.col(c).desc() if desc else F.col(c).asc() for c in ("o", "v")]
+    want_df = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*oc))).filter("rn = 1").drop("rn")
+    want = sorted(map(tuple, want_df.collect()), key=lambda r: tuple((x is None, x) for x in r))
+    assert got == want
+
+
+intervals = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 200), st.integers(0, 60)), min_size=1, max_size=15)
+
+
+@SETTINGS
+@given(runs=intervals, states=intervals, width=st.sampled_from(["7", "31", "400"]))
+def test_containment_matches_brute_force(spark, runs, states, width):
+    r = spark.createDataFrame([(k, i, s, s + d) for i, (k, s, d) in enumerate(runs)], "k int, rid int, rs int, re int")
+    s = spark.createDataFrame([(k, j, a, a + d) for j, (k, a, d) in enumerate(states)], "k int, sid int, ss int, se int")
+    got = sorted((x["rid"], x["sid"]) for x in containment_join(r, s, ["k"], "rs", "re", "ss", "se",
+                                                                  bucket=width).collect())
+    want = sorted((i, j) for i, (k, a, d) in enumerate(runs) for j, (k2, b, e) in enumerate(states)
+                  if k == k2 and b > a and b + e < a + d)
+    assert got == want
+
+
+@SETTINGS
+@given(facts=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 300)), min_size=1, max_size=20),
+       dims=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 300), st.one_of(st.none(), st.integers(0, 80))),
+                     min_size=1, max_size=8))
+def test_interval_join_matches_brute_force(spark, facts, dims):
+    f = spark.createDataFrame([(str(k), i, t) for i, (k, t) in enumerate(facts)], "key string, fid int, t int")
+    d = spark.createDataFrame([(f" {k} ".upper(), j, a, None if e is None else a + e) for j, (k, a, e) in enumerate(dims)],
+                              "key string, did int, af int, au int")
+    out = interval_join(f, d, ["key"], "t", "af", "au", open_until=F.lit(250), bucket="50")
+    got = sorted((x["fid"], x["did"]) for x in out.collect())
+    want = []
+    for i, (k, t) in enumerate(facts):
+        hits = [j for j, (k2, a, e) in enumerate(dims) if k == k2 and a <= t <= (250 if e is None else a + e)]
+        want += [(i, j) for j in hits] or [(i, None)]
+    assert got == sorted(want, key=lambda x: (x[0], -1 if x[1] is None else x[1]))
