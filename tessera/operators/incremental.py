@@ -155,12 +155,15 @@ def run_module(spark, spec: ModuleSpec, state_path: str, source, target, snap_ms
             if df.isEmpty():
                 status = run_status(frm, until, True)
             else:
-                df = df.withColumn("run_id", F.lit(run_id))
+                from pyspark.sql import Observation
+                # the written row count is gathered by the write job itself (no extra pass)
+                obs = Observation(f"written_{spec.module_id}")
+                df = df.withColumn("run_id", F.lit(run_id)).observe(obs, F.count(F.lit(1)).alias("rows"))
                 if target.mode == "merge":
                     write_upsert(df, target)
                 else:
                     write_append(df, target)
-                rows = spark.read.parquet(target.path).filter(F.col("run_id") == run_id).count()
+                rows = int(obs.get.get("rows", 0))
                 status = run_status(frm, until, False)
     except Exception as e:  # noqa: BLE001 - recorded in the state table, then re-raised
         status = f"FAILED: {type(e).__name__}"
