@@ -34,3 +34,13 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert "cost_share" in df.columns
+
+
+def test_cost_shares_sum_to_state_cost(spark):
+    from pyspark.sql import functions as F
+    df = queries()["q19_cost_share_fact"](spark, SF)
+    per = df.groupBy("o_custkey", "yr").agg(F.sum("cost_share").alias("s"), F.first("state_cost").alias("c"),
+                                            F.sum("run_share").alias("shares"))
+    bad = per.filter((F.abs(F.col("s") - F.col("c")) > 1e-4 * F.greatest(F.lit(1.0), F.abs("c")))
+                     | (F.abs(F.col("shares") - 1.0) > 1e-9)).count()
+    assert bad == 0
