@@ -248,7 +248,8 @@ PROGRESS_SCHEMA = ("struct<id:string, runId:string, name:string, timestamp:strin
 VOLATILE = ("durationMs", "eventTime", "stateOperators", "sources", "sink", "observedMetrics")
 
 
-def spark_stream_gold(events: DataFrame, executions: DataFrame | None = None) -> DataFrame:
+def spark_stream_gold(events: DataFrame, executions: DataFrame | None = None,
+                      slice_ms: float | None = None) -> DataFrame:
     """Streaming-query listener events (Started / Progress; Terminated dropped)
     -> one row per (stream, run, batch): newest row per key, stream name filled forward
     per run, batch -1 for Started, volatile structs kept as JSON text (``[]`` state
@@ -278,7 +279,9 @@ def spark_stream_gold(events: DataFrame, executions: DataFrame | None = None) ->
         F.col("stateOperators")))
     k = keys + ["stream_id", "stream_run_id", "stream_batch_id"]
     d = dedup_by_key(d, k, ["stream_timestamp"], descending=True)
-    d = fill_forward(d, ["stream_name"], keys + ["stream_id", "stream_run_id"], ["stream_timestamp", "stream_batch_id"])
+    bucket = F.floor(F.col("stream_timestamp") / F.lit(float(slice_ms))).cast("long") if slice_ms else None
+    d = fill_forward(d, ["stream_name"], keys + ["stream_id", "stream_run_id"], ["stream_timestamp", "stream_batch_id"],
+                     bucket=bucket)
     if executions is not None:
         ex = executions.select(*keys, "executionId", stream_details(F.split(F.col("description"), " ")).alias("s"))
         ex = ex.select(*keys, "executionId", F.col("s.stream_id").alias("stream_id"),

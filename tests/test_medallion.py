@@ -127,6 +127,8 @@ def test_stream_gold(spark):
     assert set(out) == {-1, 0}
     assert out[0]["stream_timestamp"] == 1704067202000 and out[0]["stateOperators"] is None
     assert out[0]["execution_ids"] == [9] and out[-1]["stream_name"] == "q"
+    sliced = {r["stream_batch_id"]: r["stream_name"] for r in spark_stream_gold(ev, ex, slice_ms=1000.0).collect()}
+    assert sliced == {k: v["stream_name"] for k, v in out.items()}
 
 
 def test_cost_facts_sliced_equal_unsliced(spark, events, dims):
