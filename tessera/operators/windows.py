@@ -276,12 +276,14 @@ def carry_both(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: S
 def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None = None,
                last_nonnull: Sequence[str] = (), first_nonnull: Sequence[str] = (),
                next_row: Sequence[str] = (), prev_row: Sequence[str] = (),
-               last_nonnull_before: Sequence[str] = (), first_nonnull_after: Sequence[str] = ()) -> DataFrame:
+               last_nonnull_before: Sequence[str] = (), first_nonnull_after: Sequence[str] = (),
+               cumsum: Sequence[str] = ()) -> DataFrame:
     """Several look-arounds in ONE pass over ``keys`` (``bucket`` = time/id slices):
 
     * ``<c>__lnn`` / ``<c>__lnb``: last non-null at/before the row, strictly before it;
     * ``<c>__fnn`` / ``<c>__fna``: first non-null at/after the row, strictly after it;
-    * ``<c>__nx``: the next row's value (``lead``); ``<c>__pv``: the previous row's (``lag``).
+    * ``<c>__nx``: the next row's value (``lead``); ``<c>__pv``: the previous row's (``lag``);
+    * ``<c>__cs``: running sum up to and including the row.
 
     With a bucket: one window node per ``(key, slice)``, one per-slice summary (last/first
     non-null, first/last row), one small window over the slice table, one join back -
@@ -296,6 +298,7 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
         cols.update({f"{c}__fna": _first_within(F.col(c), w, False) for c in first_nonnull_after})
         cols.update({f"{c}__nx": F.lead(F.col(c), 1).over(w) for c in next_row})
         cols.update({f"{c}__pv": F.lag(F.col(c), 1).over(w) for c in prev_row})
+        cols.update({f"{c}__cs": F.sum(F.col(c)).over(w.rowsBetween(UNB_PREC, 0)) for c in cumsum})
         return df.withColumns(cols)
     b = "__bucket"
     d = df.withColumn(b, bucket)
@@ -307,6 +310,7 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     cols.update({f"{c}__{t}_in": _first_within(F.col(c), w, inc) for c, t, inc in bwd})
     cols.update({f"{c}__nx_in": F.lead(F.col(c), 1).over(w) for c in next_row})
     cols.update({f"{c}__pv_in": F.lag(F.col(c), 1).over(w) for c in prev_row})
+    cols.update({f"{c}__cs_in": F.sum(F.col(c)).over(w.rowsBetween(UNB_PREC, 0)) for c in cumsum})
     if next_row:
         cols["__is_last"] = F.lead(F.lit(1), 1).over(w).isNull()
     if prev_row:
@@ -323,6 +327,7 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
         aggs.append(F.min(F.struct(*ordc, *[F.col(c).alias(f"v{i}") for i, c in enumerate(next_row)])).alias("__frow"))
     if prev_row:
         aggs.append(F.max(F.struct(*ordc, *[F.col(c).alias(f"v{i}") for i, c in enumerate(prev_row)])).alias("__lrow"))
+    aggs += [F.sum(F.col(c)).alias(f"{c}__tot") for c in cumsum]
     summ = d.groupBy(*keys, b).agg(*aggs)
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     sel = [*keys, b]
@@ -330,6 +335,7 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     sel += [F.first(F.col(f"{c}__fs"), True).over(wb.rowsBetween(1, UNB_FOLL)).alias(f"{c}__fx") for c in bcols]
     sel += [F.lead(F.col("__frow").getField(f"v{i}"), 1).over(wb).alias(f"{c}__nx_x") for i, c in enumerate(next_row)]
     sel += [F.lag(F.col("__lrow").getField(f"v{i}"), 1).over(wb).alias(f"{c}__pv_x") for i, c in enumerate(prev_row)]
+    sel += [F.sum(F.col(f"{c}__tot")).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__off") for c in cumsum]
     d = _join_back(d, summ.select(*sel), keys + [b])
     out = {}
     out.update({f"{c}__{t}": F.coalesce(F.col(f"{c}__{t}_in"), F.col(f"{c}__lx")) for c, t, _ in fwd})
@@ -338,10 +344,12 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
                 for c in next_row})
     out.update({f"{c}__pv": F.when(F.col("__is_first"), F.col(f"{c}__pv_x")).otherwise(F.col(f"{c}__pv_in"))
                 for c in prev_row})
+    out.update({f"{c}__cs": F.col(f"{c}__cs_in") + F.coalesce(F.col(f"{c}__off"), F.lit(0)) for c in cumsum})
     d = d.withColumns(out)
     tmp = [b, "__is_last", "__is_first"] + [f"{c}__{t}_in" for c, t, _ in fwd + bwd] + \
         [f"{c}__lx" for c in fcols] + [f"{c}__fx" for c in bcols] + \
-        [f"{c}__{x}" for c in next_row for x in ("nx_in", "nx_x")] + [f"{c}__{x}" for c in prev_row for x in ("pv_in", "pv_x")]
+        [f"{c}__{x}" for c in next_row for x in ("nx_in", "nx_x")] + [f"{c}__{x}" for c in prev_row for x in ("pv_in", "pv_x")] + \
+        [f"{c}__{x}" for c in cumsum for x in ("cs_in", "off")]
     return d.drop(*[t for t in tmp if t in d.columns])
 
 
@@ -407,15 +415,20 @@ def cumulative_batches(df: DataFrame, size_col: str, batch_size: int, keys: Sequ
 
 def reset_sessions(df: DataFrame, keys: Sequence[str], order: Sequence[str], reset_flag: Column,
                    duration: Column, out_session: str = "session_id",
-                   out_uptime: str = "uptime_since_reset", bucket: Column | None = None) -> DataFrame:
+                   out_uptime: str = "uptime_since_reset", bucket: Column | None = None,
+                   session_col: str | None = None) -> DataFrame:
     """W11 (session numbering): ``session = running sum(reset_flag)``; the cumulative
     uptime is 0 on each reset row and otherwise the running sum of the session's
     durations up to and including the current row.
 
     With ``bucket`` both running sums use the exact two-stage plan, so neither a hot
-    key nor one very long session is ever a single window partition."""
+    key nor one very long session is ever a single window partition. ``session_col``
+    takes a session number already computed (e.g. fused into an earlier look-around)."""
     d = df.withColumn("__reset", reset_flag.cast("long")).withColumn("__dur", duration)
-    d = running_sum(d, "__reset", keys, order, out=out_session, bucket=bucket)
+    if session_col is None:
+        d = running_sum(d, "__reset", keys, order, out=out_session, bucket=bucket)
+    elif session_col != out_session:
+        d = d.withColumn(out_session, F.col(session_col))
     d = running_sum(d, "__dur", list(keys) + [out_session], order, out="__up", bucket=bucket)
     d = d.withColumn(out_uptime, F.when(F.col("__reset") == 1, F.lit(0)).otherwise(F.coalesce("__up", F.lit(0))))
     return d.drop("__reset", "__dur", "__up")

@@ -385,12 +385,14 @@ _UNTIL = "2024-02-01 00:00:00"
 
 def _state_frame(spark, d):
     ev = table(spark, d, "events").select("event_id", "user_id", "ts", "event_type")
-    # next start = first ts strictly after this row (skew-safe lead via the bucketed carry)
-    nxt = W.carry(ev.withColumn("__nts", F.col("ts")), ["__nts"], ["user_id"], ["ts", "event_id"],
-                  direction="backward", include_current=False, bucket=_events_day_bucket())
-    end = F.coalesce(F.timestamp_add("MILLISECOND", F.lit(-1), F.col("__nts__carry")),
+    ev = ev.withColumn("__reset", (F.col("event_type") == "signup").cast("long"))
+    # one skew-safe pass: the next start (lead) and the session number (running sum of
+    # resets); state end = next start - 1 ms, open end = the until time
+    nxt = W.lookaround(ev, ["user_id"], ["ts", "event_id"], _events_day_bucket(), next_row=["ts"], cumsum=["__reset"])
+    end = F.coalesce(F.timestamp_add("MILLISECOND", F.lit(-1), F.col("ts__nx")),
                      F.lit(_UNTIL).cast("timestamp_ntz"))
-    return nxt.withColumn("state_end", end).drop("__nts", "__nts__carry")
+    return (nxt.withColumn("state_end", end).withColumnRenamed("__reset__cs", "session_id")
+               .drop("ts__nx", "__reset"))
 
 
 @query("q15_state_durations", f"""
@@ -404,7 +406,7 @@ SELECT event_id, user_id, ts, state_end,
 FROM s
 """)
 def q15(spark, d):
-    s = _state_frame(spark, d)
+    s = _state_frame(spark, d).drop("session_id")
     us = F.timestamp_diff("MICROSECOND", F.col("ts"), F.col("state_end"))
     return s.select("event_id", "user_id", "ts", "state_end",
                     (us / F.lit(1_000_000.0)).alias("uptime_s"), (us / F.lit(3_600_000_000.0)).alias("uptime_h"),
@@ -429,7 +431,7 @@ FROM p
 def q16(spark, d):
     s = _state_frame(spark, d).withColumn("dur_us", F.timestamp_diff("MICROSECOND", F.col("ts"), F.col("state_end")))
     r = W.reset_sessions(s, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", F.col("dur_us"),
-                         out_uptime="__up_us", bucket=_events_day_bucket())
+                         out_uptime="__up_us", bucket=_events_day_bucket(), session_col="session_id")
     return r.select("event_id", "user_id", "ts", F.col("session_id").cast("long").alias("session_id"),
                     (F.col("dur_us") / F.lit(1_000_000.0)).alias("uptime_in_state_s"),
                     (F.col("__up_us") / F.lit(1_000_000.0)).alias("uptime_since_reset_s"))

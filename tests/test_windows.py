@@ -128,10 +128,10 @@ def test_carry_both_equals_two_carries(spark):
 def test_lookaround_all_kinds_sliced_equals_plain(spark):
     df = _series(spark, n=300, keys=3, seed=33)
     kw = dict(last_nonnull=["v"], first_nonnull=["v"], last_nonnull_before=["v"], first_nonnull_after=["v"],
-              next_row=["v", "t"], prev_row=["v", "t"])
+              next_row=["v", "t"], prev_row=["v", "t"], cumsum=["t"])
     a = W.lookaround(df, ["k"], ["t", "id"], None, **kw)
     b = W.lookaround(df, ["k"], ["t", "id"], F.floor(F.col("t") / 37), **kw)
-    cols = ["id", "v__lnn", "v__fnn", "v__lnb", "v__fna", "v__nx", "t__nx", "v__pv", "t__pv"]
+    cols = ["id", "v__lnn", "v__fnn", "v__lnb", "v__fna", "v__nx", "t__nx", "v__pv", "t__pv", "t__cs"]
     assert rows(a, *cols) == rows(b, *cols)
 
 
