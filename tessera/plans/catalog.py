@@ -3,6 +3,14 @@
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE_SQL[name]`` (DuckDB SQL over
 the same tables) return the same columns, names and rows. Every query reads whole
 tables; the only limit is the top-k report's own ``LIMIT``.
+
+Index (query -> SURVEY ids): q01 J1 (sliced) · q02 F2 · q03 J1 look-ahead · q04 J3 ·
+q05 J4 (skew-safe) · q06 J5 · q07 J6 · q08 W1 · q09 W3 · q10 W4 · q11 W8 · q12 W2 ·
+q13 J7 · q14 A6/J8 · q15 W11 · q16 W11 sessions · q17 W12 · q18 A1 · q19 G4 core/W14 ·
+q20 P11 · q21 P10 · q22 P2 · q23 P13 · q24 Q1 · q25 Q2/W13 · q26 Q3 · q27 Q4 · q28 Q5/J12 ·
+q29 Q7 · q30 I1 · q31 K3 · q32 S4 · q33 O1/A8 · q34 U2 · q35 W17 · q36 A5 · q37 S2/F15 ·
+q38 F13 · q39 I5 · q40 K16 · q41 W7 · q42 W2 ties · q43 A2 · q44 W15 · q45 G4 ·
+q46 V10 (W10+W11) · q47 G3.
 """
 
 from __future__ import annotations
