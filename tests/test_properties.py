@@ -102,3 +102,32 @@ def test_interval_join_matches_brute_force(spark, facts, dims):
         hits = [j for j, (k2, a, e) in enumerate(dims) if k == k2 and a <= t <= (250 if e is None else a + e)]
         want += [(i, j) for j in hits] or [(i, None)]
     assert got == sorted(want, key=lambda x: (x[0], -1 if x[1] is None else x[1]))
+
+
+from tessera.operators.joins import join_with_lag
+
+lag_side = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 60)), min_size=0, max_size=12)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=lag_side, right=lag_side, how=st.sampled_from(["inner", "left", "right"]),
+       lagging=st.sampled_from(["left", "right"]), skew_safe=st.booleans())
+def test_lag_join_matches_brute_force(spark, left, right, how, lagging, skew_safe):
+    import datetime as dt
+    d0 = dt.date(2020, 1, 1)
+    L = [(k, d0 + dt.timedelta(days=t), i) for i, (k, t) in enumerate(left)]
+    R = [(k, d0 + dt.timedelta(days=t), j) for j, (k, t) in enumerate(right)]
+    ldf = spark.createDataFrame(L, "k int, d date, lid int")
+    rdf = spark.createDataFrame(R, "k int, d date, rid int")
+    out = join_with_lag(ldf, rdf, ["k"], "d", lagging_side=lagging, lag_days=10, how=how, skew_safe=skew_safe)
+    got = sorted(((r["lid"], r["rid"]) for r in out.collect()), key=lambda x: tuple((v is None, v or 0) for v in x))
+
+    def ok(ld, rd):
+        return ld >= rd - dt.timedelta(days=10) if lagging == "left" else rd >= ld - dt.timedelta(days=10)
+    pairs = [(i, j) for k, ld, i in L for k2, rd, j in R if k == k2 and ok(ld, rd)]
+    want = list(pairs)
+    if how == "left":
+        want += [(i, None) for _, _, i in L if all(p[0] != i for p in pairs)]
+    if how == "right":
+        want += [(None, j) for _, _, j in R if all(p[1] != j for p in pairs)]
+    assert got == sorted(want, key=lambda x: tuple((v is None, v or 0) for v in x))
