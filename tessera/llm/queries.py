@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe
+from tessera.llm import bpe, notices
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,9 @@ def op8_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and round trip of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_documents(docs, tokenizer_json(), with_ids=False).drop("text")
+
+
+@query
+def op10_fuzzy_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and fuzzy notices of every document."""
+    return notices.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
