@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, notices
+from tessera.llm import bpe, notices, pii
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,10 @@ def op8_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fuzzy_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and fuzzy notices of every document."""
     return notices.scan_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op5_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and chosen spans of personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs)).drop("text")
