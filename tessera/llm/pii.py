@@ -183,7 +183,7 @@ def training_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         for span in proposals(t):
             if not _overlaps(base, span[0], span[1]):
                 add(t, 0, span)
-    return np.array(x, float).reshape(len(x), -1), np.array(y, float)
+    return np.array(x, float).reshape(len(x), len(x[0]) if x else 0), np.array(y, float)
 
 
 class SpanModel:

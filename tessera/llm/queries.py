@@ -7,8 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, notices, pii
-from tessera.llm.common import table
+from tessera.llm import bpe, notices, pii, toxicity
+from tessera.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -46,3 +46,11 @@ def op5_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and chosen spans of personal data in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.find(docs, pii.fit(docs)).drop("text")
+
+
+@query
+def op4_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, from its restored text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, fitted).withColumn("held_out", fold() == 0).drop("text")
