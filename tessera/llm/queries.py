@@ -7,8 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, notices, pii, toxicity
-from tessera.llm.common import fold, table
+from tessera.llm import bpe, html, notices, pii, toxicity, url_rules
+from tessera.llm.common import fold, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -54,3 +54,16 @@ def op4_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, fitted).withColumn("held_out", fold() == 0).drop("text")
+
+
+@query
+def op9_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.judge(pages, stage(url_rules.mine(pages, table(spark, sf_dir, "labels")), "url_rules")).drop("url")
+
+
+@query
+def op7_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
