@@ -147,3 +147,20 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))
+
+
+# ---- joins with lists of ids -------------------------------------------------------------
+
+#: Ids (16 bytes each) up to which a list is broadcast; longer lists are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def by_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of ``df`` with the staged id list ``ids`` (one column).
+    The list's size is counted first: within ``BROADCAST_IDS`` the rows of ``df`` stay where
+    they are, beyond it both sides are shuffled."""
+    name = "_listed_" + uuid.uuid4().hex[:8]
+    ids = ids.toDF(name)
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return df.join(ids, F.col(key) == F.col(name), how)

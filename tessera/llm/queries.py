@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, html, notices, pii, toxicity, url_rules
+from tessera.llm import bpe, html, minhash, notices, pii, toxicity, url_rules
 from tessera.llm.common import fold, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,9 @@ def op9_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op2_multi_index_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of documents."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
