@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, html, minhash, notices, pii, toxicity, url_rules
+from tessera.llm import bpe, decontaminate, html, minhash, notices, pii, pivots, toxicity, url_rules
 from tessera.llm.common import fold, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,15 @@ def op7_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_multi_index_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of documents."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with equal labels."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+@query
+def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that every document holds."""
+    return decontaminate.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("text")
