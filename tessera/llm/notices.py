@@ -24,6 +24,9 @@ from tessera.llm.common import texts_of, with_columns
 #: One edit is allowed for each so many characters of a notice.
 EDIT_SHARE = 9
 
+#: Characters of the grams that a stretch must share with a notice before it is searched.
+GRAM = 3
+
 #: Base phrases and labels (fixed values).
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -31,15 +34,15 @@ PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserv
 NOTICES = [
     ("Licensed under the Apache License, Version 2.0", "apache-2.0"),
     ("Released under the MIT License", "mit"),
-    ("Permission is hereby granted, free of charge, to any person obtaining a copy", "mit"),
+    ("Permission is hereby granted, free of charge", "mit"),
     ("This work is licensed under the GNU General Public License", "gpl"),
     ("GNU Lesser General Public License", "lgpl"),
     ("GNU Affero General Public License", "agpl"),
-    ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+    ("Redistribution and use in source and binary forms", "bsd"),
     ("subject to the terms of the Mozilla Public License", "mpl"),
     ("made available under the terms of the Eclipse Public License", "epl"),
-    ("Permission to use, copy, modify, and distribute this software for any purpose", "isc"),
-    ("This is free and unencumbered software released into the public domain", "unlicense"),
+    ("Permission to use, copy, modify, and distribute this software", "isc"),
+    ("free and unencumbered software released into the public domain", "unlicense"),
     ("waived all copyright and related or neighboring rights", "cc0"),
     ("Licensed under CC BY-NC 4.0", "cc-by-nc"),
     ("Creative Commons Attribution", "cc-by"),
@@ -68,11 +71,11 @@ def pieces(notice: str, edits: int) -> list[tuple[int, str]]:
 class NoticeSearch:
     def __init__(self, notices=None, phrases=None, edit_share: int = EDIT_SHARE):
         self.phrases = PHRASES if phrases is None else phrases
-        self.notices, seeds = [], {}
+        self.notices, self.patterns, seeds = [], {}, {}
         for text, label in NOTICES if notices is None else notices:
             t = normal(text.encode())
             k = len(t) // edit_share
-            self.notices.append((t, label, k, regex.compile(f"(?e)(?:{regex.escape(t, literal_spaces=True)}){{e<={k}}}")))
+            self.notices.append((t, label, k, [t[i:i + GRAM] for i in range(len(t) - GRAM + 1)]))
             for at, piece in pieces(t, k):
                 seeds.setdefault(piece, []).append((len(self.notices) - 1, at))
         self.automaton = ahocorasick.Automaton()
@@ -100,15 +103,35 @@ class NoticeSearch:
             spans[:] = merged
         return found
 
+    def pattern(self, notice: int, edits: int) -> regex.Pattern:
+        if (notice, edits) not in self.patterns:
+            t = regex.escape(self.notices[notice][0], literal_spaces=True)
+            self.patterns[notice, edits] = regex.compile(f"(?e)(?:{t}){{e<={edits}}}" if edits else t)
+        return self.patterns[notice, edits]
+
     def fuzzy(self, text: str) -> list[tuple[int, int, str, int, float]]:
-        """(start, end, label, edits, closeness) of every verified notice in a normalised text."""
+        """(start, end, label, edits, closeness) of every verified notice in a normalised text.
+
+        Fewer edits are tried first; what they match is cut out of the stretch. An edit spoils
+        at most ``GRAM`` of a notice's grams, so a stretch with fewer of them isn't searched."""
         out = []
         for notice, spans in self.regions(text).items():
-            t, label, _, pattern = self.notices[notice]
-            for a, b in spans:
-                for m in pattern.finditer(text, a, b):
-                    e = sum(m.fuzzy_counts)
-                    out.append((m.start(), m.end(), label, e, 1 - e / len(t)))
+            t, label, k, grams = self.notices[notice]
+            for edits in range(k + 1):
+                left = []
+                for a, b in spans:
+                    stretch = text[a:b]
+                    there = sum(g in stretch for g in grams)
+                    if there < len(grams) - k * GRAM:
+                        continue
+                    if there >= len(grams) - edits * GRAM:
+                        for m in self.pattern(notice, edits).finditer(text, a, b):
+                            e = sum(m.fuzzy_counts)
+                            out.append((m.start(), m.end(), label, e, 1 - e / len(t)))
+                            left.append((a, m.start()))
+                            a = m.end()
+                    left.append((a, b))
+                spans = [s for s in left if s[1] - s[0] >= len(t) - k]
         return sorted(out)
 
     def base(self, text: str) -> list[tuple[int, str]]:
