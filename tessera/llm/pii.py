@@ -160,37 +160,35 @@ def _spoiled(s: str, kind: str, rng: random.Random) -> str:
     return rng.choice([_digits(s)[:rng.choice([8, 9])], str(rng.randrange(10 ** 7, 10 ** rng.randrange(8, 15))), years])
 
 
-def training_rows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Features and marks of the sample's candidates."""
-    rng, x, y = random.Random(7), [], []
+def training_rows(t: str, seed: int) -> tuple[list[list[float]], list[int]]:
+    """Features and marks of one text's candidates, disguised and spoiled ones included."""
+    rng, x, y = random.Random(seed), [], []
 
     def add(text: str, mark: int, span: tuple[int, int, str]) -> None:
         x.append(features(text, span))
         y.append(mark)
 
-    for t in texts:
-        base = base_spans(t)
-        for a, b, kind in base:
-            add(t, 1, (a, b, kind))
-            for change, mark in ((_disguised, 1), (_spoiled, 0)) * 4:
-                s = change(t[a:b], kind, rng)
-                near = t[max(0, a - 60):a] + s + t[b:b + 60]
-                at = min(a, 60)
-                for span in proposals(near):
-                    if span[0] <= at + 2 and span[1] >= at + len(s) - 2 and (span[2] == kind or not mark):
-                        right = mark and (kind != "card" or luhn(_digits(s)))
-                        add(near, int(right), span)
-        for span in proposals(t):
-            if not _overlaps(base, span[0], span[1]):
-                add(t, 0, span)
-    return np.array(x, float).reshape(len(x), len(x[0]) if x else 0), np.array(y, float)
+    base = base_spans(t)
+    for a, b, kind in base:
+        add(t, 1, (a, b, kind))
+        for change, mark in ((_disguised, 1), (_spoiled, 0)) * 4:
+            s = change(t[a:b], kind, rng)
+            near = t[max(0, a - 60):a] + s + t[b:b + 60]
+            at = min(a, 60)
+            for span in proposals(near):
+                if span[0] <= at + 2 and span[1] >= at + len(s) - 2 and (span[2] == kind or not mark):
+                    right = mark and (kind != "card" or luhn(_digits(s)))
+                    add(near, int(right), span)
+    for span in proposals(t):
+        if not _overlaps(base, span[0], span[1]):
+            add(t, 0, span)
+    return x, y
 
 
 class SpanModel:
     """Boosted trees with one threshold for each kind."""
 
-    def __init__(self, texts: list[str]):
-        x, y = training_rows(texts)
+    def __init__(self, x: np.ndarray, y: np.ndarray):
         order = np.random.default_rng(3).permutation(len(y))
         fit, held = order[:len(y) * 2 // 3], order[len(y) * 2 // 3:]
         self.trees, self.least = None, {}
@@ -222,10 +220,21 @@ class SpanModel:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> SpanModel:
-    """The model, from a bounded sample of the documents that hold digits or an at-sign."""
-    rows = (docs.where(F.col(text).rlike("[0-9]{4}|@")).select(F.substring(text, 1, 200_000).alias("t"), F.xxhash64(key, text).alias("h"))
-            .orderBy("h", "t").limit(sample).collect())
-    return SpanModel([r.t for r in rows])
+    """The model, from a bounded sample of the documents that hold digits or an at-sign. Tasks make
+    the sample's features; only they reach the driver."""
+    some = docs.where(F.col(text).rlike("[0-9]{4}|@")).select(F.col(text).alias("_t"), F.xxhash64(key, text).alias("_h"))
+    chosen = some.select(F.col("_h").alias("_chosen")).orderBy("_chosen").limit(sample).distinct()
+    rows = some.join(F.broadcast(chosen), F.col("_h") == F.col("_chosen"), "left_semi")  # at most ``sample`` numbers
+
+    def run(batches):
+        for batch in batches:
+            for t, h in zip(batch.column("_t").to_pylist(), batch.column("_h").to_pylist()):
+                x, y = training_rows(t, h)
+                if x:
+                    yield pa.RecordBatch.from_arrays([pa.array([h] * len(x)), pa.array(range(len(x)), pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64())], ["h", "n", "x", "y"])
+
+    got = rows.mapInArrow(run, "h long, n long, x array<double>, y double").toPandas().sort_values(["h", "n"])
+    return SpanModel(np.array(got["x"].tolist(), float).reshape(len(got), -1 if len(got) else 0), got["y"].to_numpy(float))
 
 
 def _listed(spans: list) -> str:

@@ -71,7 +71,7 @@ def test_disguised_spans_are_added(spark):
 
 def test_redaction_and_edges(spark):
     assert pii.redacted("a x@y.zz b", [(2, 8, "email")]) == "a [EMAIL] b"
-    model = pii.SpanModel([])
+    model = pii.SpanModel(np.empty((0, 3)), np.empty(0))
     df = spark.createDataFrame([(1, None, 5), (1, "", 5), (None, "x@y.zz", 5)], "doc_id long, text string, n_email int")
     out = pii.find(df, model, redact=True).collect()
     assert [r.redacted for r in out] == ["", "", "[EMAIL]"] and [r.n_email for r in out] == [0, 0, 1]
