@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, html, minhash, notices, pii, pivots, toxicity, url_rules
+from tessera.llm import bpe, decontaminate, html, katz, minhash, notices, pii, pivots, toxicity, url_rules
 from tessera.llm.common import fold, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,9 @@ def op1_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that every document holds."""
     return decontaminate.find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")).drop("text")
+
+
+@query
+def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a Katz model of the training documents."""
+    return katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
