@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -68,8 +69,8 @@ def count_characters(docs: DataFrame, text: str = "text") -> np.ndarray:
     def run(batches):
         total, pending, size = np.zeros(SIZE ** 4, np.int64), [], 0
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                if t:
+            for t in batch.column(0):
+                if t := t.as_py():
                     pending.append(f"   {folded(t)} ")
                     size += len(t)
                 if size > 1_000_000:
@@ -240,17 +241,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, support: int =
         p = toxic / max(1, toxic + clean)
         return ToxicityModel(model, {}, none, none + 1, np.r_[np.log((p + 1e-9) / (1 - p + 1e-9)), none])
 
-    def explode(batches):
+    def count(batches):
         for batch in batches:
-            words, y = [], []
-            for ws, t in zip(batch.column("words").to_pylist(), batch.column("toxic").to_pylist()):
-                found = {m for w in ws for m in marks(w)}
-                words += found
-                y += [int(t > 0)] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(y, pa.int64())], ["mark", "toxic"])
-
-    counts = (seen.select("words", "toxic").mapInArrow(explode, "mark string, toxic long").groupBy("mark")
-              .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where(F.col("a") >= support)
+            for at in range(0, batch.num_rows, 200):  # few documents at a time: their marks are many
+                some, found = batch.slice(at, 200), (Counter(), Counter())
+                for words, t in zip(some.column("words").to_pylist(), some.column("toxic").to_pylist()):
+                    found[int(t > 0)].update({m for w in words for m in marks(w)})
+                names = list(found[0].keys() | found[1].keys())
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[m] for m in names], pa.int64()) for c in (found[1], found[0]))], ["mark", "a", "b"])
+
+    counts = (seen.select("words", "toxic").mapInArrow(count, "mark string, a long, b long").groupBy("mark").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+              .where(F.col("a") >= support)
               .withColumn("odds", F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("b") + 0.5) / (clean + 1))).where("odds > 0.7"))
     out = ToxicityModel(model, {r.mark: r.odds for r in counts.collect()}, none, none + 1, np.zeros(8))
     known: dict[str, float] = {}
@@ -268,10 +269,14 @@ def score(docs: DataFrame, fitted: ToxicityModel, text: str = "text", restored:
         decoder, known = Decoder(fitted.model), {}
 
         def run(batch: pa.RecordBatch) -> dict:
-            texts = [decoder.restore(t or "") for t in batch.column(text).to_pylist()]
-            if len(known) > 500_000:
-                known.clear()
-            p = fitted.probability(np.array([fitted.evidence(words_of(t), known) for t in texts]))
+            evidence, texts = [], []
+            for t in batch.column(text):  # one text at a time
+                t = decoder.restore(t.as_py() or "")
+                if len(known) > 300_000:
+                    known.clear()
+                evidence.append(fitted.evidence(words_of(t), known))
+                texts.append(t if restored else None)
+            p = fitted.probability(np.array(evidence))
             return {"score": p.tolist(), "predicted": (p >= 0.5).astype(int).tolist(), "restored": texts}
         return run
 
