@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import string_ts_to_epoch_ms
-from tessera.operators.schema import (SanitizeException, SanitizeRule, SchemaScrubber, cull_nested,
+from tessera.operators.schema import (FieldRules, NameRule, cull_nested,
                                       nested_col_exists, rebuild_struct, resolve_case_conflicts,
                                       scrub_schema, struct_col_to_map, struct_to_map)
 from tessera.operators.tables import new_files
@@ -24,7 +24,7 @@ POOL_SNAPSHOT_MAPS = ("custom_tags", "default_tags", "aws_attributes", "azure_at
 TASK_PARAM_MAPS = ("notebook_task.base_parameters", "python_wheel_task.named_parameters", "sql_task.parameters")
 EVENT_LOG_DROP_COLS = ("Classpath Entries", "System Properties", "sparkPlanInfo", "Spark Properties",
                        "HadoopProperties", "Hadoop Properties", "SparkContext Id", "Stage Infos")
-PROPERTIES_RULES = (SanitizeRule(r"\s", ""), SanitizeRule(r"\.", ""), SanitizeRule("[^a-zA-Z0-9]", "_"))
+PROPERTIES_RULES = (NameRule(r"\s", ""), NameRule(r"\.", ""), NameRule("[^a-zA-Z0-9]", "_"))
 
 
 def _to_map(c: Column, dt: T.DataType) -> Column:
@@ -61,7 +61,7 @@ def clean_jobs_snapshot(df: DataFrame) -> DataFrame:
         if clusters is not None:
             rep["job_clusters"] = lambda c, t: clusters
         d = d.withColumn("settings", rebuild_struct(F.col("settings"), st, rep))
-    return SchemaScrubber(cull_null_types=True).scrub(d)
+    return scrub_schema(d, drop_void=True)
 
 
 def clean_clusters_snapshot(df: DataFrame) -> DataFrame:
@@ -143,8 +143,8 @@ def spark_events(spark: SparkSession, listing: DataFrame, tracker: DataFrame, ba
     d = d.withColumn("filenameGroup", file_group(F.col("filename")))
     exc = ()
     if "Properties" in d.columns:
-        exc = (SanitizeException(d.schema["Properties"], PROPERTIES_RULES, recursive=True),)
-    d = SchemaScrubber(exceptions=exc).scrub(d)
+        exc = (FieldRules(d.schema["Properties"], PROPERTIES_RULES),)
+    d = scrub_schema(d, exc)
     d = d.withColumns({c: struct_to_map(d, c) for c in ("Properties", "modifiedConfigs", "extraTags")})
     if "executorId" in d.columns:
         d = d.withColumnRenamed("executorId", "blackListedExecutorIds")

@@ -7,61 +7,50 @@ from pyspark.sql import functions as F
 from tessera.operators import joins as J
 from conftest import rows
 
-SCHEMA = ("organization_id string, clusterId string, SparkContextID string, ExecutorID int, Date date, "
-          "{name} struct<filename:string>")
-L = [("25379", "09-s999", "388", 2, dt.date(2016, 9, 28), ("/hfg/16-00.gz",)),
-     ("25379", "09-s891", "387", 0, dt.date(2016, 9, 29), ("/edv/5-00.gz",)),
-     ("25379", "09-s796", "386", 1, dt.date(2016, 9, 30), ("/abc/15-00.gz",)),
-     ("25379", "09-s888", "385", 1, dt.date(2016, 9, 30), ("/abc/75-00.gz",))]
-R = [("25379", "09-s999", "388", 2, dt.date(2016, 9, 29), ("/faq/55-00.gz",)),
-     ("25379", "09-s891", "387", 0, dt.date(2016, 9, 29), ("/lmn/53-00.gz",)),
-     ("25379", "09-s796", "386", 1, dt.date(2016, 10, 30), ("/ijk/52-00.gz",)),
-     ("25379", "11-s111", "454", 2, dt.date(2016, 11, 1), ("/stc/46-00.gz",))]
-KEYS = ["organization_id", "clusterId", "SparkContextID", "ExecutorID"]
+KEYS = ["site", "device"]
+# device -> days of its start and its end: a day apart, the same day, 40 days apart, one side only
+STARTS = [("hall", 1, dt.date(2021, 3, 1), "s1"), ("hall", 2, dt.date(2021, 3, 5), "s2"),
+          ("yard", 1, dt.date(2021, 3, 7), "s3"), ("yard", 4, dt.date(2021, 3, 8), "s4")]
+ENDS = [("hall", 1, dt.date(2021, 3, 2), "e1"), ("hall", 2, dt.date(2021, 3, 5), "e2"),
+        ("yard", 1, dt.date(2021, 1, 26), "e3"), ("roof", 9, dt.date(2021, 4, 1), "e4")]
 
 
 @pytest.fixture()
 def sides(spark):
-    return (spark.createDataFrame(L, SCHEMA.format(name="event_log_1")),
-            spark.createDataFrame(R, SCHEMA.format(name="event_log_2")))
+    cols = "site string, device int, day date, {0} string"
+    return spark.createDataFrame(STARTS, cols.format("started")), spark.createDataFrame(ENDS, cols.format("ended"))
 
 
-@pytest.mark.parametrize("how,lagging,n,unmatched", [
-    ("left", "left", 4, "09-s888"), ("inner", "left", 3, None),
-])
-def test_lag_join_left_driving(sides, how, lagging, n, unmatched):
-    a, b = sides
-    out = J.join_with_lag(a, b, KEYS, "Date", lagging_side=lagging, lag_days=30, how=how)
-    assert out.count() == n
-    assert out.columns == [*KEYS, "Date", "event_log_1", "event_log_2"]
-    if unmatched:
-        assert out.filter(F.col("event_log_2").isNull()).select("clusterId").first()[0] == unmatched
-
+def lag_brute(left, right, lagging, days, how):
+    """(left value, right value) pairs by comparing every row with every row."""
+    def near(x, y):
+        late, other = (x, y) if lagging == "left" else (y, x)
+        return x[:2] == y[:2] and late[2] >= other[2] - dt.timedelta(days=days)
+    out = [(x[3], y[3]) for x in left for y in right if near(x, y)]
+    if how == "left":
+        out += [(x[3], None) for x in left if not any(near(x, y) for y in right)]
+    if how == "right":
+        out += [(None, y[3]) for y in right if not any(near(x, y) for x in left)]
+    return sorted(out, key=str)
 
-@pytest.mark.parametrize("how,n,unmatched", [("left", 4, "11-s111"), ("inner", 3, None)])
-def test_lag_join_right_side_lagging(sides, how, n, unmatched):
-    a, b = sides
-    out = J.join_with_lag(b, a, KEYS, "Date", lagging_side="right", lag_days=30, how=how)
-    assert out.count() == n
-    if unmatched:
-        assert out.filter(F.col("event_log_1").isNull()).select("clusterId").first()[0] == unmatched
 
-
-def test_lag_join_right_joins(sides):
+@pytest.mark.parametrize("skew_safe", [False, True])
+@pytest.mark.parametrize("lagging", ["left", "right"])
+@pytest.mark.parametrize("how", ["left", "inner", "right"])
+@pytest.mark.parametrize("days", [1, 30, 45])
+def test_lag_join_equals_brute_force(sides, how, lagging, days, skew_safe):
     a, b = sides
-    rl = J.join_with_lag(a, b, KEYS, "Date", lagging_side="left", lag_days=30, how="right")
-    assert rl.count() == 4
-    assert rl.columns[0] == "event_log_1"
-    assert rl.filter(F.col("event_log_1").isNull()).select("clusterId").first()[0] == "11-s111"
-    rr = J.join_with_lag(b, a, KEYS, "Date", lagging_side="right", lag_days=30, how="right")
-    assert rr.count() == 4
-    assert rr.filter(F.col("event_log_2").isNull()).select("clusterId").first()[0] == "09-s888"
+    out = J.join_with_lag(a, b, KEYS, "day", lagging_side=lagging, lag_days=days, how=how, skew_safe=skew_safe)
+    assert sorted(((r["started"], r["ended"]) for r in out.collect()), key=str) == lag_brute(STARTS, ENDS, lagging, days, how)
+    assert sorted(out.columns) == sorted([*KEYS, "day", "started", "ended"])
+    swapped = J.join_with_lag(b, a, KEYS, "day", lagging_side=lagging, lag_days=days, how=how, skew_safe=skew_safe)
+    assert sorted(((r["ended"], r["started"]) for r in swapped.collect()), key=str) == lag_brute(ENDS, STARTS, lagging, days, how)
 
 
 def test_lag_join_missing_column(sides):
     a, b = sides
     with pytest.raises(ValueError):
-        J.join_with_lag(a.drop("Date"), b, KEYS, "Date")
+        J.join_with_lag(a.drop("day"), b, KEYS, "day")
 
 
 def test_interval_join_broadcast_equals_bucketed(spark):

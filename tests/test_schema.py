@@ -11,45 +11,42 @@ def _ddl(df):
     return df.schema.simpleString()
 
 
-def test_scrub_simple(spark):
-    df = spark.createDataFrame([(1, 2)], "`field-1` int, `f-i-e-l-d\\\\2` int")
-    assert S.scrub_schema(df).columns == ["field_1", "f_i_e_l_d__2"]
+def test_clean_names_of_columns(spark):
+    df = spark.sql("select 1 as `unit price`, 2 as `net/gross`, 3 as `x_UNIQUESUFFIX_1`, null as `gap`")
+    assert S.scrub_schema(df).columns == ["unitprice", "net_gross", "x_UNIQUESUFFIX__1", "gap"]
+    assert S.scrub_schema(df, drop_void=True).columns == ["unitprice", "net_gross", "x_UNIQUESUFFIX__1"]
 
 
-def test_scrub_array_and_struct(spark):
-    df = spark.sql("select array(named_struct('abc', 'x', 'c_1-\\\\45', 1L)) as `b-2-2-2`, 1L as `i-1`")
+def test_clean_names_inside_arrays_and_structs(spark):
+    df = spark.sql("select array(named_struct('speed km/h', 8, 'ok', 'y')) as `all laps`, named_struct('a.b', named_struct('c d', 5)) as best")
     out = S.scrub_schema(df)
-    assert out.columns == ["b_2_2_2", "i_1"]
-    assert out.schema["b_2_2_2"].dataType.elementType.fieldNames() == ["abc", "c_1__45"]
-    df2 = spark.sql("select named_struct('abc', 'x', 'c_1-\\\\45', 1L) as `b-2-2-2`, 1L as `i-1`")
-    out2 = S.scrub_schema(df2)
-    assert out2.schema["b_2_2_2"].dataType.fieldNames() == ["abc", "c_1__45"]
-    assert out2.first()["b_2_2_2"]["c_1__45"] == 1
-
-
-def test_scrub_with_exception_and_duplicates(spark):
-    inner = T.StructType([T.StructField(n, t) for n, t in [
-        ("# mixed", T.LongType()), ("%bad", T.LongType()), ("dup 1", T.LongType()), ("dup 1", T.LongType()),
-        ("dup2", T.LongType()), ("dup2", T.StringType()), ("good_col", T.LongType()), ("j.k.l", T.LongType()),
-        ("other except", T.LongType())]])
-    parent = T.StructType([T.StructField("dup 1", T.LongType()), T.StructField("dup2", T.LongType()),
-                           T.StructField("x.y.z", inner), T.StructField("z.y.x", T.LongType())])
-    schema = T.StructType([T.StructField("exception_parent", parent), T.StructField("parent w space", T.StringType())])
-    df = spark.createDataFrame([], schema)
-    exc = S.SanitizeException(schema["exception_parent"], (S.SanitizeRule(r"\s", ""), S.SanitizeRule(r"\.", ""),
-                                                           S.SanitizeRule("[^a-zA-Z0-9]", "_")), recursive=True)
-    out = S.SchemaScrubber(exceptions=(exc,)).scrub(df)
-    ep = out.schema["exception_parent"].dataType
-    assert ep.fieldNames() == ["dup1", "dup2", "xyz", "zyx"]
-    assert ep["xyz"].dataType.fieldNames() == [
-        "_mixed", "_bad", "dup1_UNIQUESUFFIX_95946320", "dup1_UNIQUESUFFIX_95946320",
-        "dup2_UNIQUESUFFIX_3095059", "dup2_UNIQUESUFFIX_3095059", "good_col", "jkl", "otherexcept"]
-    assert out.columns == ["exception_parent", "parentwspace"]
+    assert out.columns == ["alllaps", "best"]
+    assert out.schema["alllaps"].dataType.elementType.fieldNames() == ["speedkm_h", "ok"]
+    assert out.first()["alllaps"][0]["speedkm_h"] == 8 and out.first()["best"]["a_b"]["cd"] == 5
+
+
+def test_special_rules_go_down_structs_but_not_arrays(spark):
+    leaf = T.StructType([T.StructField("p.q", T.LongType()), T.StructField("p q", T.LongType()), T.StructField("PQ", T.StringType()), T.StructField("r-s", T.LongType())])
+    top = T.StructType([T.StructField("in.ner", leaf), T.StructField("li.st", T.ArrayType(leaf))])
+    df = spark.createDataFrame([], T.StructType([T.StructField("conf", top), T.StructField("a.b", T.StringType())]))
+    no_dots = (S.NameRule(r"\.", ""), S.NameRule(r"\s", ""), S.NameRule("[^a-zA-Z0-9]", "_"))
+    out = S.scrub_schema(df, [S.FieldRules(df.schema["conf"], no_dots)])
+    conf = out.schema["conf"].dataType
+    assert out.columns == ["conf", "a_b"] and conf.fieldNames() == ["inner", "list"]
+    h = {n: S.java_string_hash(n) for n in ("p.q", "p q", "PQ")}
+    # the suffix comes after the rules of this struct; rules of the struct around it come first
+    assert conf["inner"].dataType.fieldNames() == [f"pq_UNIQUESUFFIX_{h['p.q']}", f"pq_UNIQUESUFFIX_{h['p q']}", f"PQ_UNIQUESUFFIX_{h['PQ']}", "r_s"]
+    assert conf["list"].dataType.elementType.fieldNames() == ["p_q", f"pq_UNIQUESUFFIX_{h['p q']}", f"PQ_UNIQUESUFFIX_{h['PQ']}", "r_s"]
+    kept = S.scrub_schema(df, [S.FieldRules(df.schema["conf"], no_dots)], case_sensitive=True).schema["conf"].dataType
+    assert kept["inner"].dataType.fieldNames()[2] == "PQ"
 
 
 def test_java_hash():
-    assert S.java_string_hash("dup 1") == 95946320
-    assert S.java_string_hash("dup2") == 3095059
+    # String.hashCode by its definition: sum of code units times powers of 31, as a signed 32-bit number
+    for s in ("", "a", "unit price", "Zürich", "\U0001f600", "z" * 40):
+        units = [int.from_bytes(s.encode("utf-16-be")[i:i + 2], "big") for i in range(0, 2 * len(s.encode("utf-16-be")) // 2, 2)]
+        h = sum(u * 31 ** (len(units) - 1 - i) for i, u in enumerate(units)) % 2 ** 32
+        assert S.java_string_hash(s) == (h - 2 ** 32 if h >= 2 ** 31 else h)
 
 
 def test_flatten_and_names(spark):
