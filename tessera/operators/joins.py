@@ -5,8 +5,8 @@ Scale rules applied here:
 * range joins add a *time bucket* to the equi keys (the range side is exploded over
   the buckets it covers), so a hot key is spread over many tasks and only pairs that
   share a time bucket are ever compared;
-* broadcast happens only behind a measured size (``broadcast_if_small``) or through
-  AQE's runtime conversion, never on an unchecked side.
+* no side is broadcast by hint unless its size is bounded by construction; AQE
+  converts joins at runtime from measured sizes.
 """
 
 from __future__ import annotations
@@ -22,20 +22,6 @@ from tessera.functions.columns import epoch_us
 # --------------------------------------------------------------------------- helpers
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The count is an action on the (small, dimension-like) side only; the frame is
-    persisted first so the count and the join read it once. Above the bound the frame
-    is returned unchanged and the caller's shuffle plan (with AQE skew handling) runs.
-    """
-    d = df.persist()
-    n = d.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(d), True
-    return d, False
-
-
 def _time_bucket_expr(c: Column, dtype: T.DataType, bucket: str) -> Column:
     """Bucket id for a date/timestamp/number: day, month, year or a numeric width."""
     if bucket == "day":
@@ -176,16 +162,14 @@ def same_or_previous_day_join(left: DataFrame, right: DataFrame, keys: Sequence[
 
 def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str,
                   active_from: str, active_until: str, open_until: Column | None = None,
-                  how: str = "left", normalize_keys: bool = True, bucket: str = "month",
-                  broadcast_max_rows: int | None = None) -> DataFrame:
+                  how: str = "left", normalize_keys: bool = True, bucket: str = "month") -> DataFrame:
     """Point-in-range join: keys equal (after ``trim(lower())`` when asked) and
     ``active_from <= ts <= coalesce(active_until, open_until)``.
 
-    Default plan: the dimension is exploded over ``bucket`` slices of its validity range
+    The dimension is exploded over ``bucket`` slices of its validity range
     and equi-joined on ``(keys, bucket)``, so a hot key (a segment with a third of the
     facts) is spread over many tasks; AQE turns the join into a broadcast at runtime
-    when the measured dimension stage is small. ``broadcast_max_rows`` forces an
-    explicit broadcast behind a counted bound instead.
+    when the measured dimension stage is small.
     """
     dkeys = [f"__k{i}" for i in range(len(keys))]
     norm = (lambda c: F.trim(F.lower(F.col(c)))) if normalize_keys else (lambda c: F.col(c))
@@ -193,18 +177,7 @@ def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str
     d = dim.select(*[norm(k).alias(dk) for k, dk in zip(keys, dkeys)],
                    *[F.col(c) for c in dim.columns if c not in keys]).withColumn("__until", until)
     f = facts.withColumns({dk: norm(k) for k, dk in zip(keys, dkeys)})
-    use_bc = False
-    if broadcast_max_rows is not None:
-        d, use_bc = broadcast_if_small(d, broadcast_max_rows)
     rng = (F.col(ts) >= F.col(active_from)) & (F.col(ts) <= F.col("__until"))
-    if use_bc:
-        cond = [F.col(f"__f{dk}") == F.col(dk) for dk in dkeys]
-        f = f.withColumnsRenamed({dk: f"__f{dk}" for dk in dkeys})
-        c0 = cond[0]
-        for c in cond[1:]:
-            c0 = c0 & c
-        out = f.join(d, c0 & rng, how)
-        return out.drop(*dkeys, *[f"__f{dk}" for dk in dkeys], "__until")
     tdt = facts.schema[ts].dataType
     d = d.withColumn("__tb", F.explode(_bucket_range(F.col(active_from), F.col("__until"), tdt, bucket)))
     f = f.withColumn("__tb", _time_bucket_expr(F.col(ts), tdt, bucket))
@@ -219,20 +192,24 @@ def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str
 
 def containment_join(runs: DataFrame, states: DataFrame, keys: Sequence[str],
                      run_start: str, run_end: str, state_start: str, state_end: str,
-                     bucket: str = "month", how: str = "inner") -> DataFrame:
+                     bucket: str = "month") -> DataFrame:
     """States strictly inside a run of the same key:
     ``state.start > run.start AND state.end < run.end``.
 
     Runs are exploded over the ``bucket`` slices they cover; a state goes to the slice
     of its start, so each (run, state) candidate is met exactly once and only pairs in
-    the same slice are compared. Both column sets must be disjoint except ``keys``."""
+    the same slice are compared. Both column sets must be disjoint except ``keys``. An
+    inner join: the range is part of the join condition."""
     sdt = states.schema[state_start].dataType
     r = runs.withColumn("__tb", F.explode(_bucket_range(F.col(run_start), F.col(run_end),
                                                         runs.schema[run_start].dataType, bucket)))
     s = states.withColumn("__tb", _time_bucket_expr(F.col(state_start), sdt, bucket))
-    out = r.join(s, on=list(keys) + ["__tb"], how=how)
+    on = list(keys) + ["__tb"]
+    s = s.withColumnsRenamed({c: f"{c}__s" for c in on})
     cond = (F.col(state_start) > F.col(run_start)) & (F.col(state_end) < F.col(run_end))
-    return out.filter(cond).drop("__tb")
+    for c in on:
+        cond = cond & (F.col(c) == F.col(f"{c}__s"))
+    return r.join(s, cond).drop("__tb", *[f"{c}__s" for c in on])
 
 
 # --------------------------------------------------------------------------- A6 / J8
@@ -411,9 +388,27 @@ def top_keys(df: DataFrame, keys: Sequence[str], k: int = 40) -> DataFrame:
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], salt: int = 16,
                 how: str = "inner") -> DataFrame:
-    """Skew salting. The big side gets a random salt in ``[0, salt)``, the other side
-    is replicated once per salt value; the join runs on ``(keys, salt)`` so one hot key
-    is spread over ``salt`` tasks. Exact (each big row meets every match once)."""
-    b = big.withColumn("__salt", (F.rand(17) * salt).cast("int"))
-    s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return b.join(s, on=list(keys) + ["__salt"], how=how).drop("__salt")
+    """Skew salting of the measured hot keys only. A key is hot when it holds at least
+    1/(4 * salt) of the big side's rows, so there are at most 4 * salt of them and their list
+    is broadcast. A hot key's big rows get a random salt in ``[0, salt)`` and its small rows
+    are repeated once per salt; all other rows keep salt 0 and are never copied.
+
+    Exact for ``inner`` and ``left`` (each big row meets every match once). Joins that
+    preserve the small side are refused: its copies would count as unmatched."""
+    if how not in ("inner", "left"):
+        raise ValueError("salted joins are inner or left (the big side is preserved)")
+    keys = list(keys)
+    least = big.count() / (4 * salt)
+    hot = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where((F.col("__n") >= least) & (F.col("__n") > 1))
+    hot = hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot"))
+    same = [F.col(k) == F.col(f"__h{i}") for i, k in enumerate(keys)]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    mark = [f"__h{i}" for i in range(len(keys))]
+    b = (big.join(F.broadcast(hot), cond, "left")
+         .withColumn("__salt", F.when(F.col("__hot"), (F.rand(17) * salt).cast("int")).otherwise(0)).drop("__hot", *mark))
+    s = (small.join(F.broadcast(hot), cond, "left")
+         .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salt - 1))).otherwise(F.array(F.lit(0)))))
+         .drop("__hot", *mark))
+    return b.join(s, on=keys + ["__salt"], how=how).drop("__salt")

@@ -33,6 +33,12 @@ class TableSpec:
     permit_duplicate_keys: bool = False
     skew_noise_col: str | None = None
 
+    @property
+    def merge_keys(self) -> list[str]:
+        """What a merge matches on: the effective keys and the incremental columns (a later
+        event of a key is a new row, not an update). Empty without keys."""
+        return list(dict.fromkeys([*self.effective_keys, *self.incremental_cols])) if self.keys else []
+
     @property
     def effective_keys(self) -> list[str]:
         """keys + partition columns + tenant, minus the noise column, distinct."""
@@ -173,29 +179,30 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def write_upsert(df: DataFrame, spec: TableSpec) -> None:
-    """K3 on Parquet: first write = append; later writes rewrite only the partitions the
-    source touches (dynamic partition overwrite), staged first because the target is
-    read and overwritten in one job."""
+    """K3 on Parquet: the source is de-duplicated by the merge key (keys, incremental and
+    partition columns, tenant), also on the first write; later writes rewrite only the
+    partitions the source touches (dynamic partition overwrite), staged first because
+    the target is read and overwritten in one job."""
     spark = df.sparkSession
+    keys = spec.merge_keys or list(spec.keys)
     if not table_exists(spark, spec.path):
-        write_append(df, spec)
+        write_append(df if spec.permit_duplicate_keys else dedup_by_key(df, keys), spec)
         return
     tgt = spark.read.option("mergeSchema", "true").parquet(spec.path)
     parts = list(spec.partition_by)
     if parts:
         touched = df.select(*parts).distinct()
         tgt = tgt.join(touched, on=parts, how="left_semi")
-    merged = persist_and_reload(upsert_frame(tgt, df, spec.effective_keys or spec.keys,
-                                             spec.permit_duplicate_keys))
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = merged.write.mode("overwrite")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(spec.path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    _overwrite_partitions(persist_and_reload(upsert_frame(tgt, df, keys, spec.permit_duplicate_keys)), spec)
+
+
+def _overwrite_partitions(staged: DataFrame, spec: TableSpec) -> None:
+    """Replace the partitions that ``staged`` holds, and only those (the whole table when
+    it has no partition columns)."""
+    w = staged.write.mode("overwrite")
+    if spec.partition_by:
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by)
+    w.parquet(spec.path)
 
 
 def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], schema_evolution: bool = True,
@@ -221,16 +228,20 @@ def rollback_run(df: DataFrame, run_id: str, run_col: str = "run_id") -> DataFra
 
 
 def rollback_to_time(df: DataFrame, incremental_cols: Sequence[str], from_ms: int) -> DataFrame:
-    """Keep rows whose incremental columns are all before the rollback point."""
+    """Keep rows whose incremental columns are all before the rollback point; a row
+    without such a time is not known to be later and stays."""
     keep = F.lit(True)
     for c in incremental_cols:
         dt = df.schema[c].dataType
         if isinstance(dt, T.LongType):
-            keep = keep & (F.col(c) < F.lit(from_ms))
+            early = F.col(c) < F.lit(from_ms)
         elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-            keep = keep & (F.col(c) < F.timestamp_millis(F.lit(from_ms)).cast(dt))
+            early = F.col(c) < F.timestamp_millis(F.lit(from_ms)).cast(dt)
         elif isinstance(dt, T.DateType):
-            keep = keep & (F.col(c) < F.to_date(F.timestamp_millis(F.lit(from_ms))))
+            early = F.col(c) < F.to_date(F.timestamp_millis(F.lit(from_ms)))
+        else:
+            continue
+        keep = keep & F.coalesce(early, F.lit(True))
     return df.filter(keep)
 
 

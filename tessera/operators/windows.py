@@ -7,8 +7,10 @@ order). With a bucket the work is split in two stages that are exact:
 
 1. the window runs per ``(keys, bucket)``  -> hot keys are spread over many tasks;
 2. one row per ``(keys, bucket)`` carries its last value / total forward over the
-   (small) bucket table and is joined back on ``(keys, bucket)``; the big side keeps the
-   hash partitioning of stage 1, so that join adds no shuffle of the rows.
+   bucket table and is joined back. Window and join use the same never-null group columns
+   (``_sliced``), so the rows keep the partitioning of stage 1 and move once, whether or
+   not the bucket table fits a broadcast. The input is read twice: for the rows and,
+   column-pruned and combined on the map side, for the bucket table.
 
 One-row-per-key picks (W1, W2) are aggregates (``min``/``max`` of a struct) so Spark
 combines map-side before the shuffle, which also absorbs hot keys.
@@ -135,41 +137,65 @@ def carry(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequen
         return df.withColumns({f"{c}{suffix}": fn(F.col(c), w, include_current) for c in cols})
 
     b = "__bucket"
-    d = df.withColumn(b, bucket)
-    w = Window.partitionBy(*keys, b).orderBy(*order)
+    d, part = _sliced(df, keys, b, bucket)
+    w = Window.partitionBy(*part).orderBy(*order)
     fn = _last_within if fwd else _first_within
     d = d.withColumns({f"{c}__in": fn(F.col(c), w, include_current) for c in cols})
     # one row per (keys, bucket): its last (first) non-null value of each column. This
     # reads the input again (column-pruned) but combines map-side, so only about one
     # row per (key, slice) and task is shuffled - cheaper than a second full shuffle.
     pick = F.max if fwd else F.min
-    summ = d.groupBy(*keys, b).agg(*[
+    summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg(*[
         pick(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("v"))))
         .getField("v").alias(f"{c}__b") for c in cols])
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     if fwd:
-        summ = summ.select(*keys, b, *[F.last(F.col(f"{c}__b"), True).over(wb.rowsBetween(UNB_PREC, -1))
+        summ = summ.select(*part, *[F.last(F.col(f"{c}__b"), True).over(wb.rowsBetween(UNB_PREC, -1))
                                       .alias(f"{c}__x") for c in cols])
     else:
-        summ = summ.select(*keys, b, *[F.first(F.col(f"{c}__b"), True).over(wb.rowsBetween(1, UNB_FOLL))
+        summ = summ.select(*part, *[F.first(F.col(f"{c}__b"), True).over(wb.rowsBetween(1, UNB_FOLL))
                                       .alias(f"{c}__x") for c in cols])
-    d = _join_back(d, summ, keys + [b])
+    d = _join_back(d, summ, part)
     d = d.withColumns({f"{c}{suffix}": F.coalesce(F.col(f"{c}__in"), F.col(f"{c}__x")) for c in cols})
     return d.drop(b, *[f"{c}__in" for c in cols], *[f"{c}__x" for c in cols])
 
 
-def _join_back(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join of the per-slice summary back onto the rows with null-safe key
-    equality: rows with a null key keep their own group, exactly as a window
-    partition would. The summary has one row per (key, slice), so AQE broadcasts it
-    when it is small and shuffles it (not the rows again) otherwise."""
-    ren = {k: f"{k}__s" for k in keys}
-    sm = summary.withColumnsRenamed(ren)
-    cond = None
-    for k in keys:
-        c = rows[k].eqNullSafe(sm[ren[k]])
-        cond = c if cond is None else cond & c
-    return rows.join(sm, cond, "left").drop(*ren.values())
+def _never_null(c: Column, dt: T.DataType) -> Column:
+    """The value, or one fixed value of its type for null."""
+    if isinstance(dt, T.NumericType):
+        return F.coalesce(c, F.lit(0).cast(dt))
+    plain = {T.StringType: "", T.BooleanType: "false", T.DateType: "1970-01-01",
+             T.TimestampType: "1970-01-01 00:00:00", T.TimestampNTZType: "1970-01-01 00:00:00"}
+    if type(dt) in plain:
+        return F.coalesce(c, F.lit(plain[type(dt)]).cast(dt))
+    return F.coalesce(F.to_json(F.struct(c)), F.lit(""))
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], b: str, bucket: Column) -> tuple[DataFrame, list[str]]:
+    """``df`` with its slice column ``b``, and the columns that name a (keys, slice) group.
+
+    Window partitions treat null as a value, joins do not. Where a key or the slice can be
+    null, the group is named by two columns that cannot (the value or a fixed one, and
+    whether it was null). The window and the join back both use them, so the join finds
+    the rows already partitioned and sorted by shuffle: the rows move once."""
+    d = df.withColumn(b, bucket)
+    cols, part = {}, []
+    for i, k in enumerate([*keys, b]):
+        f = d.schema[k]
+        if not f.nullable:
+            part.append(k)
+            continue
+        cols[f"__p{i}"], cols[f"__z{i}"] = _never_null(F.col(k), f.dataType), F.col(k).isNull()
+        part += [f"__p{i}", f"__z{i}"]
+    return d.withColumns(cols), part
+
+
+def _join_back(rows: DataFrame, summary: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Left join of the per-slice summary back onto the rows by the group's columns: plain
+    equality on columns that are never null, the partitioning of the window before. AQE
+    broadcasts the summary when it is small; beyond that only the summary moves."""
+    helper = [c for c in part if c.startswith(("__p", "__z"))]
+    return rows.join(summary, list(part), "left").drop(*helper)
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None = None,
@@ -253,21 +279,21 @@ def carry_both(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: S
         return df.withColumns({**{f"{c}__prev": _last_within(F.col(c), w, True) for c in cols},
                                **{f"{c}__next": _first_within(F.col(c), w, True) for c in cols}})
     b = "__bucket"
-    d = df.withColumn(b, bucket)
-    w = Window.partitionBy(*keys, b).orderBy(*order)
+    d, part = _sliced(df, keys, b, bucket)
+    w = Window.partitionBy(*part).orderBy(*order)
     d = d.withColumns({**{f"{c}__pin": _last_within(F.col(c), w, True) for c in cols},
                        **{f"{c}__nin": _first_within(F.col(c), w, True) for c in cols}})
     packed = {c: F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("v")))
               for c in cols}
-    summ = d.groupBy(*keys, b).agg(*[F.max(packed[c]).getField("v").alias(f"{c}__last") for c in cols],
+    summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg(*[F.max(packed[c]).getField("v").alias(f"{c}__last") for c in cols],
                                    *[F.min(packed[c]).getField("v").alias(f"{c}__first") for c in cols])
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
-    summ = summ.select(*keys, b,
+    summ = summ.select(*part,
                        *[F.last(F.col(f"{c}__last"), True).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__px")
                          for c in cols],
                        *[F.first(F.col(f"{c}__first"), True).over(wb.rowsBetween(1, UNB_FOLL)).alias(f"{c}__nx")
                          for c in cols])
-    d = _join_back(d, summ, keys + [b])
+    d = _join_back(d, summ, part)
     d = d.withColumns({**{f"{c}__prev": F.coalesce(F.col(f"{c}__pin"), F.col(f"{c}__px")) for c in cols},
                        **{f"{c}__next": F.coalesce(F.col(f"{c}__nin"), F.col(f"{c}__nx")) for c in cols}})
     return d.drop(b, *[f"{c}__{x}" for c in cols for x in ("pin", "nin", "px", "nx")])
@@ -301,8 +327,8 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
         cols.update({f"{c}__cs": F.sum(F.col(c)).over(w.rowsBetween(UNB_PREC, 0)) for c in cumsum})
         return df.withColumns(cols)
     b = "__bucket"
-    d = df.withColumn(b, bucket)
-    w = Window.partitionBy(*keys, b).orderBy(*order)
+    d, part = _sliced(df, keys, b, bucket)
+    w = Window.partitionBy(*part).orderBy(*order)
     fwd = [(c, "lnn", True) for c in last_nonnull] + [(c, "lnb", False) for c in last_nonnull_before]
     bwd = [(c, "fnn", True) for c in first_nonnull] + [(c, "fna", False) for c in first_nonnull_after]
     cols = {}
@@ -328,15 +354,15 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     if prev_row:
         aggs.append(F.max(F.struct(*ordc, *[F.col(c).alias(f"v{i}") for i, c in enumerate(prev_row)])).alias("__lrow"))
     aggs += [F.sum(F.col(c)).alias(f"{c}__tot") for c in cumsum]
-    summ = d.groupBy(*keys, b).agg(*aggs)
+    summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg(*aggs)
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
-    sel = [*keys, b]
+    sel = [*part]
     sel += [F.last(F.col(f"{c}__ls"), True).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__lx") for c in fcols]
     sel += [F.first(F.col(f"{c}__fs"), True).over(wb.rowsBetween(1, UNB_FOLL)).alias(f"{c}__fx") for c in bcols]
     sel += [F.lead(F.col("__frow").getField(f"v{i}"), 1).over(wb).alias(f"{c}__nx_x") for i, c in enumerate(next_row)]
     sel += [F.lag(F.col("__lrow").getField(f"v{i}"), 1).over(wb).alias(f"{c}__pv_x") for i, c in enumerate(prev_row)]
     sel += [F.sum(F.col(f"{c}__tot")).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__off") for c in cumsum]
-    d = _join_back(d, summ.select(*sel), keys + [b])
+    d = _join_back(d, summ.select(*sel), part)
     out = {}
     out.update({f"{c}__{t}": F.coalesce(F.col(f"{c}__{t}_in"), F.col(f"{c}__lx")) for c, t, _ in fwd})
     out.update({f"{c}__{t}": F.coalesce(F.col(f"{c}__{t}_in"), F.col(f"{c}__fx")) for c, t, _ in bwd})
@@ -353,8 +379,11 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     return d.drop(*[t for t in tmp if t in d.columns])
 
 
-def within_rows(rn: str, pair: Column, max_rows: int, forward: bool) -> Column:
-    """Value of a carried (row number, value) pair when it lies within ``max_rows`` rows."""
+def within_rows(rn: str, pair: Column, max_rows: int | None, forward: bool) -> Column:
+    """Value of a carried (row number, value) pair when it lies within ``max_rows`` rows
+    (``None``: any distance)."""
+    if max_rows is None:
+        return pair.getField("v")
     dist = (F.col(rn) - pair.getField("rn")) if forward else (pair.getField("rn") - F.col(rn))
     return F.when(dist <= max_rows, pair.getField("v"))
 
@@ -395,13 +424,13 @@ def running_sum(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[
         w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(*order)
         return df.withColumn(out, F.sum(F.col(value)).over(w.rowsBetween(UNB_PREC, 0)))
     b = "__bucket"
-    d = df.withColumn(b, bucket)
-    w = Window.partitionBy(*keys, b).orderBy(*order)
+    d, part = _sliced(df, keys, b, bucket)
+    w = Window.partitionBy(*part).orderBy(*order)
     d = d.withColumn("__in", F.sum(F.col(value)).over(w.rowsBetween(UNB_PREC, 0)))
-    tot = d.groupBy(*keys, b).agg(F.sum(F.col(value)).alias("__tot"))
+    tot = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg(F.sum(F.col(value)).alias("__tot"))
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
-    tot = tot.select(*keys, b, F.sum("__tot").over(wb.rowsBetween(UNB_PREC, -1)).alias("__off"))
-    d = _join_back(d, tot, keys + [b])
+    tot = tot.select(*part, F.sum("__tot").over(wb.rowsBetween(UNB_PREC, -1)).alias("__off"))
+    d = _join_back(d, tot, part)
     return d.withColumn(out, F.col("__in") + F.coalesce(F.col("__off"), F.lit(0))).drop(b, "__in", "__off")
 
 
@@ -458,7 +487,7 @@ def impute_by_group_chain(df: DataFrame, col: str, chain: Sequence[Sequence[str]
     parts = [F.col(col)]
     for i, level in enumerate(chain):
         level = list(level)
-        g = (df.filter(F.col(col).isNotNull())
+        g = (df.filter(F.col(col).isNotNull() & F.col(level[-1]).isNotNull())
                .groupBy(*level).agg(F.min_by(F.col(col), F.col(pick_by)).alias(f"__lvl{i}")))
         d = d.join(g, on=level, how="left")
         parts.append(F.col(f"__lvl{i}"))
@@ -487,18 +516,18 @@ def shift_one(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Se
         fn = F.lag if prev else F.lead
         return df.withColumns({f"{c}{suffix}": fn(F.col(c), 1).over(w) for c in cols})
     b = "__bucket"
-    d = df.withColumn(b, bucket)
-    w = Window.partitionBy(*keys, b).orderBy(*order)
+    d, part = _sliced(df, keys, b, bucket)
+    w = Window.partitionBy(*part).orderBy(*order)
     fn = F.lag if prev else F.lead
     d = d.withColumn("__edge", fn(F.lit(1), 1).over(w).isNull())
     d = d.withColumns({f"{c}__in": fn(F.col(c), 1).over(w) for c in cols})
     pack = F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    summ = d.groupBy(*keys, b).agg((F.max(pack) if prev else F.min(pack)).alias("__p"))
+    summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg((F.max(pack) if prev else F.min(pack)).alias("__p"))
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     sfn = F.lag if prev else F.lead
-    summ = summ.select(*keys, b, *[sfn(F.col("__p").getField(f"v{i}"), 1).over(wb).alias(f"{c}__x")
+    summ = summ.select(*part, *[sfn(F.col("__p").getField(f"v{i}"), 1).over(wb).alias(f"{c}__x")
                                    for i, c in enumerate(cols)])
-    d = _join_back(d, summ, keys + [b])
+    d = _join_back(d, summ, part)
     d = d.withColumns({f"{c}{suffix}": F.when(F.col("__edge"), F.col(f"{c}__x")).otherwise(F.col(f"{c}__in"))
                        for c in cols})
     return d.drop(b, "__edge", *[f"{c}__in" for c in cols], *[f"{c}__x" for c in cols])

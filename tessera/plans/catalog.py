@@ -1042,21 +1042,21 @@ x AS (SELECT cluster_id, timestamp, state, sw, size_workers, cur, tgt, false AS
       WHERE nsw IS NOT NULL AND nsw = nprev),
 r1 AS (SELECT *, coalesce(CASE WHEN imputed THEN false END, sw,
          last_value(sw IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
-                                           ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING),
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
          NOT first_value(sw IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
-                                                ROWS BETWEEN 1 FOLLOWING AND 1000 FOLLOWING)) AS run0 FROM x),
+                                                ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) AS run0 FROM x),
 r2 AS (SELECT *, CASE WHEN run0 IS NULL AND state IN ('STARTING', 'INIT_SCRIPTS_STARTED', 'RUNNING', 'CREATING',
                                                       'RESIZING', 'UPSIZE_COMPLETED', 'DRIVER_HEALTHY')
                       THEN true ELSE run0 END AS run1 FROM r1),
 r3 AS (SELECT *, coalesce(run1,
          last_value(run1 IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
-                                             ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING),
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
          NOT first_value(run1 IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
-                                                  ROWS BETWEEN 1 FOLLOWING AND 1000 FOLLOWING), false) AS is_running
+                                                  ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), false) AS is_running
        FROM r2),
 w1 AS (SELECT *, coalesce(cur, size_workers) AS size FROM r3),
 w2 AS (SELECT *, last_value(size IGNORE NULLS) OVER (PARTITION BY cluster_id ORDER BY timestamp, imputed, state
-                                                     ROWS BETWEEN 1000 PRECEDING AND 1 PRECEDING) AS size_back FROM w1),
+                                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS size_back FROM w1),
 w3 AS (SELECT *, CASE WHEN NOT is_running THEN 0 ELSE coalesce(size, size_back, 0) END AS current_num_workers FROM w2),
 w4 AS (SELECT *, CASE WHEN NOT is_running THEN 0 WHEN state = 'CREATING' THEN coalesce(size_workers, 0)
                       ELSE coalesce(tgt, current_num_workers, 0) END AS target_num_workers FROM w3),

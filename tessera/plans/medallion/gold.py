@@ -154,14 +154,15 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
         TimeSeries(st.withColumn("ts", F.col("state_end")), "ts", (ORG, CLUSTER)), lookback_rows=0,
         lookahead_rows=1, slice_size=slice_ms).drop("ts")
     term = term.filter(F.col("state_end") >= F.col("run_end"))
-    term = term.join(init.select("run_id", "state_start"), ["run_id", "state_start"], "left_anti")
+    state_key = [ORG, "run_id", CLUSTER, "state_start"]  # run ids repeat across tenants and clusters
+    term = term.join(init.select(*state_key), state_key, "left_anti")
     term = term.withColumn("time_in_state_ms", F.col("run_end") - F.col("state_start")).withColumn(
         "run_state", F.lit("terminal"))
     # intermediate
     mid = containment_join(r, st, [ORG, CLUSTER], "run_start", "run_end", "state_start", "state_end",
                            bucket=str(month_bucket_ms))
-    ends = init.select("run_id", "state_start").unionByName(term.select("run_id", "state_start"))
-    mid = mid.join(ends, ["run_id", "state_start"], "left_anti").withColumn(
+    ends = init.select(*state_key).unionByName(term.select(*state_key))
+    mid = mid.join(ends, state_key, "left_anti").withColumn(
         "time_in_state_ms", F.col("state_end") - F.col("state_start")).withColumn("run_state", F.lit("intermediate"))
     cols = [ORG, "run_id", CLUSTER, "cluster_type", "run_start", "run_end", *st_cols, "time_in_state_ms", "run_state"]
     rs = init.select(*cols).unionByName(term.select(*cols)).unionByName(mid.select(*cols))
@@ -186,9 +187,7 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
                          for c in COST_COLS})
     agg = [F.greatest(F.round(F.sum(c), 6), F.lit(0)).alias(c) for c in COST_COLS]
     out = rs.groupBy(ORG, "run_id", CLUSTER, "cluster_type", "run_start", "run_end").agg(
-        *agg, F.round(F.sum(F.col("worker_potential_core_H")
-                            * F.col("state_utilization_percent") * F.col("run_state_utilization")), 6)
-        .alias("worker_potential_core_H"),
+        *agg, F.round(F.sum("worker_potential_core_H"), 6).alias("worker_potential_core_H"),
         F.count(F.lit(1)).alias("cluster_states"),
         F.max(F.coalesce("overlapping_runs", F.lit(0))).alias("max_overlapping_runs"))
     return out.withColumns({
@@ -202,8 +201,10 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
 
 def with_spark_utilization(fact: DataFrame, util: DataFrame) -> DataFrame:
     """G4 tail: task hours / worker potential core hours (4 dp) for runs with Spark
-    utilisation (A7 output: run_id, spark_task_runtime_H)."""
-    j = fact.join(util, "run_id", "left")
+    utilisation (A7 output: tenant, run_id, spark_task_runtime_H; joined by the job id
+    too where both sides have one)."""
+    keys = [c for c in (ORG, "job_id", "run_id") if c in fact.columns and c in util.columns]
+    j = fact.join(util, keys, "left")
     return j.withColumn("job_run_cluster_util", F.round(
         F.try_divide(F.col("spark_task_runtime_H"), F.col("worker_potential_core_H")), 4))
 
@@ -217,10 +218,12 @@ def login_gold(logins: DataFrame, user_lookup: DataFrame) -> DataFrame:
 def spark_job_gold(jobs: DataFrame) -> DataFrame:
     """User email imputed through a chain of groupings (own -> same isolation id ->
     same job group -> same execution), deterministic ``min_by`` on the start time; job
-    and run ids from a job group like ``%job-%-run-%``."""
-    out = impute_by_group_chain(jobs, "user_email", [[ORG, CLUSTER, "isolation_id"], [ORG, CLUSTER, "job_group_id"],
-                                                     [ORG, CLUSTER, "execution_id"]], "startTimestamp",
-                                out="user_email_imputed")
+    and run ids from a job group like ``%job-%-run-%``. Ids restart with every Spark
+    context, so groups lie within one (``SparkContextID``, where the input has it); a
+    null id groups nothing."""
+    scope = [ORG, CLUSTER, *[c for c in ("SparkContextID",) if c in jobs.columns]]
+    out = impute_by_group_chain(jobs, "user_email", [[*scope, i] for i in ("isolation_id", "job_group_id", "execution_id")],
+                                "startTimestamp", out="user_email_imputed")
     part = F.get(F.split(F.col("job_group_id"), "_"), 2)
     auto = F.col("job_group_id").like("%job-%-run-%")
     return out.withColumns({"db_job_id": F.when(auto, F.get(F.split(part, "-"), 1)),

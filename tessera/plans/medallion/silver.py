@@ -49,7 +49,8 @@ def power_properties(props: Column, extra: Sequence[tuple[str, str]] = (),
 
 # ------------------------------------------------------------------ V10 cluster state detail
 
-def cluster_state_detail(events: DataFrame, until_ms: int, slice_ms: float | None = None) -> DataFrame:
+def cluster_state_detail(events: DataFrame, until_ms: int, slice_ms: float | None = None,
+                         look_rows: int | None = None) -> DataFrame:
     """Cluster events -> one row per state with running flag, worker counts,
     state start/end (next start - 1 ms; open end = ``until_ms``), uptimes, reset
     sessions, billing flags and the dates the state touches.
@@ -57,7 +58,7 @@ def cluster_state_detail(events: DataFrame, until_ms: int, slice_ms: float | Non
     W10 state machine: on/off switch (TERMINATING off, CREATING/STARTING on); an
     *invalid chain* (the next switch equals the switch before it, e.g. RUNNING ->
     STARTING without TERMINATING) gets one imputed TERMINATING row 1 ms after the row.
-    The look-arounds are bounded to 1000 rows as in the reference.
+    The look-arounds are unbounded; ``look_rows`` bounds them to so many rows.
 
     Plan: one look-around pass before the imputation and five after it (row numbers;
     switch/size/state/timestamp look-arounds; running-flag look-arounds; two running
@@ -94,14 +95,14 @@ def cluster_state_detail(events: DataFrame, until_ms: int, slice_ms: float | Non
     d = cut(lookaround(d, k, o2, bucket(), last_nonnull_before=["__psw", "__psz"], first_nonnull_after=["__psw"],
                        prev_row=["state"], next_row=["timestamp"]))
     run = F.coalesce(F.when(F.col("imputed"), F.lit(False)), F.col("running_switch"),
-                     within_rows("__rn", F.col("__psw__lnb"), 1000, True),
-                     ~within_rows("__rn", F.col("__psw__fna"), 1000, False))
+                     within_rows("__rn", F.col("__psw__lnb"), look_rows, True),
+                     ~within_rows("__rn", F.col("__psw__fna"), look_rows, False))
     d = d.withColumn("__run1", F.when(run.isNull() & F.col("state").isin(*RUNNING_STATES), F.lit(True)).otherwise(run))
     d = d.withColumn("__prun", as_pair("__rn", "__run1"))
     d = cut(lookaround(d, k, o2, bucket(), last_nonnull_before=["__prun"], first_nonnull_after=["__prun"]))
-    d = d.withColumn("is_running", F.coalesce(F.col("__run1"), within_rows("__rn", F.col("__prun__lnb"), 1000, True),
-                                              ~within_rows("__rn", F.col("__prun__fna"), 1000, False), F.lit(False)))
-    size_back = within_rows("__rn", F.col("__psz__lnb"), 1000, True)
+    d = d.withColumn("is_running", F.coalesce(F.col("__run1"), within_rows("__rn", F.col("__prun__lnb"), look_rows, True),
+                                              ~within_rows("__rn", F.col("__prun__fna"), look_rows, False), F.lit(False)))
+    size_back = within_rows("__rn", F.col("__psz__lnb"), look_rows, True)
     d = d.withColumn("current_num_workers", F.coalesce(
         F.when(~F.col("is_running"), F.lit(None).cast("long")).otherwise(F.coalesce(F.col("__size"), size_back)),
         F.lit(0).cast("long")))
@@ -247,7 +248,7 @@ MOD_ACTIONS = ("add", "addPrincipalToGroup", "removePrincipalFromGroup", "setAdm
 
 def account_mods(audit: DataFrame, slice_ms: float | None = None) -> DataFrame:
     """V7: six account actions; a null ``user_id`` takes the first later non-null id of
-    the same user name (W8, bounded to 1000 rows as in the reference)."""
+    the same user name, however far away (W8)."""
     def rp(name):
         p = f"requestParams.{name}"
         return F.col(p).cast("string") if nested_col_exists(audit.schema, p, True) else F.lit(None).cast("string")
@@ -257,7 +258,7 @@ def account_mods(audit: DataFrame, slice_ms: float | None = None) -> DataFrame:
         rp("targetUserId").alias("user_id"))
     bucket = F.floor(F.col("timestamp") / F.lit(float(slice_ms))).cast("long") if slice_ms else None
     filled = future_fill(d, ["user_id"], ["organization_id", "user_name"], ["timestamp", "requestId"],
-                         max_rows=1000, out_suffix="__f", bucket=bucket)
+                         out_suffix="__f", bucket=bucket)
     return filled.withColumn("user_id", F.coalesce("user_id", "user_id__f")).drop("user_id__f")
 
 

@@ -116,10 +116,20 @@ def runtime_engine(own: Column, spark_version: Column) -> Column:
     return F.coalesce(own, F.when(spark_version.contains("_photon_"), "PHOTON"), F.lit("STANDARD"))
 
 
+def _pool_lookup(d: DataFrame, pools: DataFrame, pool_id: str, slice_ms: float | None) -> DataFrame:
+    """As-of lookup of pool columns. Rows without a pool id are most rows and match
+    nothing: they stay out of the series instead of forming one huge null series."""
+    key = (ORG, pool_id)
+    found = TimeSeries(d.filter(F.col(pool_id).isNotNull()), "timestamp", key).lookup_when(
+        TimeSeries(pools.filter(F.col(pool_id).isNotNull()), "timestamp", key), lookahead_rows=None, slice_size=slice_ms)
+    return found.unionByName(d.filter(F.col(pool_id).isNull()), allowMissingColumns=True)
+
+
 def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFrame | None = None,
-                 first_run: bool = False, from_ms: int | None = None, slice_ms: float | None = None) -> DataFrame:
+                 first_run: bool = False, from_ms: int | None = None, slice_ms: float | None = None,
+                 repair_rows: int | None = None) -> DataFrame:
     """V9: cluster create/edit events (+ first-run snapshot imputation) with id/name
-    repaired from nearby rows (W8, 1000 rows), pool node types looked up as-of, driver
+    repaired from later rows (W8; ``repair_rows`` bounds how many), pool node types looked up as-of, driver
     type by priority (driver pool -> worker pool -> own -> last known -> worker type),
     cluster type from the conf/tag JSON, security profile, creator and last editor
     histories, runtime engine."""
@@ -138,10 +148,10 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
                     _rp(a, "runtime_engine").alias("runtime_engine"),
                     *[_rp(a, src).alias(out) for out, src in CLUSTER_EXTRA_FIELDS],
                     F.col("userIdentity.email").alias("user_email"), _ok().alias("__ok"))
-    base = future_fill(base, ["cluster_id"], [ORG, "cluster_name"], ["timestamp", "requestId"], max_rows=1000,
+    base = future_fill(base, ["cluster_id"], [ORG, "cluster_name"], ["timestamp", "requestId"], max_rows=repair_rows,
                        out_suffix="__f", bucket=_slices(slice_ms)).withColumn("cluster_id", F.coalesce("cluster_id", "cluster_id__f")).drop(
         "cluster_id__f")
-    base = future_fill(base, ["cluster_name"], [ORG, "cluster_id"], ["timestamp", "requestId"], max_rows=1000,
+    base = future_fill(base, ["cluster_name"], [ORG, "cluster_id"], ["timestamp", "requestId"], max_rows=repair_rows,
                        out_suffix="__f", bucket=_slices(slice_ms)).withColumn("cluster_name", F.coalesce("cluster_name", "cluster_name__f")).drop(
         "cluster_name__f")
     creators = dedup_by_key(base.filter((F.col("actionName") == "create") & F.col("__ok")).select(
@@ -161,12 +171,10 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
         pname = F.col("instance_pool_name") if "instance_pool_name" in pools.columns else F.lit(None).cast("string")
         pl = pools.select(ORG, "instance_pool_id", "timestamp", F.col("node_type_id").alias("pool_node_type"),
                           pname.alias("instance_pool_name"))
-        d = TimeSeries(d, "timestamp", (ORG, "instance_pool_id")).lookup_when(
-            TimeSeries(pl, "timestamp", (ORG, "instance_pool_id")), lookahead_rows=None, slice_size=slice_ms)
+        d = _pool_lookup(d, pl, "instance_pool_id", slice_ms)
         dp = pl.withColumnsRenamed({"instance_pool_id": "driver_instance_pool_id", "pool_node_type": "driver_pool_node_type",
                                     "instance_pool_name": "driver_instance_pool_name"})
-        d = TimeSeries(d, "timestamp", (ORG, "driver_instance_pool_id")).lookup_when(
-            TimeSeries(dp, "timestamp", (ORG, "driver_instance_pool_id")), lookahead_rows=None, slice_size=slice_ms)
+        d = _pool_lookup(d, dp, "driver_instance_pool_id", slice_ms)
     else:
         d = d.withColumns({"pool_node_type": F.lit(None).cast("string"),
                            "driver_pool_node_type": F.lit(None).cast("string"),

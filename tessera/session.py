@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,10 +58,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Read ``spark.checkpoint.dir`` from the session; only when it is unset (tests,
-    local bench) point it at a fresh scratch folder."""
+    """Read ``spark.checkpoint.dir`` from the session; only when it is unset in a local
+    session (tests, bench) point it at a fresh scratch folder. A cluster session must
+    name a shared folder: executors cannot see each other's disks."""
     d = checkpoint_dir(spark)
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -8,9 +8,9 @@ listener), and the checkpoint makes a restart resume exactly where it stopped.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,17 +45,25 @@ def raw_land_columns(df: DataFrame, run_id: str, tenant: str, body_col: str = "b
                      F.current_timestamp().alias("landed_at"))
 
 
-def validate_checkpoint_path(checkpoint: str, target: str, first_run: bool) -> None:
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    """Does the folder hold any file? Asked of Spark's reader, so every file system works."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+        return not files.limit(1).isEmpty()
+    except AnalysisException:
+        return False
+
+
+def validate_checkpoint_path(spark: SparkSession, checkpoint: str, target: str, first_run: bool) -> None:
     """The checkpoint is not the data path (nor inside it); on a first run it must
-    be empty or absent, on later runs present."""
-    c, t = os.path.normpath(checkpoint), os.path.normpath(target)
-    if c == t or c.startswith(t + os.sep):
+    be empty or absent, on later runs present - on any file system Spark can read."""
+    c, t = checkpoint.rstrip("/"), target.rstrip("/")
+    if c == t or c.startswith(t + "/"):
         raise ValueError("checkpoint location must not be the target data path")
-    if c.startswith("/") and os.path.exists(c):
-        has = any(os.scandir(c))
-        if first_run and has:
-            raise ValueError("first run but the checkpoint already holds state")
-    elif c.startswith("/") and not first_run:
+    held = _holds_files(spark, c)
+    if first_run and held:
+        raise ValueError("first run but the checkpoint already holds state")
+    if not first_run and not held:
         raise ValueError("checkpoint missing for a continuing stream")
 
 
@@ -75,12 +83,14 @@ def land_stream(df: DataFrame, target: str, checkpoint: str, query_name: str,
 
 
 def exactly_once(df: DataFrame, keys: Sequence[str], event_time: str | None = None,
-                 watermark: str = "1 hour", order: Sequence[str] = ()) -> DataFrame:
+                 watermark: str | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Keep one row per key. Streaming: ``dropDuplicatesWithinWatermark`` with a
-    watermark on ``event_time`` (bounded state). Batch: W1 with a total order."""
+    watermark on ``event_time`` (bounded state). Rows later than the watermark are
+    dropped by Spark, so the bound is the caller's choice, and ``late_rows`` tells how
+    many a query dropped. Batch: W1 with a total order."""
     if df.isStreaming:
-        if event_time is None:
-            raise ValueError("streaming de-duplication needs an event-time column for the watermark")
+        if event_time is None or watermark is None:
+            raise ValueError("streaming de-duplication needs an event-time column and a watermark")
         wm = event_time
         if isinstance(df.schema[event_time].dataType, T.TimestampNTZType):
             # watermarks need TIMESTAMP; the cast only shifts all values alike
@@ -92,6 +102,11 @@ def exactly_once(df: DataFrame, keys: Sequence[str], event_time: str | None = No
     return dedup_by_key(df, keys, order)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's recent batches dropped for being later than the watermark."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+
+
 def close_late(starts: DataFrame, ends: DataFrame, keys: Sequence[str], start_time: str, end_time: str,
                max_lag: str = "30 days") -> DataFrame:
     """X6 streaming twin of the lag join: start events left-outer-joined to end events

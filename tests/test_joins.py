@@ -53,7 +53,7 @@ def test_lag_join_missing_column(sides):
         J.join_with_lag(a.drop("day"), b, KEYS, "day")
 
 
-def test_interval_join_broadcast_equals_bucketed(spark):
+def test_interval_join_same_for_all_buckets(spark):
     facts = spark.createDataFrame([(i, "k" + str(i % 3), dt.date(2020, 1, 1) + dt.timedelta(days=i * 7))
                                    for i in range(60)], "id int, key string, d date")
     dim = spark.createDataFrame([("K0 ", dt.date(2020, 1, 1), dt.date(2020, 6, 30), 1.0),
@@ -62,7 +62,7 @@ def test_interval_join_broadcast_equals_bucketed(spark):
                                 "key string, f date, u date, rate double")
     a = J.interval_join(facts, dim, ["key"], "d", "f", "u", open_until=F.lit("2022-01-01").cast("date"))
     b = J.interval_join(facts, dim, ["key"], "d", "f", "u", open_until=F.lit("2022-01-01").cast("date"),
-                        broadcast_max_rows=None)
+                        bucket="year")
     assert rows(a, "id", "rate") == rows(b, "id", "rate")
     assert a.count() == 60
 
@@ -123,7 +123,10 @@ def test_containment_join_bucketed(spark):
 def test_salted_join_equals_plain(spark):
     big = spark.range(2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     small = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c")], "k long, s string")
-    assert rows(J.salted_join(big, small, ["k"], salt=8)) == rows(big.join(small, "k"))
+    for how in ("inner", "left"):
+        assert rows(J.salted_join(big, small, ["k"], salt=8, how=how)) == rows(big.join(small, "k", how))
+    with pytest.raises(ValueError):
+        J.salted_join(big, small, ["k"], how="full")
 
 
 def test_previous_day_expand_join(spark):

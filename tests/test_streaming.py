@@ -3,7 +3,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.streaming.land import (exactly_once, land_stream, raw_land_columns, read_stream,
+from tessera.streaming.land import (exactly_once, land_stream, late_rows, raw_land_columns, read_stream,
                                     validate_checkpoint_path)
 from conftest import rows
 
@@ -17,7 +17,7 @@ def test_available_now_equals_batch(spark, tmp_path):
     schema = spark.read.parquet(SRC).schema
     stream = read_stream(spark, "parquet", str(src), schema=schema, max_per_trigger=1)
     target, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
-    validate_checkpoint_path(ckpt, target, first_run=True)
+    validate_checkpoint_path(spark, ckpt, target, first_run=True)
     land_stream(stream, target, ckpt, "land_events")
     landed = spark.read.parquet(target)
     assert rows(landed) == rows(spark.read.parquet(SRC))
@@ -32,11 +32,11 @@ def test_raw_land_shape(spark):
     assert out.columns == ["body", "organization_id", "run_id", "landed_at"]
 
 
-def test_checkpoint_path_rules(tmp_path):
+def test_checkpoint_path_rules(spark, tmp_path):
     with pytest.raises(ValueError):
-        validate_checkpoint_path(str(tmp_path / "t"), str(tmp_path / "t"), True)
+        validate_checkpoint_path(spark, str(tmp_path / "t"), str(tmp_path / "t"), True)
     with pytest.raises(ValueError):
-        validate_checkpoint_path(str(tmp_path / "missing"), str(tmp_path / "t"), False)
+        validate_checkpoint_path(spark, str(tmp_path / "missing"), str(tmp_path / "t"), False)
 
 
 def test_stream_dedup_equals_batch(spark, tmp_path):
@@ -46,9 +46,12 @@ def test_stream_dedup_equals_batch(spark, tmp_path):
     ev.union(ev).write.parquet(str(src / "a"))
     schema = ev.schema
     stream = read_stream(spark, "parquet", str(src / "a"), schema=schema)
+    with pytest.raises(ValueError):
+        exactly_once(stream, ["event_id"], event_time="ts")
     d = exactly_once(stream, ["event_id"], event_time="ts", watermark="1 hour")
     out, ck = str(tmp_path / "o"), str(tmp_path / "c")
-    land_stream(d, out, ck, "dedup")
+    q = land_stream(d, out, ck, "dedup")
+    assert late_rows(q) == 0
     assert spark.read.parquet(out).count() == ev.count()
     assert exactly_once(ev.union(ev), ["event_id"]).count() == ev.count()
 
