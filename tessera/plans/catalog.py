@@ -29,7 +29,7 @@ from tessera.operators import schema as S
 from tessera.operators import windows as W
 from tessera.operators.incremental import incremental_filters
 from tessera.operators.scd import scd2_apply, scd2_validate
-from tessera.operators.tables import new_files, upsert_frame
+from tessera.operators.tables import new_files, unpivot_prices, upsert_frame
 from tessera.operators.timeseries import TimeSeries
 from tessera.session import cut_lineage
 
@@ -867,7 +867,7 @@ UNION ALL SELECT p_partkey, 'discounted', p_retailprice * 0.9 FROM part
 def q40(spark, d):
     p = table(spark, d, "part").select("p_partkey", F.col("p_retailprice").alias("retail"),
                                        (F.col("p_retailprice") * 0.9).alias("discounted"))
-    return p.unpivot(["p_partkey"], ["retail", "discounted"], "sku", "price")
+    return unpivot_prices(p, ["p_partkey"], {"retail": "retail", "discounted": "discounted"}, value="price")
 
 
 # ------------------------------------------------------------------ q41-q42 (W7, W2 with ties)
