@@ -78,8 +78,9 @@ def impute_first_run(log_rows: DataFrame, snapshot: DataFrame, keys: Sequence[st
 
 # ------------------------------------------------------------------ I2-I4 module windows and run state
 
-STATE_SCHEMA = ("module_id int, module_name string, run_id string, from_ts long, until_ts long, "
-                "status string, written_rows long, recorded_at timestamp")
+STATE_SCHEMA = ("organization_id string, module_id int, module_name string, run_id string, from_ts long, "
+                "until_ts long, status string, written_rows long, recorded_at timestamp")
+TENANT = "organization_id"
 
 
 @dataclass(frozen=True)
@@ -88,12 +89,18 @@ class ModuleSpec:
     name: str
     depends_on: Sequence[int] = field(default_factory=tuple)
     max_days: int = 60
+    tenant: str | None = None  # windows, state and rollbacks are one tenant's own
 
 
 def latest_successful_state(state: DataFrame) -> DataFrame:
-    """Newest SUCCESS or EMPTY% row per module (strict; ties by run id)."""
+    """Newest SUCCESS or EMPTY% row per tenant and module (strict; ties by run id)."""
     ok = state.filter((F.col("status") == "SUCCESS") | F.col("status").startswith("EMPTY"))
-    return latest_by_key(ok, ["module_id"], ["until_ts", "recorded_at", "run_id"])
+    keys = [c for c in (TENANT,) if c in state.columns] + ["module_id"]
+    return latest_by_key(ok, keys, ["until_ts", "recorded_at", "run_id"])
+
+
+def _of_tenant(state: DataFrame, tenant: str | None) -> DataFrame:
+    return state.filter(F.col(TENANT).eqNullSafe(F.lit(tenant))) if TENANT in state.columns else state
 
 
 def compute_window(state: DataFrame, spec: ModuleSpec, snap_ms: int, primordial_ms: int) -> tuple[int, int]:
@@ -102,7 +109,7 @@ def compute_window(state: DataFrame, spec: ModuleSpec, snap_ms: int, primordial_
     module (metadata, not data)."""
     ids = [spec.module_id, *spec.depends_on]
     rows = {r["module_id"]: r["until_ts"] for r in
-            latest_successful_state(state.filter(F.col("module_id").isin(ids))).select(
+            latest_successful_state(_of_tenant(state, spec.tenant).filter(F.col("module_id").isin(ids))).select(
                 "module_id", "until_ts").collect()}
     frm = rows.get(spec.module_id, primordial_ms)
     until = min(frm + spec.max_days * 86_400_000, snap_ms)
@@ -143,7 +150,7 @@ def run_module(spark, spec: ModuleSpec, state_path: str, source, target, snap_ms
     back; else SUCCESS. Re-running a finished window writes nothing (idempotent)."""
     import datetime as _d
 
-    from tessera.operators.tables import rollback_run, table_exists, write_append, write_upsert, write_overwrite
+    from tessera.operators.tables import keep_rows, rollback_run, table_exists, write_append, write_upsert
     state = read_state(spark, state_path)
     frm, until = compute_window(state, spec, snap_ms, primordial_ms)
     rows = 0
@@ -167,9 +174,8 @@ def run_module(spark, spec: ModuleSpec, state_path: str, source, target, snap_ms
                 status = run_status(frm, until, False)
     except Exception as e:  # noqa: BLE001 - recorded in the state table, then re-raised
         status = f"FAILED: {type(e).__name__}"
-        if target.mode != "merge" and table_exists(spark, target.path):
-            kept = rollback_run(spark.read.parquet(target.path), run_id)
-            write_overwrite(kept, target)
+        if table_exists(spark, target.path):  # a merge is staged first: only its own rows can be there
+            keep_rows(spark, target, lambda d: rollback_run(d, run_id) if "run_id" in d.columns else d)
         _append_state(spark, state_path, spec, run_id, frm, frm, status, 0, _d)
         raise
     progress = until if not status.startswith("EMPTY: window") else frm
@@ -178,17 +184,20 @@ def run_module(spark, spec: ModuleSpec, state_path: str, source, target, snap_ms
 
 
 def _append_state(spark, path, spec, run_id, frm, until, status, rows, _d):
-    row = [(spec.module_id, spec.name, run_id, int(frm), int(until), status, int(rows), _d.datetime.now())]
+    row = [(spec.tenant, spec.module_id, spec.name, run_id, int(frm), int(until), status, int(rows), _d.datetime.now())]
     spark.createDataFrame(row, STATE_SCHEMA).write.mode("append").parquet(path)
 
 
-def rollback_module_state(state: DataFrame, module_id: int, rollback_ms: int) -> tuple[DataFrame, int | None]:
+def rollback_module_state(state: DataFrame, module_id: int, rollback_ms: int,
+                          tenant: str | None = None) -> tuple[DataFrame, int | None]:
     """K11 (state part): the runs of ``module_id`` whose window ends at or after the
     rollback time get their status prefixed ``ROLLED BACK: ``; returns the new state and
     the ``from`` time of the first such run (rows at or after it must leave the module's
     targets - ``tables.rollback_to_time``). ``None`` when nothing is rolled back. Reads one
     aggregate row (metadata)."""
     hit = (F.col("module_id") == module_id) & (F.col("until_ts") >= rollback_ms)
+    if TENANT in state.columns:
+        hit = hit & F.col(TENANT).eqNullSafe(F.lit(tenant))
     first = state.filter(hit).agg(F.min("from_ts").alias("f")).first()["f"]
     new_state = state.withColumn("status", F.when(hit & ~F.col("status").startswith("ROLLED BACK"),
                                                   F.concat(F.lit("ROLLED BACK: "), F.col("status")))
@@ -197,19 +206,19 @@ def rollback_module_state(state: DataFrame, module_id: int, rollback_ms: int) ->
 
 
 def rollback_module(spark, state_path: str, module_id: int, rollback_ms: int, targets: Sequence,
-                    dry_run: bool = True) -> dict:
-    """Roll a module back to a time: state rows marked, target rows whose
-    incremental columns reach the first rolled-back window removed (partition-wise
-    rewrite). ``dry_run`` only reports what would change."""
-    from tessera.operators.tables import read_table, rollback_to_time, write_overwrite
+                    dry_run: bool = True, tenant: str | None = None) -> dict:
+    """Roll one tenant's module back to a time: state rows marked, target rows of the
+    tenant whose incremental columns reach the first rolled-back window removed (only
+    partitions that lose rows are rewritten). ``dry_run`` only reports what would change."""
+    from tessera.operators.tables import keep_rows, rollback_to_time
     state = read_state(spark, state_path)
-    new_state, cut_ms = rollback_module_state(state, module_id, rollback_ms)
+    new_state, cut_ms = rollback_module_state(state, module_id, rollback_ms, tenant)
     report = {"module_id": module_id, "from_ms": cut_ms, "targets": [t.name for t in targets]}
     if dry_run or cut_ms is None:
         return report
     for t in targets:
-        kept = rollback_to_time(read_table(spark, t), list(t.incremental_cols), cut_ms)
-        write_overwrite(kept, t)
+        others = None if tenant is None or t.tenant_col is None else ~F.col(t.tenant_col).eqNullSafe(F.lit(tenant))
+        keep_rows(spark, t, lambda d, t=t, o=others: rollback_to_time(d, list(t.incremental_cols), cut_ms, o))
     from tessera.operators.tables import persist_and_reload
     persist_and_reload(new_state).write.mode("overwrite").parquet(state_path)
     return report

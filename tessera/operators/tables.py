@@ -222,14 +222,43 @@ def merge_into_table(source: DataFrame, table: str, keys: Sequence[str], schema_
     w.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
+def keep_rows(spark: SparkSession, spec: TableSpec, keep) -> int:
+    """Rewrite a stored table to ``keep(df)`` (a filter), touching as little as possible:
+    nothing when no row goes, and only the partitions that lose rows. A partition that
+    loses all its rows cannot be emptied by a partition overwrite; then the whole table is
+    staged and rewritten. Returns the number of rows removed."""
+    df = read_table(spark, spec)
+    parts = list(spec.partition_by)
+    if not parts:
+        n = df.count() - keep(df).count()
+        if n:
+            write_overwrite(keep(df), spec)
+        return n
+    before = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("__all"))
+    after = keep(df).groupBy(*parts).agg(F.count(F.lit(1)).alias("__kept")).withColumnsRenamed({p: f"{p}__k" for p in parts})
+    cond = F.lit(True)
+    for p in parts:
+        cond = cond & F.col(p).eqNullSafe(F.col(f"{p}__k"))
+    lost = persist_and_reload(before.join(after, cond, "left").select(*parts, "__all", F.coalesce("__kept", F.lit(0)).alias("__kept"))
+                              .where("__all > __kept"))
+    n, empty = lost.agg(F.sum(F.col("__all") - F.col("__kept")), F.count_if(F.col("__kept") == 0)).first()
+    if not n:
+        return 0
+    if empty:
+        write_overwrite(keep(df), spec)
+    else:
+        _overwrite_partitions(persist_and_reload(keep(df).join(lost.select(*parts), parts, "left_semi")), spec)
+    return int(n)
+
+
 def rollback_run(df: DataFrame, run_id: str, run_col: str = "run_id") -> DataFrame:
     """The table without the rows of a failed run (caller rewrites touched parts)."""
     return df.filter(F.col(run_col).isNull() | (F.col(run_col) != run_id))
 
 
-def rollback_to_time(df: DataFrame, incremental_cols: Sequence[str], from_ms: int) -> DataFrame:
+def rollback_to_time(df: DataFrame, incremental_cols: Sequence[str], from_ms: int, spare: Column | None = None) -> DataFrame:
     """Keep rows whose incremental columns are all before the rollback point; a row
-    without such a time is not known to be later and stays."""
+    without such a time is not known to be later and stays, and so do ``spare`` rows."""
     keep = F.lit(True)
     for c in incremental_cols:
         dt = df.schema[c].dataType
@@ -242,7 +271,7 @@ def rollback_to_time(df: DataFrame, incremental_cols: Sequence[str], from_ms: in
         else:
             continue
         keep = keep & F.coalesce(early, F.lit(True))
-    return df.filter(keep)
+    return df.filter(keep if spare is None else keep | spare)
 
 
 def purge_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

@@ -101,3 +101,24 @@ def test_module_failure_is_recorded(spark, tmp_path):
         run_module(spark, spec, state, source, target, 10**6, 0, "r1")
     st = read_state(spark, state).collect()
     assert len(st) == 1 and st[0]["status"].startswith("FAILED") and st[0]["until_ts"] == st[0]["from_ts"]
+
+
+def test_rollback_is_one_tenants_and_touches_only_its_partitions(spark, tmp_path):
+    import os
+
+    from tessera.operators.incremental import STATE_SCHEMA, compute_window, rollback_module
+    from tessera.operators.tables import write_append
+    st = str(tmp_path / "state")
+    day = dt.datetime(2020, 1, 1)
+    spark.createDataFrame([(o, 1, "m", f"{o}{i}", i * 100, i * 100 + 100, "SUCCESS", 1, day) for o in "ab" for i in range(2)], STATE_SCHEMA).write.parquet(st)
+    assert compute_window(read_state(spark, st), ModuleSpec(1, "m", tenant="a"), 10 ** 12, 0)[0] == 200
+    assert compute_window(read_state(spark, st), ModuleSpec(1, "m", tenant="c"), 10 ** 12, 7)[0] == 7
+    t = TableSpec("t", str(tmp_path / "t"), keys=("k",), incremental_cols=("ms",), partition_by=("d",))
+    rows = [("a", 1, 50, 1), ("a", 2, 150, 2), ("a", 3, 20, 2), ("b", 4, 150, 2), ("b", 5, 150, 3), ("a", 6, None, 2)]
+    write_append(spark.createDataFrame(rows, "organization_id string, k int, ms long, d int"), t)
+    kept_file = os.listdir(f"{t.path}/d=3")
+    rollback_module(spark, st, 1, 150, [t], dry_run=False, tenant="a")
+    assert sorted(r["k"] for r in read_table(spark, t).collect()) == [1, 3, 4, 5, 6]
+    assert os.listdir(f"{t.path}/d=3") == kept_file
+    marked = read_state(spark, st).filter(F.col("status").startswith("ROLLED BACK")).collect()
+    assert [r["organization_id"] for r in marked] == ["a"]
