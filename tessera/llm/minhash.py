@@ -4,16 +4,19 @@ A signature has ``SYMBOLS`` minima cut to 16 bits. It is split into chunks of th
 that differs in at most ``RADIUS`` symbols differs in at most one symbol of some chunk (pigeonhole), so
 the index enumerates the three ways to leave one symbol of each chunk out: such a pair shares a
 key for certain. At a similarity of 0.75 a symbol differs with probability 1/4, and more than
-``RADIUS`` of 24 differ with probability 2e-5. Candidates within the radius are confirmed on the
-full shingle sets.
+``RADIUS`` of 24 differ with probability 2e-5. Pairs that share a key are screened by ``SCREEN`` minima
+cut to 8 bits (at 0.75 more than ``FAR`` of them differ with probability 2e-5) and confirmed on the full
+shingle sets.
 
-No group is expanded into all its pairs. Equal sets are one class. First each key's members are
-held against its smallest one and linked; then only members of one key that are still in different
-components are compared, inside the join's condition (signature distance and set sizes).
+No group is expanded into all its pairs. Equal sets are one class. In two rounds every key's members are
+held against one of them, drawn anew for each key, so that a member of a large group meets many
+others; confirmed pairs are linked. Then only members of one key that are still in different
+components are compared, inside the join's condition and in the first key they share.
 
 Edge cases: null and empty texts and texts without words have no shingles and link with nothing;
-fewer than five words are one shingle; repeated rows and ids share a component; rows without an
-id get no component and stay; other columns are kept by ``deduplicated``.
+fewer than five words are one shingle; repeated rows share a component; rows without an id get no
+component and stay; an id names one text (of rows that give it others, one text is confirmed on);
+other columns are kept by ``deduplicated``.
 """
 
 from __future__ import annotations
@@ -29,19 +32,31 @@ from tessera.llm.common import by_ids, components, mix, shingle_set, stage, text
 SYMBOLS, CHUNK, BITS = 24, 3, 16
 #: Symbols that may differ: one in each chunk, and one chunk more must stay within it.
 RADIUS = 2 * (SYMBOLS // CHUNK) - 1
+#: Minima of the screening signature, and how many may differ.
+SCREEN, FAR = 96, 42
 #: Links need 100 * intersection >= LEAST * union.
 LEAST = 75
 
-_A = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)) | np.uint64(1)
-_B = mix(np.arange(1001, SYMBOLS + 1001, dtype=np.uint64))
+_A = mix(np.arange(1, SCREEN + 1, dtype=np.uint64)) | np.uint64(1)
+_B = mix(np.arange(1001, SCREEN + 1001, dtype=np.uint64))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """``SYMBOLS`` minima over the set, each cut to 16 bits."""
-    low = np.full(SYMBOLS, np.uint64(2 ** 64 - 1))
-    for i in range(0, len(shingles), 4096):
-        low = np.minimum(low, (shingles[None, i:i + 4096] * _A[:, None] + _B[:, None]).min(1))
-    return (mix(low ^ _B) >> np.uint64(64 - BITS)).astype(np.int64)
+def minima(shingles: np.ndarray) -> np.ndarray:
+    """The least value of the set under each of ``SCREEN`` hash functions, mixed again."""
+    low = np.full(SCREEN, np.uint64(2 ** 64 - 1))
+    for i in range(0, len(shingles), 512):
+        low = np.minimum(low, (shingles[None, i:i + 512] * _A[:, None] + _B[:, None]).min(1))
+    return mix(low ^ _B)
+
+
+def signature(low: np.ndarray) -> np.ndarray:
+    """The first ``SYMBOLS`` minima, each cut to 16 bits."""
+    return (low[:SYMBOLS] >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def screen(low: np.ndarray) -> np.ndarray:
+    """All minima, each cut to 8 bits, eight in a long."""
+    return (low & np.uint64(255)).astype(np.uint8).view(np.int64)
 
 
 def keys(sig: np.ndarray) -> np.ndarray:
@@ -52,19 +67,19 @@ def keys(sig: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, set fingerprint (f1, f2), signature (four symbols in a long), keys."""
+    """doc_id, n_shingles, set fingerprint (f1, f2), screening signature, keys."""
     def make():
         def run(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {c: [] for c in ("n_shingles", "f1", "f2", "sig", "keys")}
             for t in texts_of(batch, "_text"):
                 s = shingle_set(t)
                 f = xxhash.xxh3_128_digest(s.tobytes())
-                sig = signature(s)
+                low = minima(s)
                 out["n_shingles"].append(len(s))
                 out["f1"].append(int.from_bytes(f[:8], "little", signed=True))
                 out["f2"].append(int.from_bytes(f[8:], "little", signed=True))
-                out["sig"].append((sig.reshape(-1, 4) << np.array([0, 16, 32, 48])).sum(1).tolist() if len(s) else None)
-                out["keys"].append(keys(sig).tolist() if len(s) else None)
+                out["sig"].append(screen(low).tolist() if len(s) else None)
+                out["keys"].append(keys(signature(low)).tolist() if len(s) else None)
             return out
         return run
 
@@ -73,16 +88,43 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def _distance(a: str, b: str):
-    """Symbols in which two packed signatures differ."""
-    def differing(x):
-        return sum((F.shiftrightunsigned(x, 16 * i).bitwiseAND(F.lit(0xFFFF)) != 0).cast("int") for i in range(4))
-    return sum(differing(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SYMBOLS // 4))
+    """Bytes in which two screening signatures differ."""
+    out = F.lit(0)
+    for i in range(SCREEN // 8):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        for shift in (4, 2, 1):  # the lowest bit of each byte gathers the byte's bits
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        out = out + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return out
 
 
 def _sizes_allow(a: str, b: str):
     return 100 * F.least(F.col(a), F.col(b)) >= LEAST * F.greatest(F.col(a), F.col(b))
 
 
+def _star(postings: DataFrame, draw: int) -> DataFrame:
+    """(a, b): each member of a key (key, id, component c) with the one drawn for the key, if
+    their components differ."""
+    drawn = (postings.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "id", F.lit(draw)).alias("x"), "id", "c")).alias("h"), F.min("c").alias("x"), F.max("c").alias("y"))
+             .where("x < y").select("key", F.col("h.id").alias("h"), F.col("h.c").alias("hc")))
+    return postings.join(drawn, "key").where("c <> hc").select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
+
+
+def _near(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs whose sizes and screening signatures allow the similarity."""
+    one, two = (members.select(*[F.col(c).alias(c + x) for c in ("id", "n", "sig")]) for x in "ab")
+    return (pairs.join(two, F.col("b") == F.col("idb")).join(one, F.col("a") == F.col("ida"))
+            .where(_sizes_allow("na", "nb") & (_distance("siga", "sigb") <= FAR)).select("a", "b"))
+
+
+def _meeting(reps: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, id, c) of the keys in which more than one component meets."""
+    placed = (reps.select(F.col("doc_id").alias("id"), "keys").join(groups, "id", "left")
+              .select(F.explode("keys").alias("key"), "id", F.coalesce("component", "id").alias("c")))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
+    return placed.join(mixed, "key")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full shingle sets reach the similarity."""
     pairs = stage(pairs.distinct(), "candidates")
@@ -107,27 +149,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     same_set = ["n_shingles", "f1", "f2"]
     classes = stage(real.groupBy(*same_set).agg(F.min("doc_id").alias("rep")), "classes")
     reps = stage(real.join(classes.select(F.col("rep").alias("doc_id"), *same_set), ["doc_id", *same_set], "left_semi").dropDuplicates(["doc_id"]), "representatives")
-    members = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig")
     postings = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-
-    hubs = postings.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
-    star = stage(postings.join(hubs, "key").where("id > a").select("a", F.col("id").alias("b")).distinct(), "stars")
-    near = (star.join(members.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
-            .join(members.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
-            .where(_sizes_allow("na", "nb") & (_distance("sa", "sb") <= RADIUS)).select("a", "b"))
-    links = stage(_confirmed(near, texts), "star_links")
-
-    first = stage(components(links), "first_components")
-    placed = (reps.select("doc_id", "n_shingles", "sig", "keys").join(first.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-              .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig", "keys", F.coalesce("component", "doc_id").alias("c")))
-    where = placed.select(F.explode("keys").alias("key"), "id", "c")
-    mixed = where.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
-    left = stage(where.join(mixed, "key").join(placed.select("id", "n", "sig"), "id"), "mixed_keys")
-    # keys whose star pairs were refused: every pair of members from different components
-    other = left.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
-    cross = (left.select("key", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("sig").alias("sa")).join(other, "key")
-             .where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_allow("na", "nb") & (_distance("sa", "sb") <= RADIUS)).select("a", "b")
-             .distinct().join(star, ["a", "b"], "left_anti"))
+    members = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig")
+    # round 1: each key's members against one of them
+    links = stage(_confirmed(_near(_star(postings.withColumn("c", F.col("id")), 1), members), texts), "links")
+    # round 2: the same with other members, where components still meet in a key
+    left = stage(_meeting(reps, components(links)), "mixed_keys")
+    more = _confirmed(_near(_star(left, 2), members), texts)
+    links = stage(links.unionByName(more), "links")
+    # the rest: members of one key from different components
+    left = stage(_meeting(reps, components(links)).join(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig", "keys"), "id"), "mixed_keys")
+    one, two = (left.select("key", *[F.col(c).alias(c + x) for c in ("id", "c", "n", "sig", "keys")]) for x in "ab")
+    cross = one.join(two, "key").where(
+        (F.col("ida") < F.col("idb")) & (F.col("ca") != F.col("cb")) & _sizes_allow("na", "nb") & (_distance("siga", "sigb") <= FAR)
+        & (F.array_min(F.array_intersect("keysa", "keysb")) == F.col("key"))).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
     more = stage(_confirmed(cross, texts), "cross_links")
 
     several = real.join(classes, same_set).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
