@@ -35,6 +35,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,8 @@ HOT = 65_536
 SAMPLE = 4_000
 #: Entries (word, context, document) of one partition.
 ENTRIES = 3_500_000
+#: Bytes of text that a worker turns into arrays at once (a longer text is one slice).
+TEXT = 8_000_000
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _P1, _P2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
@@ -92,6 +95,15 @@ def find(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(sorted_values[i] == x, i, -1)
 
 
+def few(batch: pa.RecordBatch):
+    """The batch in slices of about ``TEXT`` bytes of text: a worker's arrays stay small."""
+    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    piece = np.cumsum(size) // TEXT
+    cuts = np.r_[0, np.flatnonzero(piece[1:] != piece[:-1]) + 1, batch.num_rows] if batch.num_rows else [0]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield batch.slice(int(a), int(b - a))
+
+
 def part(key: np.ndarray, parts: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
@@ -163,7 +175,7 @@ def frequent(train: DataFrame) -> Counts:
     sample = hashed.join(F.broadcast(chosen), F.col("h") == F.col("c"), "left_semi").select("text")
 
     def count(batches):
-        for batch in batches:
+        for batch in (x for y in batches for x in few(y)):
             a, b, _ = tokens(texts_of(batch, "text"))
             words, n = np.unique(b, return_counts=True)
             _, first, m = np.unique(pair_hash(a, b), return_index=True, return_counts=True)
@@ -181,7 +193,7 @@ def frequent(train: DataFrame) -> Counts:
 
     def exact(batches):
         w, p, docs = np.zeros(len(hot.words), np.int64), np.zeros(len(hot.pairs), np.int64), 0
-        for batch in batches:
+        for batch in (x for y in batches for x in few(y)):
             a, b, _ = tokens(texts_of(batch, "text"))
             i = find(hot.words, b)
             w += np.bincount(i[i >= 0], minlength=len(w))
@@ -266,9 +278,7 @@ def _decoded(flags, places, hashes, n: int, hot: Counts) -> tuple[np.ndarray, np
 def _spread(hot: Counts, parts: int):
     def run(batches):
         task = TaskContext.get().partitionId()
-        for k, batch in enumerate(batches):
-            if not batch.num_rows:
-                continue
+        for k, batch in enumerate(x for y in batches for x in few(y)):
             size, name = batch.num_rows, task << 32 | k
             held = np.array(batch.column("held_out").to_pylist(), bool)
             a, b, doc = tokens(texts_of(batch, "text"))
@@ -287,6 +297,7 @@ def _spread(hot: Counts, parts: int):
             rows = [(name % parts, "D", name, struct.pack("<I", len(head)) + head + gains.packed(0, size))]
             left = np.flatnonzero(j < 0)
             a, b, doc, i, h = a[left], b[left], doc[left], i[left], h[left]
+            del at, j, left
             # a rare word's pairs stay together, a frequent word's pairs go their own ways
             place = part(np.where(i >= 0, h, b), parts) * 2 + (i >= 0)
             order = _by(place, 2 * parts, b, h)
@@ -352,8 +363,10 @@ def _count(hot: Counts, parts: int):
             size += len(held)
         if not entries:
             return _table(rows)
+        entries = [(name, len(held)) for name, (held, *_) in entries]
         a, ai, b, bi, at, n, train = (np.concatenate(cols.pop(c)) for c in ("a", "ai", "b", "bi", "at", "n", "train"))
         weight = n * train
+        del train
         c_word = np.zeros(len(a), np.int64)
         rare = bi < 0
         words, back = np.unique(b[rare], return_inverse=True)
@@ -362,13 +375,14 @@ def _count(hot: Counts, parts: int):
         c_word[~rare] = hot.word_n[bi[~rare]]
         gains = Gains(size)
         gains.words(at[rare], n[rare], c_word[rare], b[rare] != END)
+        del back, words, rare
         _, first, back = np.unique(pair_hash(a, b), return_index=True, return_inverse=True)
         pairs = np.bincount(back, weight, len(first)).astype(np.int64)
         c_pair = pairs[back]
         del back
         gains.pairs(at, n, c_pair, c_word)
-        for (name, (held, *_)), off in zip(entries, offsets):
-            rows.append((name % parts, "S", name, gains.packed(off, off + len(held))))
+        for (name, docs), off in zip(entries, offsets):
+            rows.append((name % parts, "S", name, gains.packed(off, off + docs)))
         sums = np.r_[counts.sum(), (counts > 0).sum(), hist_of(counts), hist_of(pairs)]
         rows += [(t, "H", 0, pack(sums)) for t in range(parts)]
 
