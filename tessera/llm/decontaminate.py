@@ -8,8 +8,8 @@ five-word shingles: each shingle weighs as often as it occurs, and the sum of th
 must reach 0.75 of the sum of the greater ones. A window at that similarity differs in 22 of 128
 bits on average (standard deviation 4.3).
 
-Windows too few of whose shingles occur in any item to reach 0.75 are not fingerprinted: a bitmap
-of fixed size over the items' shingles shows that without loss. Items are read in blocks of
+Windows with too few shingles of that size's items to reach 0.75 are not fingerprinted: their
+similarity cannot reach it, so nothing is lost, and a bitmap of fixed size finds most of them. Items are read in blocks of
 ``ITEMS``; each block is one pass over the documents in the same job, so a benchmark of any size
 fits, and documents are never moved.
 
@@ -83,62 +83,80 @@ class ItemIndex:
             self.weights.append(Counter(s.tolist()))
             prints.append(2 * bits_of(s).sum(0, dtype=np.int64) > len(s))
         self.prints = np.array(prints, np.uint8).reshape(len(prints), BITS)
-        self.known = np.unique(np.array([h for w in self.weights for h in w], np.uint64))
+        self.sizes = sorted(self.by_size)
+        self.lengths = sorted({n for n, _ in self.sizes})
+        # every shingle with the sizes of the items that hold it
+        held = sorted({(h, k) for k, size in enumerate(self.sizes) for i in self.by_size[size] for h in self.weights[i]})
+        self.known, first = np.unique(np.array([h for h, _ in held], np.uint64), return_index=True)
+        self.first, self.size_of = np.r_[first, len(held)], np.array([k for _, k in held], np.int64)
         self.map = np.zeros(1 << _MAP_BITS, bool)
         self.map[self.known >> np.uint64(64 - _MAP_BITS)] = True
-        values = block_values(self.prints)
-        self.blocks = []
+        self.blocks = {size: self._index(np.array(items)) for size, items in self.by_size.items()}
+
+    def _index(self, items: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each block: where each value's items start, and the items by value."""
+        values, out = block_values(self.prints[items]), []
         for k, (a, b) in enumerate(zip(_EDGES, _EDGES[1:])):
             near = _near_values(b - a)
             v = (values[:, k, None] ^ near[None]).reshape(-1)
             order = np.argsort(v, kind="stable")
-            starts = np.searchsorted(v[order], np.arange((1 << (b - a)) + 1))
-            self.blocks.append((starts, order // len(near)))
-
-    def candidates(self, prints: np.ndarray, size: tuple[int, int]) -> set[tuple[int, int]]:
-        """(window, item) of all fingerprints within the radius, items of that size only."""
-        values = block_values(prints)
-        own = np.zeros(len(self.ids), bool)
-        own[self.by_size[size]] = True
-        seen = set()
-        for k, (starts, items) in enumerate(self.blocks):
-            for w, v in enumerate(values[:, k].tolist()):
-                got = items[starts[v]:starts[v + 1]]
-                seen.update((w, i) for i in got[own[got]].tolist())
-        return {(w, i) for w, i in seen if int((prints[w] ^ self.prints[i]).sum()) <= RADIUS}
+            out.append((np.searchsorted(v[order], np.arange((1 << (b - a)) + 1)), items[order // len(near)]))
+        return out
+
+    def candidates(self, prints: np.ndarray, size: tuple[int, int]) -> list[tuple[int, int]]:
+        """(window, item) of all fingerprints within the radius, among the items of that size."""
+        values, found = block_values(prints), []
+        for k, (starts, items) in enumerate(self.blocks[size]):
+            lo = starts[values[:, k]]
+            n = starts[values[:, k] + 1] - lo
+            window = np.repeat(np.arange(len(n)), n)
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+            found.append(window * len(self.ids) + items[place])
+        both = np.unique(np.concatenate(found))
+        window, item = both // len(self.ids), both % len(self.ids)
+        near = (prints[window] != self.prints[item]).sum(1) <= RADIUS
+        return list(zip(window[near].tolist(), item[near].tolist()))
 
     def matches(self, text: bytes) -> list[tuple[int, float, int]]:
         """(item id, similarity, first word) of the best window of each item that matches."""
         words = word_hashes(words_of(text))
         best: dict[int, tuple[float, int]] = {}
-        for length in sorted({n for n, _ in self.by_size}):
+        for length in self.lengths:
             if len(words) < length:
                 continue
-            s = shingle_hashes(words[:length], length) if len(words) == length else shingle_hashes(words, length)
-            if not self.map[s >> np.uint64(64 - _MAP_BITS)].any():
-                continue
-            hit = np.isin(s, self.known)
-            if not hit.any():
+            s = shingle_hashes(words, length)
+            at = np.flatnonzero(self.map[s >> np.uint64(64 - _MAP_BITS)])
+            if not len(at):
                 continue
-            hits, sums = np.r_[0, np.cumsum(hit)], None
-            for size in [z for z in self.by_size if z[0] == length]:
+            place = np.minimum(np.searchsorted(self.known, s[at]), len(self.known) - 1)
+            real = self.known[place] == s[at]
+            at, place = at[real], place[real]
+            # the items' sizes that each of the document's shingles speaks for
+            n = self.first[place + 1] - self.first[place]
+            size_of = self.size_of[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[place], n)]
+            at, sums = np.repeat(at, n), None
+            for k, many in zip(*np.unique(size_of, return_counts=True)):
+                size = self.sizes[k]
                 m = min(size[1], len(s))
-                if m < LEAST * size[1]:
-                    continue
                 # similarity = common / (m + size - common) >= LEAST
-                need = LEAST * (m + size[1]) / (1 + LEAST)
-                at = np.flatnonzero(hits[m:] - hits[:-m] >= need - 1e-9)
-                if not len(at):
+                need = LEAST * (m + size[1]) / (1 + LEAST) - 1e-9
+                if size[0] != length or min(m, many) < need:
+                    continue
+                hits = np.zeros(len(s) + 1, np.int64)
+                hits[at[size_of == k] + 1] = 1
+                hits = np.cumsum(hits)
+                start = np.flatnonzero(hits[m:] - hits[:-m] >= need)
+                if not len(start):
                     continue
                 if sums is None:
                     sums = np.r_[np.zeros((1, BITS), np.int32), np.cumsum(bits_of(s), axis=0, dtype=np.int32)]
-                prints = (2 * (sums[at + m] - sums[at]) > m).astype(np.uint8)
+                prints = (2 * (sums[start + m] - sums[start]) > m).astype(np.uint8)
                 for w, i in self.candidates(prints, size):
-                    start = int(at[w])
-                    sim = weighted_similarity(self.weights[i], Counter(s[start:start + m].tolist()))
-                    if sim >= LEAST and (i not in best or (-sim, start) < (-best[i][0], best[i][1])):
-                        best[i] = (sim, start)
-        return sorted((self.ids[i], sim, start) for i, (sim, start) in best.items())
+                    first = int(start[w])
+                    sim = weighted_similarity(self.weights[i], Counter(s[first:first + m].tolist()))
+                    if sim >= LEAST and (i not in best or (-sim, first) < (-best[i][0], best[i][1])):
+                        best[i] = (sim, first)
+        return sorted((self.ids[i], sim, first) for i, (sim, first) in best.items())
 
 
 def item_blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text", items: int = ITEMS) -> list[ItemIndex]:
