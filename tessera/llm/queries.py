@@ -91,3 +91,28 @@ def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probability of every document under a Katz model of the training documents."""
     return katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_REACH = """
+reach AS (SELECT id, id AS c FROM nodes UNION SELECT e.y, r.c FROM reach r JOIN edges e ON r.id = e.x),
+comp AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)"""
+
+ORACLE_SQL["op1_pivot_permutation"] = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+                     WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+edges AS (SELECT DISTINCT x, y FROM pairs), nodes AS (SELECT vec_id AS id FROM embeddings), {_REACH}
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN comp c ON c.id = e.vec_id LEFT JOIN (SELECT x, count(*) AS n FROM pairs GROUP BY x) n ON n.x = e.vec_id
+"""
+
+ORACLE_SQL["op2_multi_index_minhash"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                                        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS gs FROM w),
+s AS (SELECT doc_id, len(gs) AS n, unnest(gs) AS s FROM g),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n, any_value(a.n) AS na, any_value(b.n) AS nb FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs WHERE 100 * n >= 75 * (na + nb - n)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links), nodes AS (SELECT doc_id AS id FROM documents), {_REACH}
+SELECT g.doc_id, len(g.gs) AS n_shingles, c.component_id, g.doc_id = c.component_id AS kept FROM g JOIN comp c ON c.id = g.doc_id
+"""
