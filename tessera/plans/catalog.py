@@ -326,7 +326,7 @@ def q13(spark, d):
         "o_custkey", F.least("o_orderdate", "l_shipdate").alias("state_start"),
         F.greatest("o_orderdate", "l_shipdate").alias("state_end"), "l_quantity")
     pairs = J.containment_join(runs, states, ["o_custkey"], "run_start", "run_end", "state_start", "state_end",
-                               bucket="year")
+                               bucket="month")
     return pairs.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n_inside"),
                                            F.sum("l_quantity").alias("qty_inside"))
 
@@ -1010,7 +1010,7 @@ def q45(spark, d):
         F.lit("existing").alias("cluster_type"), rstart.alias("run_start_ms"),
         F.greatest(rstart, epoch_ms("last_ship") + F.col("o_orderkey")).alias("run_end_ms"))
     out = job_run_cost_fact(fact, runs, _G4_UNTIL_MS, overlap_mode="exact", slice_ms=365 * DAY_S * 1000.0,
-                            month_bucket_ms=365 * DAY_S * 1000)
+                            month_bucket_ms=60 * DAY_S * 1000)
     return out.select("run_id", "cluster_id", "run_start", "run_end", "driver_compute_cost", "total_cost",
                       "cluster_states", "max_overlapping_runs")
 
