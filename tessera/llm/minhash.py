@@ -8,10 +8,11 @@ key for certain. At a similarity of 0.75 a symbol differs with probability 1/4,
 cut to 8 bits (at 0.75 more than ``FAR`` of them differ with probability 2e-5) and confirmed on the full
 shingle sets.
 
-No group is expanded into all its pairs. Equal sets are one class. In two rounds every key's members are
-held against one of them, drawn anew for each key, so that a member of a large group meets many
-others; confirmed pairs are linked. Then only members of one key that are still in different
-components are compared, inside the join's condition and in the first key they share.
+No group is expanded into pairs. Equal sets are one class. The members of a key are cut into blocks of
+about ``BLOCK``, and each pair of blocks is one unit of work, so no key is one task's group. A unit
+screens its pairs and gives each member one row: the least id it is connected with. The components of
+these rows are small clusters of texts that may be near duplicates; they are cut into units
+again, now with their full shingle sets, and confirmed pairs are linked in the same way.
 
 Edge cases: null and empty texts and texts without words have no shingles and link with nothing;
 fewer than five words are one shingle; repeated rows share a component; rows without an id get no
@@ -26,14 +27,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.llm.common import by_ids, components, mix, shingle_set, stage, texts_of, with_columns
+from tessera.llm.common import by_ids, components, mix, record_batch, shingle_set, stage, texts_of, with_columns
 
 SYMBOLS, CHUNK, BITS = 24, 3, 16
 #: Symbols that may differ: one in each chunk, and one chunk more must stay within it.
 RADIUS = 2 * (SYMBOLS // CHUNK) - 1
 #: Minima of the screening signature, and how many may differ.
 SCREEN, FAR = 96, 42
+#: Members of a block, and the bytes of a task's units.
+BLOCK, UNIT_BYTES = 1024, 48_000_000
 #: Links need 100 * intersection >= LEAST * union.
 LEAST = 75
 
@@ -55,8 +59,8 @@ def signature(low: np.ndarray) -> np.ndarray:
 
 
 def screen(low: np.ndarray) -> np.ndarray:
-    """All minima, each cut to 8 bits, eight in a long."""
-    return (low & np.uint64(255)).astype(np.uint8).view(np.int64)
+    """All minima, each cut to 8 bits."""
+    return (low & np.uint64(255)).astype(np.uint8)
 
 
 def keys(sig: np.ndarray) -> np.ndarray:
@@ -78,67 +82,122 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 out["n_shingles"].append(len(s))
                 out["f1"].append(int.from_bytes(f[:8], "little", signed=True))
                 out["f2"].append(int.from_bytes(f[8:], "little", signed=True))
-                out["sig"].append(screen(low).tolist() if len(s) else None)
+                out["sig"].append(screen(low).tobytes() if len(s) else None)
                 out["keys"].append(keys(signature(low)).tolist() if len(s) else None)
             return out
         return run
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text"))
-    return with_columns(rows, "n_shingles long, f1 long, f2 long, sig array<long>, keys array<long>", make).drop("_text")
-
-
-def _distance(a: str, b: str):
-    """Bytes in which two screening signatures differ."""
-    out = F.lit(0)
-    for i in range(SCREEN // 8):
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
-        for shift in (4, 2, 1):  # the lowest bit of each byte gathers the byte's bits
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        out = out + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
-    return out
-
-
-def _sizes_allow(a: str, b: str):
-    return 100 * F.least(F.col(a), F.col(b)) >= LEAST * F.greatest(F.col(a), F.col(b))
-
-
-def _star(postings: DataFrame, draw: int) -> DataFrame:
-    """(a, b): each member of a key (key, id, component c) with the one drawn for the key, if
-    their components differ."""
-    drawn = (postings.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "id", F.lit(draw)).alias("x"), "id", "c")).alias("h"), F.min("c").alias("x"), F.max("c").alias("y"))
-             .where("x < y").select("key", F.col("h.id").alias("h"), F.col("h.c").alias("hc")))
-    return postings.join(drawn, "key").where("c <> hc").select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct()
-
-
-def _near(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs whose sizes and screening signatures allow the similarity."""
-    one, two = (members.select(*[F.col(c).alias(c + x) for c in ("id", "n", "sig")]) for x in "ab")
-    return (pairs.join(two, F.col("b") == F.col("idb")).join(one, F.col("a") == F.col("ida"))
-            .where(_sizes_allow("na", "nb") & (_distance("siga", "sigb") <= FAR)).select("a", "b"))
-
-
-def _meeting(reps: DataFrame, groups: DataFrame) -> DataFrame:
-    """(key, id, c) of the keys in which more than one component meets."""
-    placed = (reps.select(F.col("doc_id").alias("id"), "keys").join(groups, "id", "left")
-              .select(F.explode("keys").alias("key"), "id", F.coalesce("component", "id").alias("c")))
-    mixed = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("key")
-    return placed.join(mixed, "key")
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the similarity."""
-    pairs = stage(pairs.distinct(), "candidates")
-    ids = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidate_ids")
-
-    def make():
-        return lambda batch: {"shingles": [shingle_set(t).view(np.int64).tolist() for t in texts_of(batch, "_text")]}
-
-    sets = with_columns(by_ids(docs, ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "shingles array<long>", make).drop("_text")
-    sets = stage(sets, "sets")
-    one = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = one.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * common >= LEAST * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    return with_columns(rows, "n_shingles long, f1 long, f2 long, sig binary, keys array<long>", make).drop("_text")
+
+
+# ---- units: pairs of blocks of a group ---------------------------------------------------
+
+_EDGE = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+
+def _units(members: DataFrame, group: str, weight: str) -> DataFrame:
+    """Members (group, id, ...) of groups with several, once for each unit they belong to, with
+    the unit's blocks and its ``home``: units are dealt to tasks of about ``UNIT_BYTES``."""
+    sizes = stage(members.groupBy(group).agg(F.count("*").alias("_n"), F.sum(weight).alias("_w")).where("_n > 1")
+                  .select(group, F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"), "_w"), "group_sizes")
+    load = sizes.agg(F.sum(F.col("_w") * F.col("blocks"))).first()[0] or 0
+    homes = max(1, int(load / UNIT_BYTES))
+    return (members.join(sizes.drop("_w"), group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other", "blocks")
+            .withColumn("home", F.pmod(F.xxhash64(group, "lo", "hi"), F.lit(homes))))
+
+
+def _pairs(unit: np.ndarray, block: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+    """Places (i, j) of all pairs to compare; rows of a unit stand together. Small units together,
+    large ones a few rows at a time."""
+    n = len(unit)
+    ends = np.flatnonzero(np.r_[unit[1:] != unit[:-1], True]) + 1
+    starts = np.r_[0, ends[:-1]]
+    small = np.repeat(ends - starts <= 16, ends - starts)
+    for step in range(1, 16):
+        i = np.flatnonzero(small[:-step] & (unit[step:] == unit[:-step])) if n > step else np.empty(0, int)
+        if not len(i):
+            break
+        yield i, i + step
+    for a, b in zip(starts, ends):
+        if b - a > 16:
+            one, two = a + np.flatnonzero(block[a:b] == lo[a]), a + np.flatnonzero(block[a:b] == hi[a])
+            for k in range(0, len(one), 64):
+                i, j = (x.reshape(-1) for x in np.meshgrid(one[k:k + 64], two, indexing="ij"))
+                keep = i != j if lo[a] != hi[a] else i < j
+                yield i[keep], j[keep]
+
+
+def _allowed(i: np.ndarray, j: np.ndarray, n: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs whose sizes and screening signatures allow the similarity, and their distances."""
+    fit = 100 * np.minimum(n[i], n[j]) >= LEAST * np.maximum(n[i], n[j])
+    i, j = i[fit], j[fit]
+    far = np.concatenate([(sig[i[k:k + 65536]] != sig[j[k:k + 65536]]).sum(1) for k in range(0, len(i), 65536)] or [np.empty(0, int)])
+    near = far <= FAR
+    return i[near], j[near], far[near]
+
+
+class _Forest:
+    """Least members of connected places."""
+
+    def __init__(self, ids: np.ndarray):
+        _, self.at = np.unique(ids, return_inverse=True)  # one id may stand in several units
+        self.ids, self.up = np.unique(ids), list(range(int(self.at.max()) + 1))
+
+    def find(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def join(self, i: int, j: int) -> None:
+        a, b = self.find(self.at[i]), self.find(self.at[j])
+        self.up[max(a, b)] = min(a, b)
+
+    def edges(self) -> pa.Table:
+        root = np.array([self.find(x) for x in range(len(self.up))])
+        some = np.flatnonzero(root != np.arange(len(root)))
+        return pa.Table.from_batches([record_batch({"a": self.ids[root[some]].tolist(), "b": self.ids[some].tolist()}, _EDGE)])
+
+
+def _read(table: pa.Table, group: str):
+    """(ids, sizes, signatures, unit numbers, blocks, lo, hi) with the rows of a unit together."""
+    cols = [table.column(c).to_numpy() for c in (group, "lo", "hi", "block", "id", "n")]
+    order = np.lexsort((cols[3], cols[2], cols[1], cols[0]))
+    key, lo, hi, block, ids, n = (c[order] for c in cols)
+    unit = np.cumsum(np.r_[False, (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), SCREEN)[order]
+    return order, ids, n, sig, unit, block, lo, hi
+
+
+def _screened(table: pa.Table) -> pa.Table:
+    """Connects the members of each unit whose signatures are near."""
+    _, ids, n, sig, unit, block, lo, hi = _read(table, "key")
+    forest = _Forest(ids)
+    for i, j in _pairs(unit, block, lo, hi):
+        i, j, _ = _allowed(i, j, n, sig)
+        for x, y in zip(i.tolist(), j.tolist()):
+            forest.join(x, y)
+    return forest.edges()
+
+
+def _linked(table: pa.Table) -> pa.Table:
+    """Connects the members of each unit whose full sets reach the similarity. Pairs that are
+    connected already need no look; near ones come first."""
+    order, ids, n, sig, unit, block, lo, hi = _read(table, "cluster")
+    sets = table.column("shingles")
+    sets = [np.frombuffer(sets[int(k)].as_py(), np.uint64) for k in order]
+    forest = _Forest(ids)
+    for i, j in _pairs(unit, block, lo, hi):
+        i, j, far = _allowed(i, j, n, sig)
+        for k in np.argsort(far, kind="stable").tolist():
+            x, y = int(i[k]), int(j[k])
+            if forest.find(forest.at[x]) != forest.find(forest.at[y]):
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * common >= LEAST * (int(n[x]) + int(n[y]) - common):
+                    forest.join(x, y)
+    return forest.edges()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -149,24 +208,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     same_set = ["n_shingles", "f1", "f2"]
     classes = stage(real.groupBy(*same_set).agg(F.min("doc_id").alias("rep")), "classes")
     reps = stage(real.join(classes.select(F.col("rep").alias("doc_id"), *same_set), ["doc_id", *same_set], "left_semi").dropDuplicates(["doc_id"]), "representatives")
-    postings = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"))
-    members = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig")
-    # round 1: each key's members against one of them
-    links = stage(_confirmed(_near(_star(postings.withColumn("c", F.col("id")), 1), members), texts), "links")
-    # round 2: the same with other members, where components still meet in a key
-    left = stage(_meeting(reps, components(links)), "mixed_keys")
-    more = _confirmed(_near(_star(left, 2), members), texts)
-    links = stage(links.unionByName(more), "links")
-    # the rest: members of one key from different components
-    left = stage(_meeting(reps, components(links)).join(reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig", "keys"), "id"), "mixed_keys")
-    one, two = (left.select("key", *[F.col(c).alias(c + x) for c in ("id", "c", "n", "sig", "keys")]) for x in "ab")
-    cross = one.join(two, "key").where(
-        (F.col("ida") < F.col("idb")) & (F.col("ca") != F.col("cb")) & _sizes_allow("na", "nb") & (_distance("siga", "sigb") <= FAR)
-        & (F.array_min(F.array_intersect("keysa", "keysb")) == F.col("key"))).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
-    more = stage(_confirmed(cross, texts), "cross_links")
+    members = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig", "keys")
+    postings = members.select(F.explode("keys").alias("key"), "id", "n", "sig", F.lit(SCREEN + 64).alias("bytes"))
+    near = stage(_units(postings, "key", "bytes").groupBy("home").applyInArrow(_screened, _EDGE), "near")
+    clusters = stage(components(near), "clusters")
+
+    def make():
+        return lambda batch: {"shingles": [shingle_set(t).tobytes() for t in texts_of(batch, "_text")]}
+
+    listed = stage(clusters.select("id").unionByName(clusters.select(F.col("component").alias("id"))).distinct(), "cluster_ids")
+    sets = with_columns(by_ids(texts, listed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "shingles binary", make).drop("_text")
+    inside = (listed.join(clusters, "id", "left").select("id", F.coalesce("component", "id").alias("cluster")).join(members.drop("keys"), "id")
+              .join(sets.withColumnRenamed("doc_id", "id"), "id").withColumns({"n": F.octet_length("shingles") / F.lit(8), "bytes": F.octet_length("shingles") + SCREEN + 64}))
+    inside = stage(inside.withColumn("n", F.col("n").cast("long")), "cluster_members")
+    links = stage(_units(inside, "cluster", "bytes").groupBy("home").applyInArrow(_linked, _EDGE), "links")
 
     several = real.join(classes, same_set).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    final = stage(components(links.union(more).union(several)), "components")
+    final = stage(components(links.union(several)), "components")
     out = rows.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
