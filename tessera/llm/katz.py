@@ -52,7 +52,7 @@ SAMPLE = 4_000
 #: Entries (word, context, document) of one partition.
 ENTRIES = 3_500_000
 #: Bytes of text that a worker turns into arrays at once (a longer text is one slice).
-TEXT = 8_000_000
+TEXT = 6_000_000
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _P1, _P2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
@@ -376,18 +376,24 @@ def _count(hot: Counts, parts: int):
         gains = Gains(size)
         gains.words(at[rare], n[rare], c_word[rare], b[rare] != END)
         del back, words, rare
-        _, first, back = np.unique(pair_hash(a, b), return_index=True, return_inverse=True)
-        pairs = np.bincount(back, weight, len(first)).astype(np.int64)
-        c_pair = pairs[back]
-        del back
+        h, c_pair, seen, own, pair_hist = pair_hash(a, b), np.zeros(len(a), np.int64), [], [], np.zeros(CUT + 1, np.int64)
+        for share in range(4):  # a share of the pairs at a time keeps the sorting's copies small
+            some = np.flatnonzero(h & np.uint64(3) == share)
+            _, first, back = np.unique(h[some], return_index=True, return_inverse=True)
+            pairs = np.bincount(back, weight[some], len(first)).astype(np.int64)
+            c_pair[some] = pairs[back]
+            pair_hist += hist_of(pairs)
+            seen.append(some[first[pairs > 0]])
+            own.append(pairs[pairs > 0])
+            del some, first, back, pairs
+        del h, weight
         gains.pairs(at, n, c_pair, c_word)
         for (name, docs), off in zip(entries, offsets):
             rows.append((name % parts, "S", name, gains.packed(off, off + docs)))
-        sums = np.r_[counts.sum(), (counts > 0).sum(), hist_of(counts), hist_of(pairs)]
+        sums = np.r_[counts.sum(), (counts > 0).sum(), hist_of(counts), pair_hist]
         rows += [(t, "H", 0, pack(sums)) for t in range(parts)]
 
-        seen = first[pairs > 0]
-        own = pairs[pairs > 0]
+        seen, own = np.concatenate(seen), np.concatenate(own)
         rows += _contexts(a[seen], ai[seen], own, c_word[seen], parts, len(hot.words))
         miss = np.flatnonzero(c_pair == 0)
         to = _home(a[miss], ai[miss], parts)
