@@ -121,19 +121,22 @@ GOLD_TABLES = {"cluster": CLUSTER, "job": JOB, "jobrun": JOB_RUN, "notebook": NO
                "sparkexecution": SPARK_EXECUTION, "sparkexecutor": SPARK_EXECUTOR}
 
 
-def publish_gold(df: DataFrame, table: str) -> DataFrame:
+def publish_gold(df: DataFrame, table: str, missing: str = "error") -> DataFrame:
     """Project a silver frame to the published columns of ``table`` in one ``select``.
-    A silver column the frame lacks is published as a string null, so the published
-    schema does not depend on which optional fields the source happened to carry."""
+
+    A published column whose silver column the frame lacks is an error, which names the
+    columns; ``missing="null"`` publishes them as string nulls instead, for sources that are
+    known not to carry them."""
     mapping = GOLD_TABLES[table]
+    absent = [src for _, src in mapping if src not in ("@ts", "@date") and src not in df.columns]
+    if absent and missing != "null":
+        raise ValueError(f"{table}: silver columns not built: {', '.join(absent)}")
     epoch = next((src for out, src in mapping if out in ("unixTimeMS", "mod_unixTimeMS")), None)
     cols: list[Column] = []
     for out, src in mapping:
         if src in ("@ts", "@date"):
             ts = to_ts(F.col(epoch))
             cols.append((ts if src == "@ts" else ts.cast("date")).alias(out))
-        elif src in df.columns:
-            cols.append(F.col(src).alias(out))
         else:
-            cols.append(F.lit(None).cast("string").alias(out))
+            cols.append((F.lit(None).cast("string") if src in absent else F.col(src)).alias(out))
     return df.select(*cols)

@@ -101,13 +101,15 @@ def test_publish_gold_tables(audit, spark):
     snap = spark.createDataFrame([], "organization_id string, cluster_id string, cluster_name string, "
                                      "driver_node_type_id string, node_type_id string, spark_version string, "
                                      "Pipeline_SnapTS long")
-    g = publish_gold(cluster_spec(audit, snap), "cluster")
+    g = publish_gold(cluster_spec(audit, snap), "cluster", missing="null")
     assert g.columns == [o for o, _ in GOLD_TABLES["cluster"]]
     r = g.orderBy("unixTimeMS").first()
     assert r["action"] == "create" and r["date"] is not None and r["created_by"] == "creator@x"
-    jr = publish_gold(job_runs(audit), "jobrun")
+    with pytest.raises(ValueError, match="jobrun: silver columns not built"):
+        publish_gold(job_runs(audit).drop("run_id"), "jobrun")
+    jr = publish_gold(job_runs(audit), "jobrun", missing="null")
     assert set(r["run_id"] for r in jr.collect()) == {55, 56}
-    assert publish_gold(notebooks(audit), "notebook").first()["notebook_name"] == "nb"
+    assert publish_gold(notebooks(audit), "notebook", missing="null").first()["notebook_name"] == "nb"
 
 
 def test_job_run_meta_and_task_detail(audit, spark):
