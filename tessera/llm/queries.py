@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, html, katz, minhash, notices, pii, pivots, toxicity, url_rules
 from tessera.llm.common import fold, stage, table
@@ -53,7 +54,7 @@ def op4_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, from its restored text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, fitted).withColumn("held_out", fold() == 0).drop("text")
+    return toxicity.score(docs, fitted).withColumn("held_out", F.coalesce(fold() == 0, F.lit(False))).drop("text")
 
 
 @query
