@@ -47,6 +47,18 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [t or b"" for t in col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()).to_pylist()]
 
 
+#: Bytes of a record batch that a worker turns into Python objects at once.
+SLICE = 3_000_000
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``SLICE`` bytes (a larger row is one part), in order."""
+    if batch.num_rows:
+        rows = max(1, int(SLICE * batch.num_rows / max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def with_columns(df: DataFrame, fields: str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
     """``df`` plus computed columns. ``make()`` runs once per task and gives a function from a
     record batch to ``{name: values}``. Columns of ``df`` with the same names are replaced."""
@@ -57,8 +69,8 @@ def with_columns(df: DataFrame, fields: str, make: Callable[[], Callable[[pa.Rec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in slices(whole):
                 got = fn(batch)
                 cols = [batch.column(n) for n in names] + [_array(got[f.name], f.dataType) for f in new.fields]
                 yield pa.RecordBatch.from_arrays(cols, names + [f.name for f in new.fields])

@@ -241,19 +241,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, support: int =
         p = toxic / max(1, toxic + clean)
         return ToxicityModel(model, {}, none, none + 1, np.r_[np.log((p + 1e-9) / (1 - p + 1e-9)), none])
 
-    def count(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):  # few documents at a time: their marks are many
-                some, found = batch.slice(at, 200), (Counter(), Counter())
-                for words, t in zip(some.column("words").to_pylist(), some.column("toxic").to_pylist()):
-                    found[int(t > 0)].update({m for w in words for m in marks(w)})
-                names = list(found[0].keys() | found[1].keys())
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[m] for m in names], pa.int64()) for c in (found[1], found[0]))], ["mark", "a", "b"])
-
-    counts = (seen.select("words", "toxic").mapInArrow(count, "mark string, a long, b long").groupBy("mark").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-              .where(F.col("a") >= support)
-              .withColumn("odds", F.log((F.col("a") + 0.5) / (toxic + 1)) - F.log((F.col("b") + 0.5) / (clean + 1))).where("odds > 0.7"))
-    out = ToxicityModel(model, {r.mark: r.odds for r in counts.collect()}, none, none + 1, np.zeros(8))
+    def counted(part: DataFrame, wanted: frozenset | None) -> dict[str, int]:
+        """Documents of the part that hold each mark (each wanted one, or those with support)."""
+        def count(batches):
+            for batch in batches:
+                for at in range(0, batch.num_rows, 200):  # few documents at a time: their marks are many
+                    found: Counter = Counter()
+                    for words in batch.slice(at, 200).column("words").to_pylist():
+                        held = {m for w in words for m in marks(w)}
+                        found.update(held if wanted is None else held & wanted)
+                    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["mark", "n"])
+
+        rows = part.select("words").mapInArrow(count, "mark string, n long").groupBy("mark").agg(F.sum("n").alias("n"))
+        return {r.mark: r.n for r in (rows.where(F.col("n") >= support) if wanted is None else rows).collect()}
+
+    # only marks of toxic documents can be evidence: the clean ones are counted for these alone
+    held = counted(seen.where("toxic > 0"), None)
+    others = counted(seen.where("toxic <= 0"), frozenset(held))
+    odds = {m: float(np.log((a + 0.5) / (toxic + 1)) - np.log((others.get(m, 0) + 0.5) / (clean + 1))) for m, a in held.items()}
+    out = ToxicityModel(model, {m: o for m, o in odds.items() if o > 0.7}, none, none + 1, np.zeros(8))
     known: dict[str, float] = {}
     x, y = [], []
     for r in seen.select("words", "toxic").toLocalIterator():  # the bounded sample, partition by partition
