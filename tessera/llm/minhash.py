@@ -209,8 +209,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     classes = stage(real.groupBy(*same_set).agg(F.min("doc_id").alias("rep")), "classes")
     reps = stage(real.join(classes.select(F.col("rep").alias("doc_id"), *same_set), ["doc_id", *same_set], "left_semi").dropDuplicates(["doc_id"]), "representatives")
     members = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig", "keys")
-    postings = members.select(F.explode("keys").alias("key"), "id", "n", "sig", F.lit(SCREEN + 64).alias("bytes"))
-    near = stage(_units(postings, "key", "bytes").groupBy("home").applyInArrow(_screened, _EDGE), "near")
+    postings = members.select(F.explode("keys").alias("key"), "id", F.lit(SCREEN + 64).alias("bytes"))
+    units = _units(postings, "key", "bytes").join(members.drop("keys"), "id")  # signatures only where a key has several
+    near = stage(units.groupBy("home").applyInArrow(_screened, _EDGE), "near")
     clusters = stage(components(near), "clusters")
 
     def make():
