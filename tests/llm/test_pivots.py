@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tessera.llm import pivots as pv
 from tessera.llm.queries import op1_pivot_permutation
@@ -52,6 +53,27 @@ def test_recall_of_planted_links(spark):
     assert sum(x for x, _ in have.values()) >= 0.99 * n
 
 
+def crowded(n, noise, seed=0, d=64):
+    """A third of ``n`` rows is one group round a centre; the others are pairs."""
+    rng = np.random.default_rng(seed)
+    c, m = rng.normal(size=d), n // 3
+    group = c + rng.normal(size=(m, d)) * noise * np.linalg.norm(c) / d ** 0.5
+    pairs = np.repeat(rng.normal(size=((n - m + 1) // 2, d)), 2, 0)[:n - m]
+    return np.r_[group, pairs + rng.normal(size=pairs.shape) * 0.1].astype(np.float32)
+
+
+@pytest.mark.parametrize("noise", [0.1, 0.14, 0.2])
+def test_links_of_a_group_of_a_third_of_the_rows(spark, noise):
+    x = crowded(10_000, noise)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = (u @ u.T >= pv.LEAST_COSINE).sum(1) - 1
+    have = got(pv.near_duplicates(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")))
+    links = np.array([have[i][0] for i in range(len(x))])
+    m = len(x) // 3
+    assert (links[:m] == want[:m]).all() and want[:m].sum() > 0
+    assert (links <= want).all() and links[m:].sum() >= 0.99 * want[m:].sum()
+
+
 def test_blocks_give_the_same(spark, monkeypatch):
     df = spark.createDataFrame(planted(300, seed=4), "vec_id long, embedding array<float>, label int")
     whole = got(pv.near_duplicates(df))
