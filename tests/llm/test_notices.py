@@ -51,6 +51,17 @@ def test_edited_notices_equal_brute_force(edits):
     check(SEARCH.scan(t.encode()), t)
 
 
+def test_long_notices_are_whole():
+    rest = " source and binary forms, with or without modification, are permitted"
+    t = "Rexdistrixbution andx usxe xinx" + rest  # 6 edits, all in the first clause
+    check(SEARCH.scan(t.encode()), t)
+    assert SEARCH.scan(t.encode())[5] == "bsd"
+    for t in ("Redistribution and use in source and binary forms are discussed", "Permission is hereby granted, free of charge, by nobody at all",
+              "Permission to use, copy, modify, and distribute this software is refused"):
+        check(SEARCH.scan(t.encode()), t)
+        assert SEARCH.scan(t.encode())[5] == ""
+
+
 def test_query_equals_brute_force(spark):
     rows = {r.doc_id: r for r in op10_fuzzy_notices(spark, SF).collect()}
     docs = [d for d in spark.read.parquet(f"{SF}/documents.parquet").collect()]
