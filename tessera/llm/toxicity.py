@@ -4,7 +4,8 @@
    documents. Its cells are bounded by the alphabet (27^4), so the table is broadcast.
 2. Suspicious stretches (signs or digits among letters, letters spelled apart, letters repeated)
    become lattices: each character may stand for several letters, for a separator, or for
-   nothing. Viterbi decoding under the model gives the likeliest letters; other text stays.
+   nothing; a star may stand for any letter. Viterbi decoding under the model, over all states,
+   gives the likeliest letters; other text stays.
 3. The restored words are scored: word and prefix log-odds from labelled rows, the document's
    strongest words and their share, and a logistic regression over these few figures.
 
@@ -42,12 +43,13 @@ _CODE = np.zeros(256, np.int64)
 _CODE[97:123] = np.arange(1, 27)
 
 # What a sign may stand for (fixed values), with log-probabilities of the channel.
-_LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": "aeiou"}
+_LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": "abcdefghijklmnopqrstuvwxyz"}
 _SEPARATORS = " .-_~"
 _KEEP, _SWAP, _WILD, _DROP, _BREAK, _SINGLE, _DOUBLE, _HALVE = -0.05, -1.0, -2.5, -5.0, -3.0, -0.7, -1.2, -9.0
-_BEAM = 12
+#: Stars or states from which decoding works on arrays of states; steps between saved scores.
+_STARS, _MANY, _SAVED = 2, 64, 256
 
-_TRACE = re.compile(r"[a-z][0-9@$!|+*]+[a-z]|(?<![a-z0-9])[0-9@$!|+]{1,2}[a-z]{2}|([a-z])\1\1|(?<![a-z])[a-z][ .\-_~]{1,2}[a-z][ .\-_~]{1,2}[a-z](?![a-z])")
+_TRACE = re.compile(r"[a-z][0-9@$!|+*]|[0-9@$!|+*][a-z]|([a-z])\1\1|(?<![a-z])[a-z][ .\-_~]{1,2}[a-z][ .\-_~]{1,2}[a-z](?![a-z])")
 _RUN = re.compile(r"[a-z0-9@$!|+*]+")
 _APART = re.compile(r"[a-z](?:[ .\-_~]{1,2}[a-z](?![a-z]))+")
 
@@ -102,6 +104,7 @@ def log_model(counts: np.ndarray) -> np.ndarray:
 def lattice(stretch: str) -> list[list[tuple[str, float]]]:
     """For each character or run of one letter: the strings it may stand for."""
     out = []
+    body = len(stretch.rstrip("!"))  # exclamation marks at the end may as well be what they are
     for m in re.finditer(r"(.)\1*", stretch):
         ch, n = m[1], len(m[0])
         if "a" <= ch <= "z":
@@ -110,7 +113,7 @@ def lattice(stretch: str) -> list[list[tuple[str, float]]]:
             out.append([("", _KEEP), (" ", _BREAK)])
         else:
             cost = _WILD if ch == "*" else _SWAP
-            out += [[(x, cost) for x in _LEET[ch]] + [("", _DROP)]] * min(n, 3)
+            out += [[(x, cost) for x in _LEET[ch]] + [("", _SWAP if m.start() >= body else _DROP)]] * n
     return out
 
 
@@ -118,7 +121,7 @@ class Decoder:
     """Viterbi decoding of suspicious stretches; what was decoded is remembered per task."""
 
     def __init__(self, model: np.ndarray):
-        self.model, self.known = model, {}
+        self.model, self.known = np.asarray(model, np.float64), {}
 
     def decode(self, stretch: str) -> str:
         if stretch not in self.known:
@@ -128,6 +131,8 @@ class Decoder:
         return self.known[stretch]
 
     def _viterbi(self, stretch: str) -> str:
+        if stretch.count("*") >= _STARS:
+            return self._all_states(stretch)
         model, square = self.model, SIZE * SIZE
         beam = {0: (0.0, None)}  # last three letters -> log-probability, back-pointer chain
         for choices in [*lattice(stretch), [(" ", 0.0)]]:
@@ -142,13 +147,76 @@ class Decoder:
                         chain = (chain, ch)
                     if at not in new or s > new[at][0]:
                         new[at] = (s, chain)
-            beam = dict(sorted(new.items(), key=lambda x: (-x[1][0], x[0]))[:_BEAM])
+            if len(new) >= _MANY:
+                return self._all_states(stretch)
+            beam = new
         chain, out = max(beam.values(), key=lambda x: x[0])[1], []
         while chain:
             chain, ch = chain
             out.append(ch)
         return "".join(reversed(out)).strip()
 
+    def _pushed(self, at: np.ndarray, score: np.ndarray, letters: str, cost: float) -> tuple[np.ndarray, np.ndarray]:
+        s = score + cost
+        for ch in letters:
+            code = 0 if ch == " " else ord(ch) - 96
+            s, at = s + self.model[at, code], at % (SIZE * SIZE) * SIZE + code
+        return at, s
+
+    def _step(self, at: np.ndarray, score: np.ndarray, choices: list[tuple[str, float]]) -> tuple[np.ndarray, np.ndarray]:
+        """The states reached by one step, and the best score of each."""
+        if len(at) == len(choices) == 1:
+            return self._pushed(at, score, *choices[0])
+        new = np.full(SIZE ** 3, -np.inf)
+        if len(choices) == SIZE:  # a star: any letter at one cost, or nothing
+            if len(at) < 4000:
+                to = (at % (SIZE * SIZE) * SIZE)[:, None] + np.arange(1, SIZE)
+                np.maximum.at(new, to.ravel(), ((score + choices[0][1])[:, None] + self.model[at, 1:]).ravel())
+            else:
+                whole = np.full(SIZE ** 3, -np.inf)
+                whole[at] = score + choices[0][1]
+                new = (whole[:, None] + self.model).reshape(SIZE, SIZE * SIZE, SIZE).max(0)
+                new[:, 0] = -np.inf
+                new = new.ravel()
+            choices = choices[-1:]
+        for choice in choices:
+            np.maximum.at(new, *self._pushed(at, score, *choice))
+        at = np.flatnonzero(new > -np.inf)
+        return at, new[at]
+
+    def _all_states(self, stretch: str) -> str:
+        """The same on arrays, for stretches that reach many states. The way back is found from the
+        scores; those of every ``_SAVED``-th step are kept and the others worked out again."""
+        steps = [*lattice(stretch), [(" ", 0.0)]]
+        now = np.zeros(1, np.int64), np.zeros(1)
+        saved, trail = [], []
+        for i, choices in enumerate(steps):
+            if i % _SAVED == 0:
+                saved.append(now)
+                trail = []
+            trail.append(now)
+            now = self._step(*now, choices)
+        best = int(now[1].argmax())
+        state, score, out = int(now[0][best]), now[1][best], []
+        for i in reversed(range(0, len(steps), _SAVED)):
+            now = saved.pop()
+            if not trail:
+                for choices in steps[i:i + _SAVED]:
+                    trail.append(now)
+                    now = self._step(*now, choices)
+            for choices in reversed(steps[i:i + _SAVED]):
+                at, scores = trail.pop()
+                for letters, cost in choices:
+                    to, s = self._pushed(at, scores, letters, cost)
+                    hit = np.flatnonzero((to == state) & (s == score))
+                    if len(hit):
+                        out.append(letters)
+                        state, score = int(at[hit[0]]), scores[hit[0]]
+                        break
+                else:
+                    raise AssertionError(stretch)
+        return "".join(reversed(out)).strip()
+
     def restore(self, text: str) -> str:
         """The folded text with every suspicious stretch decoded."""
         t, out, done = folded(text), [], 0
@@ -163,8 +231,6 @@ class Decoder:
                 while a > done and (t[a - 1].isalnum() or t[a - 1] in "@$!|+*"):
                     a -= 1
                 b = _RUN.match(t, a).end()
-                while b > a and not t[b - 1].isalnum():
-                    b -= 1
             out += [t[done:a], " ", self.decode(t[a:b]), " "]
             done = b
         return "".join(out) + t[done:]

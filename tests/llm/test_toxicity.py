@@ -39,6 +39,40 @@ def test_viterbi_equals_brute_force(fitted):
         assert d.decode(s) == best[1]
 
 
+@pytest.mark.parametrize("seen", ["*diot", "idio7", "tras4", "a$$", "1d*o*", "f**k", "**um", "l0s*r*", "a**b1", "wow!!", "!d!o!", "0123456a"])
+def test_stars_and_end_signs_equal_brute_force(fitted, seen):
+    d = tx.Decoder(fitted.model)
+    best = (-np.inf, "")
+    for path in itertools.product(*tx.lattice(seen), [(" ", 0.0)]):
+        at, total = 0, 0.0
+        for letters, cost in path:
+            total += cost
+            for ch in letters:
+                code = 0 if ch == " " else ord(ch) - 96
+                total += float(fitted.model[at, code])
+                at = at % tx.SIZE ** 2 * tx.SIZE + code
+        best = max(best, (total, "".join(x for x, _ in path).strip()))
+    assert d.decode(seen) == d._all_states(seen) == best[1]
+    assert d.restore(f"the {seen} is").split() == ["the", *best[1].split(), "is"]
+
+
+@pytest.mark.parametrize("seen,meant", [("idio7", "idiot"), ("*diot", "idiot"), ("st**id", "stupid"), ("i***t", "idiot"), ("w*rthl*ss", "worthless"), ("stupid!", "stupid"), ("1d1o7!!!", "idiot")])
+def test_restores_words_disguised_at_their_ends(fitted, seen, meant):
+    assert meant in tx.words_of(tx.Decoder(fitted.model).restore(f"The onea {seen} tion."))
+
+
+def test_a_run_of_signs_stands_for_as_many_letters(fitted):
+    assert all(len(tx.lattice("b" + "*" * n + "d")) == n + 2 for n in (1, 4, 9))
+    assert len(tx.lattice("*")[0]) == 27
+    d = tx.Decoder(fitted.model)
+    whole = d._all_states("a" + "*" * 600)
+    tx._SAVED, held = 7, tx._SAVED
+    try:
+        assert d._all_states("a" + "*" * 600) == whole
+    finally:
+        tx._SAVED = held
+
+
 def test_held_out_accuracy(spark):
     rows = op4_deobfuscated_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
