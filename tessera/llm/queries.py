@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, html, katz, minhash, notices, pii, pivots, toxicity, url_rules
+from tessera.llm import bpe, decontaminate, filter_audit, html, katz, minhash, notices, pii, pivots, toxicity, url_rules
 from tessera.llm.common import fold, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,13 @@ def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op13_filter_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of all 120 orders of five filters, for every source."""
+    failures = filter_audit.text_failures(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return filter_audit.audit(filter_audit.mask_counts(failures, table(spark, sf_dir, "labels")))
+
+
 _REACH = """
 reach AS (SELECT id, id AS c FROM nodes UNION SELECT e.y, r.c FROM reach r JOIN edges e ON r.id = e.x),
 comp AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)"""
@@ -117,3 +124,25 @@ links AS (SELECT x, y FROM pairs WHERE 100 * n >= 75 * (na + nb - n)),
 edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links), nodes AS (SELECT doc_id AS id FROM documents), {_REACH}
 SELECT g.doc_id, len(g.gs) AS n_shingles, c.component_id, g.doc_id = c.component_id AS kept FROM g JOIN comp c ON c.id = g.doc_id
 """
+
+ORACLE_SQL["op13_filter_diagrams"] = """
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+first AS (SELECT t, min(doc_id) AS id FROM d GROUP BY t),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+w AS (SELECT d.doc_id, d.part, d.t, list_filter(regexp_split_to_array(d.t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
+             coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic, coalesce(d.doc_id > f.id, false) AS copy
+      FROM d JOIN first f ON f.t = d.t LEFT JOIN lab l ON l.doc_id = d.doc_id),
+m AS (SELECT part, good, toxic, CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN copy THEN 'E' ELSE '' END AS fails FROM w),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, fails),
+o AS (SELECT '' AS p UNION ALL SELECT o.p || f.f FROM o JOIN (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) f ON NOT contains(o.p, f.f)),
+s AS (SELECT p AS filter_order, unnest(range(1, 6)) AS step FROM o WHERE length(p) = 5),
+x AS (SELECT c.part, s.filter_order, s.step, substr(s.filter_order, s.step, 1) AS f, c.n, c.good, c.toxic, c.fails, contains(c.fails, substr(s.filter_order, s.step, 1)) AS bad,
+             length(translate(substr(s.filter_order, 1, s.step - 1), c.fails, '')) = s.step - 1 AS there FROM c CROSS JOIN s),
+r AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, f, CAST(sum(CASE WHEN there AND NOT bad THEN n ELSE 0 END) AS BIGINT) AS kept,
+             CAST(sum(CASE WHEN there AND bad THEN n ELSE 0 END) AS BIGINT) AS removed, CAST(sum(CASE WHEN bad AND NOT there THEN n ELSE 0 END) AS BIGINT) AS redundant,
+             CAST(sum(CASE WHEN fails = f THEN n ELSE 0 END) AS BIGINT) AS unique_fails, CAST(sum(CASE WHEN there AND bad THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+             CAST(sum(CASE WHEN there AND bad THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost FROM x GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r
+"""
