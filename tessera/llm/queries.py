@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, filter_audit, html, katz, minhash, notices, pii, pivots, toxicity, url_rules
+from tessera.llm import bpe, decontaminate, filter_audit, html, katz, minhash, notices, pii, pivots, prefix_trie, toxicity, url_rules
 from tessera.llm.common import fold, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,13 @@ def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op12_ternary_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    convs = prefix_trie.rebuilt(prefix_trie.coded(table(spark, sf_dir, "conversations")))
+    return prefix_trie.ends_digest(prefix_trie.trie(prefix_trie.sequences(convs)))
+
+
 @query
 def op13_filter_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps of all 120 orders of five filters, for every source."""
@@ -146,3 +153,21 @@ r AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, f, CAST(sum(CASE
              CAST(sum(CASE WHEN there AND bad THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost FROM x GROUP BY ALL)
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r
 """
+
+ORACLE_SQL["op12_ternary_prefix_trie"] = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'r': r, 't': t} ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || t)) AS ts,
+             CAST(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                 lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 6 AS BIGINT) AS h
+      FROM t GROUP BY conv_id),
+s AS (SELECT o.conv_id, list_concat(coalesce(b.ts, [])[1:o.h], o.ts[o.h + 1:]) AS ts FROM o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 100),
+p AS (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS depth FROM s),
+n AS (SELECT ts[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(ts) = depth), '')) AS ends_sha256 FROM p GROUP BY ts[1:depth], depth),
+k AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM n WHERE depth > 0 GROUP BY path[1:depth - 1]),
+w AS (SELECT n.*, coalesce(k.n, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * length(n.path[n.depth].t) END AS own FROM n LEFT JOIN k ON k.path = n.path),
+u AS (SELECT path, own, n_children, unnest(range(0, depth + 1)) AS d FROM w),
+a AS (SELECT path[1:d] AS path, sum(own) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM u GROUP BY path[1:d])
+SELECT w.conv_id, w.depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, a.leaves AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN a ON a.path = w.path LEFT JOIN w up ON w.depth > 0 AND up.path = w.path[1:w.depth - 1] AND up.depth = w.depth - 1
+"""
