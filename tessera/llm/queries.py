@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, decontaminate, filter_audit, html, katz, minhash, notices, pii, pivots, prefix_trie, toxicity, url_rules
+from tessera.llm import bpe, decontaminate, filter_audit, html, katz, minhash, notices, packing, pii, pivots, prefix_trie, toxicity, url_rules
 from tessera.llm.common import fold, stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,13 @@ def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in windows of 1,024 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.digests(packing.pack(docs, tokenizer_json()))
+
+
 @query
 def op12_ternary_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of all rebuilt conversations."""
