@@ -20,7 +20,7 @@ result are replaced by it.
 from __future__ import annotations
 
 import functools
-import re
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -144,36 +144,48 @@ def powers_of_two(pieces: list[Piece]) -> list[list[Piece]]:
 
 # ---- encoding ----------------------------------------------------------------------------
 
-# A space behind one of these may belong to a longer run of white space, which the tokenizer
-# splits as a whole (Unicode White_Space as UTF-8; fixed values of the standard).
-_SPACED = re.compile(rb"[\x09-\x0d\x1c-\x20] |\xc2[\x85\xa0] |\xe1\x9a\x80 |\xe2\x80[\x80-\x8a\xa8\xa9\xaf] |\xe2\x81\x9f |\xe3\x80\x80 ")
-
-
-class WordBPE:
-    """Encodes text word by word: no token has a space behind another character, so the place
-    before a single space is a certain cut. Words met before are looked up, new ones and texts
-    with runs of white space go to the fragment encoder. ``keep`` bounds the words remembered."""
-
-    def __init__(self, tokenizer_json: str, keep: int = 400_000):
-        self.fragments, self.keep, self.known = ForcedBoundaryBPE(tokenizer_json), keep, {}
+#: The split before the merges that byte-level tokenizers of this kind share (fixed value).
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Bytes without or of white space beyond which a text goes to the fragment encoder: the rank
+#: encoder's time grows with the square of a single piece's length.
+_LONG = 2_000
+
+
+class RankBPE:
+    """Encodes whole texts with the merge ranks of a byte-level tokenizer file whose ids follow
+    the order of its merges. Other files, and texts with a very long piece, go to the fragment
+    encoder; the ids are those of the tokenizers library either way."""
+
+    def __init__(self, tokenizer_json: str):
+        import tiktoken
+
+        spec = json.loads(tokenizer_json)
+        self.fragments = ForcedBoundaryBPE(tokenizer_json)
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        vocab = spec["model"]["vocab"]
+        made = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in spec["model"]["merges"]]
+        pre = spec.get("pre_tokenizer") or {}
+        plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer")
+        self.ranks = None
+        if plain and made == sorted(made) and len(made) + 256 + len(special) == len(self.fragments.tokens):
+            ranks = {t: i for i, t in enumerate(self.fragments.tokens) if i not in special.values()}
+            self.ranks = tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if _SPACED.search(text):
+        if len(text) > _LONG:
+            lengths = list(map(len, text.split()))
+            if max(lengths, default=0) > _LONG or len(text) - sum(lengths) - len(lengths) > _LONG:
+                return self.fragments.encode(text)
+        if self.ranks is None:
             return self.fragments.encode(text)
-        words = text.replace(b" ", b"\xff ").split(b"\xff")  # 0xff stands in no UTF-8 text
-        known = self.known
-        if len(known) > self.keep:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = self.fragments.encode(w)
-        return b"".join(map(known.__getitem__, words))
+        return self.ranks.encode_to_numpy(text.decode(), allowed_special="all").astype("<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=1)
-def _encoder(tokenizer_json: str) -> WordBPE:
-    """One encoder for all tasks of a worker: words met once are known to the next task."""
-    return WordBPE(tokenizer_json)
+def _encoder(tokenizer_json: str) -> RankBPE:
+    """One encoder for all tasks of a worker."""
+    return RankBPE(tokenizer_json)
 
 
 # ---- packing -----------------------------------------------------------------------------

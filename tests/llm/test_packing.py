@@ -1,5 +1,6 @@
 """Best-fit decreasing against a search over all open windows; pieces against the library's ids."""
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -24,7 +25,7 @@ def plain():
 
 @pytest.fixture(scope="module")
 def words():
-    return pk.WordBPE(tokenizer_json())
+    return pk.RankBPE(tokenizer_json())
 
 
 def reference_best_fit(lengths, window):
@@ -99,10 +100,15 @@ def test_any_spacing_equals_the_library(words, plain, text):
     assert np.frombuffer(words.encode(text.encode()), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
-def test_words_are_forgotten_when_full(plain):
-    small = pk.WordBPE(tokenizer_json(), keep=3)
-    for text in ("one two three four five", "one six", "seven eight one"):
-        assert np.frombuffer(small.encode(text.encode()), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+def test_long_pieces_and_other_files_go_to_the_fragment_encoder(words, plain):
+    for text in ("a" * 9_000, " " * 9_000 + "x", "ab\n" * 3_000, "é" * 3_000 + " end"):
+        assert np.frombuffer(words.encode(text.encode()), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert words.ranks is not None
+    spec = json.loads(tokenizer_json())
+    spec["model"]["merges"] = spec["model"]["merges"][::-1]
+    other = pk.RankBPE(json.dumps(spec))
+    assert other.ranks is None
+    assert np.frombuffer(other.encode(b"some other text"), "<u4").tolist() == Tokenizer.from_str(json.dumps(spec)).encode("some other text", add_special_tokens=False).ids
 
 
 def test_edge_rows(spark, plain):
