@@ -150,9 +150,15 @@ def write_append(df: DataFrame, spec: TableSpec) -> None:
     w.parquet(spec.path)
 
 
+def _writable(df: DataFrame) -> DataFrame:
+    """A table whose only partition is the one without a value reads that column without a
+    type; it is written as text (null either way)."""
+    return df.withColumns({f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if isinstance(f.dataType, T.NullType)})
+
+
 def write_overwrite(df: DataFrame, spec: TableSpec) -> None:
     """K2: full overwrite with the new schema (staged when it reads its own target)."""
-    staged = persist_and_reload(df)
+    staged = persist_and_reload(_writable(df))
     w = staged.write.mode("overwrite")
     if spec.partition_by:
         w = w.partitionBy(*spec.partition_by)
@@ -168,21 +174,32 @@ def persist_and_reload(df: DataFrame, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _match(df: DataFrame, other: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join on ``cols`` where null equals null (an equi-join:
+    Spark shuffles null-safe equality by value)."""
+    names = {c: f"__m{i}" for i, c in enumerate(cols)}
+    cond = F.lit(True)
+    for c, m in names.items():
+        cond = cond & F.col(c).eqNullSafe(F.col(m))
+    return df.join(other.select(*[F.col(c).alias(m) for c, m in names.items()]), cond, how)
+
+
 def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  permit_duplicates: bool = False, order: Sequence[str] = ()) -> DataFrame:
     """K3 (+K5) as a plan: source de-duplicated by key (unless duplicates are allowed),
     target rows without a source match kept (left-anti join), then all source rows.
-    Matched -> updated, unmatched -> inserted; idempotent."""
+    Matched -> updated, unmatched -> inserted; idempotent, also for keys with a null part
+    (null matches null, as the de-duplication has it)."""
     src = source if permit_duplicates else dedup_by_key(source, keys, order)
-    kept = target.join(src.select(*keys), on=list(keys), how="left_anti")
-    return kept.unionByName(src, allowMissingColumns=True)
+    return _match(target, src, keys, "left_anti").unionByName(src, allowMissingColumns=True)
 
 
 def write_upsert(df: DataFrame, spec: TableSpec) -> None:
     """K3 on Parquet: the source is de-duplicated by the merge key (keys, incremental and
     partition columns, tenant), also on the first write; later writes rewrite only the
     partitions the source touches (dynamic partition overwrite), staged first because
-    the target is read and overwritten in one job."""
+    the target is read and overwritten in one job. Rows without a partition value form a
+    partition of their own, which is merged like any other."""
     spark = df.sparkSession
     keys = spec.merge_keys or list(spec.keys)
     if not table_exists(spark, spec.path):
@@ -191,15 +208,15 @@ def write_upsert(df: DataFrame, spec: TableSpec) -> None:
     tgt = spark.read.option("mergeSchema", "true").parquet(spec.path)
     parts = list(spec.partition_by)
     if parts:
-        touched = df.select(*parts).distinct()
-        tgt = tgt.join(touched, on=parts, how="left_semi")
-    _overwrite_partitions(persist_and_reload(upsert_frame(tgt, df, keys, spec.permit_duplicate_keys)), spec)
+        # stored rows of every partition that is about to be replaced, the null one included
+        tgt = _match(tgt, df.select(*parts).distinct(), parts, "left_semi")
+    _overwrite_partitions(persist_and_reload(_writable(upsert_frame(tgt, df, keys, spec.permit_duplicate_keys))), spec)
 
 
 def _overwrite_partitions(staged: DataFrame, spec: TableSpec) -> None:
     """Replace the partitions that ``staged`` holds, and only those (the whole table when
     it has no partition columns)."""
-    w = staged.write.mode("overwrite")
+    w = _writable(staged).write.mode("overwrite")
     if spec.partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by)
     w.parquet(spec.path)
@@ -239,7 +256,7 @@ def keep_rows(spark: SparkSession, spec: TableSpec, keep) -> int:
     cond = F.lit(True)
     for p in parts:
         cond = cond & F.col(p).eqNullSafe(F.col(f"{p}__k"))
-    lost = persist_and_reload(before.join(after, cond, "left").select(*parts, "__all", F.coalesce("__kept", F.lit(0)).alias("__kept"))
+    lost = persist_and_reload(_writable(before).join(after, cond, "left").select(*parts, "__all", F.coalesce("__kept", F.lit(0)).alias("__kept"))
                               .where("__all > __kept"))
     n, empty = lost.agg(F.sum(F.col("__all") - F.col("__kept")), F.count_if(F.col("__kept") == 0)).first()
     if not n:
@@ -247,7 +264,7 @@ def keep_rows(spark: SparkSession, spec: TableSpec, keep) -> int:
     if empty:
         write_overwrite(keep(df), spec)
     else:
-        _overwrite_partitions(persist_and_reload(keep(df).join(lost.select(*parts), parts, "left_semi")), spec)
+        _overwrite_partitions(persist_and_reload(_match(_writable(keep(df)), lost, parts, "left_semi")), spec)
     return int(n)
 
 

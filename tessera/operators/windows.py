@@ -40,14 +40,36 @@ def _names(x) -> list[str]:
     return [c for c in _cols(x)]
 
 
-def _orderable(dt: T.DataType) -> bool:
-    if isinstance(dt, T.MapType):
-        return False
+def _has_map(dt: T.DataType) -> bool:
     if isinstance(dt, T.StructType):
-        return all(_orderable(f.dataType) for f in dt.fields)
+        return any(_has_map(f.dataType) for f in dt.fields)
+    return isinstance(dt, T.MapType) or isinstance(dt, T.ArrayType) and _has_map(dt.elementType)
+
+
+def _ordered(c: Column, dt: T.DataType) -> Column:
+    """``c`` with every map, however deep, as its entries sorted by key: equal maps become equal
+    values, and all of them have a total order."""
+    if not _has_map(dt):
+        return c
+    if isinstance(dt, T.MapType):
+        pairs = F.transform(F.map_entries(c), lambda e: F.struct(e["key"].alias("key"), _ordered(e["value"], dt.valueType).alias("value")))
+        return F.array_sort(pairs)
     if isinstance(dt, T.ArrayType):
-        return _orderable(dt.elementType)
-    return True
+        return F.transform(c, lambda x: _ordered(x, dt.elementType))
+    inner = F.struct(*[_ordered(c.getField(f.name), f.dataType).alias(f.name) for f in dt.fields])
+    return F.when(c.isNotNull(), inner)
+
+
+def _restored(c: Column, dt: T.DataType) -> Column:
+    """The value that ``_ordered`` stands for (its map entries in key order)."""
+    if not _has_map(dt):
+        return c
+    if isinstance(dt, T.MapType):
+        return F.map_from_entries(F.transform(c, lambda e: F.struct(e["key"].alias("key"), _restored(e["value"], dt.valueType).alias("value"))))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: _restored(x, dt.elementType))
+    inner = F.struct(*[_restored(c.getField(f.name), f.dataType).alias(f.name) for f in dt.fields])
+    return F.when(c.isNotNull(), inner)
 
 
 def series_window(keys, order, desc: bool = False) -> Window:
@@ -64,25 +86,24 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
     pick is a total order and repeats run to run).
 
     Plan: ``groupBy(keys).agg(min(struct(order..., rest...)))`` -> a partial aggregate on
-    the map side, then one shuffle of at most one row per key per task. Falls back to
-    ``row_number() == 1`` only when a column cannot be ordered (maps).
+    the map side, then one shuffle of at most one row per key per task. Maps are compared
+    by their sorted entries, so frames with map columns take the same plan: no window
+    holds a whole key, and which of two tied rows stays does not depend on the shuffle.
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    if not all(_orderable(df.schema[c].dataType) for c in order + rest):
-        return dedup_by_key_window(df, keys, order, descending)
     agg = F.max if descending else F.min
-    packed = agg(F.struct(*[F.col(c) for c in order + rest])).alias("__r")
+    packed = agg(F.struct(*[_ordered(F.col(c), df.schema[c].dataType).alias(c) for c in order + rest])).alias("__r")
     out = df.groupBy(*keys).agg(packed)
-    return out.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    return out.select(*keys, *[_restored(F.col("__r").getField(c), df.schema[c].dataType).alias(c) for c in order + rest]).select(*df.columns)
 
 
 def dedup_by_key_window(df: DataFrame, keys, order, descending: bool = False) -> DataFrame:
-    """W1 as the reference writes it (``row_number() == 1``); used for map columns."""
-    rest = [c for c in df.columns if c not in keys and c not in order
-            and _orderable(df.schema[c].dataType)]
-    oc = [(F.col(c).desc() if descending else F.col(c).asc()) for c in list(order) + rest]
-    w = Window.partitionBy(*keys).orderBy(*oc)
+    """W1 as ``row_number() == 1`` over the same total order (whole keys per task; for
+    comparison only)."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    oc = [_ordered(F.col(c), df.schema[c].dataType) for c in list(order) + rest]
+    w = Window.partitionBy(*keys).orderBy(*[c.desc() if descending else c.asc() for c in oc])
     return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.columns import epoch_ms, is_automated, runtime_struct
 from tessera.operators.incremental import impute_first_run
+from tessera.operators.lineage import nest_runs, resolve_roots
 from tessera.operators.schema import nested_col_exists
 from tessera.operators.timeseries import TimeSeries
 from tessera.operators.windows import dedup_by_key, fill_forward, fill_unless_removed, future_fill
@@ -264,33 +265,43 @@ def job_runs(audit: DataFrame) -> DataFrame:
     """Submissions (runNow / submitRun / runTriggered) LEFT JOIN starts LEFT JOIN
     completions (runSucceeded / runFailed) LEFT JOIN cancellations LEFT JOIN repairs, each
     extract first per run key; run times from submission and from start to
-    ``array_max(completion, cancellation)`` (open stays null); Cancelled wins."""
+    ``array_max(completion, cancellation)`` (open stays null); Cancelled wins.
+
+    A submission is one job run; a multi-task job run starts one task run for each task, whose
+    start names it as ``multitaskParentRunId``. So there is one row per task run (``run_id``),
+    with ``job_run_id`` common to the tasks of one submission; a run that never started has one
+    row under its job run's id. Starts win over completions for what both report."""
     a = audit.filter(F.col("serviceName") == "jobs")
     act = F.col("actionName")
 
-    def extract(cond: Column, run_id: Column, cols: dict[str, Column], order: str = "timestamp") -> DataFrame:
-        d = a.filter(cond).select(ORG, run_id.alias("run_id"), F.col("timestamp"), F.col("requestId"),
+    def extract(cond: Column, ids: dict[str, Column], cols: dict[str, Column], at: str) -> DataFrame:
+        d = a.filter(cond).select(ORG, *[c.alias(n) for n, c in ids.items()], F.col("timestamp"), F.col("requestId"),
                                   *[c.alias(n) for n, c in cols.items()])
-        d = d.filter(F.col("run_id").isNotNull())
-        return dedup_by_key(d, [ORG, "run_id"], [order, "requestId"]).drop("requestId")
+        d = d.dropna(subset=[list(ids)[-1]])
+        return dedup_by_key(d, [ORG, *ids], ["timestamp", "requestId"]).drop("requestId").withColumnRenamed("timestamp", at)
 
     manual = F.when(act == "runNow", F.struct(*[_rp(a, p).alias(p) for p in (
-        "notebook_params", "jar_params", "python_params", "spark_submit_params", "python_named_params")]))
+        "notebook_params", "jar_params", "python_params", "spark_submit_params", "python_named_params", "sql_params", "pipeline_params", "dbt_commands")]))
+    trigger = F.coalesce(_rp(a, "jobTriggerType"), F.when(act == "runNow", F.lit("manual")))
     sub = extract(act.isin("runNow", "submitRun", "runTriggered"),
-                  F.coalesce(_result("run_id", "long"), _rp(a, "runId", "long"), _rp(a, "run_id", "long")),
+                  {"job_run_id": F.coalesce(_result("run_id", "long"), _rp(a, "runId", "long"), _rp(a, "run_id", "long"))},
                   {"job_id": F.coalesce(_rp(a, "job_id", "long"), _rp(a, "jobId", "long")),
-                   "run_name": _rp(a, "run_name"), "submission_action": act,
-                   "trigger_type": _rp(a, "jobTriggerType"), "submitted_by": F.col("userIdentity.email"),
-                   "manual_override_params": manual}
-                  ).withColumnRenamed("timestamp", "submissionTime")
-    start = extract(act == "runStart", _rp(a, "runId", "long"),
-                    {"cluster_id": _rp(a, "clusterId"), "task_key": _rp(a, "taskKey")}).withColumnRenamed(
-        "timestamp", "startTime")
-    done = extract(act.isin("runSucceeded", "runFailed"), _rp(a, "runId", "long"),
-                   {"jobTerminalState": _rp(a, "jobTerminalState"), "completion_action": act}
-                   ).withColumnRenamed("timestamp", "completionTime")
-    cancel = extract(act == "cancel", _rp(a, "run_id", "long"), {"cancelled_by": F.col("userIdentity.email")}
-                     ).withColumnRenamed("timestamp", "cancellationTime")
+                   "run_name": _rp(a, "run_name"), "submission_action": act, "trigger_type": trigger,
+                   "submitted_by": F.col("userIdentity.email"), "workflow_context": _rp(a, "workflow_context"),
+                   "manual_override_params": manual}, "submissionTime")
+    multi, task = _rp(a, "multitaskParentRunId", "long"), _rp(a, "runId", "long")
+    keys = {"job_run_id": F.coalesce(multi, task), "run_id": task}
+    # What both a start and a completion report of a task run (output, request field, type).
+    both = (("multitask_parent_run_id", "multitaskParentRunId", "long"), ("parent_run_id", "parentRunId", "long"),
+            ("task_key", "taskKey", "string"), ("task_dependencies", "taskDependencies", "string"), ("id_in_job", "idInJob", "long"),
+            ("clusterType", "jobClusterType", "string"), ("task_type", "jobTaskType", "string"), ("repair_of", "repairId", "long"))
+    shared = {out: _rp(a, src, kind) for out, src, kind in both}
+    start = extract(act == "runStart", keys, {"cluster_id": _rp(a, "clusterId"), **shared}, "startTime")
+    done = extract(act.isin("runSucceeded", "runFailed"), keys,
+                   {"jobTerminalState": _rp(a, "jobTerminalState"), "completion_action": act,
+                    **{f"{out}__done": c for out, c in shared.items()}}, "completionTime")
+    cancel = extract(act == "cancel", {"run_id": _rp(a, "run_id", "long")}, {"cancelled_by": F.col("userIdentity.email")},
+                     "cancellationTime")
     # every repair of a run, first event per repair id, as one sorted list per run (a run
     # is repaired a handful of times, so the list is bounded by the run's own repairs)
     rep = a.filter(act == "repairRun").select(
@@ -306,16 +317,29 @@ def job_runs(audit: DataFrame) -> DataFrame:
     repair = rep.groupBy(ORG, "run_id").agg(F.max("repair_id").alias("repair_id"),
                                             F.max("timestamp").alias("repairTime"),
                                             F.sort_array(F.collect_list("detail")).alias("repair_details"))
-    m = (sub.join(start, [ORG, "run_id"], "left").join(done, [ORG, "run_id"], "left")
-            .join(cancel, [ORG, "run_id"], "left").join(repair, [ORG, "run_id"], "left"))
+    # starts and completions meet first: a task run may report only one of them
+    tasks = start.join(done, [ORG, "job_run_id", "run_id"], "full_outer")
+    tasks = tasks.withColumns({out: F.coalesce(out, f"{out}__done") for out, _, _ in both}).drop(*[f"{out}__done" for out, _, _ in both])
+    m = sub.join(tasks, [ORG, "job_run_id"], "left").withColumn("run_id", F.coalesce("run_id", "job_run_id"))
+    m = m.join(cancel, [ORG, "run_id"], "left").join(repair, [ORG, "run_id"], "left")
     end = F.array_max(F.array("completionTime", "cancellationTime"))
     return m.withColumns({
+        "task_dependencies": F.from_json("task_dependencies", "array<string>"),
         "TaskRunTime": runtime_struct(F.col("submissionTime"), end, ntz=True),
         "TaskExecutionRunTime": runtime_struct(F.col("startTime"), end, ntz=True),
         "terminalState": F.when(F.col("cancellationTime").isNotNull(), F.lit("Cancelled"))
         .otherwise(F.col("jobTerminalState"))})
 
 
+def job_runs_rolled_up(runs: DataFrame) -> DataFrame:
+    """Runs nested under the run they belong to, so that a fact counts no cost twice. A
+    run's parent is ``parent_run_id`` or else the root run of its ``workflow_context``; tasks of a
+    multi-task run are roots. Runs whose parent is not in ``runs`` stay as roots marked ``orphan``."""
+    d = runs.withColumn("__context_root", F.get_json_object("workflow_context", "$.root_run_id").cast("long"))
+    resolved = resolve_roots(d, "run_id", ["parent_run_id", "__context_root"], [ORG]).drop("__context_root")
+    return nest_runs(resolved, "run_id", ["submissionTime"], [ORG])
+
+
 # ------------------------------------------------------------------ V12 enrichment (as-of meta, N2)
 
 # Minimal shapes of a task and a job cluster used to pick run details.
