@@ -3,17 +3,19 @@ value, map columns, run lineage, facts that replace their own open rows, permiss
 and overlaps without pairs. Each runs over whole test tables, with DuckDB SQL for the same rows.
 
 Index: q70 K1/K3/K10/K11 (null partitions) · q71 W1 (map columns) ·
-q72 V12/A5 (run lineage).
+q72 V12/A5 (run lineage) · q73 G4 (open runs, tenants, cluster types) · q74 V11 (set history).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions import columns as C
 from tessera.operators import windows as W
 from tessera.operators.lineage import nest_runs, resolve_roots, summarize_runs
 from tessera.operators.tables import TableSpec, keep_rows, read_table, rollback_run, rollback_to_time, write_append, write_upsert
-from tessera.plans.catalog import query, table
+from tessera.operators.scd import set_at_events, set_history
+from tessera.plans.catalog import _G4_UNTIL_MS, DAY_S, _sround, query, table
 from tessera.plans.catalog_more import _folder
 
 
@@ -82,3 +84,109 @@ def q72(spark, d):
                            F.coalesce(F.array_join(below, ","), F.lit("")).alias("children"))
     totals = summarize_runs(resolved, sums=["quantity"]).select(F.col("root").alias("run_id"), "n_runs", "quantity")
     return nested.join(totals, "run_id")
+
+
+# ------------------------------------------------------------------ q73 cost fact written window by window
+
+_COSTS = {"driver_compute_cost": 1.0, "driver_dbu_cost": 2.0, "worker_compute_cost": 3.0, "worker_dbu_cost": 5.0}
+_FIRST_UNTIL_MS = 833587200000  # 1996-06-01
+
+_Q73_SQL = f"""
+WITH o AS (SELECT 'a' AS org, o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
+           UNION ALL SELECT 'b', o_orderkey, o_custkey, o_orderdate, o_totalprice * 2 FROM orders WHERE o_custkey % 4 = 0),
+ls AS (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1),
+st0 AS (SELECT org, o_custkey AS cluster_id, epoch_ms(o_orderdate) + o_orderkey AS state_start, o_totalprice / 1000.0 AS cost, o_orderkey % 5 = 0 AS starting FROM o),
+st AS (SELECT *, coalesce(lead(state_start) OVER (PARTITION BY org, cluster_id ORDER BY state_start) - 1, {_G4_UNTIL_MS}) AS state_end FROM st0),
+runs AS (SELECT o.org, o.o_orderkey AS run_id, o.o_custkey AS cluster_id, CASE WHEN o.o_orderkey % 3 = 0 THEN 'new' ELSE 'existing' END AS cluster_type,
+                epoch_ms(o.o_orderdate) + o.o_orderkey + 3600000 AS run_start,
+                greatest(epoch_ms(o.o_orderdate) + o.o_orderkey + 3600000, epoch_ms(ls.last_ship) + o.o_orderkey) AS run_end
+         FROM o JOIN ls ON o.o_orderkey = ls.l_orderkey),
+init AS (SELECT r.*, s.* EXCLUDE (org, cluster_id), CASE WHEN s.starting OR r.cluster_type = 'new' THEN s.state_end - s.state_start ELSE least(s.state_end, r.run_end) - r.run_start END AS tis
+         FROM runs r ASOF JOIN st s ON r.org = s.org AND r.cluster_id = s.cluster_id AND r.run_start > s.state_start),
+seq AS (SELECT org, cluster_id, run_end AS ts, 0 AS side, run_id, CAST(NULL AS BIGINT) AS s_start FROM runs UNION ALL SELECT org, cluster_id, state_end, 1, NULL, state_start FROM st),
+term0 AS (SELECT *, lead(s_start) OVER (PARTITION BY org, cluster_id ORDER BY ts, side, run_id, s_start) AS pick FROM seq),
+term AS (SELECT r.*, s.* EXCLUDE (org, cluster_id), r.run_end - s.state_start AS tis FROM term0 t JOIN runs r USING (org, run_id, cluster_id)
+         JOIN st s ON s.org = r.org AND s.cluster_id = r.cluster_id AND s.state_start = t.pick
+         WHERE t.side = 0 AND s.state_end >= r.run_end
+           AND NOT EXISTS (SELECT 1 FROM init i WHERE i.org = r.org AND i.run_id = r.run_id AND i.cluster_id = r.cluster_id AND i.state_start = s.state_start)),
+ends AS (SELECT * FROM init UNION ALL SELECT * FROM term),
+mid AS (SELECT r.*, s.* EXCLUDE (org, cluster_id), s.state_end - s.state_start AS tis FROM runs r JOIN st s ON r.org = s.org AND r.cluster_id = s.cluster_id
+        AND s.state_start > r.run_start AND s.state_end < r.run_end
+        WHERE NOT EXISTS (SELECT 1 FROM ends i WHERE i.org = r.org AND i.run_id = r.run_id AND i.cluster_id = r.cluster_id AND i.state_start = s.state_start)),
+rs AS (SELECT *, greatest(run_start, state_start) AS rss, least(run_end, state_end) AS rse, (state_end - state_start) / 3600000.0 AS uptime_h FROM (SELECT * FROM ends UNION ALL SELECT * FROM mid)),
+ov AS (SELECT a.org, a.run_id, a.cluster_id, a.state_start, sum(greatest(0, least(a.rse, b.rse) - greatest(a.rss, b.rss))) AS cum,
+              count(*) FILTER (WHERE b.run_id <> a.run_id AND b.rss < a.rse AND b.rse > a.rss) AS n_ov
+       FROM rs a JOIN rs b ON a.org = b.org AND a.cluster_id = b.cluster_id AND a.state_start = b.state_start WHERE a.cluster_type = 'existing' AND b.cluster_type = 'existing' GROUP BY ALL),
+f AS (SELECT rs.*, coalesce(ov.n_ov, 0) AS n_ov, CASE WHEN uptime_h = 0 THEN NULL ELSE (tis / 1000 / 3600) / uptime_h END AS util,
+             CASE WHEN rs.cluster_type = 'new' OR coalesce(ov.cum, 0) = 0 THEN 1.0 ELSE least(CAST(tis AS DOUBLE) / CAST(ov.cum AS DOUBLE), 1.0) END AS share
+      FROM rs LEFT JOIN ov ON rs.org = ov.org AND rs.run_id = ov.run_id AND rs.cluster_id = ov.cluster_id AND rs.state_start = ov.state_start AND rs.cluster_type = 'existing')
+SELECT org AS organization_id, run_id, cluster_id, cluster_type, run_start, run_end, false AS open_run,
+       {", ".join(f"greatest({_sround(f'sum(cost * {w} * util * share)', 6)}, 0) AS {c}" for c, w in _COSTS.items())},
+       count(*) AS cluster_states, max(n_ov) AS max_overlapping_runs, {_sround("avg(n_ov)", 2)} AS avg_overlapping_runs,
+       CAST(run_end // 86400000 - run_start // 86400000 + 1 AS BIGINT) AS n_days, 'n' || run_id AS run_name
+FROM f GROUP BY org, run_id, cluster_id, cluster_type, run_start, run_end
+"""
+
+
+@query("q73_cost_fact_by_windows", _Q73_SQL)
+def q73(spark, d):
+    """G4 written twice: up to mid 1996, then up to the end. The second write re-reads its own
+    open runs and the runs in states that went on, and replaces them; the stored fact equals one
+    run over both windows. Two tenants share run and cluster ids; runs are on new and on existing
+    clusters, some states are starting ones, and there are four costs."""
+    from tessera.plans.medallion.gold import refresh_job_run_costs
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    o = o.withColumn("organization_id", F.lit("a")).unionByName(
+        o.where("o_custkey % 4 = 0").withColumns({"o_totalprice": F.col("o_totalprice") * 2, "organization_id": F.lit("b")}))
+    last = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"))
+    at = C.epoch_ms("o_orderdate") + F.col("o_orderkey")
+    keys, begun = ["organization_id", F.col("o_custkey").alias("cluster_id")], at + 3600000
+    all_runs = o.join(last, o.o_orderkey == last.l_orderkey).select(
+        *keys, F.col("o_orderkey").alias("run_id"), F.when(F.col("o_orderkey") % 3 == 0, "new").otherwise("existing").alias("cluster_type"),
+        begun.alias("run_start_ms"), F.greatest(begun, C.epoch_ms("last_ship") + F.col("o_orderkey")).alias("run_end_ms"), F.concat(F.lit("n"), F.col("o_orderkey").cast("string")).alias("run_name"))
+    year = 365 * DAY_S * 1000.0
+    spec = TableSpec("fact", _folder(spark, "costs"), keys=("run_id", "cluster_id"), mode="merge")
+    since = 0
+    for until in (_FIRST_UNTIL_MS, _G4_UNTIL_MS):
+        st = o.select(*keys, at.alias("unixTimeMS_state_start"), (F.col("o_totalprice") / 1000.0).alias("cost"),
+                      F.when(F.col("o_orderkey") % 5 == 0, "STARTING").otherwise("RUNNING").alias("state")).where(F.col("unixTimeMS_state_start") < until)
+        st = W.shift_one(st, ["unixTimeMS_state_start"], ["organization_id", "cluster_id"], ["unixTimeMS_state_start"], "next",
+                         bucket=F.floor(F.col("unixTimeMS_state_start") / F.lit(year)).cast("long"), suffix="__next")
+        end = F.coalesce(F.col("unixTimeMS_state_start__next") - 1, F.lit(until))
+        states = st.select("organization_id", "cluster_id", "unixTimeMS_state_start", end.alias("unixTimeMS_state_end"), "state",
+                           ((end - F.col("unixTimeMS_state_start")) / 3600000.0).alias("uptime_in_state_H"), F.lit(0.0).alias("worker_potential_core_H"),
+                           *[(F.col("cost") * w).alias(c) for c, w in _COSTS.items()])
+        known = all_runs.withColumn("run_end_ms", F.when(F.col("run_end_ms") < until, F.col("run_end_ms")))
+        # a customer's state may last for years here, so the lag covers all of them
+        refresh_job_run_costs(spark, spec, states, known, since, until, lag_ms=3000 * DAY_S * 1000, slice_ms=year, month_bucket_ms=60 * DAY_S * 1000)
+        since = until
+    return read_table(spark, spec).select("organization_id", "run_id", "cluster_id", "cluster_type", "run_start", "run_end", "open_run", *_COSTS,
+                                          "cluster_states", "max_overlapping_runs", "avg_overlapping_runs", F.size("running_days").cast("long").alias("n_days"), "run_name")
+
+
+_Q74_SQL = """
+WITH e AS (SELECT event_id, user_id % 40 AS k, event_type AS t, event_id AS i, row_number() OVER (PARTITION BY user_id % 40 ORDER BY ts, event_id) AS seq FROM events),
+m AS (SELECT unnest([0, 1, 2, 3, 4]) AS n),
+op AS (SELECT e.*, m.n, CASE t WHEN 'signup' THEN CASE WHEN n = (i + 2) % 5 THEN 'w' WHEN n = i % 5 THEN 'r' ELSE '-' END
+                              WHEN 'click' THEN CASE WHEN n = i % 5 THEN 'c' || (i % 3) END
+                              WHEN 'error' THEN CASE WHEN n = i % 5 THEN '-' END
+                              WHEN 'purchase' THEN CASE WHEN n = (i + 1) % 5 THEN 'p' WHEN n = i % 5 THEN 'q' END END AS v FROM e CROSS JOIN m),
+s AS (SELECT event_id, k, seq, n, last_value(v IGNORE NULLS) OVER (PARTITION BY k, n ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v FROM op)
+SELECT event_id, k, seq, coalesce(string_agg('m' || n || ':' || v, ',' ORDER BY n) FILTER (v <> '-'), '') AS members FROM s GROUP BY event_id, k, seq
+"""
+
+
+@query("q74_set_history", _Q74_SQL)
+def q74(spark, d):
+    """A set that events replace, add to and take from, in force after every event; forty
+    keys hold all events, as many slices as there are days hold a key."""
+    i = F.col("event_id")
+    pair = lambda n, v: F.struct(F.concat(F.lit("m"), (n % 5).cast("string")).alias("member"), v.cast("string").alias("value"))
+    kind = F.col("event_type")
+    changes = (F.when(kind == "signup", F.array(pair(i, F.lit("r")), pair(i + 2, F.lit("w")))).when(kind == "click", F.array(pair(i, F.concat(F.lit("c"), (i % 3).cast("string")))))
+               .when(kind == "error", F.array(pair(i, F.lit(None)))).when(kind == "purchase", F.array(pair(i, F.lit("q")), pair(i + 1, F.lit("p")))))
+    ev = table(spark, d, "events").select("event_id", "ts", (F.col("user_id") % 40).alias("k"), changes.alias("changes"), (kind == "signup").alias("replaces"))
+    day = F.floor(C.epoch_ms("ts") / F.lit(DAY_S * 1000)).cast("long")
+    numbered, history = set_history(ev, ["k"], ["ts", "event_id"], bucket=day, slice_rows=500)
+    got = set_at_events(numbered, history, ["k"], slice_rows=100)
+    return got.select("event_id", "k", "seq", F.array_join(F.transform("members", lambda m: F.concat(m["member"], F.lit(":"), m["value"])), ",").alias("members"))

@@ -138,7 +138,7 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
         F.col("unixTimeMS_state_end").alias("state_end"), "state", "uptime_in_state_H",
         "worker_potential_core_H", *COST_COLS)
     r = runs.select(ORG, "run_id", CLUSTER, "cluster_type", F.col("run_start_ms").alias("run_start"),
-                    F.coalesce("run_end_ms", F.lit(until_ms)).alias("run_end"))
+                    F.coalesce("run_end_ms", F.lit(until_ms)).alias("run_end"), F.col("run_end_ms").isNull().alias("open_run"))
     st, r = cut(st), cut(r)
     st_cols = [c for c in st.columns if c not in (ORG, CLUSTER)]
     # initial
@@ -164,7 +164,8 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
     ends = init.select(*state_key).unionByName(term.select(*state_key))
     mid = mid.join(ends, state_key, "left_anti").withColumn(
         "time_in_state_ms", F.col("state_end") - F.col("state_start")).withColumn("run_state", F.lit("intermediate"))
-    cols = [ORG, "run_id", CLUSTER, "cluster_type", "run_start", "run_end", *st_cols, "time_in_state_ms", "run_state"]
+    run_cols = [ORG, "run_id", CLUSTER, "cluster_type", "run_start", "run_end", "open_run"]
+    cols = [*run_cols, *st_cols, "time_in_state_ms", "run_state"]
     rs = init.select(*cols).unionByName(term.select(*cols)).unionByName(mid.select(*cols))
     rs = rs.withColumns({"run_state_start": F.greatest("run_start", "state_start"),
                          "run_state_end": F.least("run_end", "state_end")})
@@ -186,17 +187,66 @@ def job_run_cost_fact(state_fact: DataFrame, runs: DataFrame, until_ms: int, ove
     rs = rs.withColumns({c: F.col(c) * F.col("state_utilization_percent") * F.col("run_state_utilization")
                          for c in COST_COLS})
     agg = [F.greatest(F.round(F.sum(c), 6), F.lit(0)).alias(c) for c in COST_COLS]
-    out = rs.groupBy(ORG, "run_id", CLUSTER, "cluster_type", "run_start", "run_end").agg(
+    others = F.when(interactive, F.coalesce("overlapping_runs", F.lit(0))).otherwise(0)
+    out = rs.groupBy(*run_cols).agg(
         *agg, F.round(F.sum("worker_potential_core_H"), 6).alias("worker_potential_core_H"),
         F.count(F.lit(1)).alias("cluster_states"),
-        F.max(F.coalesce("overlapping_runs", F.lit(0))).alias("max_overlapping_runs"))
-    return out.withColumns({
+        F.greatest(F.round(F.avg("run_state_utilization"), 4), F.lit(0.0)).alias("avg_cluster_share"),
+        F.greatest(F.round(F.avg(others), 2), F.lit(0.0)).alias("avg_overlapping_runs"),
+        F.max(others).alias("max_overlapping_runs"))
+    day = lambda c: F.date_from_unix_date(F.floor(F.col(c) / 86_400_000).cast("int"))
+    out = out.withColumns({
+        "running_days": F.sequence(day("run_start"), day("run_end")),
+        "total_driver_cost": F.col("driver_compute_cost") + F.col("driver_dbu_cost"),
+        "total_worker_cost": F.col("worker_compute_cost") + F.col("worker_dbu_cost"),
         "total_compute_cost": F.col("driver_compute_cost") + F.col("worker_compute_cost"),
         "total_dbu_cost": F.col("driver_dbu_cost") + F.col("worker_dbu_cost"),
         "total_cost": F.col("driver_compute_cost") + F.col("worker_compute_cost") + F.col("driver_dbu_cost")
         + F.col("worker_dbu_cost"),
         "run_time": runtime_struct(F.col("run_start"), F.col("run_end"), ntz=True),
     })
+    # what else the run's own row says (names, nodes, rates, ...) goes with it unchanged
+    own = [c for c in runs.columns if c not in (*out.columns, "run_start_ms", "run_end_ms")]
+    if own:
+        out = out.join(runs.select(ORG, "run_id", CLUSTER, *own), [ORG, "run_id", CLUSTER], "left")
+    return out
+
+
+def refresh_job_run_costs(spark, spec, state_fact: DataFrame, runs: DataFrame, from_ms: int, until_ms: int,
+                          lag_ms: int = 30 * 86_400_000, state_lag_ms: int = 90 * 86_400_000, **how) -> DataFrame | None:
+    """G4 as an incremental module: the stored fact ``spec`` (keys run_id and cluster_id) takes
+    in the window ``[from_ms, until_ms)`` and equals one run over all windows. Computed anew are
+
+    * runs of the lag window (started at or after ``from_ms - lag_ms``) that the fact does not
+      hold, so those launched in the window;
+    * its open rows, priced up to the earlier end of the window so far;
+    * closed rows that touch a state which went on after ``from_ms``: its length and cost grew.
+
+    Their clusters' other runs take part in the overlap shares but stay as they are stored, since
+    shares in states that had ended can no longer change. ``state_fact`` and ``runs`` are the
+    states and runs known at ``until_ms`` (an open run has no end). Runs older than the lag keep
+    their last values. Returns the rows written, ``None`` if there were none. ``how`` goes to
+    ``job_run_cost_fact``."""
+    from tessera.operators.tables import persist_and_reload, read_table, table_exists, write_upsert
+    ident = [ORG, "run_id", CLUSTER]
+    first = from_ms - lag_ms
+    recent = runs.filter((F.col("run_start_ms") >= first) & (F.col("run_start_ms") < until_ms))
+    todo = recent
+    if table_exists(spark, spec.path):
+        stored = read_table(spark, spec).filter((F.col("run_start") >= first) & ~F.col("open_run")).select(*ident, "run_end")
+        went_on = state_fact.filter((F.col("unixTimeMS_state_start") < from_ms) & (F.coalesce("unixTimeMS_state_end", F.lit(until_ms)) >= from_ms - 1))
+        went_on = went_on.groupBy(ORG, CLUSTER).agg(F.min("unixTimeMS_state_start").alias("went_on"))
+        settled = stored.join(went_on, [ORG, CLUSTER], "left").filter(F.col("went_on").isNull() | (F.col("run_end") < F.col("went_on")))
+        todo = recent.join(settled.select(*ident), ident, "left_anti")
+    todo = persist_and_reload(todo.select(*ident))
+    if todo.isEmpty():
+        return None
+    clusters = todo.select(ORG, CLUSTER).distinct()
+    states = state_fact.filter(F.coalesce("unixTimeMS_state_end", F.lit(until_ms)) >= first - state_lag_ms).join(clusters, [ORG, CLUSTER], "left_semi")
+    fact = job_run_cost_fact(states, recent.join(clusters, [ORG, CLUSTER], "left_semi"), until_ms, **how)
+    fact = persist_and_reload(fact.join(todo, ident, "left_semi"))
+    write_upsert(fact, spec)
+    return fact
 
 
 def with_spark_utilization(fact: DataFrame, util: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from tessera.functions.columns import epoch_ms, is_automated, runtime_struct
 from tessera.operators.incremental import impute_first_run
 from tessera.operators.lineage import nest_runs, resolve_roots
 from tessera.operators.schema import nested_col_exists
+from tessera.operators.scd import set_history
 from tessera.operators.timeseries import TimeSeries
 from tessera.operators.windows import dedup_by_key, fill_forward, fill_unless_removed, future_fill
 
@@ -239,15 +240,25 @@ def job_status(audit: DataFrame, jobs_snapshot: DataFrame | None = None, slice_m
     if jobs_snapshot is not None:
         snap = jobs_snapshot.select(ORG, F.col("job_id").cast("long").alias("job_id"),
                                     _snap_ms(jobs_snapshot).alias("timestamp"),
-                                    F.to_json("settings").alias("snap_settings"))
+                                    F.to_json("settings").alias("snap_settings"),
+                                    *[(F.col(c) if c in jobs_snapshot.columns else F.lit(None)).cast(t).alias(n) for c, t, n in (
+                                        ("creator_user_name", "string", "snap_created_by"), ("created_time", "long", "snap_created_ts"))])
         base = TimeSeries(base, "timestamp", (ORG, "job_id")).lookup_when(
             TimeSeries(snap, "timestamp", (ORG, "job_id")), lookahead_rows=None, slice_size=slice_ms)
     else:
-        base = base.withColumn("snap_settings", F.lit(None).cast("string"))
+        base = base.withColumns({"snap_settings": F.lit(None).cast("string"), "snap_created_by": F.lit(None).cast("string"), "snap_created_ts": F.lit(None).cast("long")})
     w_keys, order = [ORG, "job_id"], ["timestamp", "requestId"]
     every = JOB_SETTINGS + JOB_LEGACY_TASKS
-    filled = fill_forward(base.withColumns({f"__ff_{s}": F.col(s) for s in every}),
-                          [f"__ff_{s}" for s in every], w_keys, order, bucket=_slices(slice_ms))
+    # who made, edited and deleted the job, and when; the first two hold until the next such event
+    act, who, at = F.col("actionName"), F.col("user_email"), F.col("timestamp")
+    made, edited = act == "create", act.isin("update", "reset")
+    people = {"created_by": F.when(made, who), "created_ts": F.when(made, at), "last_edited_by": F.when(edited, who), "last_edited_ts": F.when(edited, at)}
+    filled = fill_forward(base.withColumns({f"__ff_{s}": F.col(s) for s in every} | people),
+                          [*[f"__ff_{s}" for s in every], *people], w_keys, order, bucket=_slices(slice_ms))
+    filled = filled.withColumns({
+        "created_by": F.coalesce("created_by", "snap_created_by"), "created_ts": F.coalesce("created_ts", "snap_created_ts"),
+        "deleted_by": F.when(act == "delete", who), "deleted_ts": F.when(act == "delete", at)})
+    filled = filled.withColumns({"last_edited_by": F.coalesce("last_edited_by", "created_by"), "last_edited_ts": F.coalesce("last_edited_ts", "created_ts")})
     upd = F.col("actionName") == "update"
     out = filled.withColumns({s: fill_unless_removed(
         F.col(s), F.col("fields_to_remove"), s,
@@ -255,8 +266,33 @@ def job_status(audit: DataFrame, jobs_snapshot: DataFrame | None = None, slice_m
     out = out.withColumn("task_detail_legacy", F.struct(*[F.col(t) for t in JOB_LEGACY_TASKS])).drop(
         *JOB_LEGACY_TASKS)
     out = out.withColumns({c: F.col(c).try_cast(t) for c, t in JOB_SETTING_TYPES.items()})
-    return out.drop(*[f"__ff_{s}" for s in every], *[f"req_{s}" for s in every], "snap_settings",
-                    "name_param").withColumnRenamed("name", "job_name")
+    return out.drop(*[f"__ff_{s}" for s in every], *[f"req_{s}" for s in every], "snap_settings", "snap_created_by",
+                    "snap_created_ts", "name_param").withColumnRenamed("name", "job_name")
+
+
+# How the audit log writes a job's permissions.
+ACL_LIST = "array<struct<user_name:string, group_name:string, permission_level:string>>"
+ACL_GRANTS = "array<struct<permission:string, user_id:string>>"
+
+
+def job_acl_history(audit: DataFrame, slice_ms: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """V11 permissions: who may do what on a job, from when to when. ``create`` and ``resetJobAcl``
+    replace the whole list (their ``access_control_list`` or ``grants``), ``changeJobAcl`` sets one
+    user's permission (an empty one takes it away). Returns ``(events, history)`` as
+    ``set_history`` does; ``set_at_events`` of them gives the list in force after each event."""
+    a = audit.filter((F.col("serviceName") == "jobs") & F.col("actionName").isin("create", "resetJobAcl", "changeJobAcl") & _ok())
+    act = F.col("actionName")
+    job_id = (F.when(act == "create", _result("job_id", "long")).when(act == "changeJobAcl", _rp(a, "resourceId", "long"))
+              .otherwise(F.coalesce(_rp(a, "job_id", "long"), _rp(a, "resourceId", "long"))))
+    pair = lambda who, what: F.struct(who.alias("member"), F.nullif(what, F.lit("")).alias("value"))
+    listed = F.transform(F.from_json(_rp(a, "access_control_list"), ACL_LIST), lambda x: pair(F.coalesce(x["user_name"], x["group_name"]), x["permission_level"]))
+    granted = F.transform(F.from_json(_rp(a, "grants"), ACL_GRANTS), lambda x: pair(x["user_id"], x["permission"]))
+    one = F.array(pair(_rp(a, "targetUserId"), F.nullif(_rp(a, "aclPermissionSet"), F.lit("[]"))))
+    none = F.array().cast("array<struct<member:string, value:string>>")
+    changes = F.when(act == "changeJobAcl", one).otherwise(F.coalesce(listed, granted, none))
+    ev = a.select(ORG, job_id.alias("job_id"), "timestamp", "requestId", "actionName", changes.alias("changes"), (act != "changeJobAcl").alias("replaces"))
+    ev = dedup_by_key(ev.filter(F.col("job_id").isNotNull()), [ORG, "job_id", "timestamp", "requestId", "actionName"])
+    return set_history(ev, [ORG, "job_id"], ["timestamp", "requestId", "actionName"], bucket=_slices(slice_ms))
 
 
 # ------------------------------------------------------------------ V12 job runs

@@ -130,3 +130,76 @@ def test_job_runs_of_several_tasks_and_their_lineage(spark):
     rolled = {r["run_id"]: r for r in job_runs_rolled_up(job_runs(audit)).collect()}
     assert set(rolled) == {2, 3, 5} and [c["run_id"] for c in rolled[2]["children"]] == [4]
     assert rolled[5]["orphan"] and not rolled[2]["orphan"]
+
+
+def test_set_history_equals_a_replay(spark):
+    rng = random.Random(11)
+    data = []
+    for i in range(400):
+        key = rng.choice(["hot", "hot", "hot", "x", None])
+        changes = rng.choice([None, [], [(f"m{rng.randrange(4)}", rng.choice([None, "r", "w"])) for _ in range(rng.randint(1, 3))]])
+        data.append((key, i // 3, i, changes, rng.choice([True, False, False, False, None])))
+    sets, want = {}, {}
+    for key, _, i, changes, replaces in data:
+        now = {} if replaces else dict(sets.get(key, {}))
+        for m, v in changes or []:
+            now[m] = v
+        sets[key] = {m: v for m, v in now.items() if v is not None}
+        want[i] = sorted(sets[key].items())
+    df = spark.createDataFrame(data, "k string, t int, i int, changes array<struct<member:string, value:string>>, replaces boolean")
+    from tessera.operators.scd import set_at_events, set_history
+    for bucket, width in ((None, 10_000), (F.floor(F.col("t") / 20), 7)):
+        numbered, history = set_history(df, ["k"], ["t", "i"], bucket=bucket, slice_rows=width)
+        got = {r["i"]: [tuple(m) for m in r["members"]] for r in set_at_events(numbered, history, ["k"], slice_rows=width).collect()}
+        assert got == want
+
+
+def test_job_permissions_and_people(spark):
+    from tessera.operators.scd import set_at_events
+    from tessera.plans.medallion.silver_audit import job_acl_history, job_status
+    fields = ("job_id", "resourceId", "targetUserId", "aclPermissionSet", "access_control_list", "grants", "new_settings", "name")
+    schema = ("organization_id string, date date, serviceName string, actionName string, timestamp long, requestId string, requestParams struct<" + ", ".join(f"{f}:string" for f in fields)
+              + ">, response struct<result:string, statusCode:long>, userIdentity struct<email:string>")
+
+    def event(action, ts, who, result=None, status=200, **p):
+        return ("o", None, "jobs", action, ts, f"r{ts}", tuple(p.get(f) for f in fields), (json.dumps(result) if result else None, status), (who,))
+    audit = spark.createDataFrame([
+        event("create", 1, "ann", {"job_id": 7}, access_control_list=json.dumps([{"user_name": "ann", "permission_level": "OWNER"}, {"group_name": "ops", "permission_level": "VIEW"}])),
+        event("changeJobAcl", 2, "ann", resourceId="7", targetUserId="bob", aclPermissionSet="RUN"),
+        event("changeJobAcl", 3, "eve", status=403, resourceId="7", targetUserId="eve", aclPermissionSet="OWNER"),
+        event("changeJobAcl", 4, "ann", resourceId="7", targetUserId="ops", aclPermissionSet="[]"),
+        event("update", 5, "bob", job_id="7", new_settings=json.dumps({"name": "x"})),
+        event("resetJobAcl", 6, "ann", job_id="7", grants=json.dumps([{"permission": "VIEW", "user_id": 5}])),
+        event("delete", 8, "ann", job_id="7"),
+    ], schema)
+    for slice_ms in (None, 2):
+        numbered, history = job_acl_history(audit, slice_ms)
+        got = {r["timestamp"]: [tuple(m) for m in r["members"]] for r in set_at_events(numbered, history, ["organization_id", "job_id"]).collect()}
+        assert got == {1: [("ann", "OWNER"), ("ops", "VIEW")], 2: [("ann", "OWNER"), ("bob", "RUN"), ("ops", "VIEW")], 4: [("ann", "OWNER"), ("bob", "RUN")], 6: [("5", "VIEW")]}
+        people = {r["timestamp"]: (r["created_by"], r["created_ts"], r["last_edited_by"], r["last_edited_ts"], r["deleted_by"], r["deleted_ts"]) for r in job_status(audit, slice_ms=slice_ms).collect()}
+        assert people[1] == ("ann", 1, "ann", 1, None, None) and people[6] == ("ann", 1, "bob", 5, None, None) and people[8] == ("ann", 1, "bob", 5, "ann", 8)
+
+
+def test_cost_fact_refresh_equals_one_run(spark, tmp_path):
+    """An open run is closed, a run on a state that went on is priced anew, a settled one stays."""
+    from tessera.plans.medallion.gold import COST_COLS, job_run_cost_fact, refresh_job_run_costs
+    H = 3_600_000
+
+    def states(rows):
+        return spark.createDataFrame([("o", "c", a * H, b * H, "RUNNING", float(b - a), 0.0, *[x * (b - a) for x in (1.0, 2.0, 3.0, 4.0)]) for a, b in rows],
+                                     "organization_id string, cluster_id string, unixTimeMS_state_start long, unixTimeMS_state_end long, state string, "
+                                     "uptime_in_state_H double, worker_potential_core_H double, " + ", ".join(f"{c} double" for c in COST_COLS))
+
+    def runs(rows):
+        return spark.createDataFrame([("o", i, "c", "existing", a * H, None if b is None else b * H, f"n{i}") for i, a, b in rows],
+                                     "organization_id string, run_id long, cluster_id string, cluster_type string, run_start_ms long, run_end_ms long, job_name string")
+    spec = K.TableSpec("f", str(tmp_path / "f"), keys=("run_id", "cluster_id"), mode="merge")
+    assert refresh_job_run_costs(spark, spec, states([(0, 10)]), runs([]), 0, 10 * H) is None
+    one = refresh_job_run_costs(spark, spec, states([(0, 4), (4, 10)]), runs([(1, 1, 3), (2, 5, 6), (3, 7, None)]), 0, 10 * H)
+    assert {r["run_id"]: r["open_run"] for r in one.collect()} == {1: False, 2: False, 3: True}
+    late_states, late_runs = states([(0, 4), (4, 14), (14, 20)]), runs([(1, 1, 3), (2, 5, 6), (3, 7, 16), (4, 12, 13)])
+    two = refresh_job_run_costs(spark, spec, late_states, late_runs, 10 * H, 20 * H)
+    assert {r["run_id"] for r in two.collect()} == {2, 3, 4}
+    cols = ["run_id", "run_end", "open_run", "job_name", "cluster_states", "avg_cluster_share", "avg_overlapping_runs", *COST_COLS, "total_driver_cost", "total_worker_cost", "total_cost"]
+    assert rows(K.read_table(spark, spec), *cols) == rows(job_run_cost_fact(late_states, late_runs, 20 * H), *cols)
+    assert refresh_job_run_costs(spark, spec, late_states, late_runs, 20 * H, 30 * H) is not None  # the last state went on
