@@ -291,58 +291,75 @@ def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, star
 def overlap_runtime_reference(df: DataFrame, group: Sequence[str], run_id: str, run_start: str,
                               run_end: str, state_start: str, state_end: str,
                               bucket: float | None = None) -> DataFrame:
-    """A6 (``reference`` mode): the three overlap branches exactly as the reference
-    writes them, evaluated as **one** equi self-join with ``when`` branches:
+    """A6 / J8 (``reference`` mode): three kinds of overlap of an observed run with the runs of
+    its group, without forming pairs:
 
     (a) lookup starts before and ends during: ``lookup.run_end - obs.state_start``;
     (b) starts during and ends after: ``lookup.state_end - obs.run_start``;
     (c) starts and ends within (inclusive, self included): ``lookup.run_end - obs.run_start``.
-    ``overlapping_runs`` = matches - 1. A lookup that spans the whole observer is not
-    counted (as in the reference). With ``bucket`` (numeric width on the run times)
-    the join also keys on time slices: the lookup side is exploded over the slices its
-    run covers and the observer joins on the slice of its own start - only pairs that
-    overlap in time are compared.
-    """
+    ``overlapping_runs`` = matches - 1. A lookup that spans the whole observer is not counted, one
+    that ends before it starts only in (c); an observer that does gets no row.
+
+    (a) and (b) are differences of prefix counts over the sorted starts and ends, less the runs
+    that lie within the observer; those, and (c), ask for starts at or after one bound *and* ends
+    at or before another. That is counted by the bits of a run's rank by start: two ranks differ
+    first in one bit, so at every bit the runs of a block whose bit is set are counted for the
+    observers of the block whose bit is not, in order of their ends. A run is read once a bit:
+    n log n rows, each in a running sum. With ``bucket`` (a width on the run times) all running
+    sums are split by time slice, so a group of any size spans many tasks. Times are integral."""
+    from tessera.operators.tables import persist_and_reload
+    from tessera.operators.windows import lookaround, row_numbers
     g = list(group)
-    cols = [run_id, run_start, run_end, state_start, state_end]
-    o = df.select(*g, *[F.col(c).alias(f"o_{c}") for c in cols])
-    lk = df.select(*g, *[F.col(c).alias(f"l_{c}") for c in cols])
-    if bucket is not None:
-        wdt = float(bucket)
-
-        def _slices(a, b):
-            return F.explode(F.sequence(F.floor(F.col(a) / wdt).cast("long"), F.floor(F.col(b) / wdt).cast("long")))
-
-        def _slice(a):
-            return F.floor(F.col(a) / wdt).cast("long")
-        # every matching pair overlaps in time and meets in the slice of the later start:
-        # lookups that start first are exploded over their slices and met by the observer
-        # at its start slice; lookups that start later are met at their own start slice by
-        # the exploded observer. Each pair is formed once and only one side is exploded.
-        j1 = (o.withColumn("__tb", _slice(f"o_{run_start}"))
-              .join(lk.withColumn("__tb", _slices(f"l_{run_start}", f"l_{run_end}")), on=g + ["__tb"])
-              .filter(F.col(f"l_{run_start}") <= F.col(f"o_{run_start}")))
-        j2 = (o.withColumn("__tb", _slices(f"o_{run_start}", f"o_{run_end}"))
-              .join(lk.withColumn("__tb", _slice(f"l_{run_start}")), on=g + ["__tb"])
-              .filter(F.col(f"l_{run_start}") > F.col(f"o_{run_start}")))
-        j = j1.unionByName(j2).drop("__tb")
-    else:
-        j = o.join(lk, on=g, how="inner")
-    os_, oe, ls, le = (F.col(f"o_{run_start}"), F.col(f"o_{run_end}"), F.col(f"l_{run_start}"), F.col(f"l_{run_end}"))
-    starts_before = ls < os_
-    starts_during = (ls > os_) & (ls < oe)
-    ends_during = (le > os_) & (le < oe)
-    ends_after = le > oe
-    within = ls.between(os_, oe) & le.between(os_, oe)
-    a = starts_before & ends_during
-    b = starts_during & ends_after
-    rel = (F.when(a, le - F.col(f"o_{state_start}"))
-           .when(b, F.col(f"l_{state_end}") - os_)
-           .when(within, le - os_))
-    j = j.filter(a | b | within).withColumn("__rel", rel)
-    return j.groupBy(*g, F.col(f"o_{run_id}").alias(run_id)).agg(
-        F.sum("__rel").alias("cum_runtime"),
-        (F.count(F.lit(1)) - 1).alias("overlapping_runs"))
+    cut = (lambda t: F.floor(F.col(t) / F.lit(float(bucket))).cast("long")) if bucket else (lambda t: None)
+    base = df.select(*g, F.col(run_id).alias("__id"), *[F.col(c).cast("long").alias(n) for c, n in (
+        (run_start, "s"), (run_end, "e"), (state_start, "ss"), (state_end, "se"))]).where("s IS NOT NULL AND e IS NOT NULL")
+    sizes = base.groupBy(*g).agg(F.count("*").alias("n"), F.min("s").alias("zero"))  # times count from the group's first start
+    base = base.join(sizes, g).select(*g, "__id", "n", *[(F.col(c) - F.col("zero")).alias(c) for c in ("s", "e", "ss", "se")])
+    base = persist_and_reload(base.withColumn("__row", F.monotonically_increasing_id()))
+    good, zero = F.col("s") <= F.col("e"), F.col("s") == F.col("e")
+    number = lambda cond, c=F.lit(1): F.when(cond, c).otherwise(0).cast("long")
+    obs = base.where(good)
+
+    # prefix sums over starts and ends, read just before and just after both times of an observer
+    sums = ["n_e", "t_e", "n_s", "x_s", "n_z", "x_z"]
+    none = {c: F.lit(0).cast("long") for c in sums}
+
+    def at(src, t, order, tag, **weights):
+        return src.select(*g, "__row", F.col(t).alias("t"), F.lit(order).alias("o"), F.lit(tag).alias("q"), *[F.coalesce((none | weights)[c], none[c]).alias(c) for c in sums])
+    marks = [at(obs, "e", 1, "", n_e=F.lit(1).cast("long"), t_e=F.col("e"), n_z=number(zero), x_z=number(zero, F.col("se"))),
+             at(obs, "s", 1, "", n_s=F.lit(1).cast("long"), x_s=F.col("se"))]
+    marks += [at(obs, t, order, f"{t}{order}") for t in ("s", "e") for order in (0, 2)]
+    line = marks[0]
+    for m in marks[1:]:
+        line = line.unionByName(m)
+    line = lookaround(line, g, ["t", "o", "__row", "q"], cut("t"), cumsum=sums).where("q <> ''")
+    line = line.groupBy("__row").agg(*[F.max(F.when(F.col("q") == q, F.col(f"{c}__cs"))).alias(f"{c}_{q}") for q in ("s0", "s2", "e0", "e2") for c in sums])
+
+    # points (start, end) against three corners: start >= s and end <= e, start >= s and end < e, start > s and end <= e
+    low, high = F.least("s", "e"), F.greatest("s", "e")
+    point = F.struct(low.alias("x"), F.lit(1).alias("ox"), high.alias("y"), F.lit(1).alias("oy"), F.lit(0).alias("q"))
+    corner = lambda q, ox, oy: F.struct(F.col("s").alias("x"), F.lit(ox).alias("ox"), F.col("e").alias("y"), F.lit(oy).alias("oy"), F.lit(q).alias("q"))
+    every = F.when(good, F.array(point, corner(1, 0, 2), corner(2, 0, 0), corner(3, 2, 2))).otherwise(F.array(point))
+    weights = {"c_n": F.lit(1).cast("long"), "c_t": F.col("e"), "g_n": number(good), "g_t": number(good, F.col("e")), "g_x": number(good, F.col("se"))}
+    pts = base.withColumn("p", F.explode(every)).select(*g, "__row", "n", "p.*", *[F.when(F.col("p.q") == 0, F.coalesce(w, F.lit(0))).otherwise(0).cast("long").alias(c) for c, w in weights.items()])
+    ranked = persist_and_reload(row_numbers(pts, g, ["x", "ox", "__row", "q"], cut("x"), out="r"))
+    is_set = lambda k: F.getbit("r", k) == F.when(F.col("q") == 0, 1).otherwise(0)
+    bits = F.filter(F.sequence(F.lit(0), F.floor(F.log2(F.col("n") * 4 + 1)).cast("int")), is_set)
+    split = ranked.withColumn("k", F.explode(bits)).withColumn("block", F.floor(F.col("r") / F.pow(F.lit(2.0), F.col("k") + 1)).cast("long")).drop("r", "n", "x", "ox")
+    split = lookaround(split, [*g, "k", "block"], ["y", "oy", "__row", "q"], cut("y"), cumsum=list(weights)).where("q > 0")
+    inside = split.groupBy("__row").agg(*[F.sum(F.when(F.col("q") == q, F.col(f"{c}__cs"))).alias(f"{c}_{q}") for q in (1, 2, 3) for c in weights])
+
+    got = obs.join(line, "__row").join(inside, "__row", "left").na.fill(0)
+    longer = F.col("s") < F.col("e")
+    c = F.col
+    a_n = c("n_e_e0") - c("n_e_s2") - (c("g_n_2") - (c("n_z_s2") - c("n_z_s0")))
+    a_t = c("t_e_e0") - c("t_e_s2") - (c("g_t_2") - (c("n_z_s2") - c("n_z_s0")) * c("s"))
+    b_n = c("n_s_e0") - c("n_s_s2") - (c("g_n_3") - (c("n_z_e2") - c("n_z_e0")))
+    b_x = c("x_s_e0") - c("x_s_s2") - (c("g_x_3") - (c("x_z_e2") - c("x_z_e0")))
+    within = lambda x: F.when(longer, x).otherwise(0)  # noqa: E731  (nothing starts or ends inside an instant)
+    time = within(a_t - a_n * c("ss")) + within(b_x - b_n * c("s")) + c("c_t_1") - c("c_n_1") * c("s")
+    got = got.withColumns({"__t": time, "__n": within(a_n) + within(b_n) + c("c_n_1")})
+    return got.groupBy(*g, F.col("__id").alias(run_id)).agg(F.sum("__t").alias("cum_runtime"), (F.sum("__n") - 1).alias("overlapping_runs"))
 
 
 # --------------------------------------------------------------------------- J9-J14

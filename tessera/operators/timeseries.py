@@ -82,9 +82,11 @@ class TimeSeries:
 
         ``slice_size`` (J3): split each series into time slices for skewed keys. The
         result is identical: each slice's last value is carried into later slices.
-        Slicing takes a look-back of 0 or unbounded and a look-ahead of 0, 1 or unbounded,
-        all computed in one slice pass (``lookaround``: one row ahead is ``lead`` inside
-        the slice and, for a slice's last row, the first row of the next non-empty slice).
+        A look-back of 0 or unbounded and a look-ahead of 0, 1 or unbounded take one slice
+        pass (``lookaround``: one row ahead is ``lead`` inside the slice and, for a slice's
+        last row, the first row of the next non-empty slice). Other bounds take two: exact row
+        numbers of the union first, then the carried (row number, value) pairs, kept if they
+        lie within the bound.
         """
         if list(self.keys) != list(right.keys):
             raise ValueError("both sides need the same series keys")
@@ -112,22 +114,26 @@ class TimeSeries:
         scalar = (T.NumericType, T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType, T.BooleanType)
         ltb = list(left_tiebreak) if left_tiebreak is not None else [
             c for c in lobs if isinstance(l.schema[c].dataType, scalar)]
-        l2 = l.withColumn("__side", F.lit(0))
-        r2 = r.withColumn("__side", F.lit(1))
-        # total order inside the union: time, side (left first), then each side's own
-        # columns, so ties (and the row a look-ahead sees) never depend on the shuffle
-        for i, c in enumerate(ltb):
-            l2 = l2.withColumn(f"__ltb{i}", F.col(c))
-            r2 = r2.withColumn(f"__ltb{i}", F.lit(None).cast(l.schema[c].dataType))
-        for i, c in enumerate(tb):
-            l2 = l2.withColumn(f"__tb{i}", F.lit(None).cast(r.schema[c].dataType))
-            r2 = r2.withColumn(f"__tb{i}", F.col(c))
-        u = l2.unionByName(r2, allowMissingColumns=True)
-        order = [ts, "__side"] + [f"__ltb{i}" for i in range(len(ltb))] + [f"__tb{i}" for i in range(len(tb))]
-
-        if slice_size is not None:
-            if lookback_rows not in (None, 0) or lookahead_rows not in (0, 1, None):
-                raise ValueError("time slicing needs look-back 0 or None and look-ahead 0, 1 or None")
+        # total order inside the union: time, side (left first), then each side's own columns
+        # (null on the other side's rows), so ties (and the row a look-ahead sees) never depend
+        # on the shuffle; the columns order under their own names, none is copied for it
+        u = l.withColumn("__side", F.lit(0)).unionByName(r.withColumn("__side", F.lit(1)), allowMissingColumns=True)
+        order = [ts, "__side", *ltb, *[c for c in tb if c not in ltb]]
+
+        if slice_size is not None and (lookback_rows not in (None, 0) or lookahead_rows not in (0, 1, None)):
+            from tessera.operators.windows import as_pair, lookaround, row_numbers, within_rows
+            bucket = TimeSeries(u.select(ts, *keys), ts, keys).slice_bucket(slice_size)
+            numbered = row_numbers(u, keys, order, bucket, out="__rn")
+            numbered = numbered.withColumns({f"{c}__pr": as_pair("__rn", c) for c in rcols})
+            pairs = [f"{c}__pr" for c in rcols]
+            filled = lookaround(numbered, keys, ["__rn"], bucket, last_nonnull=pairs if lookback_rows != 0 else (),
+                                first_nonnull=pairs if lookahead_rows != 0 else ())
+            filled = filled.withColumns({f"{c}__lb": within_rows("__rn", F.col(f"{c}__pr__lnn"), lookback_rows, True) if lookback_rows != 0 else F.col(c)
+                                         for c in rcols})
+            if lookahead_rows != 0:
+                filled = filled.withColumns({f"{c}__la": within_rows("__rn", F.col(f"{c}__pr__fnn"), lookahead_rows, False) for c in rcols})
+            filled = filled.drop("__rn", *[x for x in filled.columns if x.endswith(("__pr", "__pr__lnn", "__pr__fnn"))])
+        elif slice_size is not None:
             from tessera.operators.windows import lookaround
             bucket = TimeSeries(u.select(ts, *keys), ts, keys).slice_bucket(slice_size)
             filled = lookaround(u, keys, order, bucket,
@@ -161,8 +167,7 @@ class TimeSeries:
             filled = filled.filter(F.col("__side") == 0)
         for c in both:
             filled = filled.withColumn(c, F.coalesce(F.col(c), F.col(ren[c])))
-        drop = ["__side"] + [f"__tb{i}" for i in range(len(tb))] + [f"__ltb{i}" for i in range(len(ltb))] + \
-            list(ren.values()) + \
+        drop = ["__side"] + list(ren.values()) + \
             [x for x in filled.columns if x.endswith("__lb") or x.endswith("__la")]
         filled = filled.drop(*drop)
         front = [ts] + keys + lobs

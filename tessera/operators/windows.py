@@ -167,8 +167,8 @@ def carry(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequen
     # row per (key, slice) and task is shuffled - cheaper than a second full shuffle.
     pick = F.max if fwd else F.min
     summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg(*[
-        pick(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("v"))))
-        .getField("v").alias(f"{c}__b") for c in cols])
+        pick(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("__v"))))
+        .getField("__v").alias(f"{c}__b") for c in cols])
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     if fwd:
         summ = summ.select(*part, *[F.last(F.col(f"{c}__b"), True).over(wb.rowsBetween(UNB_PREC, -1))
@@ -249,11 +249,11 @@ def carry_within_rows(df: DataFrame, cols: Sequence[str], keys: Sequence[str], o
         return df.withColumns({f"{c}{suffix}": F.first(F.col(c), True).over(fr) for c in cols})
     d = row_numbers(df, keys, order, bucket, out="__rn")
     d = d.withColumns({f"{c}__pair": F.when(F.col(c).isNotNull(), F.struct(F.col("__rn").alias("rn"),
-                                                                             F.col(c).alias("v"))) for c in cols})
+                                                                             F.col(c).alias("__v"))) for c in cols})
     d = carry(d, [f"{c}__pair" for c in cols], keys, order, direction, include_current, bucket, suffix="__cp")
     dist = (lambda p: F.col("__rn") - p.getField("rn")) if fwd else (lambda p: p.getField("rn") - F.col("__rn"))
     d = d.withColumns({f"{c}{suffix}": F.when(dist(F.col(f"{c}__pair__cp")) <= max_rows,
-                                              F.col(f"{c}__pair__cp").getField("v")) for c in cols})
+                                              F.col(f"{c}__pair__cp").getField("__v")) for c in cols})
     return d.drop("__rn", *[f"{c}__pair" for c in cols], *[f"{c}__pair__cp" for c in cols])
 
 
@@ -304,10 +304,10 @@ def carry_both(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: S
     w = Window.partitionBy(*part).orderBy(*order)
     d = d.withColumns({**{f"{c}__pin": _last_within(F.col(c), w, True) for c in cols},
                        **{f"{c}__nin": _first_within(F.col(c), w, True) for c in cols}})
-    packed = {c: F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("v")))
+    packed = {c: F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("__v")))
               for c in cols}
-    summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg(*[F.max(packed[c]).getField("v").alias(f"{c}__last") for c in cols],
-                                   *[F.min(packed[c]).getField("v").alias(f"{c}__first") for c in cols])
+    summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg(*[F.max(packed[c]).getField("__v").alias(f"{c}__last") for c in cols],
+                                   *[F.min(packed[c]).getField("__v").alias(f"{c}__first") for c in cols])
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     summ = summ.select(*part,
                        *[F.last(F.col(f"{c}__last"), True).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__px")
@@ -366,22 +366,22 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     ordc = [F.col(o) for o in order]
     fcols = sorted({c for c, _, _ in fwd})
     bcols = sorted({c for c, _, _ in bwd})
-    aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(*ordc, F.col(c).alias("v")))).getField("v").alias(f"{c}__ls")
+    aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(*ordc, F.col(c).alias("__v")))).getField("__v").alias(f"{c}__ls")
             for c in fcols]
-    aggs += [F.min(F.when(F.col(c).isNotNull(), F.struct(*ordc, F.col(c).alias("v")))).getField("v").alias(f"{c}__fs")
+    aggs += [F.min(F.when(F.col(c).isNotNull(), F.struct(*ordc, F.col(c).alias("__v")))).getField("__v").alias(f"{c}__fs")
              for c in bcols]
     if next_row:
-        aggs.append(F.min(F.struct(*ordc, *[F.col(c).alias(f"v{i}") for i, c in enumerate(next_row)])).alias("__frow"))
+        aggs.append(F.min(F.struct(*ordc, *[F.col(c).alias(f"__v{i}") for i, c in enumerate(next_row)])).alias("__frow"))
     if prev_row:
-        aggs.append(F.max(F.struct(*ordc, *[F.col(c).alias(f"v{i}") for i, c in enumerate(prev_row)])).alias("__lrow"))
+        aggs.append(F.max(F.struct(*ordc, *[F.col(c).alias(f"__v{i}") for i, c in enumerate(prev_row)])).alias("__lrow"))
     aggs += [F.sum(F.col(c)).alias(f"{c}__tot") for c in cumsum]
     summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg(*aggs)
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     sel = [*part]
     sel += [F.last(F.col(f"{c}__ls"), True).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__lx") for c in fcols]
     sel += [F.first(F.col(f"{c}__fs"), True).over(wb.rowsBetween(1, UNB_FOLL)).alias(f"{c}__fx") for c in bcols]
-    sel += [F.lead(F.col("__frow").getField(f"v{i}"), 1).over(wb).alias(f"{c}__nx_x") for i, c in enumerate(next_row)]
-    sel += [F.lag(F.col("__lrow").getField(f"v{i}"), 1).over(wb).alias(f"{c}__pv_x") for i, c in enumerate(prev_row)]
+    sel += [F.lead(F.col("__frow").getField(f"__v{i}"), 1).over(wb).alias(f"{c}__nx_x") for i, c in enumerate(next_row)]
+    sel += [F.lag(F.col("__lrow").getField(f"__v{i}"), 1).over(wb).alias(f"{c}__pv_x") for i, c in enumerate(prev_row)]
     sel += [F.sum(F.col(f"{c}__tot")).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__off") for c in cumsum]
     d = _join_back(d, summ.select(*sel), part)
     out = {}
@@ -404,13 +404,13 @@ def within_rows(rn: str, pair: Column, max_rows: int | None, forward: bool) -> C
     """Value of a carried (row number, value) pair when it lies within ``max_rows`` rows
     (``None``: any distance)."""
     if max_rows is None:
-        return pair.getField("v")
+        return pair.getField("__v")
     dist = (F.col(rn) - pair.getField("rn")) if forward else (pair.getField("rn") - F.col(rn))
-    return F.when(dist <= max_rows, pair.getField("v"))
+    return F.when(dist <= max_rows, pair.getField("__v"))
 
 
 def as_pair(rn: str, c: str) -> Column:
-    return F.when(F.col(c).isNotNull(), F.struct(F.col(rn).alias("rn"), F.col(c).alias("v")))
+    return F.when(F.col(c).isNotNull(), F.struct(F.col(rn).alias("rn"), F.col(c).alias("__v")))
 
 
 def fill_meta(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
@@ -542,11 +542,11 @@ def shift_one(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Se
     fn = F.lag if prev else F.lead
     d = d.withColumn("__edge", fn(F.lit(1), 1).over(w).isNull())
     d = d.withColumns({f"{c}__in": fn(F.col(c), 1).over(w) for c in cols})
-    pack = F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    pack = F.struct(*[F.col(o) for o in order], *[F.col(c).alias(f"__v{i}") for i, c in enumerate(cols)])
     summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg((F.max(pack) if prev else F.min(pack)).alias("__p"))
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     sfn = F.lag if prev else F.lead
-    summ = summ.select(*part, *[sfn(F.col("__p").getField(f"v{i}"), 1).over(wb).alias(f"{c}__x")
+    summ = summ.select(*part, *[sfn(F.col("__p").getField(f"__v{i}"), 1).over(wb).alias(f"{c}__x")
                                    for i, c in enumerate(cols)])
     d = _join_back(d, summ, part)
     d = d.withColumns({f"{c}{suffix}": F.when(F.col("__edge"), F.col(f"{c}__x")).otherwise(F.col(f"{c}__in"))

@@ -3,7 +3,8 @@ value, map columns, run lineage, facts that replace their own open rows, permiss
 and overlaps without pairs. Each runs over whole test tables, with DuckDB SQL for the same rows.
 
 Index: q70 K1/K3/K10/K11 (null partitions) · q71 W1 (map columns) ·
-q72 V12/A5 (run lineage) · q73 G4 (open runs, tenants, cluster types) · q74 V11 (set history).
+q72 V12/A5 (run lineage) · q73 G4 (open runs, tenants, cluster types) · q74 V11 (set history) ·
+q75 J1/J3 (bounded look-back under slicing).
 """
 
 from __future__ import annotations
@@ -190,3 +191,22 @@ def q74(spark, d):
     numbered, history = set_history(ev, ["k"], ["ts", "event_id"], bucket=day, slice_rows=500)
     got = set_at_events(numbered, history, ["k"], slice_rows=100)
     return got.select("event_id", "k", "seq", F.array_join(F.transform("members", lambda m: F.concat(m["member"], F.lit(":"), m["value"])), ",").alias("members"))
+
+
+@query("q75_bounded_lookup", """
+WITH u AS (SELECT user_id, ts, 0 AS side, event_id, value, CAST(NULL AS BIGINT) AS view_id, CAST(NULL AS DOUBLE) AS view_value FROM events WHERE event_type = 'purchase'
+           UNION ALL SELECT user_id, ts, 1, NULL, NULL, event_id, CASE WHEN event_id % 3 > 0 THEN value END FROM events WHERE event_type = 'view'),
+w AS (SELECT *, last_value(view_id IGNORE NULLS) OVER b AS back_id, last_value(view_value IGNORE NULLS) OVER b AS back_value,
+             first_value(view_id IGNORE NULLS) OVER f AS next_id, first_value(view_value IGNORE NULLS) OVER f AS next_value FROM u
+      WINDOW b AS (PARTITION BY user_id ORDER BY ts, side, event_id, value, view_id, view_value ROWS BETWEEN 3 PRECEDING AND CURRENT ROW),
+             f AS (PARTITION BY user_id ORDER BY ts, side, event_id, value, view_id, view_value ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING))
+SELECT ts, user_id, event_id, value, coalesce(back_id, next_id) AS view_id, coalesce(back_value, next_value) AS view_value FROM w WHERE side = 0
+""")
+def q75(spark, d):
+    """What a user viewed at most three rows before a purchase, else up to two rows
+    after it, with each user's series split by day."""
+    from tessera.operators.timeseries import TimeSeries
+    ev = table(spark, d, "events")
+    bought = ev.where("event_type = 'purchase'").select("user_id", "ts", "event_id", "value")
+    seen = ev.where("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("view_id"), F.when(F.col("event_id") % 3 > 0, F.col("value")).alias("view_value"))
+    return TimeSeries(bought, "ts", ("user_id",)).lookup_when(TimeSeries(seen, "ts", ("user_id",)), lookback_rows=3, lookahead_rows=2, slice_size=DAY_S)

@@ -203,3 +203,42 @@ def test_cost_fact_refresh_equals_one_run(spark, tmp_path):
     cols = ["run_id", "run_end", "open_run", "job_name", "cluster_states", "avg_cluster_share", "avg_overlapping_runs", *COST_COLS, "total_driver_cost", "total_worker_cost", "total_cost"]
     assert rows(K.read_table(spark, spec), *cols) == rows(job_run_cost_fact(late_states, late_runs, 20 * H), *cols)
     assert refresh_job_run_costs(spark, spec, late_states, late_runs, 20 * H, 30 * H) is not None  # the last state went on
+
+
+def test_reference_overlaps_equal_all_pairs(spark):
+    from tessera.operators.joins import overlap_runtime_reference
+    rng = random.Random(21)
+    data = []
+    for i in range(260):
+        s = rng.randrange(1000, 1060)
+        data.append((rng.choice(["hot", "hot", "x"]), i, s, s + rng.choice([0, 0, 1, 3, 9, 20, -4]), s - rng.randrange(5), s + rng.randrange(30)))
+    data += [("alone", 900, 5, 5, 1, 9), ("bad", 901, 9, 5, 1, 9)]
+    want = {}
+    for g, i, os, oe, oss, _ in data:
+        n = t = 0
+        for h, _, ls, le, _, lse in data:
+            if g == h:
+                if ls < os and os < le < oe:
+                    n, t = n + 1, t + le - oss
+                elif os < ls < oe and le > oe:
+                    n, t = n + 1, t + lse - os
+                elif os <= ls <= oe and os <= le <= oe:
+                    n, t = n + 1, t + le - os
+        if n:
+            want[g, i] = (t, n - 1)
+    df = spark.createDataFrame(data, "g string, i int, s long, e long, ss long, se long")
+    for bucket in (None, 7.0):
+        out = overlap_runtime_reference(df, ["g"], "i", "s", "e", "ss", "se", bucket)
+        assert {(r["g"], r["i"]): (r["cum_runtime"], r["overlapping_runs"]) for r in out.collect()} == want
+    assert overlap_runtime_reference(df.where("false"), ["g"], "i", "s", "e", "ss", "se").count() == 0
+
+
+def test_bounded_lookups_sliced_equal_plain(spark):
+    from tessera.operators.timeseries import TimeSeries
+    rng = random.Random(2)
+    left = spark.createDataFrame([(rng.choice("ab"), rng.randrange(60), i, rng.choice([None, 1.0])) for i in range(90)], "k string, t long, i int, own double")
+    right = spark.createDataFrame([(rng.choice("ab"), rng.randrange(60), rng.choice([None, j]), rng.choice([None, 2.0, 3.0])) for j in range(90)], "k string, t long, j int, own double")
+    for back, ahead in ((3, 0), (1, 2), (0, 3), (None, 2), (5, None), (2, 1)):
+        plain = TimeSeries(left, "t", ("k",)).lookup_when(TimeSeries(right, "t", ("k",)), lookback_rows=back, lookahead_rows=ahead)
+        sliced = TimeSeries(left, "t", ("k",)).lookup_when(TimeSeries(right, "t", ("k",)), lookback_rows=back, lookahead_rows=ahead, slice_size=7)
+        assert rows(sliced) == rows(plain)
