@@ -164,24 +164,31 @@ def q58(spark, d):
     return account_mods(_account_audit(spark, d, name, 7), slice_ms=DAY_S * 1000.0).select("requestId", "user_name", "user_id")
 
 
-@query("q59_spark_job_users", """
-WITH j AS (SELECT event_id, user_id % 4 AS ctx, user_id % 5 AS iso, user_id % 7 AS grp, (epoch_us(ts) // 1000) * 1000000 + event_id AS t,
-                  CASE WHEN event_type = 'purchase' AND user_id % 3 > 0 THEN 'm' || (event_id % 11) END AS own FROM events),
-g1 AS (SELECT ctx, iso, min_by(own, t) AS u FROM j WHERE own IS NOT NULL GROUP BY 1, 2), g2 AS (SELECT ctx, grp, min_by(own, t) AS u FROM j WHERE own IS NOT NULL GROUP BY 1, 2),
-g3 AS (SELECT ctx, event_id % 50 AS x, min_by(own, t) AS u FROM j WHERE own IS NOT NULL GROUP BY 1, 2)
-SELECT j.event_id, coalesce(j.own, g1.u, g2.u, g3.u) AS user_email_imputed, CAST(j.grp AS VARCHAR) AS db_job_id, '0' AS db_id_in_job
-FROM j LEFT JOIN g1 ON j.ctx = g1.ctx AND j.iso = g1.iso AND j.iso > 0 LEFT JOIN g2 ON j.ctx = g2.ctx AND j.grp = g2.grp LEFT JOIN g3 ON j.ctx = g3.ctx AND j.event_id % 50 = g3.x
+def _step(n: int, ids: str, guard: str = "true") -> str:
+    return f"""g{n} AS (SELECT {ids}, min_by(u{n - 1}, t) AS u FROM j{n - 1} WHERE u{n - 1} IS NOT NULL AND {guard} GROUP BY {ids}),
+j{n} AS (SELECT j.*, coalesce(j.u{n - 1}, CASE WHEN {guard} THEN g.u END) AS u{n} FROM j{n - 1} j LEFT JOIN g{n} g USING ({ids}))"""
+
+
+@query("q59_spark_job_users", f"""
+WITH j0 AS (SELECT event_id, user_id % 4 AS ctx, user_id % 5 AS iso, user_id % 7 AS grp, event_id % 50 AS x, user_id % 9 AS principal, event_id % 13 AS repl, (epoch_us(ts) // 1000) * 1000000 + event_id AS t,
+                   CASE WHEN event_type = 'purchase' AND user_id % 11 = 0 AND event_id % 7 = 0 THEN 'm' || (event_id % 11) END AS u0 FROM events),
+{_step(1, "principal", "principal > 6")}, {_step(2, "ctx, iso", "iso > 2")}, {_step(3, "ctx, grp", "grp > 4")}, {_step(4, "ctx, x", "x > 40")}
+SELECT event_id, coalesce(u4, CASE WHEN repl > 0 THEN last_value(u4 IGNORE NULLS) OVER (PARTITION BY ctx, repl ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END) AS user_email_imputed,
+       CASE WHEN grp > 4 THEN CAST(grp AS VARCHAR) END AS db_job_id, CASE WHEN grp > 4 THEN '0' END AS db_id_in_job, 'c' || ctx AS cluster_id FROM j4
 """)
 def q59(spark, d):
-    """Users imputed within a Spark context; execution ids repeat across contexts, and
-    jobs with a null isolation id form no group."""
+    """Users imputed by principal over all contexts, then within a Spark context by isolation
+    id, job group and execution, then by REPL up to the job; each step uses what the one before
+    found, and jobs without an id form no group."""
     from tessera.plans.medallion.gold import spark_job_gold
     e = table(spark, d, "events")
-    own = F.when((F.col("event_type") == "purchase") & (F.col("user_id") % 3 > 0), F.concat(F.lit("m"), (F.col("event_id") % 11).cast("string")))
-    iso, grp = F.col("user_id") % 5, F.col("user_id") % 7
-    jobs = e.select("event_id", F.lit("o").alias("organization_id"), F.lit("c").alias("cluster_id"), (F.col("user_id") % 4).alias("SparkContextID"), F.when(iso > 0, iso).alias("isolation_id"),
-                    F.format_string("a_b_job-%d-run-0_c", grp).alias("job_group_id"), (F.col("event_id") % 50).alias("execution_id"), (C.epoch_ms("ts") * 1000000 + F.col("event_id")).alias("startTimestamp"), own.alias("user_email"))
-    return spark_job_gold(jobs).select("event_id", "user_email_imputed", "db_job_id", "db_id_in_job")
+    own = F.when((F.col("event_type") == "purchase") & (F.col("user_id") % 11 == 0) & (F.col("event_id") % 7 == 0), F.concat(F.lit("m"), (F.col("event_id") % 11).cast("string")))
+    some = lambda c, least: F.when(c > least, c)
+    ctx, iso, grp, x = F.col("user_id") % 4, F.col("user_id") % 5, F.col("user_id") % 7, F.col("event_id") % 50
+    jobs = e.select("event_id", F.lit("o").alias("organization_id"), F.concat(F.lit("c"), ctx.cast("string")).alias("cluster_id"), ctx.alias("SparkContextID"), some(iso, 2).alias("isolation_id"),
+                    F.when(grp > 4, F.format_string("a_b_job-%d-run-0_c", grp)).alias("job_group_id"), some(x, 40).alias("execution_id"), some(F.col("user_id") % 9, 6).alias("principal_id"),
+                    some(F.col("event_id") % 13, 0).alias("repl_id"), (C.epoch_ms("ts") * 1000000 + F.col("event_id")).alias("startTimestamp"), own.alias("user_email"))
+    return spark_job_gold(jobs, slice_ms=DAY_S * 1e9).select("event_id", "user_email_imputed", "db_job_id", "db_id_in_job", "cluster_id")
 
 
 @query("q60_upsert_twice", """

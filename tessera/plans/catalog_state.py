@@ -4,12 +4,13 @@ and overlaps without pairs. Each runs over whole test tables, with DuckDB SQL fo
 
 Index: q70 K1/K3/K10/K11 (null partitions) · q71 W1 (map columns) ·
 q72 V12/A5 (run lineage) · q73 G4 (open runs, tenants, cluster types) · q74 V11 (set history) ·
-q75 J1/J3 (bounded look-back under slicing).
+q75 J1/J3 (bounded look-back under slicing) · q76 B5/S3/S4 (file intake) · q77 S8/B3 (audit envelopes).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import columns as C
 from tessera.operators import windows as W
@@ -210,3 +211,52 @@ def q75(spark, d):
     bought = ev.where("event_type = 'purchase'").select("user_id", "ts", "event_id", "value")
     seen = ev.where("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("view_id"), F.when(F.col("event_id") % 3 > 0, F.col("value")).alias("view_value"))
     return TimeSeries(bought, "ts", ("user_id",)).lookup_when(TimeSeries(seen, "ts", ("user_id",)), lookback_rows=3, lookahead_rows=2, slice_size=DAY_S)
+
+
+@query("q76_file_intake", """
+SELECT 'good' AS kind, CAST(event_id AS VARCHAR) AS id, 1 AS n, event_type AS "Event", 'ctx' || (user_id % 3) AS "SparkContextId", 'k' || (user_id % 3) AS "clusterId" FROM events
+UNION ALL SELECT 'bad', 'no json ' || event_id, 1, NULL, NULL, NULL FROM events WHERE event_id % 100 = 0
+""")
+def q76(spark, d):
+    """Events written as log files in two portions; the intake after each reads the
+    new files only, and a third one reads nothing. Broken lines are set apart."""
+    from tessera.plans.medallion.bronze import land_spark_events
+    e = table(spark, d, "events").select("event_id", "event_type", (F.col("user_id") % 3).cast("int").alias("c"))
+    line = F.to_json(F.struct(F.col("event_id").alias("Event ID"), F.col("event_type").alias("Event"), F.struct(F.col("c").cast("string").alias("spark.c")).alias("Properties")))
+    lines = e.select("event_id", "c", F.explode(F.when(F.col("event_id") % 100 == 0, F.array(line, F.concat(F.lit("no json "), F.col("event_id").cast("string")))).otherwise(F.array(line))).alias("value"))
+    root, land, ckpt = (_folder(spark, x) for x in ("logs", "landed", "intake"))
+    schema = T.StructType([T.StructField("Event ID", T.LongType()), T.StructField("Event", T.StringType()), T.StructField("Properties", T.StructType([T.StructField("spark.c", T.StringType())]))])
+    parts = []
+    for run in (0, 1, 2):
+        for c in (0, 1, 2):  # three contexts, each with its folder; none is written in the last round
+            if run < 2:
+                lines.where((F.col("c") == c) & (F.col("event_id") % 2 == run)).select("value").write.mode("append").text(f"{root}/k{c}/eventlog/host/ctx{c}")
+        good, bad = land_spark_events(spark, root, land, ckpt, f"run{run}", schema, "o", glob="part-*")
+        name = {"Event", "SparkContextId", "clusterId"}
+        parts.append(good.select(F.lit("good").alias("kind"), F.col("EventID").cast("string").alias("id"), *sorted(name)).unionByName(
+            bad.select(F.lit("bad").alias("kind"), F.col("_corrupt_record").alias("id"), *[F.lit(None).cast("string").alias(c) for c in sorted(name)])))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("kind", "id", "Event", "SparkContextId", "clusterId").agg(F.count("*").cast("int").alias("n"))
+
+
+@query("q77_audit_envelopes", """
+SELECT event_id, CASE WHEN event_type = 'view' THEN 'jobs' ELSE 'clusters' END AS service, epoch_ms(date_trunc('second', ts)) AS "timestamp", 'u' || user_id AS email,
+       CASE WHEN event_type = 'view' THEN event_id % 7 END AS job_id, CASE WHEN event_type <> 'view' THEN 'c' || (event_id % 5) END AS cluster_id,
+       CASE WHEN event_type <> 'view' AND event_id % 2 = 0 THEN event_id % 3 END AS workers, CASE WHEN event_id % 4 = 0 THEN 500 ELSE 200 END AS status, 'o' || (event_id // 50 % 2) AS organization_id FROM events
+""")
+def q77(spark, d):
+    """Envelopes of fifty records, whose identity, request and response are JSON texts;
+    requests of two services have different fields."""
+    from tessera.sources.files import audit_from_envelope
+    e = table(spark, d, "events")
+    i, view = F.col("event_id"), F.col("event_type") == "view"
+    job = F.to_json(F.struct((i % 7).alias("job_id")))
+    cluster = F.to_json(F.struct(F.concat(F.lit("c"), (i % 5).cast("string")).alias("cluster_id"), F.struct(F.when(i % 2 == 0, i % 3).alias("workers")).alias("size")))
+    text = lambda **c: F.to_json(F.struct(*[v.alias(k) for k, v in c.items()]))
+    rec = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("time"), F.lit("1").alias("operationVersion"), text(email=F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("identity"),
+                   F.struct(F.when(view, "jobs").otherwise("clusters").alias("serviceName"), i.alias("requestId"), F.when(view, job).otherwise(cluster).alias("requestParams"),
+                            text(statusCode=F.when(i % 4 == 0, 500).otherwise(200)).alias("response")).alias("properties"))
+    box = F.floor(i / 50)
+    bodies = e.groupBy(box.alias("box")).agg(F.to_json(F.struct(F.collect_list(rec).alias("records"))).alias("body"))
+    rows = audit_from_envelope(bodies.withColumn("organization_id", F.concat(F.lit("o"), (F.col("box") % 2).cast("string"))))
+    return rows.select(F.col("requestId").alias("event_id"), F.col("serviceName").alias("service"), "timestamp", F.col("userIdentity.email").alias("email"), F.col("requestParams.job_id").alias("job_id"),
+                       F.col("requestParams.cluster_id").alias("cluster_id"), F.col("requestParams.size.workers").alias("workers"), F.col("response.statusCode").alias("status"), "organization_id")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tessera.functions.columns import string_ts_to_epoch_ms
 from tessera.operators.schema import (FieldRules, NameRule, cull_nested,
                                       nested_col_exists, rebuild_struct, resolve_case_conflicts,
-                                      scrub_schema, struct_col_to_map, struct_to_map)
+                                      scrub_schema, struct_col_to_map, struct_from_json, struct_to_map)
 from tessera.operators.tables import new_files
 from tessera.sources.files import read_json_quarantine
 
@@ -78,8 +78,11 @@ def clean_pools_snapshot(df: DataFrame) -> DataFrame:
 
 def audit_log(raw: DataFrame, case_pairs: dict[str, str] | None = None) -> DataFrame:
     """Audit rows with case-conflicting request parameters merged (P16) and the
-    tenant fields inside ``requestParams`` stripped."""
+    tenant fields inside ``requestParams`` stripped. Request parameters that come as JSON text
+    become one struct with the fields of all services."""
     d = raw
+    if "requestParams" in d.columns and isinstance(d.schema["requestParams"].dataType, T.StringType):
+        d = struct_from_json(d, "requestParams")
     if case_pairs and "requestParams" in d.columns:
         d = resolve_case_conflicts(d, "requestParams", case_pairs)
     if "requestParams" in d.columns and isinstance(d.schema["requestParams"].dataType, T.StructType):
@@ -124,7 +127,28 @@ def spark_events(spark: SparkSession, listing: DataFrame, tracker: DataFrame, ba
         return spark.createDataFrame([], schema), spark.createDataFrame([], "_corrupt_record string, filename string")
     good, quarantined = read_json_quarantine(spark, paths, schema, drop_cols=EVENT_LOG_DROP_COLS,
                                              keep_file_as="_src_file")
-    d = good
+    return _shaped_events(good, tenant), quarantined
+
+
+def land_spark_events(spark: SparkSession, root: str, land: str, checkpoint: str, run_id: str, schema: T.StructType, tenant: str,
+                      from_ms: int | None = None, until_ms: int | None = None, glob: str = "*") -> tuple[DataFrame, DataFrame]:
+    """B5 without a list of files on the driver: new event-log lines are landed by a drained file
+    stream whose checkpoint remembers every file (``land_new_lines``); the lines of this run, from
+    files changed in ``[from, until)``, are parsed and shaped like ``spark_events``. A second call
+    under another run id finds no new file and returns no rows."""
+    from tessera.sources.files import LANDED, land_new_lines, parse_landed
+    land_new_lines(spark, root, land, checkpoint, run_id, glob)
+    lines = spark.read.schema(LANDED).parquet(land).where(F.col("run_id") == run_id)
+    if from_ms is not None:
+        lines = lines.where(F.col("mod_ms") >= from_ms)
+    if until_ms is not None:
+        lines = lines.where(F.col("mod_ms") < until_ms)
+    good, bad = parse_landed(lines, schema, EVENT_LOG_DROP_COLS, "_src_file")
+    return _shaped_events(good, tenant), bad
+
+
+def _shaped_events(d: DataFrame, tenant: str) -> DataFrame:
+    """Repaired times, lineage from the path, scrubbed names and property maps of event-log rows."""
     if "timestamp" in d.columns and "Timestamp" in d.columns:
         fix = F.when(F.col("Timestamp").isNull() & F.col("timestamp").isNotNull() & (
             F.col("Event") == "org.apache.spark.sql.streaming.StreamingQueryListener$QueryStartedEvent"),
@@ -152,4 +176,4 @@ def spark_events(spark: SparkSession, listing: DataFrame, tracker: DataFrame, ba
         d = cull_nested(d, "TaskMetrics", ["UpdatedBlocks"])
     d = d.withColumn("organization_id", F.lit(tenant)).withColumn(
         "Properties", F.map_filter("Properties", lambda k, v: k != "sparkexecutorextraClassPath"))
-    return d, quarantined
+    return d

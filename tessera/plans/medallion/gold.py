@@ -16,7 +16,7 @@ from tessera.operators.joins import (containment_join, interval_join, overlap_ru
                                      overlap_runtime_reference)
 from tessera.operators.schema import publish
 from tessera.operators.timeseries import TimeSeries
-from tessera.operators.windows import dedup_by_key, fill_meta, impute_by_group_chain
+from tessera.operators.windows import carry, dedup_by_key, fill_meta, impute_by_group_chain
 
 ORG, CLUSTER = "organization_id", "cluster_id"
 META_TO_FILL = ("cluster_name", "custom_tags", "driver_node_type_id", "node_type_id", "spark_version", "sku",
@@ -265,19 +265,39 @@ def login_gold(logins: DataFrame, user_lookup: DataFrame) -> DataFrame:
     return logins.join(lk, "login_user", "left")
 
 
-def spark_job_gold(jobs: DataFrame) -> DataFrame:
-    """User email imputed through a chain of groupings (own -> same isolation id ->
-    same job group -> same execution), deterministic ``min_by`` on the start time; job
-    and run ids from a job group like ``%job-%-run-%``. Ids restart with every Spark
-    context, so groups lie within one (``SparkContextID``, where the input has it); a
-    null id groups nothing."""
-    scope = [ORG, CLUSTER, *[c for c in ("SparkContextID",) if c in jobs.columns]]
-    out = impute_by_group_chain(jobs, "user_email", [[*scope, i] for i in ("isolation_id", "job_group_id", "execution_id")],
-                                "startTimestamp", out="user_email_imputed")
+def spark_job_gold(jobs: DataFrame, slice_ms: float | None = None) -> DataFrame:
+    """Who ran each Spark job, imputed step by step; every step sees what the steps before it
+    found: own user -> same principal (over all contexts of the tenant) -> same isolation id ->
+    same job group -> same execution -> the last known user of the same REPL up to this job.
+    Groups take the user of their earliest job (``min_by``: repeatable); steps whose id column
+    the input lacks are left out, a null id groups nothing. Ids but the principal restart with
+    every Spark context, so their groups lie within one (``SparkContextID``, where the input has
+    it). A context's jobs all get its cluster. Job and run ids come from a job group like
+    ``%job-%-run-%``. ``slice_ms`` splits a long REPL by time."""
+    from tessera.operators.tables import persist_and_reload
+    context = [c for c in ("SparkContextID",) if c in jobs.columns]
+    scope = [ORG, CLUSTER, *context]
+    user = "user_email_imputed"
+    d = jobs.withColumn(user, F.col("user_email"))
+    steps = [([ORG], "principal_id"), *[(scope, i) for i in ("isolation_id", "job_group_id", "execution_id")]]
+    for within, i in steps:
+        if i in jobs.columns:
+            # a step reads its input twice (groups and rows): written once, not computed again
+            d = persist_and_reload(impute_by_group_chain(d, user, [[*within, i]], "startTimestamp", out="__found")).drop(user).withColumnRenamed("__found", user)
+    if "repl_id" in jobs.columns:
+        bucket = F.floor(F.col("startTimestamp") / F.lit(float(slice_ms))).cast("long") if slice_ms else None
+        order = ["startTimestamp", *[c for c in ("job_id", "event_id") if c in jobs.columns]]
+        known = carry(d.where(F.col("repl_id").isNotNull()), [user], [*scope, "repl_id"], order, bucket=bucket)
+        known = known.withColumn(user, F.coalesce(user, f"{user}__carry")).drop(f"{user}__carry")
+        d = known.unionByName(d.where(F.col("repl_id").isNull()))
+    if context:
+        first = jobs.where(F.col(CLUSTER).isNotNull() & F.col(context[0]).isNotNull()).groupBy(ORG, *context).agg(F.min_by(CLUSTER, "startTimestamp").alias("__cluster"))
+        d = d.join(first, [ORG, *context], "left").withColumn(CLUSTER, F.coalesce("__cluster", CLUSTER)).drop("__cluster")
     part = F.get(F.split(F.col("job_group_id"), "_"), 2)
     auto = F.col("job_group_id").like("%job-%-run-%")
-    return out.withColumns({"db_job_id": F.when(auto, F.get(F.split(part, "-"), 1)),
-                            "db_id_in_job": F.when(auto, F.get(F.split(part, "-"), 3))})
+    return d.withColumns({"db_job_id": F.when(auto, F.get(F.split(part, "-"), 1)),
+                          "db_id_in_job": F.when(auto, F.get(F.split(part, "-"), 3))}).select(
+        *jobs.columns, user, "db_job_id", "db_id_in_job")
 
 
 def publish_table(df: DataFrame, mapping: dict[str, Column | str]) -> DataFrame:

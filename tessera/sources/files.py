@@ -70,6 +70,38 @@ def read_json_quarantine(spark: SparkSession, paths: Sequence[str] | str, schema
     return good, bad
 
 
+LANDED = "value string, filename string, file_bytes long, mod_ms long, run_id string"
+
+
+def land_new_lines(spark: SparkSession, root: str, target: str, checkpoint: str, run_id: str, glob: str = "*",
+                   batch_bytes: int | None = None) -> None:
+    """The lines of every file under ``root`` that no earlier call has read, appended
+    to ``target`` (``LANDED``) under ``run_id``.
+
+    A file stream drained with ``availableNow``: its checkpoint is the tracker of files, so names
+    never pass through the driver's code, a file is read once however often this runs, and a run
+    that is cut short goes on where it stopped. ``batch_bytes`` bounds a batch; within one, the
+    scan deals files to tasks by size, the largest first."""
+    r = spark.readStream.schema("value string").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    if batch_bytes is not None:
+        r = r.option("maxBytesPerTrigger", str(batch_bytes))
+    lines = r.format("text").load(root).select(
+        "value", F.col("_metadata.file_path").alias("filename"), F.col("_metadata.file_size").alias("file_bytes"),
+        F.unix_millis("_metadata.file_modification_time").alias("mod_ms"), F.lit(run_id).alias("run_id"))
+    w = lines.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    w.start(target).awaitTermination()
+
+
+def parse_landed(lines: DataFrame, schema: T.StructType, drop_cols: Sequence[str] = (), keep_file_as: str = "filename") -> tuple[DataFrame, DataFrame]:
+    """S3 on landed lines: ``(good, bad)`` by an explicit schema, of which only the columns that are
+    kept are parsed; lines that are no JSON object of that schema go to the quarantine frame."""
+    wanted = T.StructType([f for f in schema.fields if f.name not in drop_cols] + [T.StructField("_corrupt_record", T.StringType())])
+    parsed = lines.withColumn("__r", F.from_json("value", wanted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+    broken = F.col("__r._corrupt_record").isNotNull() | F.col("__r").isNull()
+    good = parsed.where(~broken).select(*[F.col(f"__r.`{f.name}`").alias(f.name) for f in wanted.fields[:-1]], F.col("filename").alias(keep_file_as))
+    return good, parsed.where(broken).select(F.col("value").alias("_corrupt_record"), "filename")
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*", from_ms: int | None = None,
                until_ms: int | None = None) -> DataFrame:
     """A distributed file listing as a table (path, modification ms, size,
@@ -116,6 +148,27 @@ def explode_envelope(df: DataFrame, body_col: str, schema: T.StructType | str) -
     return recs
 
 
+def audit_from_envelope(landed: DataFrame, body_col: str = "body", passed: Sequence[str] = ("organization_id",)) -> DataFrame:
+    """Landed envelope bodies -> audit rows. The body's own schema and those of the JSON
+    texts inside it (``identity``, ``requestParams``, ``response``) are found by one aggregate each
+    over all rows, so services whose fields differ share one struct that holds the fields of all;
+    a field of conflicting types is text. ``passed`` columns of the input go along."""
+    from tessera.operators.schema import infer_json_schema, struct_from_json
+    kept = [c for c in passed if c in landed.columns]
+    bodies = landed.select(*kept, F.from_json(F.col(body_col), infer_json_schema(landed, body_col)).alias("b"))
+    recs = bodies.select(*kept, F.explode("b.records").alias("r")).select(*kept, "r.*")
+    ts = F.to_timestamp("time")
+    recs = recs.withColumns({"timestamp": F.unix_millis(ts), "date": ts.cast("date")}).drop("time")
+    names = {"identity": "userIdentity", "operationVersion": "version"}
+    recs = recs.withColumnsRenamed({c: n for c, n in names.items() if c in recs.columns})
+    if "properties" in recs.columns:
+        recs = recs.select("*", "properties.*").drop("properties")
+    for c in ("userIdentity", "requestParams", "response"):
+        if c in recs.columns and isinstance(recs.schema[c].dataType, T.StringType):
+            recs = struct_from_json(recs, c)
+    return recs
+
+
 def read_reference_csv(spark: SparkSession, path: str, schema: T.StructType | str, active_from: str,
                        tenant: str) -> DataFrame:
     """Header CSV with a given schema, plus SCD-2 columns."""
