@@ -4,7 +4,8 @@ and overlaps without pairs. Each runs over whole test tables, with DuckDB SQL fo
 
 Index: q70 K1/K3/K10/K11 (null partitions) · q71 W1 (map columns) ·
 q72 V12/A5 (run lineage) · q73 G4 (open runs, tenants, cluster types) · q74 V11 (set history) ·
-q75 J1/J3 (bounded look-back under slicing) · q76 B5/S3/S4 (file intake) · q77 S8/B3 (audit envelopes).
+q75 J1/J3 (bounded look-back under slicing) · q76 B5/S3/S4 (file intake) · q77 S8/B3 (audit envelopes) ·
+q78 V7/G1/P24 (published account changes) · q79 V5/G1/P24 (published Spark tasks).
 """
 
 from __future__ import annotations
@@ -260,3 +261,51 @@ def q77(spark, d):
     rows = audit_from_envelope(bodies.withColumn("organization_id", F.concat(F.lit("o"), (F.col("box") % 2).cast("string"))))
     return rows.select(F.col("requestId").alias("event_id"), F.col("serviceName").alias("service"), "timestamp", F.col("userIdentity.email").alias("email"), F.col("requestParams.job_id").alias("job_id"),
                        F.col("requestParams.cluster_id").alias("cluster_id"), F.col("requestParams.size.workers").alias("workers"), F.col("response.statusCode").alias("status"), "organization_id")
+
+
+@query("q78_published_accounts", """
+WITH a AS (SELECT event_id, user_id, ts, epoch_us(ts) // 1000 AS t, CASE WHEN event_id % 20 > 0 THEN 'u' || (user_id % 20) END AS name, CASE WHEN event_id % 7 = 6 THEN 'id' || event_id END AS own, event_type FROM events)
+SELECT 'o' AS organization_id, t AS "mod_unixTimeMS", CAST(ts AS DATE) AS mod_date, CASE WHEN event_type = 'view' THEN 'add' ELSE 'updateUser' END AS action, 'e' || (event_id % 3) AS endpoint, 'a@b.c' AS modified_by, name AS user_name,
+       CASE WHEN name IS NULL THEN own ELSE first_value(own IGNORE NULLS) OVER (PARTITION BY name ORDER BY t, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) END AS user_id,
+       'g' || (user_id % 4) AS group_name, CAST(NULL AS VARCHAR) AS group_id, CAST(NULL AS VARCHAR) AS from_ip_address, CAST(NULL AS VARCHAR) AS user_agent, printf('%020d', event_id) AS request_id, CAST(NULL AS VARCHAR) AS response FROM a
+""")
+def q78(spark, d):
+    """Account changes as published; rows without a user name keep their own id, and
+    columns that this source lacks are nulls of their type."""
+    from tessera.plans.medallion.published import publish_gold
+    from tessera.plans.medallion.silver import account_mods
+    i = F.col("event_id")
+    text = lambda mark, c: F.concat(F.lit(mark), c.cast("string"))
+    audit = table(spark, d, "events").select(
+        F.lit("o").alias("organization_id"), F.to_date("ts").alias("date"), C.epoch_ms("ts").alias("timestamp"), F.lit("accounts").alias("serviceName"),
+        F.when(F.col("event_type") == "view", "add").otherwise("updateUser").alias("actionName"), F.format_string("%020d", i).alias("requestId"), F.struct(F.lit("a@b.c").alias("email")).alias("userIdentity"),
+        F.struct(F.when(i % 20 > 0, text("u", F.col("user_id") % 20)).alias("targetUserName"), F.when(i % 7 == 6, text("id", i)).alias("targetUserId"), text("e", i % 3).alias("endpoint"),
+                 text("g", F.col("user_id") % 4).alias("targetGroupName")).alias("requestParams"))
+    return publish_gold(account_mods(audit, slice_ms=DAY_S * 1000.0), "account_mods")
+
+
+@query("q79_published_tasks", """
+WITH t AS (SELECT l_orderkey AS o, l_linenumber AS n, max(l_partkey) AS p, min(epoch_ms(l_shipdate)) AS s FROM lineitem GROUP BY ALL)
+SELECT 'o' AS organization_id, 'x' || (o % 9) AS spark_context_id, o AS task_id, 0 AS task_attempt_id, n AS stage_id, 0 AS stage_attempt_id, 'c' AS cluster_id, 'e' || (p % 3) AS executor_id, 'h' AS host, s AS "unixTimeMS",
+       CAST(make_timestamp(s * 1000) AS DATE) AS date, CASE WHEN o % 4 > 0 THEN 1000 + p END AS run_ms, CASE WHEN o % 4 > 0 THEN p END AS bytes, s + CASE WHEN o % 4 > 0 THEN 1000 + p ELSE 0 END AS last_seen,
+       CASE WHEN o % 4 > 0 THEN 'ResultTask' END AS task_type, 'a/b/c' AS log_start, CASE WHEN o % 4 > 0 THEN 'a/b/c' END AS log_end FROM t
+""")
+def q79(spark, d):
+    """Task starts and ends paired and published, with task info, type and the log
+    files of both events; every fourth task is still open."""
+    from tessera.plans.medallion.bronze import file_group
+    from tessera.plans.medallion.published import publish_gold
+    from tessera.plans.medallion.silver import spark_tasks
+    t = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o"), F.col("l_linenumber").cast("long").alias("n")).agg(F.max("l_partkey").alias("p"), F.min(C.epoch_ms("l_shipdate")).alias("s"))
+    ended, long = F.col("o") % 4 > 0, lambda x: F.lit(x).cast("long")
+
+    def events(rows, name, finish, metrics, kind):
+        info = F.struct(F.col("o").alias("TaskID"), long(0).alias("Attempt"), F.concat(F.lit("e"), (F.col("p") % 3).cast("string")).alias("ExecutorID"), F.lit("h").alias("Host"), F.col("s").alias("LaunchTime"), finish.cast("long").alias("FinishTime"))
+        return rows.select(F.lit("o").alias("organization_id"), F.lit("c").alias("clusterId"), F.concat(F.lit("x"), (F.col("o") % 9).cast("string")).alias("SparkContextID"), F.lit(name).alias("Event"), F.col("n").alias("StageID"),
+                           long(0).alias("StageAttemptID"), info.alias("TaskInfo"), F.struct(metrics.cast("long").alias("bytes")).alias("TaskMetrics"), F.lit("Success").alias("TaskEndReason"), kind.cast("string").alias("TaskType"),
+                           F.lit("2024-01-01").cast("date").alias("fileCreateDate"), file_group(F.lit("a/b/c/d/e/f/log")).alias("filenameGroup"))
+    none = F.lit(None)
+    log = events(t, "SparkListenerTaskStart", none, none, none).unionByName(events(t.where(ended), "SparkListenerTaskEnd", F.col("s") + 1000 + F.col("p"), F.col("p"), F.lit("ResultTask")))
+    out = publish_gold(spark_tasks(log, log, 0), "sparktask")
+    return out.select("organization_id", "spark_context_id", "task_id", "task_attempt_id", "stage_id", "stage_attempt_id", "cluster_id", "executor_id", "host", "unixTimeMS", "date", F.col("task_runtime.runTimeMS").alias("run_ms"),
+                      F.col("task_metrics.bytes").alias("bytes"), F.coalesce("task_info.FinishTime", "task_info.LaunchTime").alias("last_seen"), "task_type", F.col("event_log_start.byCluster").alias("log_start"), F.col("event_log_end.byCluster").alias("log_end"))

@@ -305,7 +305,7 @@ def publish_table(df: DataFrame, mapping: dict[str, Column | str]) -> DataFrame:
     return publish(df, mapping)
 
 
-def cluster_gold(spec: DataFrame, missing: str = "error") -> DataFrame:
+def cluster_gold(spec: DataFrame, missing: str = "null") -> DataFrame:
     """G1 for clusters (see ``published.publish_gold`` for every gold table)."""
     from tessera.plans.medallion.published import publish_gold
     return publish_gold(spec, "cluster", missing)

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.columns import to_ts
+from tessera.plans.medallion.silver_audit import JOB_CLUSTER_SCHEMA, TASK_SCHEMA
 
 # Fixed values: (published name, silver column) per gold table.
 CLUSTER = [
@@ -47,13 +49,13 @@ JOB = [
 ]
 JOB_RUN = [
     ("organization_id", "organization_id"), ("workspace_name", "workspace_name"), ("job_id", "job_id"),
-    ("job_name", "job_name"), ("tags", "tags"), ("run_id", "run_id"), ("job_run_id", "jobRunId"),
-    ("task_run_id", "taskRunId"), ("task_key", "task_key"), ("cluster_id", "cluster_id"),
-    ("cluster_name", "cluster_name"), ("multitask_parent_run_id", "multitaskParentRunId"),
-    ("parent_run_id", "parentRunId"), ("task_detail", "task_detail"), ("task_dependencies", "taskDependencies"),
+    ("job_name", "job_name"), ("tags", "tags"), ("run_id", "run_id"), ("job_run_id", "job_run_id"),
+    ("task_run_id", "task_run_id"), ("task_key", "task_key"), ("cluster_id", "cluster_id"),
+    ("cluster_name", "cluster_name"), ("multitask_parent_run_id", "multitask_parent_run_id"),
+    ("parent_run_id", "parent_run_id"), ("task_detail", "task_detail"), ("task_dependencies", "task_dependencies"),
     ("task_runtime", "TaskRunTime"), ("task_execution_runtime", "TaskExecutionRunTime"),
     ("job_cluster_key", "job_cluster_key"), ("cluster_type", "clusterType"), ("job_cluster", "job_cluster"),
-    ("new_cluster", "new_cluster"), ("task_type", "taskType"), ("terminal_state", "terminalState"),
+    ("new_cluster", "new_cluster"), ("task_type", "task_type"), ("terminal_state", "terminalState"),
     ("job_trigger_type", "trigger_type"), ("schedule", "schedule"), ("libraries", "libraries"),
     ("manual_override_params", "manual_override_params"), ("repair_id", "repair_id"),
     ("repair_details", "repair_details"), ("run_name", "run_name"), ("timeout_seconds", "timeout_seconds"),
@@ -121,22 +123,62 @@ GOLD_TABLES = {"cluster": CLUSTER, "job": JOB, "jobrun": JOB_RUN, "notebook": NO
                "sparkexecution": SPARK_EXECUTION, "sparkexecutor": SPARK_EXECUTOR}
 
 
-def publish_gold(df: DataFrame, table: str, missing: str = "error") -> DataFrame:
-    """Project a silver frame to the published columns of ``table`` in one ``select``.
+# The columns that make a row of each table; a frame without them is no such table.
+GOLD_KEYS = {"cluster": ("cluster_id",), "job": ("job_id",), "jobrun": ("run_id",), "notebook": ("notebook_id",), "account_mods": ("actionName",),
+             "instancepool": ("instance_pool_id",), "sparkstage": ("StageID",), "sparktask": ("TaskID",), "sparkexecution": ("executionId",), "sparkexecutor": ("ExecutorID",)}
 
-    A published column whose silver column the frame lacks is an error, which names the
-    columns; ``missing="null"`` publishes them as string nulls instead, for sources that are
-    known not to carry them."""
+# The types of published columns; all others are text, or what silver builds.
+_LONG = ("unixTimeMS", "mod_unixTimeMS", "job_id", "run_id", "job_run_id", "task_run_id", "multitask_parent_run_id", "parent_run_id", "repair_id",
+         "timeout_seconds", "max_concurrent_runs", "max_retries", "min_retry_interval_millis", "created_ts", "deleted_ts", "last_edited_ts", "startEpochMS",
+         "stage_id", "stage_attempt_id", "task_id", "task_attempt_id", "execution_id")
+_RUNTIME = "struct<startEpochMS:long, startTS:timestamp_ntz, endEpochMS:long, endTS:timestamp_ntz, runTimeMS:long, runTimeS:double, runTimeM:double, runTimeH:double>"
+_FILES = "struct<filename:string, byCluster:string, byDriverHost:string, bySparkContext:string>"
+PUBLISHED_TYPES = {
+    **dict.fromkeys(_LONG, "long"), "num_workers": "int", "auto_termination_minutes": "int",
+    **dict.fromkeys(("is_automated", "enable_elastic_disk", "retry_on_timeout", "is_from_dlt"), "boolean"),
+    "tags": "map<string,string>", "tasks": TASK_SCHEMA, "job_clusters": JOB_CLUSTER_SCHEMA, "task_dependencies": "array<string>",
+    "schedule": "struct<quartz_cron_expression:string, timezone_id:string, pause_status:string>", "security_profile": "struct<user_name:string, mode:string>",
+    "create_details": "struct<created_by:string, created_at:long>", "delete_details": "struct<deleted_by:string, deleted_at:long>",
+    **dict.fromkeys(("task_runtime", "task_execution_runtime", "stage_runtime", "sql_execution_runtime", "executor_alivetime"), _RUNTIME),
+    **dict.fromkeys(("event_log_start", "event_log_end"), _FILES),
+    "time_detail": "struct<startTime:long, submissionTime:long, cancellationTime:long, completionTime:long>",
+}
+
+
+def _as_published(c: Column, have: T.DataType, ddl: str) -> Column:
+    """A silver column in its published type: JSON text is parsed, nested values become JSON text,
+    plain ones are cast (what does not fit is null). Nested silver values keep their own fields."""
+    plain = ddl in ("string", "long", "int", "boolean")
+    nested = isinstance(have, (T.StructType, T.MapType, T.ArrayType))
+    if isinstance(have, T.NullType):
+        return F.lit(None).cast(ddl)
+    if plain:
+        return F.to_json(c) if nested and ddl != "string" else c if nested else c.try_cast(ddl)
+    return c if nested else F.from_json(c.cast("string"), ddl)
+
+
+def publish_gold(df: DataFrame, table: str, missing: str = "null") -> DataFrame:
+    """A silver frame as the published columns of ``table``, in one ``select`` and in the
+    types of ``PUBLISHED_TYPES``, so that a table looks alike whatever its source carried: a column
+    that silver did not build is a null of its type. ``missing="error"`` refuses such frames
+    instead and names the columns; a frame without the table's key columns is always refused."""
     mapping = GOLD_TABLES[table]
     absent = [src for _, src in mapping if src not in ("@ts", "@date") and src not in df.columns]
-    if absent and missing != "null":
-        raise ValueError(f"{table}: silver columns not built: {', '.join(absent)}")
+    refused = absent if missing == "error" else [src for src in absent if src in ("organization_id", *GOLD_KEYS[table])]
+    if refused:
+        raise ValueError(f"{table}: silver columns not built: {', '.join(refused)}")
     epoch = next((src for out, src in mapping if out in ("unixTimeMS", "mod_unixTimeMS")), None)
+    at = to_ts(F.col(epoch)) if epoch in df.columns else F.lit(None).cast("timestamp")
     cols: list[Column] = []
     for out, src in mapping:
+        ddl = PUBLISHED_TYPES.get(out, "string")
         if src in ("@ts", "@date"):
-            ts = to_ts(F.col(epoch))
-            cols.append((ts if src == "@ts" else ts.cast("date")).alias(out))
+            c = at if src == "@ts" else at.cast("date")
+        elif src in absent:
+            c = F.lit(None).cast(ddl)
+        elif out in PUBLISHED_TYPES or isinstance(df.schema[src].dataType, T.NullType):
+            c = _as_published(F.col(src), df.schema[src].dataType, ddl)
         else:
-            cols.append((F.lit(None).cast("string") if src in absent else F.col(src)).alias(out))
+            c = F.col(src)
+        cols.append(c.alias(out))
     return df.select(*cols)

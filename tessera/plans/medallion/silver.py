@@ -147,8 +147,11 @@ def pair_start_end(frame_lagged: DataFrame, frame_new: DataFrame, start_event: s
     """Common shape of V1-V5: start rows (from the lagged frame, first per key) LEFT
     lag-joined to end rows (new frame, last per key) on ``keys`` + tenant/cluster/context
     with ``fileCreateDate`` lag; rows kept when ``coalesce(end, start, 0) >= from``;
-    run-time struct from start and end."""
+    run-time struct from start and end. The event files of both sides go along as
+    ``startFilenameGroup`` and ``endFilenameGroup``, where the input has them."""
     base = ["organization_id", "clusterId", "SparkContextID", *keys]
+    start_cols = {**start_cols, **({"startFilenameGroup": F.col("filenameGroup")} if "filenameGroup" in frame_lagged.columns else {})}
+    end_cols = {**end_cols, **({"endFilenameGroup": F.col("filenameGroup")} if "filenameGroup" in frame_new.columns else {})}
     s = frame_lagged.filter(F.col("Event") == start_event).select(
         *base, F.col("fileCreateDate"), *[c.alias(n) for n, c in start_cols.items()])
     s = dedup_by_key(s, base, [start_ts])
@@ -162,6 +165,15 @@ def pair_start_end(frame_lagged: DataFrame, frame_new: DataFrame, start_event: s
         "startTimestamp", F.col("runtime.startEpochMS"))
 
 
+def _of_either(j: DataFrame, name: str) -> DataFrame:
+    """What the end event says of the whole, else the start event (an open row)."""
+    return j.withColumn(name, F.coalesce(f"__end_{name}", f"__start_{name}")).drop(f"__end_{name}", f"__start_{name}")
+
+
+def _present(df: DataFrame, *names: str) -> dict[str, Column]:
+    return {n: F.col(n) for n in names if n in df.columns}
+
+
 def spark_executors(lagged: DataFrame, new: DataFrame, from_ms: int) -> DataFrame:
     """V1: executor added LEFT JOIN removed within 30 days."""
     return pair_start_end(lagged, new, "SparkListenerExecutorAdded", "SparkListenerExecutorRemoved", ["ExecutorID"],
@@ -184,14 +196,15 @@ def spark_jobs(lagged: DataFrame, new: DataFrame, from_ms: int, property_keys: S
 
 def spark_stages(lagged: DataFrame, new: DataFrame, from_ms: int) -> DataFrame:
     """V4: stage submitted LEFT JOIN completed on (StageID, StageAttemptID)."""
-    return pair_start_end(lagged, new, "SparkListenerStageSubmitted", "SparkListenerStageCompleted",
+    j = pair_start_end(lagged, new, "SparkListenerStageSubmitted", "SparkListenerStageCompleted",
                           ["StageID", "StageAttemptID"],
-                          {"SubmissionTime": F.col("StageInfo.SubmissionTime"),
+                          {"SubmissionTime": F.col("StageInfo.SubmissionTime"), "__start_StageInfo": F.col("StageInfo"),
                            "Details": F.col("StageInfo.Details")},
-                          {"CompletionTime": F.col("StageInfo.CompletionTime"),
+                          {"CompletionTime": F.col("StageInfo.CompletionTime"), "__end_StageInfo": F.col("StageInfo"),
                            "NumberofTasks": F.col("StageInfo.NumberofTasks"),
                            "FailureReason": F.col("StageInfo.FailureReason")},
                           "SubmissionTime", "CompletionTime", from_ms)
+    return _of_either(j, "StageInfo")
 
 
 def spark_tasks(lagged: DataFrame, new: DataFrame, from_ms: int) -> DataFrame:
@@ -200,18 +213,20 @@ def spark_tasks(lagged: DataFrame, new: DataFrame, from_ms: int) -> DataFrame:
     def prep(df):
         return df.withColumns({"TaskID": F.col("TaskInfo.TaskID"), "TaskAttempt": F.col("TaskInfo.Attempt"),
                                "ExecutorID": F.col("TaskInfo.ExecutorID"), "Host": F.col("TaskInfo.Host")})
-    return pair_start_end(prep(lagged), prep(new), "SparkListenerTaskStart", "SparkListenerTaskEnd", keys,
-                          {"LaunchTime": F.col("TaskInfo.LaunchTime")},
-                          {"FinishTime": F.col("TaskInfo.FinishTime"), "TaskMetrics": F.col("TaskMetrics"),
-                           "TaskEndReason": F.col("TaskEndReason")},
-                          "LaunchTime", "FinishTime", from_ms)
+    j = pair_start_end(prep(lagged), prep(new), "SparkListenerTaskStart", "SparkListenerTaskEnd", keys,
+                       {"LaunchTime": F.col("TaskInfo.LaunchTime"), "__start_TaskInfo": F.col("TaskInfo")},
+                       {"FinishTime": F.col("TaskInfo.FinishTime"), "TaskMetrics": F.col("TaskMetrics"),
+                        "TaskEndReason": F.col("TaskEndReason"), "__end_TaskInfo": F.col("TaskInfo"),
+                        **_present(new, "TaskExecutorMetrics", "TaskType")},
+                       "LaunchTime", "FinishTime", from_ms)
+    return _of_either(j, "TaskInfo")
 
 
 def sql_executions(lagged: DataFrame, new: DataFrame, from_ms: int) -> DataFrame:
     """V2: execution start LEFT JOIN end (earliest start, latest end per id)."""
     return pair_start_end(lagged, new, "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart",
                           "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionEnd", ["executionId"],
-                          {"description": F.col("description"), "SqlExecStartTime": F.col("time")},
+                          {"description": F.col("description"), "SqlExecStartTime": F.col("time"), **_present(lagged, "details")},
                           {"SqlExecEndTime": F.col("time")}, "SqlExecStartTime", "SqlExecEndTime", from_ms)
 
 
@@ -248,18 +263,22 @@ MOD_ACTIONS = ("add", "addPrincipalToGroup", "removePrincipalFromGroup", "setAdm
 
 def account_mods(audit: DataFrame, slice_ms: float | None = None) -> DataFrame:
     """V7: six account actions; a null ``user_id`` takes the first later non-null id of
-    the same user name, however far away (W8)."""
+    the same user name, however far away (W8). Rows without a user name belong to no user:
+    they keep their own id and stay out of the series."""
     def rp(name):
         p = f"requestParams.{name}"
         return F.col(p).cast("string") if nested_col_exists(audit.schema, p, True) else F.lit(None).cast("string")
     d = audit.filter((F.col("serviceName") == "accounts") & F.col("actionName").isin(*MOD_ACTIONS)).select(
         "organization_id", "date", "timestamp", "actionName", "requestId",
         F.col("userIdentity.email").alias("modified_by"), rp("targetUserName").alias("user_name"),
-        rp("targetUserId").alias("user_id"))
+        rp("targetUserId").alias("user_id"), rp("endpoint").alias("endpoint"), rp("targetGroupName").alias("group_name"),
+        rp("targetGroupId").alias("group_id"), *_present(audit, "sourceIPAddress", "userAgent", "response").values())
     bucket = F.floor(F.col("timestamp") / F.lit(float(slice_ms))).cast("long") if slice_ms else None
-    filled = future_fill(d, ["user_id"], ["organization_id", "user_name"], ["timestamp", "requestId"],
+    named = d.where(F.col("user_name").isNotNull())
+    filled = future_fill(named, ["user_id"], ["organization_id", "user_name"], ["timestamp", "requestId"],
                          out_suffix="__f", bucket=bucket)
-    return filled.withColumn("user_id", F.coalesce("user_id", "user_id__f")).drop("user_id__f")
+    filled = filled.withColumn("user_id", F.coalesce("user_id", "user_id__f")).drop("user_id__f")
+    return filled.unionByName(d.where(F.col("user_name").isNull()))
 
 
 def notebooks(audit: DataFrame) -> DataFrame:
@@ -270,7 +289,8 @@ def notebooks(audit: DataFrame) -> DataFrame:
     d = audit.filter(F.col("serviceName") == "notebook").select(
         "organization_id", "date", "timestamp", "actionName", "requestId",
         rp("notebookId").alias("notebook_id"), rp("path").alias("notebook_path"),
-        rp("notebookName").alias("notebook_name"), F.col("userIdentity.email").alias("user_email"))
+        rp("notebookName").alias("notebook_name"), F.col("userIdentity.email").alias("user_email"), rp("clusterId").alias("cluster_id"),
+        *[rp(n).alias(n) for n in ("oldName", "oldPath", "newName", "newPath", "parentPath")], *_present(audit, "response").values())
     last_seg = F.element_at(F.split("notebook_path", "/"), -1)
     return d.withColumn("notebook_name", F.coalesce("notebook_name", last_seg))
 

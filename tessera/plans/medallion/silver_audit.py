@@ -356,11 +356,12 @@ def job_runs(audit: DataFrame) -> DataFrame:
     # starts and completions meet first: a task run may report only one of them
     tasks = start.join(done, [ORG, "job_run_id", "run_id"], "full_outer")
     tasks = tasks.withColumns({out: F.coalesce(out, f"{out}__done") for out, _, _ in both}).drop(*[f"{out}__done" for out, _, _ in both])
-    m = sub.join(tasks, [ORG, "job_run_id"], "left").withColumn("run_id", F.coalesce("run_id", "job_run_id"))
+    m = sub.join(tasks, [ORG, "job_run_id"], "left").withColumns({"task_run_id": F.col("run_id"), "run_id": F.coalesce("run_id", "job_run_id")})
     m = m.join(cancel, [ORG, "run_id"], "left").join(repair, [ORG, "run_id"], "left")
     end = F.array_max(F.array("completionTime", "cancellationTime"))
     return m.withColumns({
         "task_dependencies": F.from_json("task_dependencies", "array<string>"),
+        "timeDetails": F.struct("startTime", "submissionTime", "cancellationTime", "completionTime"),
         "TaskRunTime": runtime_struct(F.col("submissionTime"), end, ntz=True),
         "TaskExecutionRunTime": runtime_struct(F.col("startTime"), end, ntz=True),
         "terminalState": F.when(F.col("cancellationTime").isNotNull(), F.lit("Cancelled"))

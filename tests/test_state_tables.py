@@ -242,3 +242,38 @@ def test_bounded_lookups_sliced_equal_plain(spark):
         plain = TimeSeries(left, "t", ("k",)).lookup_when(TimeSeries(right, "t", ("k",)), lookback_rows=back, lookahead_rows=ahead)
         sliced = TimeSeries(left, "t", ("k",)).lookup_when(TimeSeries(right, "t", ("k",)), lookback_rows=back, lookahead_rows=ahead, slice_size=7)
         assert rows(sliced) == rows(plain)
+
+
+def test_every_gold_table_is_typed_alike(spark):
+    """A frame of the key columns alone is published in the declared types, all else null."""
+    from tessera.plans.medallion import published as P
+    for name, mapping in P.GOLD_TABLES.items():
+        keys = ["organization_id", *P.GOLD_KEYS[name]]
+        df = spark.createDataFrame([["x"] * len(keys)], ", ".join(f"{k} string" for k in keys))
+        out = P.publish_gold(df, name)
+        assert out.columns == [o for o, _ in mapping] and out.count() == 1
+        for o, src in mapping:
+            want = spark.createDataFrame([], f"c {P.PUBLISHED_TYPES[o]}").schema["c"].dataType if o in P.PUBLISHED_TYPES else None
+            if want is not None and not src.startswith("@"):
+                assert out.schema[o].dataType == want, (name, o)
+
+
+def test_a_second_intake_reads_nothing(spark, tmp_path):
+    from pyspark.sql import types as T
+    from tessera.plans.medallion.bronze import land_spark_events
+    logs = tmp_path / "logs" / "c1" / "eventlog" / "host" / "ctx"
+    logs.mkdir(parents=True)
+    schema = T.StructType([T.StructField("Event", T.StringType()), T.StructField("Job ID", T.LongType()), T.StructField("sparkPlanInfo", T.StringType()),
+                           T.StructField("Properties", T.StructType([T.StructField("spark.x", T.StringType())]))])
+
+    def take(run, **window):
+        return [f.collect() for f in land_spark_events(spark, str(tmp_path / "logs"), str(tmp_path / "land"), str(tmp_path / "ckpt"), run, schema, "o", **window)]
+    (logs / "one").write_text('{"Event": "a", "Job ID": 1, "sparkPlanInfo": "wide"}\n[1]\nbroken\n\n')
+    good, bad = take("r1")
+    assert [(r["Event"], r["JobID"], r["clusterId"], r["SparkContextId"]) for r in good] == [("a", 1, "c1", "ctx")] and "sparkPlanInfo" not in good[0]
+    assert sorted(r["_corrupt_record"] for r in bad) == ["", "[1]", "broken"]
+    assert take("r2") == [[], []]
+    (logs / "two").write_text('{"Event": "b", "Job ID": 2}\n')
+    assert [r["JobID"] for r in take("r3")[0]] == [2]
+    (logs / "three").write_text('{"Event": "c", "Job ID": 3}\n')
+    assert take("r4", until_ms=1)[0] == []  # landed, outside the window of this run
