@@ -118,13 +118,25 @@ def runtime_engine(own: Column, spark_version: Column) -> Column:
     return F.coalesce(own, F.when(spark_version.contains("_photon_"), "PHOTON"), F.lit("STANDARD"))
 
 
-def _pool_lookup(d: DataFrame, pools: DataFrame, pool_id: str, slice_ms: float | None) -> DataFrame:
-    """As-of lookup of pool columns. Rows without a pool id are most rows and match
+def _repaired(d: DataFrame, col: str, by: str, max_rows: int | None, slice_ms: float | None) -> DataFrame:
+    """A missing ``col`` from the next row with the same ``by``. Rows without ``by`` name nothing:
+    they stay as they are instead of forming one series of strangers."""
+    known = future_fill(d.filter(F.col(by).isNotNull()), [col], [ORG, by], ["timestamp", "requestId"], max_rows=max_rows,
+                        out_suffix="__f", bucket=_slices(slice_ms))
+    return known.withColumn(col, F.coalesce(col, f"{col}__f")).drop(f"{col}__f").unionByName(d.filter(F.col(by).isNull()))
+
+
+def _lookup_by(d: DataFrame, other: DataFrame, key_col: str, slice_ms: float | None, lookahead_rows: int | None = 0) -> DataFrame:
+    """As-of lookup by (tenant, ``key_col``). Rows without the key (often most rows) match
     nothing: they stay out of the series instead of forming one huge null series."""
-    key = (ORG, pool_id)
-    found = TimeSeries(d.filter(F.col(pool_id).isNotNull()), "timestamp", key).lookup_when(
-        TimeSeries(pools.filter(F.col(pool_id).isNotNull()), "timestamp", key), lookahead_rows=None, slice_size=slice_ms)
-    return found.unionByName(d.filter(F.col(pool_id).isNull()), allowMissingColumns=True)
+    key = (ORG, key_col)
+    found = TimeSeries(d.filter(F.col(key_col).isNotNull()), "timestamp", key).lookup_when(
+        TimeSeries(other.filter(F.col(key_col).isNotNull()), "timestamp", key), lookahead_rows=lookahead_rows, slice_size=slice_ms)
+    return found.unionByName(d.filter(F.col(key_col).isNull()), allowMissingColumns=True)
+
+
+def _pool_lookup(d: DataFrame, pools: DataFrame, pool_id: str, slice_ms: float | None) -> DataFrame:
+    return _lookup_by(d, pools, pool_id, slice_ms, lookahead_rows=None)
 
 
 def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFrame | None = None,
@@ -150,12 +162,8 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
                     _rp(a, "runtime_engine").alias("runtime_engine"),
                     *[_rp(a, src).alias(out) for out, src in CLUSTER_EXTRA_FIELDS],
                     F.col("userIdentity.email").alias("user_email"), _ok().alias("__ok"))
-    base = future_fill(base, ["cluster_id"], [ORG, "cluster_name"], ["timestamp", "requestId"], max_rows=repair_rows,
-                       out_suffix="__f", bucket=_slices(slice_ms)).withColumn("cluster_id", F.coalesce("cluster_id", "cluster_id__f")).drop(
-        "cluster_id__f")
-    base = future_fill(base, ["cluster_name"], [ORG, "cluster_id"], ["timestamp", "requestId"], max_rows=repair_rows,
-                       out_suffix="__f", bucket=_slices(slice_ms)).withColumn("cluster_name", F.coalesce("cluster_name", "cluster_name__f")).drop(
-        "cluster_name__f")
+    base = _repaired(base, "cluster_id", "cluster_name", repair_rows, slice_ms)
+    base = _repaired(base, "cluster_name", "cluster_id", repair_rows, slice_ms)
     creators = dedup_by_key(base.filter((F.col("actionName") == "create") & F.col("__ok")).select(
         ORG, "cluster_id", "timestamp", F.col("user_email").alias("createdBy")), [ORG, "cluster_id"], ["timestamp"]
     ).drop("timestamp")
@@ -399,30 +407,32 @@ def _as_array(df: DataFrame, col: str, schema: str) -> Column:
 
 def job_runs_with_meta(runs: DataFrame, cluster_spec: DataFrame | None = None,
                        clusters_snapshot: DataFrame | None = None, job_status: DataFrame | None = None,
-                       jobs_snapshot: DataFrame | None = None) -> DataFrame:
+                       jobs_snapshot: DataFrame | None = None, slice_ms: float | None = None) -> DataFrame:
     """V12 enrichment: cluster name as-of the run (cluster spec first, the snapshot fills
     what it left null), then job name / tasks / job clusters as-of the run (job status
-    first, then the jobs snapshot); the run name stands in for a missing job name."""
+    first, then the jobs snapshot); the run name stands in for a missing job name.
+    ``slice_ms`` splits the runs of a busy cluster or job by time; runs without a cluster or
+    job id form no series."""
     d = runs.withColumn("timestamp", F.col("submissionTime"))
     if cluster_spec is not None:
         cs = cluster_spec.select(ORG, "cluster_id", "timestamp", "cluster_name")
-        d = TimeSeries(d, "timestamp", (ORG, "cluster_id")).lookup_when(TimeSeries(cs, "timestamp", (ORG, "cluster_id")))
+        d = _lookup_by(d, cs, "cluster_id", slice_ms)
     if clusters_snapshot is not None:
         sn = clusters_snapshot.select(ORG, "cluster_id", _snap_ms(clusters_snapshot).alias("timestamp"),
                                       "cluster_name")
-        d = TimeSeries(d, "timestamp", (ORG, "cluster_id")).lookup_when(TimeSeries(sn, "timestamp", (ORG, "cluster_id")))
+        d = _lookup_by(d, sn, "cluster_id", slice_ms)
     meta = ["job_name", "tasks", "job_clusters"]
     if job_status is not None:
         js = job_status.select(ORG, "job_id", "timestamp", *[F.col(c).cast("string").alias(c) for c in meta
                                                               if c in job_status.columns])
-        d = TimeSeries(d, "timestamp", (ORG, "job_id")).lookup_when(TimeSeries(js, "timestamp", (ORG, "job_id")))
+        d = _lookup_by(d, js, "job_id", slice_ms)
     if jobs_snapshot is not None:
         sn = jobs_snapshot.select(ORG, F.col("job_id").cast("long").alias("job_id"),
                                   _snap_ms(jobs_snapshot).alias("timestamp"),
                                   F.col("settings.name").alias("job_name"),
                                   F.to_json("settings.tasks").alias("tasks"),
                                   F.to_json("settings.job_clusters").alias("job_clusters"))
-        d = TimeSeries(d, "timestamp", (ORG, "job_id")).lookup_when(TimeSeries(sn, "timestamp", (ORG, "job_id")))
+        d = _lookup_by(d, sn, "job_id", slice_ms)
     if "job_name" in d.columns:
         d = d.withColumn("job_name", F.coalesce("job_name", "run_name"))
     return d.drop("timestamp")

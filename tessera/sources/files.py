@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,17 +22,21 @@ API_PAYLOAD = {"jobs": "jobs", "clusters": "clusters", "clusterEvents": "events"
 def read_date_partitioned(spark: SparkSession, path: str, fmt: str, from_date, until_date,
                           date_col: str = "date", schema: T.StructType | None = None) -> DataFrame:
     """Read only ``<path>/date=YYYY-MM-DD`` folders in ``[from, until)`` (one day when
-    equal). The filter is on the partition column, so Spark prunes folders; missing
-    folders are simply absent. Fails when nothing is in range."""
+    equal). The folders are named in one glob, so nothing else under ``path`` is listed,
+    however many days it holds; missing folders are simply absent. Fails when nothing is in
+    range."""
     f, u = _dt.date.fromisoformat(str(from_date)), _dt.date.fromisoformat(str(until_date))
+    days = [(f + _dt.timedelta(days=i)).isoformat() for i in range(max(1, (u - f).days))]
     r = spark.read.format(fmt).option("basePath", path)
     if schema is not None:
         r = r.schema(schema)
-    df = r.load(path)
-    cond = (F.col(date_col) == F.lit(f.isoformat()).cast("date")) if f == u else (
-        (F.col(date_col) >= F.lit(f.isoformat()).cast("date")) & (F.col(date_col) < F.lit(u.isoformat()).cast("date")))
-    out = df.filter(cond)
-    if out.isEmpty():
+    try:
+        out = r.load(f"{path.rstrip('/')}/{date_col}={{{','.join(days)}}}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        out = None
+    if out is None or out.isEmpty():
         raise FileNotFoundError(f"no data under {path} for [{f}, {u})")
     return out
 
@@ -119,6 +124,28 @@ def list_files(spark: SparkSession, root: str, glob: str = "*", from_ms: int | N
         "fail_msg", F.lit(None).cast("string"))
 
 
+def log_destinations(audit: DataFrame | None = None, snapshot: DataFrame | None = None, id_col: str = "cluster_id",
+                     conf_col: str = "cluster_log_conf", tenant_col: str = "organization_id") -> DataFrame:
+    """(tenant, cluster id, destination) of every cluster that logs somewhere. ``audit`` rows
+    (cluster specs, the conf as JSON text) say all places a cluster has logged to, the
+    ``snapshot`` (the conf as a struct, one field a kind of storage) where it logs now. What the
+    audit log says of a cluster wins; the snapshot speaks for clusters it does not name."""
+    places = []
+    for df in (audit, snapshot):
+        if df is None:
+            continue
+        dt = df.schema[conf_col].dataType
+        text = F.col(conf_col) if isinstance(dt, T.StringType) else F.to_json(conf_col)
+        by_kind = F.map_values(F.from_json(text, "map<string,struct<destination:string>>"))
+        d = df.select(tenant_col, F.col(id_col).alias("cluster_id"), F.explode(by_kind).alias("p"))
+        places.append(d.select(tenant_col, "cluster_id", F.col("p.destination").alias("destination")).where("cluster_id IS NOT NULL AND destination IS NOT NULL").distinct())
+    if not places:
+        raise ValueError("log destinations come from the audit log, a snapshot or both")
+    if len(places) == 1:
+        return places[0]
+    return places[0].unionByName(places[1].join(places[0], [tenant_col, "cluster_id"], "left_anti"))
+
+
 def log_prefixes(df: DataFrame, dest_col: str, id_col: str, suffix: str = "eventlog") -> DataFrame:
     """``<dest without one trailing slash>/<cluster id>/<suffix>``, distinct."""
     dest = F.regexp_replace(F.col(dest_col), "/$", "")

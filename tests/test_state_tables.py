@@ -277,3 +277,26 @@ def test_a_second_intake_reads_nothing(spark, tmp_path):
     assert [r["JobID"] for r in take("r3")[0]] == [2]
     (logs / "three").write_text('{"Event": "c", "Job ID": 3}\n')
     assert take("r4", until_ms=1)[0] == []  # landed, outside the window of this run
+
+
+def test_log_destinations_of_audit_and_snapshot(spark):
+    from tessera.sources.files import log_destinations, log_prefixes
+    audit = spark.createDataFrame([("o", "c1", json.dumps({"dbfs": {"destination": "dbfs:/a/"}})), ("o", "c1", json.dumps({"s3": {"destination": "s3://b", "region": "x"}})),
+                                   ("o", "c2", None), ("o", None, json.dumps({"dbfs": {"destination": "lost"}}))], "organization_id string, cluster_id string, cluster_log_conf string")
+    snap = spark.createDataFrame([("o", "c1", (("old",),)), ("o", "c3", (("dbfs:/c",),)), ("p", "c1", (("q",),)), ("o", "c4", None)],
+                                 "organization_id string, cluster_id string, cluster_log_conf struct<dbfs:struct<destination:string>>")
+    both = log_destinations(audit, snap)
+    assert rows(both, "organization_id", "cluster_id", "destination") == [("o", "c1", "dbfs:/a/"), ("o", "c1", "s3://b"), ("o", "c3", "dbfs:/c"), ("p", "c1", "q")]
+    assert rows(log_destinations(snapshot=snap), "destination") == [("dbfs:/c",), ("old",), ("q",)]
+    assert ("dbfs:/a/c1/eventlog",) in rows(log_prefixes(both, "destination", "cluster_id"))
+
+
+def test_run_lookups_sliced_equal_plain(spark):
+    from tessera.plans.medallion.silver_audit import job_runs_with_meta
+    rng = random.Random(8)
+    runs = spark.createDataFrame([("o", i, rng.choice([None, "c", "c", "d"]), rng.choice([None, 1, 2]), rng.randrange(100), f"r{i}") for i in range(60)],
+                                 "organization_id string, run_id long, cluster_id string, job_id long, submissionTime long, run_name string")
+    spec = spark.createDataFrame([("o", rng.choice([None, "c", "d"]), t, f"n{t}") for t in range(0, 100, 7)], "organization_id string, cluster_id string, timestamp long, cluster_name string")
+    status = spark.createDataFrame([("o", rng.choice([None, 1]), t, f"j{t}", None, None) for t in range(0, 100, 9)], "organization_id string, job_id long, timestamp long, job_name string, tasks string, job_clusters string")
+    a, b = (rows(job_runs_with_meta(runs, spec, job_status=status, slice_ms=s), "run_id", "cluster_name", "job_name") for s in (None, 10))
+    assert a == b and {r[1] for r in a if r[0] in {x["run_id"] for x in runs.where("cluster_id IS NULL").collect()}} == {None}
