@@ -5,7 +5,8 @@ and overlaps without pairs. Each runs over whole test tables, with DuckDB SQL fo
 Index: q70 K1/K3/K10/K11 (null partitions) · q71 W1 (map columns) ·
 q72 V12/A5 (run lineage) · q73 G4 (open runs, tenants, cluster types) · q74 V11 (set history) ·
 q75 J1/J3 (bounded look-back under slicing) · q76 B5/S3/S4 (file intake) · q77 S8/B3 (audit envelopes) ·
-q78 V7/G1/P24 (published account changes) · q79 V5/G1/P24 (published Spark tasks).
+q78 V7/G1/P24 (published account changes) · q79 V5/G1/P24 (published Spark tasks) ·
+q80 V12 (runs of several tasks) · q81 V11 (job settings and people) · q82 G6/X7 (streaming queries).
 """
 
 from __future__ import annotations
@@ -309,3 +310,105 @@ def q79(spark, d):
     out = publish_gold(spark_tasks(log, log, 0), "sparktask")
     return out.select("organization_id", "spark_context_id", "task_id", "task_attempt_id", "stage_id", "stage_attempt_id", "cluster_id", "executor_id", "host", "unixTimeMS", "date", F.col("task_runtime.runTimeMS").alias("run_ms"),
                       F.col("task_metrics.bytes").alias("bytes"), F.coalesce("task_info.FinishTime", "task_info.LaunchTime").alias("last_seen"), "task_type", F.col("event_log_start.byCluster").alias("log_start"), F.col("event_log_end.byCluster").alias("log_end"))
+
+
+# ------------------------------------------------------------------ q80-q82 silver and gold over an audit log made of the test tables
+
+def _jobs_audit(rows, fields):
+    """Audit rows of the jobs service from (ts, id, action, user, result) and request fields."""
+    request = F.struct(*[(F.col(f) if f in rows.columns else F.lit(None)).cast("string").alias(f) for f in fields])
+    return rows.select(
+        F.lit("o").alias("organization_id"), F.date_from_unix_date(F.floor(F.col("ts") / 86_400_000).cast("int")).alias("date"), F.col("ts").alias("timestamp"), F.lit("jobs").alias("serviceName"),
+        F.col("action").alias("actionName"), F.col("id").alias("requestId"), request.alias("requestParams"), F.struct(F.col("user").alias("email")).alias("userIdentity"),
+        F.struct(F.col("result"), F.lit(200).cast("long").alias("statusCode")).alias("response"))
+
+
+@query("q80_job_runs", """
+WITH l AS (SELECT l_orderkey AS o, l_linenumber AS n, max(l_partkey) AS p, max(l_suppkey) AS s FROM lineitem GROUP BY ALL),
+r AS (SELECT o_orderkey AS o, o_custkey AS job, epoch_ms(o_orderdate) + o_orderkey AS t FROM orders)
+SELECT r.o AS job_run_id, coalesce(1000000000 + r.o * 10 + l.n, r.o) AS run_id, 1000000000 + r.o * 10 + l.n AS task_run_id, r.job AS job_id, 't' || l.n AS task_key, CASE WHEN l.p % 4 <> 0 THEN 'k' || (l.p % 3) END AS task_type,
+       'c' || (l.s % 7) AS cluster_id, 'manual' AS trigger_type, CASE WHEN l.p % 10 = 0 THEN 'Cancelled' WHEN l.p % 4 IN (1, 2) THEN 'Succeeded' WHEN l.p % 4 = 3 THEN 'Failed' END AS terminal,
+       CASE WHEN l.p % 4 <> 0 OR l.p % 10 = 0 THEN greatest(CASE WHEN l.p % 4 <> 0 THEN 5000 * l.n + l.p END, CASE WHEN l.p % 10 = 0 THEN 7000 END) END AS run_ms,
+       CASE WHEN l.p % 4 <> 0 OR l.p % 10 = 0 THEN greatest(CASE WHEN l.p % 4 <> 0 THEN 5000 * l.n + l.p END, CASE WHEN l.p % 10 = 0 THEN 7000 END) - 1000 * l.n END AS execution_ms
+FROM r LEFT JOIN l ON l.o = r.o
+""")
+def q80(spark, d):
+    """Orders are submitted runs (some reported twice), their lines the tasks, of which some
+    never complete and some are cancelled; only completions report the task type."""
+    from tessera.plans.medallion.silver_audit import job_runs
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("o"), F.col("o_custkey").alias("job"), (C.epoch_ms("o_orderdate") + F.col("o_orderkey")).alias("t"))
+    li = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n")).agg(F.max("l_partkey").alias("p"), F.max("l_suppkey").alias("s"))
+    ev = o.join(li, "o")
+    p, n, task = F.col("p"), F.col("n"), F.lit(1_000_000_000) + F.col("o") * 10 + F.col("n")  # no id of an order
+    text = lambda mark, c: F.concat(F.lit(mark), c.cast("string"))
+    common = lambda ts, mark, action: (ts.alias("ts"), text(mark, F.col("o")).alias("id"), action.alias("action"), F.lit("u").alias("user"))
+    run = F.to_json(F.struct(F.col("o").alias("run_id")))
+    rows = o.select(*common(F.col("t"), "a", F.lit("runNow")), run.alias("result"), F.col("job").alias("job_id"))
+    again = o.where("o % 5 = 0").select(*common(F.col("t") + 9, "b", F.lit("runNow")), run.alias("result"), (F.col("job") + 1).alias("job_id"))
+    at = dict(runId=task, multitaskParentRunId=F.col("o"))
+    starts = ev.select(*common(F.col("t") + 1000 * n, "c", F.lit("runStart")), *[c.alias(k) for k, c in at.items()], text("t", n).alias("taskKey"), text("c", F.col("s") % 7).alias("clusterId"))
+    ends = ev.where("p % 4 <> 0").select(*common(F.col("t") + 5000 * n + p, "d", F.when(p % 4 < 3, "runSucceeded").otherwise("runFailed")), *[c.alias(k) for k, c in at.items()],
+                                         F.when(p % 4 < 3, "Succeeded").otherwise("Failed").alias("jobTerminalState"), text("k", p % 3).alias("jobTaskType"))
+    cancels = ev.where("p % 10 = 0").select(*common(F.col("t") + 7000, "e", F.lit("cancel")), task.alias("run_id"))
+    for part in (again, starts, ends, cancels):
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    runs = job_runs(_jobs_audit(rows, ("job_id", "runId", "run_id", "multitaskParentRunId", "taskKey", "clusterId", "jobTerminalState", "jobTaskType")))
+    return runs.select("job_run_id", "run_id", "task_run_id", "job_id", "task_key", "task_type", "cluster_id", "trigger_type", F.col("terminalState").alias("terminal"),
+                       F.col("TaskRunTime.runTimeMS").alias("run_ms"), F.col("TaskExecutionRunTime.runTimeMS").alias("execution_ms"))
+
+
+@query("q81_job_settings", """
+WITH e AS (SELECT event_id AS i, user_id % 60 AS job, epoch_us(ts) // 1000 AS t, 'u' || user_id AS who, CASE event_type WHEN 'signup' THEN 'create' WHEN 'click' THEN 'update' WHEN 'purchase' THEN 'reset' WHEN 'error' THEN 'delete' END AS act FROM events),
+v AS (SELECT *, CASE WHEN act = 'create' THEN 'n' || (i % 9) WHEN act = 'update' AND i % 3 = 0 THEN 'm' || (i % 9) END AS name, CASE WHEN act IN ('update', 'reset') AND i % 4 <> 0 THEN i % 100 END AS timeout,
+             act = 'update' AND i % 5 = 0 AS gone FROM e WHERE act IS NOT NULL)
+SELECT i AS event_id, job AS job_id, t AS "timestamp", act AS "actionName", last_value(name IGNORE NULLS) OVER w AS job_name,
+       CASE WHEN gone THEN NULL ELSE last_value(timeout IGNORE NULLS) OVER w END AS timeout_seconds,
+       last_value(CASE WHEN act = 'create' THEN who END IGNORE NULLS) OVER w AS created_by, last_value(CASE WHEN act = 'create' THEN t END IGNORE NULLS) OVER w AS created_ts,
+       coalesce(last_value(CASE WHEN act IN ('update', 'reset') THEN who END IGNORE NULLS) OVER w, last_value(CASE WHEN act = 'create' THEN who END IGNORE NULLS) OVER w) AS last_edited_by,
+       CASE WHEN act = 'delete' THEN who END AS deleted_by, CASE WHEN act = 'delete' THEN t END AS deleted_ts
+FROM v WINDOW w AS (PARTITION BY job ORDER BY t, i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+""")
+def q81(spark, d):
+    """Settings of sixty jobs through creates, updates (some remove a field), resets and
+    deletes; who made, edited and deleted them."""
+    from tessera.plans.medallion.silver_audit import job_status
+    i, kind = F.col("event_id"), F.col("event_type")
+    action = F.when(kind == "signup", "create").when(kind == "click", "update").when(kind == "purchase", "reset").when(kind == "error", "delete")
+    text = lambda mark, c: F.concat(F.lit(mark), c.cast("string"))
+    job = F.col("user_id") % 60
+    settings = F.to_json(F.struct(F.when((action == "update") & (i % 3 == 0), text("m", i % 9)).alias("name"), F.when(action.isin("update", "reset") & (i % 4 != 0), i % 100).alias("timeout_seconds")))
+    rows = table(spark, d, "events").select(
+        C.epoch_ms("ts").alias("ts"), F.format_string("%020d", i).alias("id"), action.alias("action"), text("u", F.col("user_id")).alias("user"), F.when(action == "create", F.to_json(F.struct(job.alias("job_id")))).alias("result"),
+        F.when(action != "create", job).alias("job_id"), F.when(action == "create", text("n", i % 9)).alias("name"), F.when(action.isin("update", "reset"), settings).alias("new_settings"),
+        F.when((action == "update") & (i % 5 == 0), F.lit('["timeout_seconds","other"]')).alias("fields_to_remove")).where("action IS NOT NULL")
+    st = job_status(_jobs_audit(rows, ("job_id", "name", "new_settings", "fields_to_remove")), slice_ms=DAY_S * 1000.0)
+    return st.select(F.col("requestId").cast("long").alias("event_id"), "job_id", "timestamp", "actionName", "job_name", "timeout_seconds", "created_by", "created_ts", "last_edited_by", "deleted_by", "deleted_ts")
+
+
+@query("q82_streaming_queries", """
+WITH e AS (SELECT event_id AS i, 's' || (user_id % 5) AS sid, 'r' || (user_id % 2) AS rid, epoch_us(ts) // 1000 AS t, event_type,
+                  CASE WHEN event_type = 'signup' THEN -1 ELSE event_id % 300 END AS batch, CASE WHEN event_type = 'signup' OR event_id % 10 = 0 THEN 'n' || (event_id % 4) END AS name FROM events WHERE event_type <> 'error'),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sid, rid, batch ORDER BY t DESC) AS rn FROM e) WHERE rn = 1),
+x AS (SELECT 's' || (event_id % 5) AS sid, 'r' || (event_id % 2) AS rid, user_id % 300 AS batch, list_sort(list(DISTINCT event_id % 50)) AS ids FROM events GROUP BY ALL)
+SELECT k.sid AS stream_id, k.rid AS stream_run_id, k.batch AS stream_batch_id, CASE WHEN event_type = 'signup' THEN 'Started' ELSE 'Progressed' END AS stream_segment, t AS stream_timestamp, CASE WHEN event_type <> 'signup' THEN i END AS num_input_rows,
+       last_value(name IGNORE NULLS) OVER (PARTITION BY k.sid, k.rid ORDER BY t, k.batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_name, coalesce(array_to_string(x.ids, ','), '') AS executions
+FROM k LEFT JOIN x ON x.sid = k.sid AND x.rid = k.rid AND x.batch = k.batch
+""")
+def q82(spark, d):
+    """Streaming-query events, the newest of each batch, names filled forward, and the
+    SQL executions whose description names the batch."""
+    from tessera.plans.medallion.gold import STREAM_EVENT_PREFIX, spark_stream_gold
+    i, kind = F.col("event_id"), F.col("event_type")
+    text = lambda mark, c: F.concat(F.lit(mark), c.cast("string"))
+    ev = table(spark, d, "events")
+    name = F.when((kind == "signup") | (i % 10 == 0), text("n", i % 4))
+    sid, rid = text("s", F.col("user_id") % 5), text("r", F.col("user_id") % 2)
+    progress = F.to_json(F.struct(sid.alias("id"), rid.alias("runId"), name.alias("name"), (i % 300).alias("batchId"), i.alias("numInputRows")))
+    where = [F.lit(x).alias(k) for k, x in (("organization_id", "o"), ("clusterId", "c"), ("SparkContextID", "x"))]
+    segment = F.when(kind == "signup", "Started").when(kind == "error", "Terminated").otherwise("Progress")
+    log = ev.select(*where, F.concat(F.lit(STREAM_EVENT_PREFIX), segment, F.lit("Event")).alias("Event"), F.when(kind != "signup", progress).alias("progress"), C.epoch_ms("ts").alias("Timestamp"),
+                    F.when(kind == "signup", sid).alias("id"), F.when(kind == "signup", rid).alias("runId"), F.when(kind == "signup", name).alias("name"))
+    executions = ev.select(*where, (i % 50).alias("executionId"), F.concat(F.lit("x id = "), text("s", i % 5), F.lit(" runId = "), text("r", i % 2), F.lit(" batch = "), (F.col("user_id") % 300).cast("string")).alias("description"))
+    got = spark_stream_gold(log, executions, slice_ms=DAY_S * 1000.0)
+    ids = F.array_join(F.transform(F.coalesce("execution_ids", F.array().cast("array<long>")), lambda x: x.cast("string")), ",")
+    return got.select("stream_id", "stream_run_id", "stream_batch_id", "stream_segment", "stream_timestamp", "num_input_rows", "stream_name", ids.alias("executions"))
