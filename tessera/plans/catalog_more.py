@@ -2,9 +2,9 @@
 tables with DuckDB SQL for the same rows.
 
 Index: q48 W14 · q49 A10/A11 · q50 A4 · q51 P6/P7/P8/P9 · q52 P12/P14 · q53 A7/N4 · q54 I6 ·
-q55 X5 (batch) · q56 J14 · q57 J13/P1/P3 · q58 V7/W8 · q59 G5/W12/F16 · q60 K3/K5/K10 (written
-twice, rolled back) · q61 K11/K1 · q62 I4/W6 · q63 P22/P25/P4/P5 · q64 F14/N2 · q65 F3/F5 ·
-q66 K15/K12/K4 · q67 W5/W16 · q68 F10/F12 · q69 V7 beyond 1000 rows.
+q55 X5 (batch) · q56 J14 · q57 J13/P3 · q58 V7/W8 · q59 G5/W12/F16 · q60 K3/K5/K10 (written
+twice, rolled back) · q61 K11/K1 · q62 I4/W6 · q63 P22/P25/P4/P5 · q64 F14 · q65 F3/F5 ·
+q66 K15/K12/K4 · q67 W5 · q68 F10/F12 · q69 V7 beyond 1000 rows.
 """
 
 from __future__ import annotations
