@@ -368,16 +368,27 @@ def spark_stream_gold(events: DataFrame, executions: DataFrame | None = None,
 
 # ------------------------------------------------------------------ G7 / G8 views
 
-# Consumer view column lists (subset of the published gold columns).
+# Consumer view column lists of the facts and of tables that are not published by
+# ``published.GOLD_TABLES`` (those follow its lists).
 VIEW_COLUMNS = {
-    "clusterstatefact": ("organization_id", "cluster_id", "cluster_name", "state", "state_start_date",
-                         "unixTimeMS_state_start", "unixTimeMS_state_end", "uptime_in_state_H", "sku", "dbu_rate",
-                         "total_dbus", "total_compute_cost", "total_DBU_cost", "total_cost"),
-    "jobruncostpotentialfact": ("organization_id", "run_id", "cluster_id", "cluster_type", "run_start", "run_end",
-                                "driver_compute_cost", "driver_dbu_cost", "worker_compute_cost", "worker_dbu_cost",
-                                "total_cost"),
-    "accountlogin": ("organization_id", "login_user", "login_type", "from_ip_address", "ssh_login_details",
-                     "user_agent", "timestamp"),
+    "clusterstatefact": ("organization_id", "workspace_name", "cluster_id", "cluster_name", "custom_tags", "state_start_date", "unixTimeMS_state_start",
+                         "unixTimeMS_state_end", "timestamp_state_start", "timestamp_state_end", "state", "driver_node_type_id", "node_type_id", "current_num_workers",
+                         "target_num_workers", "uptime_since_restart_S", "uptime_in_state_S", "uptime_in_state_H", "cloud_billable", "platform_billable", "isAutomated",
+                         "sku", "runtime_engine", "dbu_rate", "state_dates", "days_in_state", "worker_potential_core_H", "core_hours", "driver_dbus", "worker_dbus",
+                         "total_dbus", "driver_compute_cost", "worker_compute_cost", "driver_dbu_cost", "worker_dbu_cost", "total_compute_cost", "total_DBU_cost",
+                         "total_driver_cost", "total_worker_cost", "total_cost", "driverSpecs", "workerSpecs"),
+    "jobruncostpotentialfact": ("organization_id", "workspace_name", "job_id", "job_name", "run_id", "job_run_id", "task_run_id", "task_key", "repair_id", "run_name",
+                                "run_start", "run_end", "cluster_id", "cluster_name", "cluster_tags", "cluster_type", "driver_node_type_id", "node_type_id", "dbu_rate",
+                                "multitask_parent_run_id", "parent_run_id", "run_time", "terminal_state", "job_trigger_type", "task_type", "created_by", "last_edited_by",
+                                "running_days", "avg_cluster_share", "avg_overlapping_runs", "max_overlapping_runs", "cluster_states", "worker_potential_core_H",
+                                "driver_compute_cost", "driver_dbu_cost", "worker_compute_cost", "worker_dbu_cost", "total_driver_cost", "total_worker_cost",
+                                "total_compute_cost", "total_dbu_cost", "total_cost", "spark_task_runtime_H", "job_run_cluster_util"),
+    "accountlogin": ("organization_id", "workspace_name", "login_unixTimeMS", "login_date", "login_user", "user_email", "login_type", "from_ip_address", "ssh_login_details",
+                     "user_agent", "timestamp", "request_id", "response"),
+    "sparkjob": ("organization_id", "workspace_name", "spark_context_id", "job_id", "job_group_id", "execution_id", "stage_ids", "cluster_id", "notebook_id", "notebook_path",
+                 "db_job_id", "db_id_in_job", "db_job_type", "unixTimeMS", "timestamp", "date", "job_runtime", "job_result", "event_log_start", "event_log_end", "user_email"),
+    "sparkstream": ("organization_id", "workspace_name", "spark_context_id", "cluster_id", "stream_id", "stream_run_id", "stream_batch_id", "stream_timestamp", "date",
+                    "stream_segment", "stream_name", "streaming_metrics", "execution_ids"),
 }
 
 
@@ -386,9 +397,11 @@ def publish_consumer_views(spark, tables: dict[str, DataFrame], prefix: str = ""
     are skipped). The login view publishes both ``ssh_login_details`` and
     ``from_ip_address`` (the reference's missing comma renamed one into the other)."""
     from tessera.operators.tables import publish_view
+    from tessera.plans.medallion.published import GOLD_TABLES, view_columns
     made = []
     for name, df in tables.items():
-        cols = [c for c in VIEW_COLUMNS.get(name, tuple(df.columns)) if c in df.columns]
+        listed = view_columns(name) if name in GOLD_TABLES else VIEW_COLUMNS.get(name, tuple(df.columns))
+        cols = [c for c in listed if c in df.columns]
         publish_view(spark, f"{prefix}{name}", df, cols)
         made.append(f"{prefix}{name}")
     return made

@@ -137,7 +137,8 @@ PUBLISHED_TYPES = {
     **dict.fromkeys(_LONG, "long"), "num_workers": "int", "auto_termination_minutes": "int",
     **dict.fromkeys(("is_automated", "enable_elastic_disk", "retry_on_timeout", "is_from_dlt"), "boolean"),
     "tags": "map<string,string>", "tasks": TASK_SCHEMA, "job_clusters": JOB_CLUSTER_SCHEMA, "task_dependencies": "array<string>",
-    "schedule": "struct<quartz_cron_expression:string, timezone_id:string, pause_status:string>", "security_profile": "struct<user_name:string, mode:string>",
+    "schedule": "struct<quartz_cron_expression:string, timezone_id:string, pause_status:string>", "security_profile": "struct<user_name:string, mode:string, is_single_user:boolean, table_acls_enabled:boolean, credential_passthrough_enabled:boolean, "
+                        "isolation_enabled:boolean, repl_languages_permitted:array<string>>",
     "create_details": "struct<created_by:string, created_at:long>", "delete_details": "struct<deleted_by:string, deleted_at:long>",
     **dict.fromkeys(("task_runtime", "task_execution_runtime", "stage_runtime", "sql_execution_runtime", "executor_alivetime"), _RUNTIME),
     **dict.fromkeys(("event_log_start", "event_log_end"), _FILES),
@@ -182,3 +183,14 @@ def publish_gold(df: DataFrame, table: str, missing: str = "null") -> DataFrame:
             c = F.col(src)
         cols.append(c.alias(out))
     return df.select(*cols)
+
+
+# Published columns that the consumer views leave out.
+_NOT_VIEWED = {"job": ("unixTimeMS", "job_type", "job_format"), "jobrun": ("startEpochMS",), "sparktask": ("task_executor_metrics",)}
+
+
+def view_columns(table: str) -> tuple[str, ...]:
+    """A published table's consumer view: the tenant and its workspace, then the published
+    columns but a few technical ones."""
+    front = ("organization_id", "workspace_name")
+    return front + tuple(out for out, _ in GOLD_TABLES[table] if out not in (*front, *_NOT_VIEWED.get(table, ())))

@@ -258,6 +258,7 @@ def account_logins(audit: DataFrame) -> DataFrame:
     return w.unionByName(s)
 
 
+# Audit actions that change an account.
 MOD_ACTIONS = ("add", "addPrincipalToGroup", "removePrincipalFromGroup", "setAdmin", "updateUser", "delete")
 
 

@@ -46,26 +46,37 @@ def _snap_ms(df: DataFrame, col: str = "Pipeline_SnapTS") -> Column:
 
 # ------------------------------------------------------------------ V8 pools
 
+# Pool attributes that the audit log and the snapshot both carry.
 POOL_ATTRS = ("node_type_id", "idle_instance_autotermination_minutes", "min_idle_instances", "max_capacity",
-              "preloaded_spark_versions", "enable_elastic_disk", "custom_tags", "instance_pool_name")
+              "preloaded_spark_versions", "enable_elastic_disk", "custom_tags", "instance_pool_name",
+              "aws_attributes", "azure_attributes")
+
+
+def _text(df: DataFrame, c: str) -> Column:
+    """A snapshot column as text: nested ones as JSON, as the audit log writes them."""
+    nested = isinstance(df.schema[c].dataType, (T.StructType, T.MapType, T.ArrayType))
+    return F.to_json(c) if nested else F.col(c).cast("string")
 
 
 def pools_spec(audit: DataFrame, pools_snapshot: DataFrame, first_run: bool = False,
                from_ms: int | None = None, slice_ms: float | None = None) -> DataFrame:
     """V8: pool create/edit/delete events; pool id from the create response; one row per
     (pool, action, timestamp) (every event kept - the reference's window kept only the
-    first per pool); snapshot looked up as-of with unlimited look-ahead; eight
+    first per pool); snapshot looked up as-of with unlimited look-ahead; the
     attributes filled forward with the snapshot as second choice; create/delete details
     on successful events, filled forward. First run: pools never seen get an imputed row."""
     a = audit.filter((F.col("serviceName") == "instancePools") & F.col("actionName").isin("create", "edit", "delete"))
     pid = F.when(F.col("actionName") == "create", _result("instance_pool_id")).otherwise(_rp(a, "instance_pool_id"))
-    base = a.select(ORG, "timestamp", "actionName", "requestId", pid.alias("instance_pool_id"),
+    asked = F.struct(*[(F.col(c) if c in a.columns else F.lit(None).cast("string")).alias(c) for c in (
+        "requestId", "response", "sessionId", "sourceIPAddress", "userAgent")])
+    base = a.select(ORG, "serviceName", "timestamp", F.to_date(F.timestamp_millis("timestamp")).alias("date"), "actionName", "requestId", pid.alias("instance_pool_id"),
+                    asked.alias("request_details"),
                     *[_rp(a, c).alias(c) for c in POOL_ATTRS],
                     F.col("userIdentity.email").alias("user_email"), _ok().alias("__ok"))
     base = base.filter(F.col("instance_pool_id").isNotNull())
     base = dedup_by_key(base, [ORG, "instance_pool_id", "actionName", "timestamp"], ["requestId"])
     snap = pools_snapshot.select(ORG, "instance_pool_id", _snap_ms(pools_snapshot).alias("timestamp"),
-                                 *[F.col(c).cast("string").alias(f"snap_{c}") for c in POOL_ATTRS
+                                 *[_text(pools_snapshot, c).alias(f"snap_{c}") for c in POOL_ATTRS
                                    if c in pools_snapshot.columns])
     d = TimeSeries(base, "timestamp", (ORG, "instance_pool_id")).lookup_when(
         TimeSeries(snap, "timestamp", (ORG, "instance_pool_id")), lookahead_rows=None, slice_size=slice_ms)
@@ -82,7 +93,7 @@ def pools_spec(audit: DataFrame, pools_snapshot: DataFrame, first_run: bool = Fa
     d = d.drop("__ok", *[c for c in d.columns if c.startswith("snap_")])
     if first_run and from_ms is not None:
         snap_rows = pools_snapshot.select(ORG, "instance_pool_id", _snap_ms(pools_snapshot).alias("__snap"),
-                                          *[F.col(c).cast("string").alias(c) for c in POOL_ATTRS
+                                          *[_text(pools_snapshot, c).alias(c) for c in POOL_ATTRS
                                             if c in pools_snapshot.columns])
         d = impute_first_run(d, snap_rows, [ORG, "instance_pool_id"], ["__snap"], F.lit(from_ms), "timestamp").drop(
             "__snap")
@@ -91,8 +102,22 @@ def pools_spec(audit: DataFrame, pools_snapshot: DataFrame, first_run: bool = Fa
 
 # ------------------------------------------------------------------ V9 cluster spec
 
-def _conf_json(c: Column, key: str) -> Column:
-    return F.get_json_object(F.regexp_replace(c, "\\.", "_"), f"$.{key}")
+def _conf_value(conf_json: Column, ending: str) -> Column:
+    """The value of the conf key that ends in ``ending`` (dots or underscores between its words),
+    whatever the platform's prefix; null if there is none."""
+    key = '"[^"]*' + ending.replace(".", "[._]") + '"\\s*:\\s*'
+    quoted, bare = (F.regexp_extract(conf_json, key + v, 1) for v in ('"([^"]*)"', '([^",{}\\[\\]\\s]+)'))
+    return F.coalesce(F.nullif(quoted, F.lit("")), F.nullif(bare, F.lit("")))
+
+
+def security_profile(conf_json: Column, single_user: Column, mode: Column) -> Column:
+    """V9: who may use a cluster and how: access lists, credentials passed through, isolated
+    processes (all off unless the conf says so) and the languages allowed."""
+    on = lambda ending: F.coalesce(_conf_value(conf_json, ending).try_cast("boolean"), F.lit(False))
+    return F.struct(
+        single_user.alias("user_name"), mode.alias("mode"), single_user.isNotNull().alias("is_single_user"), on("acl.dfAclsEnabled").alias("table_acls_enabled"),
+        on("passthrough.enabled").alias("credential_passthrough_enabled"), on("pyspark.enableProcessIsolation").alias("isolation_enabled"),
+        F.coalesce(F.split(_conf_value(conf_json, "repl.allowedLanguages"), ","), F.array(F.lit("All"))).alias("repl_languages_permitted"))
 
 
 # Further cluster-spec fields published as they are (output, request field).
@@ -108,7 +133,7 @@ CLUSTER_EXTRA_FIELDS = (
 def cluster_type(spark_conf_json: Column, custom_tags_json: Column) -> Column:
     """Single Node / Serverless / SQL Analytics / Standard. The profile is the value of
     the conf key ending in ``cluster.profile`` (whatever the platform prefix)."""
-    profile = F.regexp_extract(spark_conf_json, '"[^"]*cluster[._]profile"\\s*:\\s*"([^"]*)"', 1)
+    profile = _conf_value(spark_conf_json, "cluster.profile")
     return (F.when(profile == "singleNode", "Single Node").when(profile == "serverless", "Serverless")
             .when(F.get_json_object(custom_tags_json, "$.SqlEndpointId").isNotNull(), "SQL Analytics")
             .otherwise("Standard"))
@@ -199,12 +224,14 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
     d = fill_forward(d, ["__editor"], [ORG, "cluster_id"], ["timestamp", "actionName"],
                      bucket=_slices(slice_ms)).withColumnRenamed("__editor", "lastEditedBy")
     d = d.join(creators, [ORG, "cluster_id"], "left").join(deleters, [ORG, "cluster_id"], "left")
+    kind = cluster_type(F.col("spark_conf"), F.col("custom_tags"))
+    d = d.withColumns({"num_workers": F.when(kind == "Single Node", 0).otherwise(F.col("num_workers")),  # whatever was asked for
+                       "enable_elastic_disk": F.coalesce(F.col("enable_elastic_disk") != "false", F.lit(True))})
     return d.select(
         ORG, "cluster_id", "actionName", "timestamp", "date", "cluster_name", "driver_node_type_id", "node_type_id",
         "num_workers", "autoscale", "spark_version", "spark_conf", "custom_tags", "instance_pool_id",
-        "driver_instance_pool_id", "instance_pool_name", "driver_instance_pool_name", cluster_type(F.col("spark_conf"), F.col("custom_tags")).alias("cluster_type"),
-        F.struct(F.col("single_user_name").alias("user_name"), F.col("data_security_mode").alias("mode"))
-        .alias("security_profile"), "createdBy", "lastEditedBy",
+        "driver_instance_pool_id", "instance_pool_name", "driver_instance_pool_name", kind.alias("cluster_type"),
+        security_profile(F.col("spark_conf"), F.col("single_user_name"), F.col("data_security_mode")).alias("security_profile"), "createdBy", "lastEditedBy",
         runtime_engine(F.col("runtime_engine"), F.coalesce(F.col("spark_version"), F.lit(""))).alias("runtime_engine"),
         *[out for out, _ in CLUSTER_EXTRA_FIELDS], "deleted_by",
         is_automated(F.col("cluster_name")).alias("is_automated"))
@@ -212,6 +239,7 @@ def cluster_spec(audit: DataFrame, clusters_snapshot: DataFrame, pools: DataFram
 
 # ------------------------------------------------------------------ V11 job status
 
+# Audit actions that change a job.
 JOB_ACTIONS = ("create", "delete", "reset", "update", "resetJobAcl", "changeJobAcl")
 # Settings filled per job from new_settings / the snapshot, and the
 # types the numeric / boolean ones are published with.

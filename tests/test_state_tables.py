@@ -300,3 +300,30 @@ def test_run_lookups_sliced_equal_plain(spark):
     status = spark.createDataFrame([("o", rng.choice([None, 1]), t, f"j{t}", None, None) for t in range(0, 100, 9)], "organization_id string, job_id long, timestamp long, job_name string, tasks string, job_clusters string")
     a, b = (rows(job_runs_with_meta(runs, spec, job_status=status, slice_ms=s), "run_id", "cluster_name", "job_name") for s in (None, 10))
     assert a == b and {r[1] for r in a if r[0] in {x["run_id"] for x in runs.where("cluster_id IS NULL").collect()}} == {None}
+
+
+def test_cluster_security_and_pool_details(spark):
+    from tessera.plans.medallion.silver_audit import cluster_type, pools_spec, security_profile
+    confs = [(json.dumps({"x.cluster.profile": "singleNode", "spark.y.acl.dfAclsEnabled": "true", "spark.y.repl.allowedLanguages": "python,sql"}), "ann"),
+             (json.dumps({"spark_y_passthrough_enabled": True, "spark.y.pyspark.enableProcessIsolation": "no"}), None), (None, None), ("{}", None)]
+    df = spark.createDataFrame(confs, "conf string, who string")
+    got = [(r["t"], *r["p"]) for r in df.select(cluster_type(F.col("conf"), F.lit(None).cast("string")).alias("t"), security_profile(F.col("conf"), F.col("who"), F.lit("m")).alias("p")).collect()]
+    assert got == [("Single Node", "ann", "m", True, True, False, False, ["python", "sql"]), ("Standard", None, "m", False, False, True, False, ["All"]),
+                   ("Standard", None, "m", False, False, False, False, ["All"]), ("Standard", None, "m", False, False, False, False, ["All"])]
+    audit = spark.createDataFrame([("o", "instancePools", "edit", 5, "r", ("p1", None), (None, 200), ("a",), "1.1.1.1")],
+                                  "organization_id string, serviceName string, actionName string, timestamp long, requestId string, requestParams struct<instance_pool_id:string, node_type_id:string>, "
+                                  "response struct<result:string, statusCode:long>, userIdentity struct<email:string>, sourceIPAddress string")
+    snap = spark.createDataFrame([("o", "p1", 9, {"zone": "z"}, "n")], "organization_id string, instance_pool_id string, Pipeline_SnapTS long, aws_attributes map<string,string>, node_type_id string")
+    from tessera.plans.medallion.published import publish_gold
+    r = publish_gold(pools_spec(audit, snap), "instancepool").first()
+    assert r["aws_attributes"] == '{"zone":"z"}' and r["node_type_id"] == "n" and r["serviceName"] == "instancePools"
+    assert r["request_details"]["sourceIPAddress"] == "1.1.1.1" and r["request_details"]["response"]["statusCode"] == 200
+
+
+def test_views_of_published_tables(spark):
+    from tessera.plans.medallion.gold import publish_consumer_views
+    from tessera.plans.medallion.published import GOLD_TABLES, publish_gold, view_columns
+    stage = spark.createDataFrame([("o", 3)], "organization_id string, StageID long")
+    publish_consumer_views(spark, {"sparkstage": publish_gold(stage, "sparkstage")}, prefix="w_")
+    assert spark.table("w_sparkstage").columns == [c for c in view_columns("sparkstage") if c != "workspace_name"]
+    assert all(view_columns(t)[:2] == ("organization_id", "workspace_name") and len(set(view_columns(t))) == len(view_columns(t)) for t in GOLD_TABLES)
