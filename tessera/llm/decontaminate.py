@@ -10,8 +10,9 @@ bits on average (standard deviation 4.3).
 
 Windows with too few shingles of that size's items to reach 0.75 are not fingerprinted: their
 similarity cannot reach it, so nothing is lost, and a bitmap of fixed size finds most of them. Items are read in blocks of
-``ITEMS``; each block is one pass over the documents in the same job, so a benchmark of any size
-fits, and documents are never moved.
+``ITEMS``; each block is one pass over the documents in the same job, and documents are never
+moved. The blocks' indexes pass through the driver and live in every task, so the benchmark's
+size is bounded by their memory.
 
 Words are lower-cased runs of letters, digits and non-ASCII characters, as a leaked passage may
 change case and punctuation.

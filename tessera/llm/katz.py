@@ -20,8 +20,9 @@ The counts live in tables partitioned by word, one task's group each, whose size
 
 Frequent words and pairs (at least 1/``HOT`` of a sample of the corpus, so a bounded list) are counted
 exactly in a pass of their own and broadcast: the pairs are scored where the text is, and a
-frequent word's other pairs are spread over all partitions by pair. So no word or pair, however
-frequent, gathers its occurrences in one task. The lists change nothing in the result.
+frequent word's other pairs are spread over all partitions by pair. So no listed word or pair
+gathers its occurrences in one task; one just below the lists' share does, and the sample shrinks
+where one row is repeated thousands of times. The lists change nothing in the result.
 
 Words are compared by 64-bit hashes.
 
