@@ -10,7 +10,8 @@
    strongest words and their share, and a logistic regression over these few figures.
 
 Labels are learned only from rows outside fold 0, from at most ``SAMPLE`` labelled rows (least
-hash of the id first). Labels, language, source and ids are never inputs of a score.
+hash of the id first), one text an id: repeated rows of an id neither weigh more nor lengthen the
+sample. Labels, language, source and ids are never inputs of a score.
 
 Edge cases: null and empty texts have no words and get the score of a document without evidence;
 documents labelled twice count as toxic if any label says so; null labels and ids are ignored;
@@ -48,6 +49,8 @@ _SEPARATORS = " .-_~"
 _KEEP, _SWAP, _WILD, _DROP, _BREAK, _SINGLE, _DOUBLE, _HALVE = -0.05, -1.0, -2.5, -5.0, -3.0, -0.7, -1.2, -9.0
 #: Stars or states from which decoding works on arrays of states; steps between saved scores.
 _STARS, _MANY, _SAVED = 2, 64, 256
+#: Stars at the end of a stretch up to which the best endings of all states are remembered.
+_ENDING = 64
 
 _TRACE = re.compile(r"[a-z][0-9@$!|+*]|[0-9@$!|+*][a-z]|([a-z])\1\1|(?<![a-z])[a-z][ .\-_~]{1,2}[a-z][ .\-_~]{1,2}[a-z](?![a-z])")
 _RUN = re.compile(r"[a-z0-9@$!|+*]+")
@@ -122,6 +125,7 @@ class Decoder:
 
     def __init__(self, model: np.ndarray):
         self.model, self.known = np.asarray(model, np.float64), {}
+        self.endings = [self.model[:, 0]]  # by stars still to come: the best score from each state to the end
 
     def decode(self, stretch: str) -> str:
         if stretch not in self.known:
@@ -130,12 +134,43 @@ class Decoder:
             self.known[stretch] = self._viterbi(stretch)
         return self.known[stretch]
 
+    def _ending(self, stars: int) -> np.ndarray:
+        """For each state, the best score of that many stars and the end of the stretch. It does not
+        depend on what stands before them, so it is worked out once for all stretches."""
+        while len(self.endings) <= stars:
+            after = self.endings[-1]
+            # the state after a letter forgets the oldest of the three: rows repeat every SIZE^2 states
+            letters = self.model[:, 1:] + np.tile(after.reshape(-1, SIZE)[:, 1:], (SIZE, 1))
+            self.endings.append(np.maximum(after + _DROP, letters.max(1) + _WILD))
+        return self.endings[stars]
+
+    def _ended(self, beam: dict, stars: int) -> str:
+        """The best path of ``beam`` with its best ending, followed forwards."""
+        best = self._ending(stars)
+        at = max(beam, key=lambda x: beam[x][0] + best[x])
+        chain, out, tail = beam[at][1], [], []
+        while chain:
+            chain, ch = chain
+            out.append(ch)
+        for left in reversed(range(stars)):
+            after = self.endings[left]
+            to = at % (SIZE * SIZE) * SIZE
+            scores = self.model[at, 1:] + after[to + 1:to + SIZE] + _WILD
+            code = int(scores.argmax())
+            if scores[code] >= after[at] + _DROP:
+                tail.append(chr(97 + code))
+                at = to + code + 1
+        return ("".join(reversed(out)) + "".join(tail)).strip()
+
     def _viterbi(self, stretch: str) -> str:
-        if stretch.count("*") >= _STARS:
+        body = stretch.rstrip("*")
+        stars = len(stretch) - len(body)
+        if body.count("*") >= _STARS or stars > _ENDING:
             return self._all_states(stretch)
         model, square = self.model, SIZE * SIZE
         beam = {0: (0.0, None)}  # last three letters -> log-probability, back-pointer chain
-        for choices in [*lattice(stretch), [(" ", 0.0)]]:
+        # stars at the end are not walked through: their best endings are known for every state
+        for choices in lattice(stretch)[:-stars] if stars else [*lattice(stretch), [(" ", 0.0)]]:
             new: dict = {}
             for state, (score, back) in beam.items():
                 for letters, cost in choices:
@@ -150,6 +185,8 @@ class Decoder:
             if len(new) >= _MANY:
                 return self._all_states(stretch)
             beam = new
+        if stars:
+            return self._ended(beam, stars)
         chain, out = max(beam.values(), key=lambda x: x[0])[1], []
         while chain:
             chain, ch = chain
@@ -293,7 +330,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, support: int =
     model = log_model(count_characters(docs))
     chosen = (labels.where("toxic is not null and doc_id is not null").where(fold() != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows of two numbers
+    # at most ``sample`` rows of two numbers are broadcast; of an id on many rows the least text is learned from
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def make():
         decoder = Decoder(model)

@@ -73,6 +73,25 @@ def test_a_run_of_signs_stands_for_as_many_letters(fitted):
         tx._SAVED = held
 
 
+def test_stars_at_the_end_equal_all_states(fitted):
+    d = tx.Decoder(fitted.model)
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghilmnorstu014@$!")
+    for n in range(120):
+        s = "".join(rng.choice(letters, rng.integers(0, 9))) + "*" * int(rng.integers(1, 6))
+        assert d._viterbi(s) == d._all_states(s), s
+    assert d._viterbi("wor" + "*" * 80) == d._all_states("wor" + "*" * 80)
+
+
+def test_repeated_rows_of_an_id_do_not_change_the_model(spark):
+    docs = [(i, f"text {i} " + ("you moron idiot" if i % 3 == 0 else "quiet words here")) for i in range(1, 60)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(1, 60)], "doc_id long, toxic int")
+    once = tx.fit(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    rows = [d for d in docs if zlib.crc32(str(d[0]).encode()) % 5]
+    more = tx.fit(spark.createDataFrame(docs + [rows[0]] * 500, "doc_id long, text string"), labels)
+    assert once.lexicon == more.lexicon and np.allclose(once.weights, more.weights)
+
+
 def test_held_out_accuracy(spark):
     rows = op4_deobfuscated_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
