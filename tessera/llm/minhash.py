@@ -14,10 +14,14 @@ screens its pairs and gives each member one row: the least id it is connected wi
 these rows are small clusters of texts that may be near duplicates; they are cut into units
 again, now with their full shingle sets, and confirmed pairs are linked in the same way.
 
+Classes of equal sets are numbered, and links are links of classes, so ids need not be unique.
+
 Edge cases: null and empty texts and texts without words have no shingles and link with nothing;
-fewer than five words are one shingle; repeated rows share a component; rows without an id get no
-component and stay; an id names one text (of rows that give it others, one text is confirmed on);
-other columns are kept by ``deduplicated``.
+fewer than five words are one shingle; very long texts are read whole, 512 shingles at a time;
+repeated rows share a component; rows of one id with different texts are one document, so all that
+they link with is one component; rows without an id link by their texts (their component is the least id
+found, null if there is none); ``deduplicated`` leaves one row of each component, also where ids
+repeat or are null (of rows equal in id and set any one), and keeps the other columns.
 """
 
 from __future__ import annotations
@@ -36,8 +40,8 @@ SYMBOLS, CHUNK, BITS = 24, 3, 16
 RADIUS = 2 * (SYMBOLS // CHUNK) - 1
 #: Minima of the screening signature, and how many may differ.
 SCREEN, FAR = 96, 42
-#: Members of a block, and the bytes of a task's units.
-BLOCK, UNIT_BYTES = 1024, 48_000_000
+#: Members of a block, and the bytes and pairs of a task's units.
+BLOCK, UNIT_BYTES, UNIT_PAIRS = 1024, 16_000_000, 2_000_000
 #: Links need 100 * intersection >= LEAST * union.
 LEAST = 75
 
@@ -98,12 +102,12 @@ _EDGE = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.Lon
 
 def _units(members: DataFrame, group: str, weight: str) -> DataFrame:
     """Members (group, id, ...) of groups with several, once for each unit they belong to, with
-    the unit's blocks and its ``home``: units are dealt to tasks of about ``UNIT_BYTES``."""
+    the unit's blocks and its ``home``: units are dealt to tasks of about ``UNIT_BYTES`` and ``UNIT_PAIRS``."""
     sizes = stage(members.groupBy(group).agg(F.count("*").alias("_n"), F.sum(weight).alias("_w")).where("_n > 1")
-                  .select(group, F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"), "_w"), "group_sizes")
-    load = sizes.agg(F.sum(F.col("_w") * F.col("blocks"))).first()[0] or 0
-    homes = max(1, int(load / UNIT_BYTES))
-    return (members.join(sizes.drop("_w"), group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+                  .select(group, F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"), "_n", "_w"), "group_sizes")
+    load, pairs = sizes.agg(F.sum(F.col("_w") * F.col("blocks")), F.sum(F.col("_n").cast("double") * F.col("_n") / 2)).first()
+    homes = max(1, int((load or 0) / UNIT_BYTES), int((pairs or 0) / UNIT_PAIRS))
+    return (members.join(sizes.drop("_n", "_w"), group).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other", "blocks")
             .withColumn("home", F.pmod(F.xxhash64(group, "lo", "hi"), F.lit(homes))))
@@ -200,37 +204,92 @@ def _linked(table: pa.Table) -> pa.Table:
     return forest.edges()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+_SET = ["n_shingles", "f1", "f2"]
+
+
+def _components(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): doc_id and set of every row; set, number, group (least class number reachable)
+    and least id of every class of equal sets."""
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text"))
     rows = stage(signatures(docs, key, text), "signatures")
-    real = rows.where("n_shingles > 0 and doc_id is not null")
-    same_set = ["n_shingles", "f1", "f2"]
-    classes = stage(real.groupBy(*same_set).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = stage(real.join(classes.select(F.col("rep").alias("doc_id"), *same_set), ["doc_id", *same_set], "left_semi").dropDuplicates(["doc_id"]), "representatives")
-    members = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sig", "keys")
+    real = rows.where("n_shingles > 0")
+    # numbered once and written, so that a lost task cannot number again
+    classes = stage(real.groupBy(*_SET).agg(F.min("doc_id").alias("low")).withColumn("id", F.monotonically_increasing_id()), "classes")
+
+    def same(left: DataFrame, right: DataFrame) -> DataFrame:
+        """Rows of ``left`` with the class that they are the least id of."""
+        right = right.select(*[F.col(c).alias(f"_{c}") for c in _SET], F.col("low"), "id")
+        return left.join(right, F.col("doc_id").eqNullSafe(F.col("low")) & (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2")) & (F.col("n_shingles") == F.col("_n_shingles")))
+
+    members = stage(same(real, classes).select("id", F.col("n_shingles").alias("n"), "sig", "keys").dropDuplicates(["id"]), "representatives")
     postings = members.select(F.explode("keys").alias("key"), "id", F.lit(SCREEN + 64).alias("bytes"))
     units = _units(postings, "key", "bytes").join(members.drop("keys"), "id")  # signatures only where a key has several
     near = stage(units.groupBy("home").applyInArrow(_screened, _EDGE), "near")
     clusters = stage(components(near), "clusters")
 
     def make():
-        return lambda batch: {"shingles": [shingle_set(t).tobytes() for t in texts_of(batch, "_text")]}
+        def run(batch: pa.RecordBatch) -> dict:
+            sets = [shingle_set(t).tobytes() for t in texts_of(batch, "_text")]
+            prints = [xxhash.xxh3_128_digest(s) for s in sets]
+            return {"shingles": sets, "n_shingles": [len(s) // 8 for s in sets], "f1": [int.from_bytes(f[:8], "little", signed=True) for f in prints],
+                    "f2": [int.from_bytes(f[8:], "little", signed=True) for f in prints]}
+        return run
 
-    listed = stage(clusters.select("id").unionByName(clusters.select(F.col("component").alias("id"))).distinct(), "cluster_ids")
-    sets = with_columns(by_ids(texts, listed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "shingles binary", make).drop("_text")
-    inside = (listed.join(clusters, "id", "left").select("id", F.coalesce("component", "id").alias("cluster")).join(members.drop("keys"), "id")
-              .join(sets.withColumnRenamed("doc_id", "id"), "id").withColumns({"n": F.octet_length("shingles") / F.lit(8), "bytes": F.octet_length("shingles") + SCREEN + 64}))
-    inside = stage(inside.withColumn("n", F.col("n").cast("long")), "cluster_members")
+    listed = clusters.select("id").unionByName(clusters.select(F.col("component").alias("id"))).distinct()
+    listed = stage(listed.join(clusters, "id", "left").select("id", F.coalesce("component", "id").alias("cluster")).join(classes, "id"), "cluster_ids")
+    named = by_ids(texts, listed.select("low").where("low is not null").distinct(), "doc_id", "left_semi")
+    unnamed = by_ids(texts.where("doc_id is null").withColumn("_none", F.lit(0)), listed.where("low is null").select(F.lit(0)).distinct(), "_none", "left_semi").drop("_none")
+    sets = same(with_columns(named.union(unnamed).distinct(), "shingles binary, n_shingles long, f1 long, f2 long", make).drop("_text"), listed)
+    inside = (sets.select("id", "shingles").join(listed.select("id", "cluster"), "id").join(members.drop("keys"), "id")
+              .withColumn("bytes", F.octet_length("shingles") + SCREEN + 64))
+    inside = stage(inside, "cluster_members")
     links = stage(_units(inside, "cluster", "bytes").groupBy("home").applyInArrow(_linked, _EDGE), "links")
 
-    several = real.join(classes, same_set).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # an id on rows of several classes links them
+    own = real.where("doc_id is not null").select("doc_id", *_SET)
+    mixed = own.groupBy("doc_id").agg(*[(F.min(c) < F.max(c)).alias(c) for c in _SET]).where(" or ".join(_SET)).select("doc_id")
+    several = own.join(mixed, "doc_id", "left_semi").distinct().join(classes.select("id", *_SET), _SET).select("doc_id", "id")
+    several = several.join(several.groupBy("doc_id").agg(F.min("id").alias("b")), "doc_id").where("id <> b").select(F.col("id").alias("a"), "b")
     final = stage(components(links.union(several)), "components")
-    out = rows.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    grouped = classes.join(final, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    lows = grouped.groupBy("component").agg(F.min("low").alias("component_id"))
+    return rows.select("doc_id", *_SET), stage(grouped.join(lows, "component"), "class_components")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+    rows, classes = _components(docs, key, text)
+    out = rows.join(classes.select(*_SET, "component", F.col("component_id").alias("least")), _SET, "left")
+    own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least"))  # without a set: itself
+    return out.withColumn("component_id", own).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one of least id."""
-    dropped = stage(near_duplicates(docs, key, text).where("not kept").select("doc_id").distinct(), "dropped")
-    return by_ids(docs, dropped, key, "left_anti")
+    rows, classes = _components(docs, key, text)
+    placed = rows.join(classes.select(*_SET, "component", "component_id"), _SET, "left")
+    dropped = stage(placed.where("component is not null and doc_id <> component_id").select("doc_id").distinct(), "dropped")
+    # ids on several rows, and null: a fingerprint decides which row stays
+    repeated = stage(rows.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id"), "repeated_ids")
+    left = by_ids(docs, dropped, key, "left_anti")
+    if not repeated.limit(1).count():
+        return left
+    once = by_ids(left, repeated, key, "left_anti").where(F.col(key).isNotNull())
+    first = classes.groupBy("component").agg(F.min(F.struct(F.col("low").isNull().alias("none"), "low", *_SET)).alias("first")).select("first.*").drop("none")
+    whole = left.select(F.struct("*").alias("_doc"), F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text"))
+    many = by_ids(whole, repeated, "doc_id", "left_semi").unionByName(whole.where("doc_id is null"))
+
+    def make():
+        def run(batch: pa.RecordBatch) -> dict:
+            sets = [shingle_set(t) for t in texts_of(batch, "_text")]
+            prints = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            return {"n_shingles": [len(s) for s in sets], "f1": [int.from_bytes(f[:8], "little", signed=True) for f in prints],
+                    "f2": [int.from_bytes(f[8:], "little", signed=True) for f in prints]}
+        return run
+
+    many = with_columns(many, "n_shingles long, f1 long, f2 long", make)
+    first = first.select(F.col("low"), *[F.col(c).alias(f"_{c}") for c in _SET])
+    firsts = many.where("n_shingles > 0").dropDuplicates(["doc_id", *_SET]).join(
+        first, F.col("doc_id").eqNullSafe(F.col("low")) & (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2")) & (F.col("n_shingles") == F.col("_n_shingles")), "left_semi")
+    chosen = many.where("n_shingles = 0").unionByName(firsts).select("_doc.*")
+    return once.unionByName(chosen.select(*once.columns))

@@ -125,7 +125,33 @@ def test_edge_rows(spark):
     t = "one two three four five six"
     df = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, " \n", 1), (5, t, 1), (4, t.upper(), 1), (4, t, 1), (None, t, 1), (6, "a b", 1), (7, "A  b", 1)], "doc_id long, text string, kept int")
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id, r.kept) for r in mh.near_duplicates(df).collect())
-    assert got == [(-1, 2, None, True), (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 2, 4, True), (4, 2, 4, True), (5, 2, 4, False), (6, 1, 6, True), (7, 1, 6, False)]
-    assert sorted(r.doc_id or -1 for r in mh.deduplicated(df).collect()) == [-1, 1, 2, 3, 4, 4, 6]
+    assert got == [(-1, 2, 4, False), (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 2, 4, True), (4, 2, 4, True), (5, 2, 4, False), (6, 1, 6, True), (7, 1, 6, False)]
+    assert sorted(r.doc_id or -1 for r in mh.deduplicated(df).collect()) == [1, 2, 3, 4, 6]
     assert mh.near_duplicates(df.limit(0)).count() == 0
     assert len(shingle_set(b"a b")) == 1
+
+
+def test_rows_of_one_id_with_two_texts_link_all_their_partners(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    df = spark.createDataFrame([(5, a), (5, b), (7, a + " more"), (8, b + " more"), (9, "quite another text of its own")], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id, r.kept) for r in mh.near_duplicates(df).collect()} == {(5, 5, True), (7, 5, False), (8, 5, False), (9, 9, True)}
+    assert sorted(r.doc_id for r in mh.deduplicated(df).collect()) == [5, 9]
+
+
+def test_one_copy_stays_where_ids_repeat_or_are_null(spark):
+    t = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(None, t, 1), (None, t, 1), (3, t, 1), (3, t, 1), (None, "alone it stands without an id", 2), (None, "alone it stands without an id", 3), (None, None, 4), (None, "", 5)],
+                               "doc_id long, text string, n_shingles int")
+    got = mh.deduplicated(df).collect()
+    assert [r.doc_id for r in got if r.text == t] == [3]
+    assert len([r for r in got if r.text and r.text.startswith("alone")]) == 1
+    assert sorted(r.n_shingles for r in got if not r.text) == [4, 5]
+    near = " ".join(f"w{i}" for i in range(29)) + " other"  # a near copy, found through rows without an id
+    only = mh.deduplicated(df.where("doc_id is null").unionByName(spark.createDataFrame([(None, near, 1)], df.schema))).collect()
+    assert len([r for r in only if r.text and r.text.startswith("w0")]) == 1
+
+
+def test_very_long_texts(spark):
+    t = " ".join(f"w{i}" for i in range(200_000))
+    df = spark.createDataFrame([(1, t), (2, t + " end"), (3, "x" * 500_000)], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in mh.near_duplicates(df).collect()} == {(1, 1), (2, 1), (3, 3)}
