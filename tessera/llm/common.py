@@ -7,6 +7,7 @@ Staged tables go to the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -59,6 +60,14 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, rows)
 
 
+def release() -> None:
+    """Returns freed memory to the system: Python workers are reused by later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def with_columns(df: DataFrame, fields: str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
     """``df`` plus computed columns. ``make()`` runs once per task and gives a function from a
     record batch to ``{name: values}``. Columns of ``df`` with the same names are replaced."""
@@ -74,6 +83,8 @@ def with_columns(df: DataFrame, fields: str, make: Callable[[], Callable[[pa.Rec
                 got = fn(batch)
                 cols = [batch.column(n) for n in names] + [_array(got[f.name], f.dataType) for f in new.fields]
                 yield pa.RecordBatch.from_arrays(cols, names + [f.name for f in new.fields])
+        del fn
+        release()
 
     return df.mapInArrow(run, schema)
 

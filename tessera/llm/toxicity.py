@@ -357,19 +357,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, support: int =
                     yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["mark", "n"])
 
         rows = part.select("words").mapInArrow(count, "mark string, n long").groupBy("mark").agg(F.sum("n").alias("n"))
-        return {r.mark: r.n for r in (rows.where(F.col("n") >= support) if wanted is None else rows).collect()}
+        got = (rows.where(F.col("n") >= support) if wanted is None else rows).toArrow()
+        return dict(zip(got["mark"].to_pylist(), got["n"].to_pylist()))
 
     # only marks of toxic documents can be evidence: the clean ones are counted for these alone
     held = counted(seen.where("toxic > 0"), None)
     others = counted(seen.where("toxic <= 0"), frozenset(held))
     odds = {m: float(np.log((a + 0.5) / (toxic + 1)) - np.log((others.get(m, 0) + 0.5) / (clean + 1))) for m, a in held.items()}
     out = ToxicityModel(model, {m: o for m, o in odds.items() if o > 0.7}, none, none + 1, np.zeros(8))
-    known: dict[str, float] = {}
-    x, y = [], []
-    for r in seen.select("words", "toxic").toLocalIterator():  # the bounded sample, partition by partition
-        x.append(out.evidence(set(r.words), known))
-        y.append(float(r.toxic > 0))
-    out.mean, out.spread, out.weights = _logistic(np.array(x), np.array(y))
+
+    def figures():
+        known: dict[str, float] = {}
+        return lambda batch: {"x": [out.evidence(set(w), known) for w in batch.column("words").to_pylist()]}
+
+    # eight numbers a row of the bounded sample; in a fixed order, so that sums do not depend on the partitions
+    got = with_columns(seen.select("doc_id", "toxic", "words"), "x array<double>", figures).select("doc_id", (F.col("toxic") > 0).alias("y"), "x").toArrow().sort_by("doc_id")
+    x, y = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, 7), got["y"].to_numpy().astype(float)
+    out.mean, out.spread, out.weights = _logistic(x, y)
     return out
 
 
