@@ -8,7 +8,8 @@ for each kind selects what is added. Where chosen spans overlap, the likelier on
 No table marks personal data, so the trees learn from the corpus itself: base spans, and the same
 spans rewritten the way people disguise them, are positive; proposals that fail the kind's own
 check (Luhn sum, parts over 255, digits), and base spans spoiled so that they fail, are negative.
-The sample is bounded by ``SAMPLE`` documents with candidates (least hash of the id first).
+The sample is bounded by ``SAMPLE`` distinct texts with candidates and ``ROWS`` feature rows (least hash first),
+so copies of a text count once and a very long text brings no more than its share.
 
 Edge cases: null and empty texts have no spans (base_sha256 is the hash of no bytes); repeated
 rows give repeated results; spans starting together are ordered by kind; without any candidate
@@ -31,8 +32,9 @@ from tessera.llm.boosting import BoostedTrees
 from tessera.llm.common import with_columns
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents with candidates that the trees learn from, at most.
+#: Distinct texts with candidates that the trees learn from, at most, and feature rows made of them.
 SAMPLE = 4000
+ROWS = 200_000
 #: Share of chosen proposals that must be right on the calibration rows.
 PRECISION = 0.98
 
@@ -119,10 +121,21 @@ def features(text: str, span: tuple[int, int, str]) -> list[float]:
     ]
 
 
-def _overlaps(spans: list, a: int, b: int) -> bool:
-    """Does [a, b) meet one of the sorted, disjoint-by-start ``spans``?"""
-    i = bisect_left(spans, (b,))
-    return any(e > a for _, e, *_ in spans[max(0, i - 8):i])
+def _union(spans: list) -> list[tuple[int, int]]:
+    """The stretches that sorted spans cover, apart from each other."""
+    out: list[tuple[int, int]] = []
+    for a, b, *_ in spans:
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
+def _overlaps(apart: list, a: int, b: int) -> bool:
+    """Does [a, b) meet one of the sorted spans, none of which overlap? Only the last that starts before b can."""
+    i = bisect_left(apart, (b,))
+    return i > 0 and apart[i - 1][1] > a
 
 
 def _disguised(s: str, kind: str, rng: random.Random) -> str:
@@ -179,8 +192,9 @@ def training_rows(t: str, seed: int) -> tuple[list[list[float]], list[int]]:
                 if span[0] <= at + 2 and span[1] >= at + len(s) - 2 and (span[2] == kind or not mark):
                     right = mark and (kind != "card" or luhn(_digits(s)))
                     add(near, int(right), span)
+    apart = _union(base)
     for span in proposals(t):
-        if not _overlaps(base, span[0], span[1]):
+        if not _overlaps(apart, span[0], span[1]):
             add(t, 0, span)
     return x, y
 
@@ -208,7 +222,8 @@ class SpanModel:
         """Chosen proposals that meet neither a base span nor a likelier proposal."""
         if not self.least:
             return []
-        spans = [s for s in dict.fromkeys(proposals(text)) if s[2] in self.least and not _overlaps(base, s[0], s[1])]
+        apart = _union(base)
+        spans = [s for s in dict.fromkeys(proposals(text)) if s[2] in self.least and not _overlaps(apart, s[0], s[1])]
         if not spans:
             return []
         p = self.trees.probability(np.array([features(text, s) for s in spans], float))
@@ -219,12 +234,13 @@ class SpanModel:
         return taken
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> SpanModel:
-    """The model, from a bounded sample of the documents that hold digits or an at-sign. Tasks make
-    the sample's features; only they reach the driver."""
-    some = docs.where(F.col(text).rlike("[0-9]{4}|@")).select(F.col(text).alias("_t"), F.xxhash64(key, text).alias("_h"))
-    chosen = some.select(F.col("_h").alias("_chosen")).orderBy("_chosen").limit(sample).distinct()
-    rows = some.join(F.broadcast(chosen), F.col("_h") == F.col("_chosen"), "left_semi")  # at most ``sample`` numbers
+def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, rows: int = ROWS) -> SpanModel:
+    """The model, from a bounded sample of the distinct texts that hold digits or an at-sign. Tasks make
+    the sample's features; at most ``rows`` of them reach the driver."""
+    some = docs.where(F.col(text).rlike("[0-9]{4}|@")).select(F.col(text).alias("_t"), F.xxhash64(text).alias("_h"))
+    chosen = some.select(F.col("_h").alias("_chosen")).distinct().orderBy("_chosen").limit(sample)
+    # at most ``sample`` numbers are broadcast; copies give one row
+    texts = some.join(F.broadcast(chosen), F.col("_h") == F.col("_chosen"), "left_semi").groupBy("_h").agg(F.first("_t").alias("_t"))
 
     def run(batches):
         for batch in batches:
@@ -233,7 +249,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int =
                 if x:
                     yield pa.RecordBatch.from_arrays([pa.array([h] * len(x)), pa.array(range(len(x)), pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64())], ["h", "n", "x", "y"])
 
-    got = rows.mapInArrow(run, "h long, n long, x array<double>, y double").toPandas().sort_values(["h", "n"])
+    made = texts.mapInArrow(run, "h long, n long, x array<double>, y double")
+    got = made.orderBy(F.xxhash64("h", "n"), "h", "n").limit(rows).toPandas().sort_values(["h", "n"])
     return SpanModel(np.array(got["x"].tolist(), float).reshape(len(got), -1 if len(got) else 0), got["y"].to_numpy(float))
 
 

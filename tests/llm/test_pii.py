@@ -69,6 +69,20 @@ def test_disguised_spans_are_added(spark):
         assert model.added(s, pii.base_spans(s)) == []
 
 
+def test_copies_of_one_row_change_nothing(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    one = docs.where("text rlike '[0-9]{4}|@'").orderBy("doc_id").limit(1)
+    many = docs.union(one.crossJoin(spark.range(5000)).select("doc_id", "text"))
+    a, b = pii.fit(docs), pii.fit(many)
+    assert a.least == b.least and set(a.least) >= {"email", "phone", "card"}
+
+
+def test_union_of_spans():
+    base = pii.base_spans("a@" + ".".join(["1"] * 60) + " z")
+    assert len(base) > 9 and pii._union(base) == [(0, 121)] and pii._overlaps(pii._union(base), 100, 130)
+    assert not pii._overlaps(pii._union(base), 121, 130) and not pii._overlaps([], 0, 9)
+
+
 def test_redaction_and_edges(spark):
     assert pii.redacted("a x@y.zz b", [(2, 8, "email")]) == "a [EMAIL] b"
     model = pii.SpanModel(np.empty((0, 3)), np.empty(0))
