@@ -18,11 +18,12 @@ The counts live in tables partitioned by word, one task's group each, whose size
    tokens add to their documents;
 3. the sums of a batch meet: one row per document.
 
-Frequent words and pairs (at least 1/``HOT`` of a sample of the corpus, so a bounded list) are counted
+Frequent words and pairs (at least 1/``HOT`` of a sample of distinct texts, or of the corpus by the
+copies of one text that is at least 1/``SAMPLE`` of the rows, so a bounded list) are counted
 exactly in a pass of their own and broadcast: the pairs are scored where the text is, and a
 frequent word's other pairs are spread over all partitions by pair. So no listed word or pair
-gathers its occurrences in one task; one just below the lists' share does, and the sample shrinks
-where one row is repeated thousands of times. The lists change nothing in the result.
+gathers its occurrences in one task; one just below the lists' share does. Copies of a row take no
+place from other texts in the sample. The lists change nothing in the result.
 
 Words are compared by 64-bit hashes.
 
@@ -42,13 +43,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fold, mix, record_batch, texts_of, word_hashes
+from tessera.llm.common import fold, mix, record_batch, stage, texts_of, word_hashes
 
 #: Counts up to here are discounted by Good-Turing.
 CUT = 5
 #: Frequent: at least this share of the sampled tokens; so many words and pairs at most.
 HOT = 65_536
-#: Documents that the lists of frequent words and pairs are drawn from, at most.
+#: Distinct texts that the lists of frequent words and pairs are drawn from: so many of least hash, and
+#: all that are at least this share of the rows.
 SAMPLE = 4_000
 #: Entries (word, context, document) of one partition.
 ENTRIES = 3_500_000
@@ -170,23 +172,42 @@ class Model:
 # ---- frequent words and pairs ------------------------------------------------------------
 
 def frequent(train: DataFrame) -> Counts:
-    """The lists from a bounded sample, their counts from all training documents."""
-    hashed = train.select("text", F.xxhash64("doc_id", "text").alias("h"))
-    chosen = hashed.select(F.col("h").alias("c")).orderBy("c").limit(SAMPLE).distinct()
-    sample = hashed.join(F.broadcast(chosen), F.col("h") == F.col("c"), "left_semi").select("text")
+    """The lists from two bounded samples of distinct texts, their counts from all training documents."""
+    hashed = train.select("text", F.xxhash64("text").alias("h"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    same = stage(hashed.groupBy("h").agg(F.count("*").alias("rows"), F.max("size").alias("size")), "texts")
+    rows, size = same.agg(F.sum("rows"), F.sum(F.col("rows") * F.col("size"))).first()
+    some = same.orderBy("h").limit(SAMPLE).select("h", F.lit(0).cast("long").alias("rows"))
+    much = same.where(F.col("rows") * SAMPLE >= (rows or 0)).select("h", "rows")  # at most ``SAMPLE`` by arithmetic
+    chosen = some.union(much.where("rows > 1")).groupBy("h").agg(F.min("rows").alias("low"), F.max("rows").alias("rows"))
+    # one row for each text; low = 0: of the first sample, rows > 0: of the second, with its number of rows
+    sample = hashed.join(F.broadcast(chosen.withColumnRenamed("h", "c")), F.col("h") == F.col("c")).groupBy("h", "low", "rows").agg(F.first("text").alias("text"))
 
     def count(batches):
-        for batch in (x for y in batches for x in few(y)):
-            a, b, _ = tokens(texts_of(batch, "text"))
+        def found(texts, copies):
+            a, b, _ = tokens(texts)
             words, n = np.unique(b, return_counts=True)
             _, first, m = np.unique(pair_hash(a, b), return_index=True, return_counts=True)
-            often = m > 1
-            yield pa.RecordBatch.from_arrays([pa.array(np.r_[np.zeros(len(words), np.uint64), a[first][often]].view(np.int64)), pa.array(np.r_[words, b[first][often]].view(np.int64)),
-                                              pa.array(np.r_[np.zeros(len(words), bool), np.ones(often.sum(), bool)]), pa.array(np.r_[n, m[often]])], ["a", "b", "pair", "n"])
+            often = m * max(1, copies) > 1
+            n, m = np.r_[n, m[often]], np.zeros(len(words) + often.sum(), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(np.r_[np.zeros(len(words), np.uint64), a[first][often]].view(np.int64)), pa.array(np.r_[words, b[first][often]].view(np.int64)),
+                                               pa.array(np.r_[np.zeros(len(words), bool), np.ones(often.sum(), bool)]), pa.array(m if copies else n), pa.array(n * copies if copies else m)],
+                                              ["a", "b", "pair", "n", "copied"])
 
-    counts = sample.mapInArrow(count, "a long, b long, pair boolean, n long").groupBy("a", "b", "pair").agg(F.sum("n").alias("n"))
+        for batch in (x for y in batches for x in few(y)):
+            low, rows = batch.column("low").to_pylist(), batch.column("rows").to_pylist()
+            texts = texts_of(batch, "text")
+            if 0 in low:
+                yield found([t for t, x in zip(texts, low) if x == 0], 0)
+            for t, r in zip(texts, rows):
+                if r:
+                    yield found([t], r)
+
+    counts = stage(sample.mapInArrow(count, "a long, b long, pair boolean, n long, copied long").groupBy("a", "b", "pair").agg(F.sum("n").alias("n"), F.sum("copied").alias("copied")), "frequent")
     total = counts.where("not pair").agg(F.sum("n")).first()[0] or 0
-    rows = counts.where(F.col("n") >= max(CUT + 1, total / HOT)).select("a", "b", "pair").collect()
+    width = same.orderBy("h").limit(SAMPLE).agg(F.sum("size")).first()[0] or 0
+    everywhere = (size or 0) / max(1, width) * total  # tokens of the corpus, by its bytes
+    often = (F.col("n") >= max(CUT + 1, total / HOT)) | (F.col("copied") >= max(CUT + 1, everywhere / HOT))
+    rows = counts.where(often).select("a", "b", "pair").collect()
     as_u = lambda x: x & (2 ** 64 - 1)
     pairs = [(as_u(r.a), as_u(r.b)) for r in rows if r.pair]
     words = {as_u(r.b) for r in rows if not r.pair} | {b for _, b in pairs} | {a for a, _ in pairs} - {int(START)} | {int(END)}

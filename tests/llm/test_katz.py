@@ -100,6 +100,18 @@ def test_partitions_and_frequent_lists_change_nothing(spark, monkeypatch, hot, e
     check(katz.score(df, entries).collect(), docs)
 
 
+def test_copies_take_nothing_off_the_frequent_lists(spark, monkeypatch):
+    monkeypatch.setattr(katz, "HOT", 200)
+    rng = np.random.default_rng(5)
+    docs = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.5, 60) if x < 3000)) for i in range(400)]
+    plain = spark.createDataFrame(docs, "doc_id long, text string")
+    copied = plain.union(spark.range(5000).selectExpr("id + 1000", "'only here such words are'"))
+    a, b = katz.frequent(plain), katz.frequent(copied)
+    own = set(katz.word_hashes([w.encode() for w in "only here such words are".split()]).tolist())
+    assert len(a.words) > 5 and set(b.words.tolist()) == set(a.words.tolist()) | own
+    assert set(a.pairs.tolist()) <= set(b.pairs.tolist())
+
+
 def test_edge_rows(spark):
     docs = [(0, None), (3, ""), (3, ""), (3, " a A\tb "), (None, "a b"), (2, "x"), (4, "x a"), (5, "ü é")]
     df = spark.createDataFrame([(*d, 1.0) for d in docs], "doc_id long, text string, score double")
