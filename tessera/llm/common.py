@@ -60,6 +60,17 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, rows)
 
 
+#: Bytes of a record batch between the JVM and Python workers, where the session leaves Spark's default of 64 MB.
+BATCH = 4 << 20
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Both sides hold a batch at a time, in every task: smaller ones keep long texts from adding up."""
+    if spark.conf.get(_BATCH_KEY, None) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, f"{BATCH}b")
+
+
 def release() -> None:
     """Returns freed memory to the system: Python workers are reused by later stages."""
     pa.default_memory_pool().release_unused()
@@ -75,6 +86,7 @@ def with_columns(df: DataFrame, fields: str, make: Callable[[], Callable[[pa.Rec
     kept = [f for f in df.schema.fields if f.name.lower() not in {x.name.lower() for x in new.fields}]
     schema = T.StructType(kept + new.fields)
     names = [f.name for f in kept]
+    bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.boosting import BoostedTrees
-from tessera.llm.common import with_columns
+from tessera.llm.common import bounded_batches, release, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 #: Distinct texts with candidates that the trees learn from, at most, and feature rows made of them.
@@ -248,7 +248,9 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, rows: int = R
                 x, y = training_rows(t, h)
                 if x:
                     yield pa.RecordBatch.from_arrays([pa.array([h] * len(x)), pa.array(range(len(x)), pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64())], ["h", "n", "x", "y"])
+        release()
 
+    bounded_batches(docs.sparkSession)
     made = texts.mapInArrow(run, "h long, n long, x array<double>, y double")
     got = made.orderBy(F.xxhash64("h", "n"), "h", "n").limit(rows).toPandas().sort_values(["h", "n"])
     return SpanModel(np.array(got["x"].tolist(), float).reshape(len(got), -1 if len(got) else 0), got["y"].to_numpy(float))
