@@ -67,7 +67,7 @@ _BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "6710
 
 def bounded_batches(spark: SparkSession) -> None:
     """Both sides hold a batch at a time, in every task: smaller ones keep long texts from adding up."""
-    if spark.conf.get(_BATCH_KEY, None) == _BATCH_DEFAULT:
+    if spark.conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
         spark.conf.set(_BATCH_KEY, f"{BATCH}b")
 
 

@@ -66,3 +66,19 @@ def test_edge_rows(spark):
     out = encode_documents(df, tokenizer_json()).collect()
     assert [len(r.token_ids) // 4 for r in out] == [r.n_tokens for r in out] == [0, 0, 2, 2]
     assert encode_documents(df.limit(0), tokenizer_json()).count() == 0
+
+
+def test_record_batches_are_bounded_by_bytes(spark):
+    from tessera.llm import common
+
+    key = common._BATCH_KEY
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, common._BATCH_DEFAULT)
+        common.bounded_batches(spark)
+        assert spark.conf.get(key) == f"{common.BATCH}b"
+        spark.conf.set(key, "9m")
+        common.bounded_batches(spark)
+        assert spark.conf.get(key) in ("9m", f"{9 << 20}b")
+    finally:
+        spark.conf.set(key, before)
