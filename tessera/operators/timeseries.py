@@ -152,8 +152,11 @@ class TimeSeries:
             w = Window.partitionBy(*keys).orderBy(*order)
             lb = w.rowsBetween(Window.unboundedPreceding if lookback_rows is None else -lookback_rows, 0)
             filled = u.withColumns({f"{c}__lb": F.last(F.col(c), True).over(lb) for c in rcols})
-            if lookahead_rows is None or lookahead_rows > 0:
-                la = w.rowsBetween(0, Window.unboundedFollowing if lookahead_rows is None else lookahead_rows)
+            if lookahead_rows is None:
+                from tessera.operators.windows import first_within
+                filled = filled.withColumns({f"{c}__la": first_within(c, w, True) for c in rcols})
+            elif lookahead_rows > 0:
+                la = w.rowsBetween(0, lookahead_rows)
                 filled = filled.withColumns({f"{c}__la": F.first(F.col(c), True).over(la) for c in rcols})
         has_la = f"{rcols[0]}__la" in filled.columns if rcols else False
         outs = {}

@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNB_PREC = Window.unboundedPreceding
-UNB_FOLL = Window.unboundedFollowing
 
 
 def _cols(x) -> list:
@@ -138,8 +137,13 @@ def _last_within(c: Column, w: Window, include_current: bool) -> Column:
     return F.last(c, ignorenulls=True).over(w.rowsBetween(UNB_PREC, 0 if include_current else -1))
 
 
-def _first_within(c: Column, w: Window, include_current: bool) -> Column:
-    return F.first(c, ignorenulls=True).over(w.rowsBetween(0 if include_current else 1, UNB_FOLL))
+def first_within(c: str, w: Window, include_current: bool) -> Column:
+    """First non-null ``c`` at (or strictly) after the row. Spark reads a frame that ends at
+    ``UNBOUNDED FOLLOWING`` anew for every row, so its cost is quadratic in the window's rows;
+    ``lead`` without nulls is one pass over them and finds the same value."""
+    name = c.replace("`", "``")
+    later = F.expr(f"lead(`{name}`, 1) IGNORE NULLS").over(w)
+    return F.coalesce(F.col(f"`{name}`"), later) if include_current else later
 
 
 def carry(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str],
@@ -154,14 +158,13 @@ def carry(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequen
     fwd = direction == "forward"
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
-        fn = _last_within if fwd else _first_within
-        return df.withColumns({f"{c}{suffix}": fn(F.col(c), w, include_current) for c in cols})
+        return df.withColumns({f"{c}{suffix}": _last_within(F.col(c), w, include_current) if fwd else first_within(c, w, include_current)
+                               for c in cols})
 
     b = "__bucket"
     d, part = _sliced(df, keys, b, bucket)
     w = Window.partitionBy(*part).orderBy(*order)
-    fn = _last_within if fwd else _first_within
-    d = d.withColumns({f"{c}__in": fn(F.col(c), w, include_current) for c in cols})
+    d = d.withColumns({f"{c}__in": _last_within(F.col(c), w, include_current) if fwd else first_within(c, w, include_current) for c in cols})
     # one row per (keys, bucket): its last (first) non-null value of each column. This
     # reads the input again (column-pruned) but combines map-side, so only about one
     # row per (key, slice) and task is shuffled - cheaper than a second full shuffle.
@@ -174,8 +177,7 @@ def carry(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequen
         summ = summ.select(*part, *[F.last(F.col(f"{c}__b"), True).over(wb.rowsBetween(UNB_PREC, -1))
                                       .alias(f"{c}__x") for c in cols])
     else:
-        summ = summ.select(*part, *[F.first(F.col(f"{c}__b"), True).over(wb.rowsBetween(1, UNB_FOLL))
-                                      .alias(f"{c}__x") for c in cols])
+        summ = summ.select(*part, *[first_within(f"{c}__b", wb, False).alias(f"{c}__x") for c in cols])
     d = _join_back(d, summ, part)
     d = d.withColumns({f"{c}{suffix}": F.coalesce(F.col(f"{c}__in"), F.col(f"{c}__x")) for c in cols})
     return d.drop(b, *[f"{c}__in" for c in cols], *[f"{c}__x" for c in cols])
@@ -298,12 +300,12 @@ def carry_both(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: S
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
         return df.withColumns({**{f"{c}__prev": _last_within(F.col(c), w, True) for c in cols},
-                               **{f"{c}__next": _first_within(F.col(c), w, True) for c in cols}})
+                               **{f"{c}__next": first_within(c, w, True) for c in cols}})
     b = "__bucket"
     d, part = _sliced(df, keys, b, bucket)
     w = Window.partitionBy(*part).orderBy(*order)
     d = d.withColumns({**{f"{c}__pin": _last_within(F.col(c), w, True) for c in cols},
-                       **{f"{c}__nin": _first_within(F.col(c), w, True) for c in cols}})
+                       **{f"{c}__nin": first_within(c, w, True) for c in cols}})
     packed = {c: F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order], F.col(c).alias("__v")))
               for c in cols}
     summ = d.groupBy(*keys, *[c for c in [b, *part] if c not in keys]).agg(*[F.max(packed[c]).getField("__v").alias(f"{c}__last") for c in cols],
@@ -312,8 +314,7 @@ def carry_both(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: S
     summ = summ.select(*part,
                        *[F.last(F.col(f"{c}__last"), True).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__px")
                          for c in cols],
-                       *[F.first(F.col(f"{c}__first"), True).over(wb.rowsBetween(1, UNB_FOLL)).alias(f"{c}__nx")
-                         for c in cols])
+                       *[first_within(f"{c}__first", wb, False).alias(f"{c}__nx") for c in cols])
     d = _join_back(d, summ, part)
     d = d.withColumns({**{f"{c}__prev": F.coalesce(F.col(f"{c}__pin"), F.col(f"{c}__px")) for c in cols},
                        **{f"{c}__next": F.coalesce(F.col(f"{c}__nin"), F.col(f"{c}__nx")) for c in cols}})
@@ -341,8 +342,8 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
         cols = {}
         cols.update({f"{c}__lnn": _last_within(F.col(c), w, True) for c in last_nonnull})
         cols.update({f"{c}__lnb": _last_within(F.col(c), w, False) for c in last_nonnull_before})
-        cols.update({f"{c}__fnn": _first_within(F.col(c), w, True) for c in first_nonnull})
-        cols.update({f"{c}__fna": _first_within(F.col(c), w, False) for c in first_nonnull_after})
+        cols.update({f"{c}__fnn": first_within(c, w, True) for c in first_nonnull})
+        cols.update({f"{c}__fna": first_within(c, w, False) for c in first_nonnull_after})
         cols.update({f"{c}__nx": F.lead(F.col(c), 1).over(w) for c in next_row})
         cols.update({f"{c}__pv": F.lag(F.col(c), 1).over(w) for c in prev_row})
         cols.update({f"{c}__cs": F.sum(F.col(c)).over(w.rowsBetween(UNB_PREC, 0)) for c in cumsum})
@@ -354,7 +355,7 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     bwd = [(c, "fnn", True) for c in first_nonnull] + [(c, "fna", False) for c in first_nonnull_after]
     cols = {}
     cols.update({f"{c}__{t}_in": _last_within(F.col(c), w, inc) for c, t, inc in fwd})
-    cols.update({f"{c}__{t}_in": _first_within(F.col(c), w, inc) for c, t, inc in bwd})
+    cols.update({f"{c}__{t}_in": first_within(c, w, inc) for c, t, inc in bwd})
     cols.update({f"{c}__nx_in": F.lead(F.col(c), 1).over(w) for c in next_row})
     cols.update({f"{c}__pv_in": F.lag(F.col(c), 1).over(w) for c in prev_row})
     cols.update({f"{c}__cs_in": F.sum(F.col(c)).over(w.rowsBetween(UNB_PREC, 0)) for c in cumsum})
@@ -379,7 +380,7 @@ def lookaround(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     wb = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(b)
     sel = [*part]
     sel += [F.last(F.col(f"{c}__ls"), True).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__lx") for c in fcols]
-    sel += [F.first(F.col(f"{c}__fs"), True).over(wb.rowsBetween(1, UNB_FOLL)).alias(f"{c}__fx") for c in bcols]
+    sel += [first_within(f"{c}__fs", wb, False).alias(f"{c}__fx") for c in bcols]
     sel += [F.lead(F.col("__frow").getField(f"__v{i}"), 1).over(wb).alias(f"{c}__nx_x") for i, c in enumerate(next_row)]
     sel += [F.lag(F.col("__lrow").getField(f"__v{i}"), 1).over(wb).alias(f"{c}__pv_x") for i, c in enumerate(prev_row)]
     sel += [F.sum(F.col(f"{c}__tot")).over(wb.rowsBetween(UNB_PREC, -1)).alias(f"{c}__off") for c in cumsum]
