@@ -11,7 +11,7 @@ Scale rules applied here:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -215,6 +215,46 @@ def containment_join(runs: DataFrame, states: DataFrame, keys: Sequence[str],
 # --------------------------------------------------------------------------- A6 / J8
 
 
+# Fixed value: up to so many runs a group is one row's list; its pairs are at most so many a run.
+_FEW_RUNS = 32
+
+
+def _by_group_size(base: DataFrame, g: Sequence[str], times: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of groups with at most ``_FEW_RUNS`` rows, all with both times, and all other
+    rows (larger groups, a null in the key or in a time). Only the larger groups' keys are
+    listed; rows meet that list unshuffled where it fits a broadcast."""
+    from tessera.operators.tables import persist_and_reload
+    named, unnamed = F.lit(True), F.lit(False)
+    for c in g:
+        named, unnamed = named & F.col(c).isNotNull(), unnamed | F.col(c).isNull()
+    timed = F.lit(True)
+    for c in times:
+        timed = timed & F.col(c).isNotNull()
+    large = base.where(named).groupBy(*g).agg(F.count("*").alias("__n"), F.count_if(timed).alias("__timed"))
+    large = persist_and_reload(large.where((F.col("__n") > _FEW_RUNS) | (F.col("__timed") < F.col("__n"))).select(*g))
+    few = base.where(named).join(large, list(g), "left_anti")
+    return few, base.where(named).join(large, list(g), "left_semi").unionByName(base.where(unnamed))
+
+
+def _each_of_few(few: DataFrame, g: Sequence[str], cols: Sequence[str]) -> tuple[DataFrame, Callable]:
+    """Every row beside the list of its group's rows, and a sum over that list."""
+    listed = few.groupBy(*g).agg(F.collect_list(F.struct(*cols)).alias("__all"))
+    each = listed.select(*g, "__all", F.explode("__all").alias("__o")).select(*g, "__all", "__o.*")
+    return each, lambda of: F.aggregate("__all", F.lit(0).cast("long"), lambda total, x: total + of(x))
+
+
+def _overlap_of_few(few: DataFrame, g: Sequence[str]) -> DataFrame:
+    """What the sweep of ``overlap_runtime_exact`` finds per run, from its group's list."""
+    each, total = _each_of_few(few, g, ["__id", "__s", "__e"])
+    s, e, none = F.col("__s"), F.col("__e"), F.lit(0).cast("long")
+    until = lambda t: total(lambda x: F.greatest(t - x["__s"], none) - F.greatest(t - x["__e"], none))
+    number = lambda cond: total(lambda x: cond(x).cast("long"))
+    each = each.select(*g, "__id", "__s", "__e", until(s).alias("I_s"), until(e).alias("I_e"), number(lambda x: x["__e"] <= s).alias("B"),
+                       number(lambda x: x["__s"] < e).alias("A"), number(lambda x: (x["__s"] == s) & (x["__e"] == s)).alias("Z"))
+    return each.groupBy(*g, "__id").agg(*[F.max(c).alias(c) for c in ("I_s", "I_e", "B", "A", "Z")],
+                                        F.first("__s").alias("__s"), F.first("__e").alias("__e"))
+
+
 def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, start: str,
                           end: str, bucket_width: float | None = None) -> DataFrame:
     """A6 (``exact`` mode) without forming pairs: for each run i of a group,
@@ -231,10 +271,13 @@ def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, star
     and end must be integral (e.g. epoch ms). Cost is linear per group (one sort).
     With ``bucket_width`` the running sums are split by time slice (per-slice range
     frames plus the totals of all earlier slices), so a hot group spans many tasks.
+    Groups of at most ``_FEW_RUNS`` runs need no sweep: their runs are gathered once and the
+    same sums are taken over that list, so a row moves once.
     """
     g = list(group)
     base = df.select(*g, F.col(run_id).alias("__id"), F.col(start).cast("long").alias("__s"),
                      F.col(end).cast("long").alias("__e"))
+    few, base = _by_group_size(base, g, ["__s", "__e"])
     ev = base.select(*g, "__id", F.explode(F.array(
         F.struct(F.col("__s").alias("t"), F.lit(0).alias("kind"), F.col("__s").alias("s"), F.col("__e").alias("e")),
         F.struct(F.col("__e").alias("t"), F.lit(1).alias("kind"), F.col("__s").alias("s"), F.col("__e").alias("e")),
@@ -281,6 +324,7 @@ def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, star
         F.max(F.when(F.col("kind") == 1, F.col("__cs_lt"))).alias("A"),
         F.max(F.when(F.col("kind") == 0, F.col("zero_at"))).alias("Z"),
         F.first("s").alias("__s"), F.first("e").alias("__e"))
+    per = per.unionByName(_overlap_of_few(few, g))
     return per.select(
         *g, F.col("__id").alias(run_id),
         (F.col("I_e") - F.col("I_s")).alias("cum_runtime"),
@@ -288,6 +332,23 @@ def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, star
          + F.when(F.col("__s") == F.col("__e"), F.col("Z")).otherwise(F.lit(0))).alias("overlapping_runs"))
 
 
+def _kinds_of_few(few: DataFrame, g: Sequence[str]) -> DataFrame:
+    """Time and number of the three kinds of overlap of ``overlap_runtime_reference`` per run, from
+    its group's list; a state bound that is null counts as the group's first start, as there."""
+    each, total = _each_of_few(few, g, ["__id", "s", "e", "ss", "se"])
+    s, e, first = F.col("s"), F.col("e"), F.array_min(F.transform("__all", lambda x: x["s"]))
+    kinds = lambda x: (
+        ((x["s"] < s) & (x["e"] > s) & (x["e"] < e), x["e"] - F.coalesce("ss", first)),
+        ((x["s"] > s) & (x["s"] < e) & (x["e"] > e), F.coalesce(x["se"], first) - s),
+        (x["s"].between(s, e) & x["e"].between(s, e), x["e"] - s))
+
+    def either(x, value):
+        (a, va), (b, vb), (c, vc) = kinds(x)
+        return F.when(a, value(va)).when(b, value(vb)).when(c, value(vc)).otherwise(F.lit(0).cast("long"))
+    return each.where(s <= e).select(*g, "__id", total(lambda x: either(x, lambda v: v)).alias("__t"),
+                                     total(lambda x: either(x, lambda v: F.lit(1).cast("long"))).alias("__n"))
+
+
 def overlap_runtime_reference(df: DataFrame, group: Sequence[str], run_id: str, run_start: str,
                               run_end: str, state_start: str, state_end: str,
                               bucket: float | None = None) -> DataFrame:
@@ -306,7 +367,9 @@ def overlap_runtime_reference(df: DataFrame, group: Sequence[str], run_id: str,
     first in one bit, so at every bit the runs of a block whose bit is set are counted for the
     observers of the block whose bit is not, in order of their ends. A run is read once a bit:
     n log n rows, each in a running sum. With ``bucket`` (a width on the run times) all running
-    sums are split by time slice, so a group of any size spans many tasks. Times are integral."""
+    sums are split by time slice, so a group of any size spans many tasks. Times are integral.
+
+    Groups of at most ``_FEW_RUNS`` runs are gathered once and each run compared with its list."""
     from tessera.operators.tables import persist_and_reload
     from tessera.operators.windows import lookaround, row_numbers
     g = list(group)
@@ -314,6 +377,8 @@ def overlap_runtime_reference(df: DataFrame, group: Sequence[str], run_id: str,
     base = df.select(*g, F.col(run_id).alias("__id"), *[F.col(c).cast("long").alias(n) for c, n in (
         (run_start, "s"), (run_end, "e"), (state_start, "ss"), (state_end, "se"))]).where("s IS NOT NULL AND e IS NOT NULL")
     sizes = base.groupBy(*g).agg(F.count("*").alias("n"), F.min("s").alias("zero"))  # times count from the group's first start
+    few, base = _by_group_size(base, g, ["s", "e"])
+    few = _kinds_of_few(few, g)
     base = base.join(sizes, g).select(*g, "__id", "n", *[(F.col(c) - F.col("zero")).alias(c) for c in ("s", "e", "ss", "se")])
     base = persist_and_reload(base.withColumn("__row", F.monotonically_increasing_id()))
     good, zero = F.col("s") <= F.col("e"), F.col("s") == F.col("e")
@@ -359,6 +424,7 @@ def overlap_runtime_reference(df: DataFrame, group: Sequence[str], run_id: str,
     within = lambda x: F.when(longer, x).otherwise(0)  # noqa: E731  (nothing starts or ends inside an instant)
     time = within(a_t - a_n * c("ss")) + within(b_x - b_n * c("s")) + c("c_t_1") - c("c_n_1") * c("s")
     got = got.withColumns({"__t": time, "__n": within(a_n) + within(b_n) + c("c_n_1")})
+    got = got.select(*g, "__id", "__t", "__n").unionByName(few)
     return got.groupBy(*g, F.col("__id").alias(run_id)).agg(F.sum("__t").alias("cum_runtime"), (F.sum("__n") - 1).alias("overlapping_runs"))
 
 
