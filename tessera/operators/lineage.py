@@ -4,7 +4,8 @@ A run names its parent by one of several links (a parent run, or the run that a
 names). Roots are found by pointer doubling: every round a run's pointer jumps to its pointer's
 pointer, so a chain of depth d takes about log2(d) rounds, each an equi-join of the runs that are
 still on their way. Runs whose pointer has reached a root leave the loop; rounds are written to the
-shared folder, so no round is computed twice.
+shared folder, so no round is computed twice. The first round also finds the links that lead nowhere and
+meets the runs where the grouping by key has put them, so they are not written before it.
 """
 
 from __future__ import annotations
@@ -34,31 +35,33 @@ def resolve_roots(runs: DataFrame, key: str, links: Sequence[str], scope: Sequen
     link = F.coalesce(*[F.col(c) for c in links])
     nodes = runs.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*scope, key]])).groupBy(
         *scope, F.col(key).alias("id")).agg(F.min(F.when(link != F.col(key), link)).alias("link"))
-    nodes = persist_and_reload(nodes)
-    there = nodes.select(*scope, F.col("id").alias("up"))
-    first = nodes.join(there.withColumn("link", F.col("up")), [*scope, "link"], "left")
-    isroot = F.col("up").isNull()
-    first = persist_and_reload(first.select(
-        *scope, "id", "up", F.when(isroot, 0).otherwise(1).alias("depth"), F.when(~isroot, F.col("id")).alias("top"),
-        (isroot & F.col("link").isNotNull()).alias("orphan")))
-    done = [first.where(isroot).withColumn("root", F.col("id"))]
-    roots = first.where(isroot)
-    moving, left = first.where(~isroot), first.where(~isroot).count()
-    longest = left  # no chain is longer than the runs that have a link
-    reach = 1
+    # a run's state: ``at``, the run ``depth`` links above it, ``top``, the one just below that on the way, and
+    # ``next``, the link of ``at`` (null: ``at`` is the root)
+    start = nodes.select(*scope, "id", F.col("id").alias("at"), F.col("link").alias("next"), F.lit(0).alias("depth"), F.lit(None).cast(nodes.schema["id"].dataType).alias("top"), F.lit(False).alias("orphan"))
+
+    def jumped(moving: DataFrame, seen: DataFrame) -> DataFrame:
+        ahead = seen.select(*scope, F.col("id").alias("next"), F.lit(True).alias("there"), F.col("at").alias("at2"), F.col("next").alias("next2"),
+                            F.col("depth").alias("d2"), F.col("top").alias("t2"), F.col("orphan").alias("o2"))
+        there = F.col("there").isNotNull()
+        return moving.join(ahead, [*scope, "next"], "left").select(
+            *scope, "id", F.when(there, F.col("at2")).otherwise(F.col("at")).alias("at"), F.col("next2").alias("next"), F.when(there, F.col("depth") + 1 + F.col("d2")).otherwise(F.col("depth")).alias("depth"),
+            F.when(there, F.when(F.col("d2") == 0, F.col("at")).otherwise(F.col("t2"))).otherwise(F.col("top")).alias("top"), F.coalesce("o2", F.lit(True)).alias("orphan"))
+
+    # the first jump meets runs that are still dealt by their key; those without a link are written with it
+    first = persist_and_reload(jumped(start.where("next is not null"), start).unionByName(start.where("next is null")))
+    done, moving = [first.where("next is null")], first.where("next is not null")
+    left = moving.count()
+    longest = first.count()  # no chain is longer than the runs
+    reach = 2
     while left and reach <= 2 * longest:
-        seen = reduce(DataFrame.unionByName, [roots, *[f.select(*roots.columns) for f in done[1:]], moving])
-        ahead = seen.select(*scope, F.col("id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("top").alias("t2"), F.col("orphan").alias("o2"))
-        step = persist_and_reload(moving.join(ahead, [*scope, "up"]))
-        at_root = F.col("up2").isNull()
-        done.append(step.where(at_root).select(*scope, "id", "up", "depth", "top", F.col("o2").alias("orphan"), F.col("up").alias("root")))
-        moving = step.where(~at_root).select(*scope, "id", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"), F.col("t2").alias("top"), "orphan")
+        step = persist_and_reload(jumped(moving, reduce(DataFrame.unionByName, [*done, moving])))
+        done.append(step.where("next is null"))
+        moving = step.where("next is not null")
         left = moving.count()
         reach *= 2
     if left:  # circles
-        done.append(moving.select(*scope, "id", F.col("id").alias("up"), F.lit(0).alias("depth"), F.lit(None).cast(moving.schema["top"].dataType).alias("top"),
-                                  F.lit(True).alias("orphan"), F.col("id").alias("root")))
-    found = reduce(DataFrame.unionByName, [f.select(*scope, F.col("id").alias(key), "root", "top", "depth", "orphan") for f in done])
+        done.append(moving.withColumns({"at": F.col("id"), "depth": F.lit(0), "top": F.lit(None).cast(moving.schema["top"].dataType), "orphan": F.lit(True)}))
+    found = reduce(DataFrame.unionByName, [f.select(*scope, F.col("id").alias(key), F.col("at").alias("root"), "top", "depth", "orphan") for f in done])
     out = runs.join(found, [*scope, key], "left")
     return out.withColumns({"root": F.coalesce("root", F.col(key)), "depth": F.coalesce("depth", F.lit(0)), "orphan": F.coalesce("orphan", F.lit(False))}).select(
         *runs.columns, "root", "top", "depth", "orphan")

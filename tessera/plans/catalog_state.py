@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tessera.functions import columns as C
 from tessera.operators import windows as W
 from tessera.operators.lineage import nest_runs, resolve_roots, summarize_runs
-from tessera.operators.tables import TableSpec, keep_rows, read_table, rollback_run, rollback_to_time, write_append, write_upsert
+from tessera.operators.tables import TableSpec, keep_rows, persist_and_reload, read_table, rollback_run, rollback_to_time, write_append, write_upsert
 from tessera.operators.scd import set_at_events, set_history
 from tessera.plans.catalog import _G4_UNTIL_MS, DAY_S, _sround, query, table
 from tessera.plans.catalog_more import _folder
@@ -74,14 +74,16 @@ def q72(spark, d):
     context) nest as three levels; lines of orders that are not there stay as orphans."""
     o = table(spark, d, "orders").where("o_orderstatus <> 'P'")
     text = lambda mark, *cols: F.concat(F.lit(mark), F.concat_ws("-", *[F.col(c).cast("string") for c in cols]))
-    li = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
+    # runs are read several times: the parts are written once, as numbers
+    li = persist_and_reload(table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.sum("l_quantity").alias("quantity")))
+    lines = persist_and_reload(li.select("l_orderkey", "l_linenumber").distinct())
     none = F.lit(None).cast("string")
     line, part = text("l", "l_orderkey", "l_linenumber"), text("p", "l_orderkey", "l_linenumber", "l_partkey")
     runs = o.select(text("o", "o_orderkey").alias("run_id"), none.alias("parent"), none.alias("context"), F.lit(0.0).alias("quantity"), F.lit(0).cast("long").alias("seq"))
-    runs = runs.unionByName(li.select(line.alias("run_id"), text("o", "l_orderkey").alias("parent"), none.alias("context"), F.lit(0.0).alias("quantity"), F.col("l_linenumber").cast("long").alias("seq")).distinct())
+    runs = runs.unionByName(lines.select(line.alias("run_id"), text("o", "l_orderkey").alias("parent"), none.alias("context"), F.lit(0.0).alias("quantity"), F.col("l_linenumber").cast("long").alias("seq")))
     runs = runs.unionByName(li.select(part.alias("run_id"), none.alias("parent"), line.alias("context"), "quantity", F.col("l_partkey").cast("long").alias("seq")))
-    resolved = resolve_roots(runs, "run_id", ["parent", "context"])
-    nested = nest_runs(resolved, "run_id", ["seq"])
+    resolved = persist_and_reload(resolve_roots(runs, "run_id", ["parent", "context"]).drop("parent", "context"))
+    nested = nest_runs(resolved.drop("quantity"), "run_id", ["seq"])
     below = F.transform("children", lambda c: F.concat(c["run_id"], F.lit("("), F.array_join(F.coalesce(c["workflow_children"]["run_id"], F.array().cast("array<string>")), ","), F.lit(")")))
     deeper = F.aggregate("children", F.lit(0).cast("long"), lambda n, c: n + F.coalesce(F.size(c["workflow_children"]).cast("long"), F.lit(0)))
     nested = nested.select("run_id", "orphan", F.coalesce(F.size("children").cast("long"), F.lit(0)).alias("n_children"), F.coalesce(deeper, F.lit(0)).alias("n_deeper"),

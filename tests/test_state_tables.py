@@ -1,6 +1,7 @@
 """Null partitions, map columns and run lineage on small rows."""
 
 import json
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from conftest import rows
 from tessera.operators import tables as K
 from tessera.operators import windows as W
 from tessera.operators.lineage import nest_runs, resolve_roots, summarize_runs
+from tessera.session import ensure_checkpoint_dir
 
 ROWS = "k int, part string, v int, run_id string"
 
@@ -327,3 +329,13 @@ def test_views_of_published_tables(spark):
     publish_consumer_views(spark, {"sparkstage": publish_gold(stage, "sparkstage")}, prefix="w_")
     assert spark.table("w_sparkstage").columns == [c for c in view_columns("sparkstage") if c != "workspace_name"]
     assert all(view_columns(t)[:2] == ("organization_id", "workspace_name") and len(set(view_columns(t))) == len(view_columns(t)) for t in GOLD_TABLES)
+
+
+def test_first_jump_needs_no_table_of_links(spark):
+    """Of three levels, two tables are written: the runs after one jump and the rest after two."""
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    df = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("d", "gone"), ("e", "d"), ("f", "e")], "run_id string, parent string")
+    before = set(os.listdir(folder))
+    got = {r["run_id"]: (r["root"], r["top"], r["depth"], r["orphan"]) for r in resolve_roots(df, "run_id", ["parent"]).collect()}
+    assert got == {"a": ("a", None, 0, False), "b": ("a", "b", 1, False), "c": ("a", "b", 2, False), "d": ("d", None, 0, True), "e": ("d", "e", 1, True), "f": ("d", "e", 2, True)}
+    assert len([x for x in set(os.listdir(folder)) - before if x.startswith("stage-")]) == 2
