@@ -192,19 +192,21 @@ def interval_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], ts: str
 
 def containment_join(runs: DataFrame, states: DataFrame, keys: Sequence[str],
                      run_start: str, run_end: str, state_start: str, state_end: str,
-                     bucket: str = "month") -> DataFrame:
+                     bucket: str | None = "month") -> DataFrame:
     """States strictly inside a run of the same key:
     ``state.start > run.start AND state.end < run.end``.
 
     Runs are exploded over the ``bucket`` slices they cover; a state goes to the slice
     of its start, so each (run, state) candidate is met exactly once and only pairs in
     the same slice are compared. Both column sets must be disjoint except ``keys``. An
-    inner join: the range is part of the join condition."""
-    sdt = states.schema[state_start].dataType
-    r = runs.withColumn("__tb", F.explode(_bucket_range(F.col(run_start), F.col(run_end),
-                                                        runs.schema[run_start].dataType, bucket)))
-    s = states.withColumn("__tb", _time_bucket_expr(F.col(state_start), sdt, bucket))
-    on = list(keys) + ["__tb"]
+    inner join: the range is part of the join condition. ``bucket=None``, for keys known to
+    have few states, compares a run with all states of its key and moves it once."""
+    r, s, on = runs, states, list(keys)
+    if bucket is not None:
+        r = runs.withColumn("__tb", F.explode(_bucket_range(F.col(run_start), F.col(run_end),
+                                                            runs.schema[run_start].dataType, bucket)))
+        s = states.withColumn("__tb", _time_bucket_expr(F.col(state_start), states.schema[state_start].dataType, bucket))
+        on = on + ["__tb"]
     s = s.withColumnsRenamed({c: f"{c}__s" for c in on})
     cond = (F.col(state_start) > F.col(run_start)) & (F.col(state_end) < F.col(run_end))
     for c in on:
@@ -255,8 +257,33 @@ def _overlap_of_few(few: DataFrame, g: Sequence[str]) -> DataFrame:
                                         F.first("__s").alias("__s"), F.first("__e").alias("__e"))
 
 
+def _overlap_in_lists(df: DataFrame, g: Sequence[str], run_id: str, start: str, end: str, among: Column) -> DataFrame:
+    """Every row of ``df`` with what the sweep of ``overlap_runtime_exact`` finds for its run, from
+    the list of its group's runs ``among`` which it is counted. Only windows by the group, so rows
+    that are dealt by some of its columns do not move again."""
+    none = F.lit(0).cast("long")
+    one, whole = Window.partitionBy(*g, run_id), Window.partitionBy(*g)
+    s, e = (F.when(among, F.col(c).cast("long")) for c in (start, end))
+    times = F.when(among, F.struct(s.alias("s"), e.alias("e")))
+    # the finer window comes first: its order serves the windows after it
+    d = df.withColumn("__own", F.max(times).over(one))
+    d = d.withColumn("__all", F.collect_list(times).over(whole))
+    until = lambda t, x: F.greatest(t - x["s"], none) - F.greatest(t - x["e"], none)
+    sums = F.aggregate("__all", F.struct(*[none.alias(c) for c in ("I_s", "I_e", "B", "A", "Z")]), lambda a, x: F.struct(
+        (a["I_s"] + until(s, x)).alias("I_s"), (a["I_e"] + until(e, x)).alias("I_e"), (a["B"] + (x["e"] <= s).cast("long")).alias("B"),
+        (a["A"] + (x["s"] < e).cast("long")).alias("A"), (a["Z"] + ((x["s"] == s) & (x["e"] == s)).cast("long")).alias("Z")))
+    found = F.col(run_id).isNotNull()
+    for c in g:
+        found = found & F.col(c).isNotNull()
+    d = d.withColumn("__sums", F.when(found & among, sums)).drop("__all")
+    top = {c: F.max(f"__sums.{c}").over(one) for c in ("I_s", "I_e", "B", "A", "Z")}
+    s, e = F.col("__own.s"), F.col("__own.e")
+    return d.withColumns({"cum_runtime": top["I_e"] - top["I_s"],
+                          "overlapping_runs": top["A"] - top["B"] - (s < e).cast("long") + F.when(s == e, top["Z"]).otherwise(none)}).drop("__own", "__sums")
+
+
 def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, start: str,
-                          end: str, bucket_width: float | None = None) -> DataFrame:
+                          end: str, bucket_width: float | None = None, among: Column | None = None) -> DataFrame:
     """A6 (``exact`` mode) without forming pairs: for each run i of a group,
 
     * ``cum_runtime`` = sum over runs j of the group (i included) of
@@ -273,8 +300,13 @@ def overlap_runtime_exact(df: DataFrame, group: Sequence[str], run_id: str, star
     frames plus the totals of all earlier slices), so a hot group spans many tasks.
     Groups of at most ``_FEW_RUNS`` runs need no sweep: their runs are gathered once and the
     same sums are taken over that list, so a row moves once.
+
+    ``among`` is for a caller that knows all groups to be that small: every row of ``df`` comes back
+    with the two columns (null where its run is not counted); rows where it holds are counted.
     """
     g = list(group)
+    if among is not None:
+        return _overlap_in_lists(df, g, run_id, start, end, among)
     base = df.select(*g, F.col(run_id).alias("__id"), F.col(start).cast("long").alias("__s"),
                      F.col(end).cast("long").alias("__e"))
     few, base = _by_group_size(base, g, ["__s", "__e"])

@@ -9,10 +9,10 @@ file.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,9 +142,18 @@ def layout_for_write(df: DataFrame, spec: TableSpec, front: Sequence[str] = (),
 
 # ------------------------------------------------------------------ writes (K1, K2, K3, K6)
 
+def _writer(df: DataFrame) -> DataFrameWriter:
+    """A writer that stores lists of days as differences (mostly one day), not as numbers of a
+    dictionary: some bytes a list in place of a byte or more for each day."""
+    days = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DateType)]
+    if not days:
+        return df.write
+    return df.write.options(**{"parquet.writer.version": "v2"}, **{f"parquet.enable.dictionary#{c}.list.element": "false" for c in days})
+
+
 def write_append(df: DataFrame, spec: TableSpec) -> None:
     """K1: partitioned append; readers merge schemas."""
-    w = df.write.mode("append")
+    w = _writer(df).mode("append")
     if spec.partition_by:
         w = w.partitionBy(*spec.partition_by)
     w.parquet(spec.path)
@@ -194,29 +203,34 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return _match(target, src, keys, "left_anti").unionByName(src, allowMissingColumns=True)
 
 
-def write_upsert(df: DataFrame, spec: TableSpec) -> None:
+def write_upsert(df: DataFrame, spec: TableSpec, derive: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """K3 on Parquet: the source is de-duplicated by the merge key (keys, incremental and
     partition columns, tenant), also on the first write; later writes rewrite only the
     partitions the source touches (dynamic partition overwrite), staged first because
     the target is read and overwritten in one job. Rows without a partition value form a
-    partition of their own, which is merged like any other."""
+    partition of their own, which is merged like any other.
+
+    ``derive`` adds the stored columns that follow from others of the row. They are made anew
+    as the table is written, for stored rows too, and take no part in the merge before."""
     spark = df.sparkSession
     keys = spec.merge_keys or list(spec.keys)
+    derive = derive or (lambda x: x)
     if not table_exists(spark, spec.path):
-        write_append(df if spec.permit_duplicate_keys else dedup_by_key(df, keys), spec)
+        write_append(derive(df if spec.permit_duplicate_keys else dedup_by_key(df, keys)), spec)
         return
     tgt = spark.read.option("mergeSchema", "true").parquet(spec.path)
+    tgt = tgt.drop(*[c for c in derive(df).columns if c not in df.columns])
     parts = list(spec.partition_by)
     if parts:
         # stored rows of every partition that is about to be replaced, the null one included
         tgt = _match(tgt, df.select(*parts).distinct(), parts, "left_semi")
-    _overwrite_partitions(persist_and_reload(_writable(upsert_frame(tgt, df, keys, spec.permit_duplicate_keys))), spec)
+    _overwrite_partitions(derive(persist_and_reload(_writable(upsert_frame(tgt, df, keys, spec.permit_duplicate_keys)))), spec)
 
 
 def _overwrite_partitions(staged: DataFrame, spec: TableSpec) -> None:
     """Replace the partitions that ``staged`` holds, and only those (the whole table when
     it has no partition columns)."""
-    w = _writable(staged).write.mode("overwrite")
+    w = _writer(_writable(staged)).mode("overwrite")
     if spec.partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_by)
     w.parquet(spec.path)

@@ -150,6 +150,7 @@ def q73(spark, d):
     all_runs = o.join(last, o.o_orderkey == last.l_orderkey).select(
         *keys, F.col("o_orderkey").alias("run_id"), F.when(F.col("o_orderkey") % 3 == 0, "new").otherwise("existing").alias("cluster_type"),
         begun.alias("run_start_ms"), F.greatest(begun, C.epoch_ms("last_ship") + F.col("o_orderkey")).alias("run_end_ms"), F.concat(F.lit("n"), F.col("o_orderkey").cast("string")).alias("run_name"))
+    all_runs = persist_and_reload(all_runs)  # both windows read the runs several times
     year = 365 * DAY_S * 1000.0
     spec = TableSpec("fact", _folder(spark, "costs"), keys=("run_id", "cluster_id"), mode="merge")
     since = 0
@@ -159,9 +160,9 @@ def q73(spark, d):
         st = W.shift_one(st, ["unixTimeMS_state_start"], ["organization_id", "cluster_id"], ["unixTimeMS_state_start"], "next",
                          bucket=F.floor(F.col("unixTimeMS_state_start") / F.lit(year)).cast("long"), suffix="__next")
         end = F.coalesce(F.col("unixTimeMS_state_start__next") - 1, F.lit(until))
-        states = st.select("organization_id", "cluster_id", "unixTimeMS_state_start", end.alias("unixTimeMS_state_end"), "state",
+        states = persist_and_reload(st.select("organization_id", "cluster_id", "unixTimeMS_state_start", end.alias("unixTimeMS_state_end"), "state",
                            ((end - F.col("unixTimeMS_state_start")) / 3600000.0).alias("uptime_in_state_H"), F.lit(0.0).alias("worker_potential_core_H"),
-                           *[(F.col("cost") * w).alias(c) for c, w in _COSTS.items()])
+                           *[(F.col("cost") * w).alias(c) for c, w in _COSTS.items()]))
         known = all_runs.withColumn("run_end_ms", F.when(F.col("run_end_ms") < until, F.col("run_end_ms")))
         # a customer's state may last for years here, so the lag covers all of them
         refresh_job_run_costs(spark, spec, states, known, since, until, lag_ms=3000 * DAY_S * 1000, slice_ms=year, month_bucket_ms=60 * DAY_S * 1000)
