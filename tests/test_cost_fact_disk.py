@@ -71,3 +71,12 @@ def test_lists_of_days_are_stored_small_and_made_at_the_write(spark, tmp_path):
     got = {r["id"]: (r["v"], r["days"][0], len(r["days"])) for r in K.read_table(spark, spec).collect()}
     assert got == {i: (v, dt.date(1970, 1, 1) + dt.timedelta(v), 1501) for i in range(500) for v in [i * (5 if i >= 300 else 3)]}
     assert sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(spec.path) for f in fs if f.endswith(".parquet")) < 300_000
+
+
+def test_containment_without_slices_finds_the_same_pairs(spark):
+    rnd = random.Random(5)
+    times = lambda n: [(rnd.choice([None, 1, 2]), i, t, t + rnd.randrange(30)) for i in range(n) for t in [rnd.randrange(100)]]
+    runs = spark.createDataFrame(times(40), "k long, r long, rs long, re long")
+    states = spark.createDataFrame(times(60), "k long, s long, ss long, se long")
+    how = (runs, states, ["k"], "rs", "re", "ss", "se")
+    assert rows(J.containment_join(*how, bucket=None)) == rows(J.containment_join(*how, bucket="7"))
