@@ -11,6 +11,7 @@ q80 V12 (runs of several tasks) · q81 V11 (job settings and people) · q82 G6/X
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,15 +75,18 @@ def q72(spark, d):
     context) nest as three levels; lines of orders that are not there stay as orphans."""
     o = table(spark, d, "orders").where("o_orderstatus <> 'P'")
     text = lambda mark, *cols: F.concat(F.lit(mark), F.concat_ws("-", *[F.col(c).cast("string") for c in cols]))
-    # runs are read several times: the parts are written once, as numbers
-    li = persist_and_reload(table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.sum("l_quantity").alias("quantity")))
-    lines = persist_and_reload(li.select("l_orderkey", "l_linenumber").distinct())
     none = F.lit(None).cast("string")
     line, part = text("l", "l_orderkey", "l_linenumber"), text("p", "l_orderkey", "l_linenumber", "l_partkey")
     runs = o.select(text("o", "o_orderkey").alias("run_id"), none.alias("parent"), none.alias("context"), F.lit(0.0).alias("quantity"), F.lit(0).cast("long").alias("seq"))
-    runs = runs.unionByName(lines.select(line.alias("run_id"), text("o", "l_orderkey").alias("parent"), none.alias("context"), F.lit(0.0).alias("quantity"), F.col("l_linenumber").cast("long").alias("seq")))
-    runs = runs.unionByName(li.select(part.alias("run_id"), none.alias("parent"), line.alias("context"), "quantity", F.col("l_partkey").cast("long").alias("seq")))
-    resolved = persist_and_reload(resolve_roots(runs, "run_id", ["parent", "context"]).drop("parent", "context"))
+    # the parts of a line are dealt by the line; its first one brings the line's own run with it
+    on_line = ["l_orderkey", "l_linenumber"]
+    li = table(spark, d, "lineitem").select(*on_line, "l_partkey", "l_quantity").repartition(*on_line).groupBy(*on_line, "l_partkey").agg(F.sum("l_quantity").alias("quantity"))
+    li = li.withColumn("first", F.lag(F.lit(True)).over(Window.partitionBy(*on_line).orderBy("l_partkey")).isNull())
+    li = li.withColumn("of_line", F.explode(F.when(F.col("first"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    either = lambda a, b: F.when(F.col("of_line"), a).otherwise(b)
+    runs = runs.unionByName(li.select(either(line, part).alias("run_id"), either(text("o", "l_orderkey"), none).alias("parent"), either(none, line).alias("context"),
+                                      either(F.lit(0.0), F.col("quantity")).alias("quantity"), either(F.col("l_linenumber").cast("long"), F.col("l_partkey").cast("long")).alias("seq")))
+    resolved = resolve_roots(runs, "run_id", ["parent", "context"], keep=["quantity", "seq"])
     nested = nest_runs(resolved.drop("quantity"), "run_id", ["seq"])
     below = F.transform("children", lambda c: F.concat(c["run_id"], F.lit("("), F.array_join(F.coalesce(c["workflow_children"]["run_id"], F.array().cast("array<string>")), ","), F.lit(")")))
     deeper = F.aggregate("children", F.lit(0).cast("long"), lambda n, c: n + F.coalesce(F.size(c["workflow_children"]).cast("long"), F.lit(0)))
